@@ -98,7 +98,7 @@ def batch_generate(
 
 def sentence_question() -> Model:
     """Offline stand-in for a question model: asks about the first sentence of the context."""
-    start, end = (QUESTION_TEMPLATE.split("{context}")[0][-9:], "\n\n    Please return")
+    start, end = "context: ", "\n\n    Please return"
 
     def ask(prompts: list[str]) -> list[str]:
         answers = []
@@ -147,6 +147,20 @@ def sample_first(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def answer_each(prompts: Column, model: Callable[[], Model]) -> Column:
+    """Answers to a row's array of prompts, in order; null where the model failed."""
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ask = model()
+        for batch in batches:
+            flat = [p for row in batch for p in row]
+            got = iter([answer for answer, _ in _ask_each(ask, flat)] if flat else [])
+            yield pd.Series([[next(got) for _ in row] for row in batch], index=batch.index)
+
+    return run.asNondeterministic()(prompts)
+
+
 JUDGE_TEMPLATE = (
     "Assess the quality of a response along the specified dimension. Answer Yes or No.\n\n"
     "Request: {request}\nResponse To Assess: {response}\nAssessment Question: {question}\n"
@@ -182,18 +196,7 @@ def judge(
         ]
     )
 
-    @F.pandas_udf("array<string>")
-    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ask = model()
-        for batch in batches:
-            flat = [p for row in batch for p in row]
-            got = [a for a, _ in _ask_each(ask, flat)] if flat else []
-            width = len(names)
-            yield pd.Series(
-                [got[i * width:(i + 1) * width] for i in range(len(batch))], index=batch.index
-            )
-
-    asked = df.withColumn("_answers", answers.asNondeterministic()(prompts))
+    asked = df.withColumn("_answers", answer_each(prompts, model))
     verdict = "array<struct<name:string,answer:string,passed:boolean>>"
     verdicts = F.array(
         *[
