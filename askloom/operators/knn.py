@@ -8,28 +8,51 @@ block hands on only its k best per query. Cells that hold many rows simply have
 * ``ann_join`` visits the cells nearest to the query.
 * ``knn_join`` then also visits every cell that could, by the triangle inequality on
   angles, hold something better than the k-th best found so far. Its result is exact.
+
+The cells may be laid down once with ``write_cells``: later joins then read the files of
+the visited cells only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from askloom.functions.vectors import dot
 from askloom.operators.keys import skew_join
 from askloom.session import cut
 
 SLACK = 1e-6  # float error allowed for when a cell is ruled out
 DIGITS = 9  # scores equal to this many digits tie and are ordered by key
 MAX_CELLS = 2048  # bounds what the driver holds and each task receives
-HITS = "query_key {q}, index_key {i}, score double"
+CELL_ROWS = 4096  # rows per cell aimed at
+BLOCK_ROWS = 2048  # rows per side of a block at most
+
+
+class Cells(NamedTuple):
+    """An index cut into cells: ``rows`` holds (index_key, vec, cell)."""
+
+    rows: DataFrame
+    pivots: np.ndarray
+    sizes: np.ndarray
+    radii: np.ndarray  # largest angle between the pivot and a vector of its cell
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
+# --- inside tasks ----------------------------------------------------------------------
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Unit-length rows in double precision."""
-    m = np.stack(column.to_numpy()).astype(np.float64)
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if len(pc.unique(pc.list_value_length(column))) > 1:
+        raise ValueError("vectors differ in length")
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    m = values.reshape(len(column), -1)
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
@@ -37,131 +60,197 @@ def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
 
+def _first_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k best scores of each row; equal ones in column order."""
+    k = min(k, scores.shape[1])
+    kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+    row, col = np.nonzero(scores >= kth)
+    order = np.lexsort((col, -scores[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(scores)))[row]
+    return row[place < k], col[place < k]
+
+
+# --- cells -----------------------------------------------------------------------------
+
 def _usable(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
     """Key and vector of the rows that have a direction."""
-    has_direction = F.exists(F.col(vec), lambda x: x != 0)
-    return (
-        df.select(F.col(key).alias(name), F.col(vec).alias("vec"))
-        .where(F.col(name).isNotNull() & F.col("vec").isNotNull() & has_direction)
+    square = dot(F.col(vec), F.col(vec))
+    return df.select(F.col(key).alias(name), F.col(vec).cast("array<float>").alias("vec")).where(
+        F.col(name).isNotNull() & (square > 0) & (square < float("inf"))
     )
 
 
 def _pick_pivots(index: DataFrame, cells: int) -> np.ndarray:
     """At most MAX_CELLS vectors of the index, chosen by the hash of their key."""
-    rows = index.orderBy(F.xxhash64("index_key"), "index_key").limit(cells).collect()
-    return _matrix(pd.Series([np.array(r["vec"]) for r in rows]))
+    rows = index.orderBy(F.xxhash64("index_key"), "index_key").limit(cells).select("vec").collect()
+    return _matrix(pa.array([r["vec"] for r in rows], pa.list_(pa.float32())))
 
 
-def _assign_cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Adds the nearest pivot and the angle to it."""
+def _assign(index: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """(index_key, vec, cell, angle): the nearest pivot and the angle to it."""
 
-    @F.pandas_udf("cell int, angle double")
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vecs in batches:
-            angles = _angles(_matrix(vecs), pivots)
-            cell = angles.argmin(axis=1)
-            yield pd.DataFrame(
-                {"cell": cell.astype("int32"), "angle": angles[np.arange(len(cell)), cell]}
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            angles = _angles(_matrix(batch.column("vec")), pivots)
+            cell = angles.argmin(axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(angles[np.arange(len(cell)), cell])],
+                names=["index_key", "vec", "cell", "angle"],
             )
 
-    return index.withColumn("_c", nearest("vec").alias("c")).select(
-        "index_key", "vec", "_c.cell", "_c.angle"
+    key_type = index.schema["index_key"].dataType.simpleString()
+    return index.mapInArrow(
+        nearest, f"index_key {key_type}, vec array<float>, cell int, angle double"
     )
 
 
-def _visits(
-    queries: DataFrame,
-    pivots: np.ndarray,
-    sizes: np.ndarray,
-    radii: np.ndarray,
-    k: int,
-    probes: int,
-    rest: bool,
-) -> DataFrame:
+def _measure(placed: DataFrame, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sizes, radii = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
+    # One row per cell.
+    for cell, n, angle in placed.groupBy("cell").agg(F.count(F.lit(1)), F.max("angle")).collect():
+        sizes[cell], radii[cell] = n, angle
+    return sizes, radii
+
+
+def _make_cells(index: DataFrame, cells: int | None) -> Cells:
+    """Cells for one join. A small index is a single cell, which takes no preparation."""
+    n = index.count()
+    cells = min(MAX_CELLS, cells or max(1, n // CELL_ROWS))
+    if cells == 1 or n <= 1:
+        rows = index.withColumn("cell", F.lit(0))
+        return Cells(rows, np.zeros((1, 0)), np.array([n]), np.array([np.pi]))
+    pivots = _pick_pivots(index, cells)
+    placed = cut(_assign(index, pivots))
+    return Cells(placed.drop("angle"), pivots, *_measure(placed, pivots))
+
+
+def write_cells(
+    index: DataFrame, path: str, *, key: str, vec: str, cells: int | None = None
+) -> None:
+    """Lay the vectors of ``index`` down by cell, for many joins to come."""
+    usable = _usable(index, key, vec, "index_key")
+    cells = min(MAX_CELLS, cells or max(1, usable.count() // CELL_ROWS))
+    pivots = _pick_pivots(usable, cells)
+    # A cell that holds many rows is written by many tasks.
+    spread = F.pmod(F.xxhash64("index_key"), F.lit(64))
+    (
+        _assign(usable, pivots).repartition("cell", spread)
+        .write.mode("errorifexists").partitionBy("cell").parquet(f"{path}/rows")
+    )
+    spark = index.sparkSession
+    sizes, radii = _measure(spark.read.parquet(f"{path}/rows"), pivots)
+    table = [
+        (c, p.tolist(), int(n), float(r)) for c, (p, n, r) in enumerate(zip(pivots, sizes, radii))
+    ]
+    spark.createDataFrame(table, "cell int, pivot array<double>, size bigint, radius double")\
+        .coalesce(1).write.mode("errorifexists").parquet(f"{path}/pivots")
+
+
+def read_cells(spark: SparkSession, path: str) -> Cells:
+    """Cells written by :func:`write_cells`."""
+    table = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()
+    return Cells(
+        spark.read.parquet(f"{path}/rows").select("index_key", "vec", F.col("cell").cast("int")),
+        np.array([r["pivot"] for r in table]),
+        np.array([r["size"] for r in table]),
+        np.array([r["radius"] for r in table]),
+    )
+
+
+# --- search ----------------------------------------------------------------------------
+
+def _visits(queries: DataFrame, index: Cells, k: int, probes: int, rest: bool) -> DataFrame:
     """(query_key, vec, cell) of the cells to visit.
 
     ``rest=False``: the ``probes`` nearest cells, or more until they hold k rows.
     ``rest=True``: of all other cells those that may beat the query's column ``worst``.
     """
+    pivots, sizes, radii = index.pivots, index.sizes, index.radii
+    if len(sizes) == 1:
+        return queries.select("query_key", "vec", F.lit(0).alias("cell"))
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            angles = _angles(_matrix(pdf["vec"]), pivots)
+            angles = _angles(_matrix(batch.column("vec")), pivots)
             order = angles.argsort(axis=1, kind="stable")
             held_before = np.cumsum(sizes[order], axis=1) - sizes[order]
-            near = np.zeros(angles.shape, dtype=bool)
+            visit = np.zeros(angles.shape, dtype=bool)
             wanted = (held_before < k) | (np.arange(len(sizes)) < probes)
-            np.put_along_axis(near, order, wanted, axis=1)
-            near &= sizes > 0
+            np.put_along_axis(visit, order, wanted, axis=1)
             if rest:
                 reach = np.cos(np.maximum(angles - radii, 0.0))
-                worst = pdf["worst"].fillna(-np.inf).to_numpy()[:, None]
-                near = ~near & (sizes > 0) & (reach >= worst - SLACK)
-            row, cell = near.nonzero()
-            yield pd.DataFrame(
-                {
-                    "query_key": pdf["query_key"].to_numpy()[row],
-                    "vec": pdf["vec"].to_numpy()[row],
-                    "cell": cell.astype("int32"),
-                }
+                worst = batch.column("worst").fill_null(-2.0).to_numpy(zero_copy_only=False)
+                visit = ~visit & (reach >= worst[:, None] - SLACK)
+            row, cell = np.nonzero(visit & (sizes > 0))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("query_key").take(pa.array(row)),
+                    batch.column("vec").take(pa.array(row)),
+                    pa.array(cell.astype(np.int32)),
+                ],
+                names=["query_key", "vec", "cell"],
             )
 
     key_type = queries.schema["query_key"].dataType.simpleString()
-    return queries.mapInPandas(choose, f"query_key {key_type}, vec array<float>, cell int")
+    return queries.mapInArrow(choose, f"query_key {key_type}, vec array<float>, cell int")
 
 
-def _search(visits: DataFrame, index: DataFrame, sizes: np.ndarray, k: int, block: int) -> DataFrame:
+def _search(visits: DataFrame, index: Cells, k: int, block: int) -> DataFrame:
     """The k best of every query among the cells it visits."""
-    spark = index.sparkSession
-    blocks = np.maximum(1, np.ceil(sizes / block)).astype(int)
-    # One row per cell, so at most MAX_CELLS rows on either side of these two broadcasts.
-    index_blocks = F.broadcast(
-        spark.createDataFrame([(c, int(b)) for c, b in enumerate(blocks)], "cell int, ib int")
-    )
-    query_blocks = F.broadcast(
-        visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("qb"))
+    spark = visits.sparkSession
+    # One row per cell, so at most MAX_CELLS rows here and in the two broadcasts.
+    asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    blocks = F.broadcast(
+        spark.createDataFrame(
+            [
+                (cell, int(np.ceil(n / block)), int(np.ceil(index.sizes[cell] / block)))
+                for cell, n in asked
+            ],
+            "cell int, qb int, ib int",
+        )
     )
+    rows = index.rows
+    if len(asked) < len(index.sizes):
+        rows = rows.where(F.col("cell").isin([cell for cell, _ in asked]))
 
     def spread(df: DataFrame, key: str, own: str, own_no: str, other: str, other_no: str):
         """Own block by hashed key, one copy for every block of the other side."""
-        return df.withColumn(own_no, F.pmod(F.xxhash64(key, F.lit(11)), F.col(own))).withColumn(
-            other_no, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return df.join(blocks, "cell").select(
+            "cell", key, "vec",
+            F.pmod(F.xxhash64(key, F.lit(11)), own).cast("int").alias(own_no),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_no),
         )
 
     grid = ["cell", "qblock", "iblock"]
-    left = spread(
-        visits.join(query_blocks, "cell").join(index_blocks, "cell"),
-        "query_key", "qb", "qblock", "ib", "iblock",
-    ).select(*grid, "query_key", "vec")
-    right = spread(
-        index.join(query_blocks, "cell").join(index_blocks, "cell"),
-        "index_key", "ib", "iblock", "qb", "qblock",
-    ).select(*grid, "index_key", "vec")
-    left = left.withColumns({c: F.col(c).cast("int") for c in grid[1:]})
-    right = right.withColumns({c: F.col(c).cast("int") for c in grid[1:]})
-
-    def best(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or i.empty:
-            return pd.DataFrame({"query_key": [], "index_key": [], "score": []})
-        i = i.sort_values("index_key", kind="stable")
+    left = spread(visits, "query_key", "qb", "qblock", "ib", "iblock")
+    right = spread(rows, "index_key", "ib", "iblock", "qb", "qblock")
+
+    def best(q: pa.Table, i: pa.Table) -> pa.Table:
+        if not q.num_rows or not i.num_rows:
+            return pa.table(
+                [q["query_key"].slice(0, 0), i["index_key"].slice(0, 0), pa.array([], pa.float64())],
+                names=["query_key", "index_key", "score"],
+            )
+        i = i.sort_by("index_key")
         scores = np.round(_matrix(q["vec"]) @ _matrix(i["vec"]).T, DIGITS)
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        row = np.repeat(np.arange(len(q)), top.shape[1])
-        return pd.DataFrame(
-            {
-                "query_key": q["query_key"].to_numpy()[row],
-                "index_key": i["index_key"].to_numpy()[top.ravel()],
-                "score": np.take_along_axis(scores, top, axis=1).ravel(),
-            }
+        row, col = _first_k(scores, k)
+        return pa.table(
+            [
+                q["query_key"].take(pa.array(row)),
+                i["index_key"].take(pa.array(col)),
+                pa.array(scores[row, col]),
+            ],
+            names=["query_key", "index_key", "score"],
         )
 
-    schema = HITS.format(
-        q=visits.schema["query_key"].dataType.simpleString(),
-        i=index.schema["index_key"].dataType.simpleString(),
-    )
-    hits = left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(best, schema)
+    types = (visits.schema["query_key"].dataType, rows.schema["index_key"].dataType)
+    schema = "query_key {}, index_key {}, score double".format(*(t.simpleString() for t in types))
+    hits = left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(best, schema)
     return rank_hits(hits, k)
 
 
@@ -172,45 +261,20 @@ def rank_hits(hits: DataFrame, k: int, by: str = "query_key", key: str = "index_
 
 
 def _neighbours(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int,
-    probes: int,
-    exact: bool,
-    cells: int | None,
-    block: int | None,
+    queries: DataFrame, index: Cells, k: int, probes: int, exact: bool, block: int | None
 ) -> DataFrame:
-    spark = index.sparkSession
-    n_queries, n_index = queries.count(), index.count()
-    if not n_queries or not n_index:
-        q, i = queries.schema["query_key"].dataType, index.schema["index_key"].dataType
-        return spark.createDataFrame(
-            [], HITS.format(q=q.simpleString(), i=i.simpleString()) + ", rank int"
-        )
     if block is None:
-        # Enough blocks to keep all cores busy, but never more than 2048 rows a side.
-        slots = 4 * spark.sparkContext.defaultParallelism
-        block = int(min(2048, max(128, np.sqrt(n_queries * n_index / slots))))
-    cells = min(MAX_CELLS, cells or max(1, n_index // 4096))
-    pivots = _pick_pivots(index, cells)
-    placed = _assign_cells(index, pivots)
-    if len(pivots) > 1:
-        placed = cut(placed)
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)), F.max("angle")).collect()
-    sizes, radii = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
-    for cell, n, angle in stats:
-        sizes[cell], radii[cell] = n, angle
-
-    near = _visits(queries, pivots, sizes, radii, k, probes, rest=False)
-    found = _search(near, placed, sizes, k, block)
-    if not exact or len(pivots) <= probes:
+        # Enough blocks to keep all cores busy, but never more than BLOCK_ROWS rows a side.
+        slots = 4 * queries.sparkSession.sparkContext.defaultParallelism
+        pairs = queries.count() * int(index.sizes.sum())
+        block = int(min(BLOCK_ROWS, max(128, np.sqrt(pairs / slots))))
+    found = _search(_visits(queries, index, k, probes, rest=False), index, k, block)
+    if not exact or len(index.sizes) <= probes:
         return found
     found = cut(found)
     kth = found.where(F.col("rank") == k).select("query_key", F.col("score").alias("worst"))
-    open_queries = queries.join(kth, "query_key", "left")
-    more = _search(
-        _visits(open_queries, pivots, sizes, radii, k, probes, rest=True), placed, sizes, k, block
-    )
+    still = queries.join(kth, "query_key", "left")
+    more = _search(_visits(still, index, k, probes, rest=True), index, k, block)
     return rank_hits(found.unionByName(more).drop("rank"), k)
 
 
@@ -218,28 +282,30 @@ def _join(
     queries: DataFrame,
     index: DataFrame,
     k: int,
-    query_key: str,
-    query_vec: str,
-    index_key: str,
-    index_vec: str,
+    keys: tuple[str, str],
+    vecs: tuple[str, str],
     query_cols: list[str],
     index_cols: list[str],
-    **how,
+    cells: int | Cells | None,
+    probes: int,
+    exact: bool,
+    block: int | None,
 ) -> DataFrame:
+    asked = _usable(queries, keys[0], vecs[0], "query_key")
+    if not isinstance(cells, Cells):
+        cells = _make_cells(_usable(index, keys[1], vecs[1], "index_key"), cells)
+    # k small rows per query: written once, and read by the joins that add columns.
     hits = cut(
-        _neighbours(
-            _usable(queries, query_key, query_vec, "query_key"),
-            _usable(index, index_key, index_vec, "index_key"),
-            k, **how,
-        ).select("query_key", "index_key", "score", "rank")
+        _neighbours(asked, cells, k, probes, exact, block)
+        .select("query_key", "index_key", "score", "rank")
     )
     if index_cols:
         # A chunk may be the answer to very many questions.
-        wanted = index.select(F.col(index_key).alias("index_key"), *index_cols)
+        wanted = index.select(F.col(keys[1]).alias("index_key"), *index_cols)
         hits = skew_join(hits, wanted, ["index_key"])
     if query_cols:
-        asked = queries.select(F.col(query_key).alias("query_key"), *query_cols)
-        hits = hits.join(asked, "query_key")
+        wanted = queries.select(F.col(keys[0]).alias("query_key"), *query_cols)
+        hits = hits.join(wanted, "query_key")
     return hits.select("query_key", *query_cols, "index_key", *index_cols, "score", "rank")
 
 
@@ -255,7 +321,7 @@ def knn_join(
     query_cols: list[str] = (),
     index_cols: list[str] = (),
     probes: int = 1,
-    cells: int | None = None,
+    cells: int | Cells | None = None,
     block: int | None = None,
 ) -> DataFrame:
     """The k most similar index rows (cosine) of every query row, exactly.
@@ -263,11 +329,11 @@ def knn_join(
     Returns ``query_key``, the asked-for query columns, ``index_key``, the asked-for index
     columns, ``score`` and ``rank`` (1 is best; ties go to the smaller key). Keys have to be
     unique on each side. Rows without a vector, or with the zero vector, take no part.
+    ``cells`` is a number of cells to make, or cells read from storage.
     """
     return _join(
-        queries, index, k, query_key, query_vec, index_key, index_vec,
-        list(query_cols), list(index_cols),
-        probes=probes, exact=True, cells=cells, block=block,
+        queries, index, k, (query_key, index_key), (query_vec, index_vec),
+        list(query_cols), list(index_cols), cells, probes, True, block,
     )
 
 
@@ -283,14 +349,13 @@ def ann_join(
     query_cols: list[str] = (),
     index_cols: list[str] = (),
     probes: int = 8,
-    cells: int | None = None,
+    cells: int | Cells | None = None,
     block: int | None = None,
 ) -> DataFrame:
     """As :func:`knn_join`, but only the ``probes`` nearest cells are searched."""
     return _join(
-        queries, index, k, query_key, query_vec, index_key, index_vec,
-        list(query_cols), list(index_cols),
-        probes=probes, exact=False, cells=cells, block=block,
+        queries, index, k, (query_key, index_key), (query_vec, index_vec),
+        list(query_cols), list(index_cols), cells, probes, False, block,
     )
 
 

@@ -50,24 +50,23 @@ def _model_column(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ask = model()
         for batch in batches:
-            result = pd.DataFrame({"output": None, "tries": 0, "error": None}, index=batch.index)
-            result = result.astype({"output": object, "error": object})
-            todo = list(batch.index[batch.notna()])
+            prompts = batch.tolist()
+            rows: list[tuple] = [(None, 0, None)] * len(prompts)
+            todo = [i for i, p in enumerate(prompts) if p is not None]
             for turn in range(1, max_tries + 1):
-                if not todo:
-                    break
                 again = []
-                for i, (answer, error) in zip(todo, _ask_each(ask, batch[todo].tolist())):
+                answers = _ask_each(ask, [prompts[i] for i in todo]) if todo else []
+                for i, (answer, error) in zip(todo, answers):
                     if error is None and parse is not None:
                         try:
                             answer = parse(answer)
                         except Exception as e:  # noqa: BLE001
                             answer, error = None, f"{type(e).__name__}: {e}"
-                    result.loc[i, ["output", "tries", "error"]] = [answer, turn, error]
+                    rows[i] = (answer, turn, error)
                     if error is None and reject is not None and reject(answer):
                         again.append(i)
                 todo = again
-            yield result
+            yield pd.DataFrame(rows, columns=["output", "tries", "error"])
 
     # A model may be costly or random: never evaluate it twice for one row.
     return run.asNondeterministic()(prompts)
