@@ -48,7 +48,7 @@ def chunk_tokens(
             for batch in batches:
                 yield batch.map(lambda t: list(tokenize(t)))
 
-        tokens = pieces(text)
+        tokens = pieces.asNondeterministic()(text)
     # The token array is its own column so that it is built once per text, not per window.
     tokenized = docs.where(F.length(text) > 0).withColumn("_tokens", tokens)
     if tokenizer is not None:
@@ -115,5 +115,7 @@ def chunk_separator(
             yield batch.map(chunks)
 
     kept = [c for c in docs.columns]
-    cut = docs.where(F.length(text_col) > 0).withColumn("_chunks", packed(F.col(text_col)))
-    return _explode_chunks(cut, F.col("_chunks"), kept, out)
+    # Marked so that the filter Spark derives from the explode does not pack a second time.
+    once = packed.asNondeterministic()(F.col(text_col))
+    packs = docs.where(F.length(text_col) > 0).withColumn("_chunks", once)
+    return _explode_chunks(packs, F.col("_chunks"), kept, out)

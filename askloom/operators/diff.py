@@ -39,6 +39,15 @@ def snapshot_diff(
 
 def apply_changes(table: DataFrame, changes: DataFrame, *, key: str) -> DataFrame:
     """``table`` after the inserts, updates and deletes of :func:`snapshot_diff`."""
-    untouched = table.join(changes.select(key), key, "left_anti")
-    written = changes.where(F.col("op") != "delete").select(*table.columns)
-    return untouched.unionByName(written)
+    values = [c for c in table.columns if c != key]
+    changed = changes.select(
+        key, F.col("op").alias("_op"), *[F.col(c).alias(f"_new_{c}") for c in values]
+    )
+    merged = table.join(changed, key, "full").where(
+        F.col("_op").isNull() | (F.col("_op") != "delete")
+    )
+    picked = {
+        c: F.when(F.col("_op").isNull(), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
+        for c in values
+    }
+    return merged.select(*[F.col(key) if c == key else picked[c] for c in table.columns])

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askloom.session import cut
 
+NULL_WAYS = 256
+
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order``.
@@ -77,10 +79,12 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join whose ``left`` side may hold a very frequent key.
 
-    Keys with more than ``hot_rows`` left rows are spread over several shuffle keys and
-    only their right rows are repeated. At most ``max_hot`` of them (the heaviest) are
-    treated so, which bounds the broadcast list; all other keys join as usual, so the
-    result is that of the plain join. ``how`` is inner, left, left_semi or left_anti.
+    The keys of ``left`` are counted first (only the key columns are read). Without a key of
+    more than ``hot_rows`` rows this is the plain join. Otherwise the rows of such keys are
+    spread over several shuffle keys and only their ``right`` rows are repeated. At most
+    ``max_hot`` of them, the heaviest, are treated so, which bounds what the driver sees and
+    what is broadcast; all other keys join as usual. The result is always that of the plain
+    join. ``how`` is inner, left, left_semi or left_anti.
 
     Rows of a hot key are spread by the hash of ``spread_by`` (by default all columns that
     can be hashed) and not at random, so a task that runs again places them as before.
@@ -88,16 +92,22 @@ def skew_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     on = list(on)
-    hot = F.broadcast(
+    heavy = (
         left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *on).limit(max_hot)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_ways"))
+        .where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(max_hot)
+        .withColumn("_ways", F.ceil(F.col("_n") / hot_rows).cast("int")).drop("_n")
     )
+    found = heavy.collect()
+    if not found:
+        return left.join(right, on, how)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, heavy.schema))
     by = list(spread_by) or [
         f.name for f in left.schema if "map<" not in f.dataType.simpleString()
     ]
-    spread = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_ways")).cast("int"), F.lit(0))
+    # Null keys match nothing: they are spread without a partner.
+    missing = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    ways = F.when(missing, F.lit(NULL_WAYS)).otherwise(F.coalesce("_ways", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*by), ways).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1))
     salted = left.join(hot, on, "left").withColumn("_salt", spread).drop("_ways")
     repeated = right.join(hot, on, "left").withColumn("_salt", copies).drop("_ways")

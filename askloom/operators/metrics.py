@@ -108,20 +108,27 @@ def ranked_metrics(
     return grouped.select(by, *columns)
 
 
-def category_relevance(
-    hits: DataFrame, chunks: DataFrame, *, asked: str = "query_category", category: str = "category"
+def expected_by_category(
+    queries: DataFrame, chunks: DataFrame, *, asked: str = "query_category",
+    category: str = "category",
 ) -> DataFrame:
-    """Marks hits of the question's own category; every chunk of it counts as expected.
+    """``queries`` plus ``n_expected``: all chunks of the question's category are expected.
 
-    The expected chunks enter as a count per category. Listing them per question would
-    square the largest category.
+    They enter as a count per category. Listing them per question would square the largest
+    category; whether a hit is relevant shows from its own category (:func:`mark_relevant`).
     """
     totals = chunks.groupBy(F.col(category).alias(asked)).agg(F.count(F.lit(1)).alias("n_expected"))
-    return skew_join(
-        hits.withColumn("relevant", F.col(asked).eqNullSafe(F.col(category))), totals, [asked], "left"
+    return skew_join(queries, totals, [asked], "left").withColumn(
+        "n_expected", F.coalesce("n_expected", F.lit(0))
     )
 
 
+def mark_relevant(
+    hits: DataFrame, *, asked: str = "query_category", category: str = "category"
+) -> DataFrame:
+    return hits.withColumn("relevant", F.col(asked).eqNullSafe(F.col(category)))
+
+
 def judged_precision(
     df: DataFrame, *, ratings: str = "positional_ratings", ks: Sequence[int] = METRIC_KS
 ) -> DataFrame:

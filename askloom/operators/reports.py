@@ -83,15 +83,17 @@ def mean_score(scores: DataFrame, *, system: str = "system", score: str = "score
 
 def compare_systems(means: DataFrame, best: str, *, system: str = "system") -> DataFrame:
     """Improvement of ``best`` over every other system, in percent of the other's mean."""
-    one = means.where(F.col(system) == best).select(
-        F.col(system).alias("_best"), F.col("mean_score").alias("_target")
+    # A handful of systems: one row each is left of all the scores.
+    mean = F.struct(F.col(system).alias("system"), "mean_score")
+    row = means.agg(
+        F.max(F.when(F.col(system) == best, F.col("mean_score"))).alias("_target"),
+        F.collect_list(mean).alias("_all"),
     )
-    # ``means`` has one row per system and ``one`` a single row.
-    others = means.where(F.col(system) != best).withColumn("_best", F.lit(best))
-    gain = F.try_divide(100 * (F.col("_target") - F.col("mean_score")), F.col("mean_score"))
-    return others.join(one, "_best").select(
-        F.col(system).alias("against"), gain.alias("improvement_pct")
+    other = row.select("_target", F.explode("_all").alias("o")).where(F.col("o.system") != best)
+    gain = F.try_divide(
+        100 * (F.col("_target") - F.col("o.mean_score")), F.col("o.mean_score")
     )
+    return other.select(F.col("o.system").alias("against"), gain.alias("improvement_pct"))
 
 
 def best_candidate(scores: DataFrame, *, candidate: str = "candidate") -> DataFrame:

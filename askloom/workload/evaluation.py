@@ -7,7 +7,8 @@ from askloom.functions.prompts import render
 from askloom.functions.text import is_clean_question
 from askloom.operators.knn import knn_join
 from askloom.operators.metrics import (
-    category_relevance, judged_precision, ranked_metrics, response_metrics, retrieval_metrics,
+    expected_by_category, judged_precision, mark_relevant, ranked_metrics, response_metrics,
+    retrieval_metrics,
 )
 from askloom.operators.models import JUDGE_TEMPLATE, generate_questions, judge, sample_first
 from askloom.plans.answering import answer_questions
@@ -134,11 +135,13 @@ def rounded_metrics(df, *keys):
 def q_retrieval_metrics_label(spark, sf):
     """Every vector of the same label counts as expected: a whole category as context."""
     e = load(spark, sf, "embeddings")
-    asked = e.withColumnRenamed("label", "query_category")
-    hits = knn_join(asked, e, k=10, query_cols=["query_category"], index_cols=["label"], **VEC)
-    return rounded_metrics(
-        ranked_metrics(category_relevance(hits, e, category="label")), "query_key"
+    hits = knn_join(e, e, k=10, index_cols=["label"], **VEC)
+    asked = expected_by_category(
+        e.select(F.col("vec_id").alias("query_key"), F.col("label").alias("query_category")), e,
+        category="label",
     )
+    marked = mark_relevant(hits.join(asked, "query_key"), category="label")
+    return rounded_metrics(ranked_metrics(marked), "query_key")
 
 
 def evaluation_rows(spark, sf):
