@@ -60,15 +60,16 @@ def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
 
-def _first_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the k best scores of each row; equal ones in column order."""
-    k = min(k, scores.shape[1])
-    kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
-    row, col = np.nonzero(scores >= kth)
-    order = np.lexsort((col, -scores[row, col], row))
-    row, col = row[order], col[order]
-    place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(scores)))[row]
-    return row[place < k], col[place < k]
+def _first_k(q: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(column, score) arrays of the k best columns per row; equal scores in column order."""
+    n, k = len(i), min(k, len(i))
+    units = np.rint(q @ i.T * 10**DIGITS).astype(np.int64)
+    # One whole number per pair that orders by score, then column: no ties, no full sort.
+    order = units * n - np.arange(n)
+    top = np.argpartition(order, n - k, axis=1)[:, n - k:]
+    best_first = np.argsort(-np.take_along_axis(order, top, axis=1), axis=1)
+    top = np.take_along_axis(top, best_first, axis=1)
+    return top, np.take_along_axis(units, top, axis=1) / 10**DIGITS
 
 
 # --- cells -----------------------------------------------------------------------------
@@ -237,13 +238,13 @@ def _search(visits: DataFrame, index: Cells, k: int, block: int) -> DataFrame:
                 names=["query_key", "index_key", "score"],
             )
         i = i.sort_by("index_key")
-        scores = np.round(_matrix(q["vec"]) @ _matrix(i["vec"]).T, DIGITS)
-        row, col = _first_k(scores, k)
+        top, scores = _first_k(_matrix(q["vec"]), _matrix(i["vec"]), k)
+        row = np.repeat(np.arange(q.num_rows), top.shape[1])
         return pa.table(
             [
                 q["query_key"].take(pa.array(row)),
-                i["index_key"].take(pa.array(col)),
-                pa.array(scores[row, col]),
+                i["index_key"].take(pa.array(top.ravel())),
+                pa.array(scores.ravel()),
             ],
             names=["query_key", "index_key", "score"],
         )
