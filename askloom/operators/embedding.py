@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 TextEmbedder = Callable[[list[str]], np.ndarray]
 
 
-def fit_embedder(df: DataFrame, text_col: str, *, dim: int = 256) -> Transformer:
+def fit_embedder(df: DataFrame, text_col: str, *, dim: int = 256) -> PipelineModel:
     """Hashed term frequencies weighted by rarity, scaled to unit length.
 
     Fitting is one pass that keeps ``dim`` counters; applying it is narrow.
@@ -32,23 +32,24 @@ def embed(
     df: DataFrame,
     text_col: str,
     *,
-    embedder: Transformer | Callable[[], TextEmbedder] | None = None,
+    embedder: PipelineModel | Callable[[], TextEmbedder] | None = None,
     out: str = "embedding",
 ) -> DataFrame:
     """``df`` plus a vector column (null where the text is null).
 
-    ``embedder`` is what :func:`fit_embedder` returned, or a factory called once per task
+    ``embedder`` is a fitted pipeline from text to vector such as that of
+    :func:`fit_embedder`, or a factory called once per task
     whose function turns a list of texts into a matrix. None fits one on ``df`` itself.
     """
     if embedder is None:
         embedder = fit_embedder(df, text_col)
-    if isinstance(embedder, Transformer):
+    if isinstance(embedder, PipelineModel):
         # Null texts are embedded as '' (the ML stages reject null) and set back to null.
-        shadow = embedder.stages[0].getInputCol() if hasattr(embedder, "stages") else text_col
+        shadow, last = embedder.stages[0].getInputCol(), embedder.stages[-1].getOutputCol()
         names = [F.col(c).alias(f"_keep_{i}") for i, c in enumerate(df.columns)]
         source = df.select(*names, F.coalesce(F.col(text_col), F.lit("")).alias(shadow))
         texts = F.col(f"_keep_{df.columns.index(text_col)}")
-        vector = vector_to_array("_unit", "float32")
+        vector = vector_to_array(last, "float32")
         return embedder.transform(source).select(
             *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(df.columns)],
             F.when(texts.isNotNull(), vector).alias(out),
@@ -62,4 +63,5 @@ def embed(
             rows = iter(np.asarray(model(batch[known].tolist()), dtype=np.float32))
             yield pd.Series([next(rows) if k else None for k in known])
 
-    return df.withColumn(out, vectors(F.col(text_col)))
+    # A model may be costly: never evaluate it a second time for a filter on its result.
+    return df.withColumn(out, vectors.asNondeterministic()(F.col(text_col)))

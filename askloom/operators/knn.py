@@ -32,6 +32,7 @@ DIGITS = 9  # scores equal to this many digits tie and are ordered by key
 MAX_CELLS = 2048  # bounds what the driver holds and each task receives
 CELL_ROWS = 4096  # rows per cell aimed at
 BLOCK_ROWS = 2048  # rows per side of a block at most
+FILE_ROWS = 1_000_000  # rows per file of stored cells aimed at
 
 
 class Cells(NamedTuple):
@@ -45,15 +46,22 @@ class Cells(NamedTuple):
 
 # --- inside tasks ----------------------------------------------------------------------
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Unit-length rows in double precision."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+def _usable(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The rows whose vector has a direction, and these vectors scaled to length one."""
+    lengths = pc.fill_null(pc.list_value_length(table["vec"]), 0)
+    table = table.filter(pc.greater(lengths, 0))
+    if not table.num_rows:
+        return table, np.zeros((0, 0))
+    column = table["vec"].combine_chunks()
     if len(pc.unique(pc.list_value_length(column))) > 1:
         raise ValueError("vectors differ in length")
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    m = values.reshape(len(column), -1)
-    return m / np.linalg.norm(m, axis=1, keepdims=True)
+    vectors = values.reshape(table.num_rows, -1)
+    norms = np.linalg.norm(vectors, axis=1)
+    usable = (norms > 0) & np.isfinite(norms)
+    if not usable.all():
+        table, vectors, norms = table.filter(pa.array(usable)), vectors[usable], norms[usable]
+    return table, vectors / norms[:, None]
 
 
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -74,18 +82,22 @@ def _first_k(q: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
 
 # --- cells -----------------------------------------------------------------------------
 
-def _usable(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
-    """Key and vector of the rows that have a direction."""
-    square = dot(F.col(vec), F.col(vec))
-    return df.select(F.col(key).alias(name), F.col(vec).cast("array<float>").alias("vec")).where(
-        F.col(name).isNotNull() & (square > 0) & (square < float("inf"))
-    )
+def _keyed(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
+    """Key and vector. Whether a vector is usable is seen where it is used: a filter here
+    would make Spark compute vectors that come from a model twice."""
+    return df.select(
+        F.col(key).alias(name), F.col(vec).cast("array<float>").alias("vec")
+    ).where(F.col(name).isNotNull())
 
 
 def _pick_pivots(index: DataFrame, cells: int) -> np.ndarray:
     """At most MAX_CELLS vectors of the index, chosen by the hash of their key."""
-    rows = index.orderBy(F.xxhash64("index_key"), "index_key").limit(cells).select("vec").collect()
-    return _matrix(pa.array([r["vec"] for r in rows], pa.list_(pa.float32())))
+    square = dot(F.col("vec"), F.col("vec"))
+    place = F.md5(F.col("index_key").cast("string"))
+    usable = index.where((square > 0) & (square < float("inf")))
+    rows = usable.orderBy(place, "index_key").limit(cells).select("vec").collect()
+    vectors = pa.table({"vec": pa.array([r["vec"] for r in rows], pa.list_(pa.float32()))})
+    return _usable(vectors)[1]
 
 
 def _assign(index: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -93,14 +105,14 @@ def _assign(index: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            table, vectors = _usable(pa.Table.from_batches([batch]))
+            if not table.num_rows:
                 continue
-            angles = _angles(_matrix(batch.column("vec")), pivots)
+            angles = _angles(vectors, pivots)
             cell = angles.argmin(axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(angles[np.arange(len(cell)), cell])],
-                names=["index_key", "vec", "cell", "angle"],
-            )
+            table = table.append_column("cell", pa.array(cell))
+            table = table.append_column("angle", pa.array(angles[np.arange(len(cell)), cell]))
+            yield from table.to_batches()
 
     key_type = index.schema["index_key"].dataType.simpleString()
     return index.mapInArrow(
@@ -116,15 +128,17 @@ def _measure(placed: DataFrame, pivots: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sizes, radii
 
 
-def _make_cells(index: DataFrame, cells: int | None) -> Cells:
+def _make_cells(index: DataFrame, n: int, cells: int) -> Cells:
     """Cells for one join. A small index is a single cell, which takes no preparation."""
-    n = index.count()
-    cells = min(MAX_CELLS, cells or max(1, n // CELL_ROWS))
-    if cells == 1 or n <= 1:
+    if cells == 1:
         rows = index.withColumn("cell", F.lit(0))
         return Cells(rows, np.zeros((1, 0)), np.array([n]), np.array([np.pi]))
+    # Read several times below: written once, so that vectors are not made again each time.
+    index = cut(index)
     pivots = _pick_pivots(index, cells)
-    placed = cut(_assign(index, pivots))
+    if not len(pivots):
+        return _make_cells(index, n, 1)
+    placed = _assign(index, pivots)
     return Cells(placed.drop("angle"), pivots, *_measure(placed, pivots))
 
 
@@ -132,17 +146,22 @@ def write_cells(
     index: DataFrame, path: str, *, key: str, vec: str, cells: int | None = None
 ) -> None:
     """Lay the vectors of ``index`` down by cell, for many joins to come."""
-    usable = _usable(index, key, vec, "index_key")
-    cells = min(MAX_CELLS, cells or max(1, usable.count() // CELL_ROWS))
+    cells = min(MAX_CELLS, cells or max(1, index.select(key).count() // CELL_ROWS))
+    usable = cut(_keyed(index, key, vec, "index_key"))
     pivots = _pick_pivots(usable, cells)
-    # A cell that holds many rows is written by many tasks.
-    spread = F.pmod(F.xxhash64("index_key"), F.lit(64))
+    placed = _assign(usable, pivots)
+    sizes, radii = _measure(placed, pivots)
+    spark = index.sparkSession
+    # A cell that holds many rows is written by many tasks. One row per cell is broadcast.
+    tasks = spark.createDataFrame(
+        [(c, 1 + int(n) // FILE_ROWS) for c, n in enumerate(sizes)], "cell int, tasks int"
+    )
     (
-        _assign(usable, pivots).repartition("cell", spread)
+        placed.drop("angle").join(F.broadcast(tasks), "cell")
+        .withColumn("task", F.pmod(F.xxhash64("index_key"), "tasks"))
+        .repartition("cell", "task").drop("task", "tasks")
         .write.mode("errorifexists").partitionBy("cell").parquet(f"{path}/rows")
     )
-    spark = index.sparkSession
-    sizes, radii = _measure(spark.read.parquet(f"{path}/rows"), pivots)
     table = [
         (c, p.tolist(), int(n), float(r)) for c, (p, n, r) in enumerate(zip(pivots, sizes, radii))
     ]
@@ -175,9 +194,10 @@ def _visits(queries: DataFrame, index: Cells, k: int, probes: int, rest: bool) -
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            table, vectors = _usable(pa.Table.from_batches([batch]))
+            if not table.num_rows:
                 continue
-            angles = _angles(_matrix(batch.column("vec")), pivots)
+            angles = _angles(vectors, pivots)
             order = angles.argsort(axis=1, kind="stable")
             held_before = np.cumsum(sizes[order], axis=1) - sizes[order]
             visit = np.zeros(angles.shape, dtype=bool)
@@ -185,33 +205,30 @@ def _visits(queries: DataFrame, index: Cells, k: int, probes: int, rest: bool) -
             np.put_along_axis(visit, order, wanted, axis=1)
             if rest:
                 reach = np.cos(np.maximum(angles - radii, 0.0))
-                worst = batch.column("worst").fill_null(-2.0).to_numpy(zero_copy_only=False)
+                worst = table["worst"].fill_null(-2.0).to_numpy()
                 visit = ~visit & (reach >= worst[:, None] - SLACK)
             row, cell = np.nonzero(visit & (sizes > 0))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("query_key").take(pa.array(row)),
-                    batch.column("vec").take(pa.array(row)),
-                    pa.array(cell.astype(np.int32)),
-                ],
-                names=["query_key", "vec", "cell"],
-            )
+            out = table.select(["query_key", "vec"]).take(pa.array(row))
+            yield from out.append_column("cell", pa.array(cell.astype(np.int32))).to_batches()
 
     key_type = queries.schema["query_key"].dataType.simpleString()
     return queries.mapInArrow(choose, f"query_key {key_type}, vec array<float>, cell int")
 
 
-def _search(visits: DataFrame, index: Cells, k: int, block: int) -> DataFrame:
+def _search(visits: DataFrame, index: Cells, k: int, block: int, n_queries: int) -> DataFrame:
     """The k best of every query among the cells it visits."""
     spark = visits.sparkSession
-    # One row per cell, so at most MAX_CELLS rows here and in the two broadcasts.
-    asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    # One row per cell, so at most MAX_CELLS rows here and in the broadcast.
+    asked = [(0, n_queries)]
+    if len(index.sizes) > 1:
+        asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def parts(n: int) -> int:
+        return max(1, int(np.ceil(n / block)))
+
     blocks = F.broadcast(
         spark.createDataFrame(
-            [
-                (cell, int(np.ceil(n / block)), int(np.ceil(index.sizes[cell] / block)))
-                for cell, n in asked
-            ],
+            [(cell, parts(n), parts(index.sizes[cell])) for cell, n in asked],
             "cell int, qb int, ib int",
         )
     )
@@ -232,13 +249,14 @@ def _search(visits: DataFrame, index: Cells, k: int, block: int) -> DataFrame:
     right = spread(rows, "index_key", "ib", "iblock", "qb", "qblock")
 
     def best(q: pa.Table, i: pa.Table) -> pa.Table:
+        q, asked_for = _usable(q)
+        i, held = _usable(i.sort_by("index_key"))
         if not q.num_rows or not i.num_rows:
             return pa.table(
                 [q["query_key"].slice(0, 0), i["index_key"].slice(0, 0), pa.array([], pa.float64())],
                 names=["query_key", "index_key", "score"],
             )
-        i = i.sort_by("index_key")
-        top, scores = _first_k(_matrix(q["vec"]), _matrix(i["vec"]), k)
+        top, scores = _first_k(asked_for, held, k)
         row = np.repeat(np.arange(q.num_rows), top.shape[1])
         return pa.table(
             [
@@ -262,20 +280,29 @@ def rank_hits(hits: DataFrame, k: int, by: str = "query_key", key: str = "index_
 
 
 def _neighbours(
-    queries: DataFrame, index: Cells, k: int, probes: int, exact: bool, block: int | None
+    queries: DataFrame,
+    index: Cells,
+    k: int,
+    probes: int,
+    exact: bool,
+    block: int | None,
+    n_queries: int,
 ) -> DataFrame:
     if block is None:
         # Enough blocks to keep all cores busy, but never more than BLOCK_ROWS rows a side.
         slots = 4 * queries.sparkSession.sparkContext.defaultParallelism
-        pairs = queries.count() * int(index.sizes.sum())
+        pairs = n_queries * int(index.sizes.sum())
         block = int(min(BLOCK_ROWS, max(128, np.sqrt(pairs / slots))))
-    found = _search(_visits(queries, index, k, probes, rest=False), index, k, block)
+    if len(index.sizes) > 1:
+        queries = cut(queries)  # read up to four times below
+    near = _visits(queries, index, k, probes, rest=False)
+    found = _search(near, index, k, block, n_queries)
     if not exact or len(index.sizes) <= probes:
         return found
     found = cut(found)
     kth = found.where(F.col("rank") == k).select("query_key", F.col("score").alias("worst"))
     still = queries.join(kth, "query_key", "left")
-    more = _search(_visits(still, index, k, probes, rest=True), index, k, block)
+    more = _search(_visits(still, index, k, probes, rest=True), index, k, block, n_queries)
     return rank_hits(found.unionByName(more).drop("rank"), k)
 
 
@@ -292,18 +319,23 @@ def _join(
     exact: bool,
     block: int | None,
 ) -> DataFrame:
-    asked = _usable(queries, keys[0], vecs[0], "query_key")
+    # Only the keys are counted: vectors that are yet to be computed are not touched.
+    n_queries = queries.select(keys[0]).count()
     if not isinstance(cells, Cells):
-        cells = _make_cells(_usable(index, keys[1], vecs[1], "index_key"), cells)
-    # k small rows per query: written once, and read by the joins that add columns.
-    hits = cut(
-        _neighbours(asked, cells, k, probes, exact, block)
-        .select("query_key", "index_key", "score", "rank")
-    )
+        n_index = index.select(keys[1]).count()
+        cells = _make_cells(
+            _keyed(index, keys[1], vecs[1], "index_key"),
+            n_index,
+            min(MAX_CELLS, cells or max(1, n_index // CELL_ROWS)),
+        )
+    hits = _neighbours(
+        _keyed(queries, keys[0], vecs[0], "query_key"), cells, k, probes, exact, block, n_queries
+    ).select("query_key", "index_key", "score", "rank")
     if index_cols:
-        # A chunk may be the answer to very many questions.
+        # A chunk may be the answer to very many questions. The hits are counted and then
+        # joined: k small rows per query, written once.
         wanted = index.select(F.col(keys[1]).alias("index_key"), *index_cols)
-        hits = skew_join(hits, wanted, ["index_key"])
+        hits = skew_join(cut(hits), wanted, ["index_key"])
     if query_cols:
         wanted = queries.select(F.col(keys[0]).alias("query_key"), *query_cols)
         hits = hits.join(wanted, "query_key")

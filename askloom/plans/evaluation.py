@@ -11,6 +11,7 @@ from askloom.functions.prompts import render
 from askloom.functions.text import says_yes
 from askloom.operators.metrics import judged_precision, response_metrics, retrieval_metrics
 from askloom.operators.models import Model, answer_each
+from askloom.session import cut
 
 
 def build_eval_set(
@@ -68,10 +69,11 @@ def evaluate(
 
     ``answers`` has one row per ``request_id`` with ``response`` and ``retrieval_context``, and
     ``expected_response`` if known. Five assessments are asked about the response and one about
-    each retrieved chunk, all in the row's own task. Both tables come from the same judged
-    rows: write or cache ``judged_answers`` if the judge is expensive.
+    each retrieved chunk, all in the row's own task. The judge is asked once: both tables come
+    from the same written rows.
     """
-    return split_judged(judged_answers(eval_set, answers, model, run=run, app_version=app_version))
+    judged = judged_answers(eval_set, answers, model, run=run, app_version=app_version)
+    return split_judged(cut(judged))
 
 
 def judged_answers(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from askloom.operators.chunking import chunk_separator, chunk_tokens
@@ -17,7 +17,7 @@ from askloom.operators.embedding import TextEmbedder, embed
 from askloom.operators.keys import first_per_key
 from askloom.session import cut
 
-Embedder = Transformer | Callable[[], TextEmbedder] | None
+Embedder = PipelineModel | Callable[[], TextEmbedder] | None
 INDEXED = ["doc_uri", "category", "content"]
 
 

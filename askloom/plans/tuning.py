@@ -109,7 +109,7 @@ def fewshot_search(
         .where(F.col("score") >= accept)
         .select(id_col, "request", "context", F.col("_taught").alias("response"))
     )
-    good = cut(good)
+    good = cut(good)  # model output: asked for once
     labelled = _sample_demos(train, list(range(1, candidates)), max_labelled, id_col, "labelled")
     generated = _sample_demos(good, list(range(2, candidates)), max_generated, id_col, "generated")
     prefixes = {
@@ -128,7 +128,7 @@ def fewshot_search(
     scores = judge(answered, judge_model, response_col="answer").select(
         id_col, "candidate", "answer", "score"
     )
-    return scores, prefixes
+    return cut(scores), prefixes
 
 
 def tune(train: DataFrame, model, judge_model, **options) -> tuple[int, str]:

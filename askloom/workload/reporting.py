@@ -9,8 +9,10 @@ from askloom.operators.reports import (
     mean_score, report_rows,
 )
 from askloom.plans.runs import summarise_run
-from askloom.plans.tuning import fewshot_search, golden_set, golden_split
-from askloom.workload.evaluation import EVALUATED, evaluation_tables, parity_judge
+from askloom.plans.tuning import (
+    DEMO_TEMPLATE, TASK_TEMPLATE, demo_prefix, fewshot_search, golden_set, golden_split,
+)
+from askloom.workload.evaluation import EVALUATED, evaluation_tables, parity_judge, quoted
 from askloom.workload.registry import load, query
 
 SHORT = [m.split(".")[1] for m in METRICS]
@@ -214,11 +216,59 @@ def last_sentence():
     return lambda prompts: [p[: len(p) // 2].rsplit(".", 1)[-1] for p in prompts]
 
 
-@query("fewshot_search")
+def _demo_sql() -> str:
+    """An example of a prompt as an SQL expression over request, context and response."""
+    before, middle, after, end = (
+        DEMO_TEMPLATE.replace("{context}", "{request}").replace("{response}", "{request}")
+        .split("{request}")
+    )
+    return (
+        f"{quoted(before)} || request || {quoted(middle)} || context || {quoted(after)} "
+        f"|| response || {quoted(end)}"
+    )
+
+
+def _task_sql() -> str:
+    before, middle, end = TASK_TEMPLATE.replace("{context}", "{request}").split("{request}")
+    return f"{quoted(before)} || request || {quoted(middle)} || context || {quoted(end)}"
+
+
+def _last_sentence_sql(prompt: str) -> str:
+    return f"regexp_extract(left({prompt}, length({prompt}) // 2), '[^.]*$')"
+
+
+def _drawn_sql(kind: str, pool: str, first: int) -> str:
+    return f"""
+      SELECT candidate, '{kind}' AS kind, rn, demo FROM (
+        SELECT r.c AS candidate, {_demo_sql()} AS demo, row_number() OVER (
+          PARTITION BY r.c ORDER BY md5('{kind}#' || r.c || '#' || request_id), request_id) AS rn
+        FROM {pool}, range({first}, 8) AS r(c)) WHERE rn <= 2"""
+
+
+@query("fewshot_search", GOLDEN + f""",
+    train AS (
+      SELECT request_id, request, response, context
+      FROM split JOIN texts USING (request_id) WHERE split = 'train'),
+    taught AS (
+      SELECT request_id, request, context, {_last_sentence_sql("p")} AS response
+      FROM (SELECT *, {quoted(demo_prefix([]))} || {_task_sql()} AS p FROM train)),
+    good AS (SELECT * FROM taught WHERE {_score_sql()} >= 2),
+    drawn AS ({_drawn_sql("labelled", "train", 1)}
+      UNION ALL {_drawn_sql("generated", "good", 2)}),
+    prefixes AS (
+      SELECT r.c AS candidate, {quoted(demo_prefix([]))}
+        || coalesce(string_agg(demo, '' ORDER BY kind, rn), '') AS prefix
+      FROM range(8) AS r(c) LEFT JOIN drawn ON drawn.candidate = r.c GROUP BY r.c),
+    answers AS (
+      SELECT candidate, request, {_last_sentence_sql("p")} AS response
+      FROM (SELECT candidate, request, prefix || {_task_sql()} AS p FROM train, prefixes))
+    SELECT CAST(candidate AS INT) AS candidate, count(*) AS n,
+      round(avg({_score_sql()}), 6) AS mean_score
+    FROM answers GROUP BY candidate""")
 def q_fewshot_search(spark, sf):
     split = golden_split(evaluation_tables(spark, sf)[0])
     train = split.where("split = 'train'").drop("split")
     scores, _ = fewshot_search(train, last_sentence, parity_judge, accept=2)
     return scores.groupBy("candidate").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score")
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score")
     )

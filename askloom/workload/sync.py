@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from askloom.operators.diff import apply_changes, snapshot_diff
 from askloom.operators.payloads import unpack_payloads
 from askloom.plans.index import build_chunks, build_index, sync_index
-from askloom.session import scratch_path
+from askloom.session import cut, scratch_path
 from askloom.streaming.logs import dedup_latest_stream
 from askloom.streaming.sync import read_index, sync_index_stream
 from askloom.workload.chunks import UNIQUE, chunks_sql
@@ -81,7 +81,7 @@ def q_sync_index(spark, sf):
     )
     before = docs.select(uri, F.col("source").alias("category"), "text").union(pages)
     now = docs.select(uri, category.alias("category"), "text").union(texts)
-    index = build_index(build_chunks(before, "text"), embedder=size_vectors)
+    index = cut(build_index(build_chunks(before, "text"), embedder=size_vectors))
     return _vectors_out(sync_index(index, build_chunks(now, "text"), embedder=size_vectors))
 
 
