@@ -226,19 +226,21 @@ def _search(visits: DataFrame, index: Cells, k: int, block: int, n_queries: int)
     def parts(n: int) -> int:
         return max(1, int(np.ceil(n / block)))
 
-    blocks = F.broadcast(
-        spark.createDataFrame(
-            [(cell, parts(n), parts(index.sizes[cell])) for cell, n in asked],
-            "cell int, qb int, ib int",
-        )
-    )
+    blocks = [(cell, parts(n), parts(index.sizes[cell])) for cell, n in asked]
+
+    def sized(df: DataFrame) -> DataFrame:
+        """Adds the numbers of query and index blocks of the row's cell."""
+        if len(index.sizes) == 1:
+            return df.withColumns({"qb": F.lit(blocks[0][1]), "ib": F.lit(blocks[0][2])})
+        return df.join(F.broadcast(spark.createDataFrame(blocks, "cell int, qb int, ib int")), "cell")
+
     rows = index.rows
     if len(asked) < len(index.sizes):
         rows = rows.where(F.col("cell").isin([cell for cell, _ in asked]))
 
     def spread(df: DataFrame, key: str, own: str, own_no: str, other: str, other_no: str):
         """Own block by hashed key, one copy for every block of the other side."""
-        return df.join(blocks, "cell").select(
+        return sized(df).select(
             "cell", key, "vec",
             F.pmod(F.xxhash64(key, F.lit(11)), own).cast("int").alias(own_no),
             F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_no),

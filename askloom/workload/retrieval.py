@@ -16,13 +16,13 @@ from askloom.workload.registry import load, query
 VEC = dict(query_key="vec_id", query_vec="embedding", index_key="vec_id", index_vec="embedding")
 
 
-def ranked_sql(k: int) -> str:
-    """CTE ``hits(q, i, score, rank)`` over all pairs of the embeddings."""
+def ranked_sql(k: int, table: str = "embeddings") -> str:
+    """CTE ``hits(q, i, score, rank)`` over all pairs of the vectors."""
     return f"""
     pairs AS (
       SELECT a.vec_id AS q, b.vec_id AS i,
         round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score
-      FROM embeddings a CROSS JOIN embeddings b),
+      FROM {table} a CROSS JOIN {table} b),
     hits AS (
       SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, i) AS rank FROM pairs)
@@ -135,7 +135,8 @@ def vector_questions(spark, sf):
     )
 
 
-RETRIEVED = "WITH" + ranked_sql(3) + """,
+RETRIEVED = """WITH
+    vecs AS (SELECT * FROM embeddings JOIN documents ON doc_id = vec_id),""" + ranked_sql(3, "vecs") + """,
     found AS (
       SELECT 'q' || h.q AS request_id, h.i AS chunk_id, 'doc-' || h.i AS doc_uri,
         d.source AS category, d.text AS content, h.score, h.rank

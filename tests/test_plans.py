@@ -13,19 +13,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pairing_of_everything(spark, no_broadcast, name):
-    text = plan(QUERIES[name](spark, SF))
-    assert "Cartesian" not in text and "NestedLoop" not in text
-
-
 def test_chunking_stays_in_the_jvm_and_moves_nothing(spark):
     text = plan(chunk_tokens(load(spark, SF, "documents"), "text").select("doc_id", "chunk_id"))
     assert "Python" not in text and "Exchange" not in text
