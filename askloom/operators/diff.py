@@ -38,16 +38,23 @@ def snapshot_diff(
 
 
 def apply_changes(table: DataFrame, changes: DataFrame, *, key: str) -> DataFrame:
-    """``table`` after the inserts, updates and deletes of :func:`snapshot_diff`."""
+    """``table`` after the inserts, updates and deletes of :func:`snapshot_diff`.
+
+    ``changes`` is read twice; cut it first if it is costly.
+    """
     values = [c for c in table.columns if c != key]
-    changed = changes.select(
+    changed = changes.where(F.col("op") != "insert").select(
         key, F.col("op").alias("_op"), *[F.col(c).alias(f"_new_{c}") for c in values]
     )
-    merged = table.join(changed, key, "full").where(
+    # A left join: few changes are broadcast by Spark itself, and the table stays in place.
+    kept = table.join(changed, key, "left").where(
         F.col("_op").isNull() | (F.col("_op") != "delete")
     )
     picked = {
         c: F.when(F.col("_op").isNull(), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
         for c in values
     }
-    return merged.select(*[F.col(key) if c == key else picked[c] for c in table.columns])
+    added = changes.where(F.col("op") == "insert").select(*table.columns)
+    return kept.select(
+        *[F.col(key) if c == key else picked[c] for c in table.columns]
+    ).unionByName(added)

@@ -149,6 +149,8 @@ def write_cells(
     cells = min(MAX_CELLS, cells or max(1, index.select(key).count() // CELL_ROWS))
     usable = cut(_keyed(index, key, vec, "index_key"))
     pivots = _pick_pivots(usable, cells)
+    if not len(pivots):
+        raise ValueError("no usable vectors")
     placed = _assign(usable, pivots)
     sizes, radii = _measure(placed, pivots)
     spark = index.sparkSession

@@ -17,6 +17,7 @@ from askloom.fixed_values import (
     FORBIDDEN_QUESTION_WORD,
     JUDGE_QUESTIONS,
     QUESTION_RETRIES,
+    QUESTION_SAMPLE,
     QUESTION_TEMPLATE,
 )
 from askloom.functions.prompts import render
@@ -119,7 +120,7 @@ def generate_questions(
     *,
     id_col: str = "chunk_id",
     text_col: str = "chunk",
-    n: int | None = None,
+    n: int | None = QUESTION_SAMPLE,
     model: Callable[[], Model] = sentence_question,
     max_tries: int = 1 + QUESTION_RETRIES,
     concurrency: int | None = None,
@@ -127,7 +128,8 @@ def generate_questions(
     """One question per chunk: ``id_col``, ``question``, ``tries``, ``error``.
 
     Questions that speak of a "chunk" are asked for again; the last one is kept. ``n`` takes
-    the first n chunks by id; None asks about all of them.
+    the first n chunks by id; None asks about all of them. A chat model should be given
+    ``QUESTION_SYSTEM_PROMPT`` as its system message.
     """
     if n is not None:
         chunks = sample_first(chunks, n, [id_col])

@@ -75,6 +75,6 @@ def sync_index(
         chunks, id_col=id_col, uri_col=uri_col, category_col=category_col, text_col=text_col
     )
     changes = snapshot_diff(index.drop("embedding"), rows, key="chunk_id", compare=INDEXED)
-    # Holds model output: computed once, whatever is done with the result.
+    # Holds model output and is read twice: written once.
     changes = cut(embed(changes, "content", embedder=embedder))
     return apply_changes(index, changes, key="chunk_id")

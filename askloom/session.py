@@ -33,14 +33,14 @@ def shared_root(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder; a cluster without
     the setting is an error, since a machine-local path would lose data there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="askloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

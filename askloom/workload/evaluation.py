@@ -50,7 +50,7 @@ QUESTIONS = UNIQUE + """,
       CAST(NULL AS VARCHAR) AS error
     FROM asked""")
 def q_generated_questions(spark, sf):
-    asked = generate_questions(doc_index_rows(spark, sf), text_col="content")
+    asked = generate_questions(doc_index_rows(spark, sf), text_col="content", n=None)
     return asked.select("chunk_id", F.md5("question").alias("question_md5"), "tries", "error")
 
 
@@ -74,7 +74,7 @@ def q_sampled_questions(spark, sf):
     FROM asked""")
 def q_eval_set(spark, sf):
     chunks = doc_index_rows(spark, sf)
-    built = build_eval_set(generate_questions(chunks, text_col="content"), chunks)
+    built = build_eval_set(generate_questions(chunks, text_col="content", n=None), chunks)
     first = F.col("expected_retrieval_context")[0]
     return built.select(
         "request_id", F.md5("request").alias("request_md5"), first["chunk_id"].alias("chunk_id"),
