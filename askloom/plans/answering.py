@@ -44,23 +44,20 @@ def format_context(
     with_chunks: bool = False,
 ) -> DataFrame:
     """The texts of each question's hits (k at most) in rank order as one ``context``."""
-    ranked = F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "doc_uri", text_col)))
-    grouped = hits.withColumn("doc_uri", F.col("doc_uri").cast("string")) if (
-        "doc_uri" in hits.columns
-    ) else hits.withColumn("doc_uri", F.lit(None).cast("string"))
-    grouped = grouped.groupBy(by).agg(ranked.alias("_ranked"))
-    context = join_chunks(F.transform("_ranked", lambda c: c[text_col]), template)
-    columns = [F.col(by), context.alias("context")]
+    if "doc_uri" not in hits.columns:
+        hits = hits.withColumn("doc_uri", F.lit(None))
+    chunk = F.struct(
+        "rank",
+        F.col("chunk_id").cast("string").alias("chunk_id"),
+        F.col("doc_uri").cast("string").alias("doc_uri"),
+        F.col(text_col).alias("content"),
+    )
+    grouped = hits.groupBy(by).agg(F.array_sort(F.collect_list(chunk)).alias("_ranked"))
+    columns = [F.col(by), join_chunks(F.col("_ranked")["content"], template).alias("context")]
     if with_chunks:
-        chunk = F.transform(
-            "_ranked",
-            lambda c: F.struct(
-                c["chunk_id"].cast("string").alias("chunk_id"),
-                c["doc_uri"].alias("doc_uri"),
-                c[text_col].alias("content"),
-            ),
+        columns.append(
+            F.transform("_ranked", lambda c: c.dropFields("rank")).alias("retrieval_context")
         )
-        columns.append(chunk.alias("retrieval_context"))
     return grouped.select(*columns)
 
 
