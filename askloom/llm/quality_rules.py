@@ -38,8 +38,8 @@ FEATURES = {
     "root_upper": 0.06,
     "root_punct": 0.06,
     "root_digits": 0.06,
-    "root_dup_lines": 0.10,
-    "root_repeat": 0.10,
+    "root_dup_lines": 0.15,
+    "root_repeat": 0.15,
 }
 CORE = 0.75
 STEPS = 6

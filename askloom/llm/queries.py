@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from askloom.llm import archives, decontamination, packing, quality_rules, sharding
+from askloom.llm import archives, decontamination, near_dedup, packing, quality_rules, sharding
 from askloom.llm.registry import query, table
 
 #: The four counts, as contracts fix them.
@@ -17,6 +17,31 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_near_dedup", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(4, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS p FROM words)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, b FROM reach JOIN links ON a = r
+), firsts AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM firsts LEFT JOIN sizes USING (doc_id)
+""")
+def op1(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 @query("op2_quality_rules")
 def op2(spark, sf_dir):
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
