@@ -8,15 +8,14 @@ signature is a minimum over slices.
 Candidates. ``BANDS`` bands of ``ROWS`` coordinates; two texts at the threshold of 0.8 share none with
 probability 5e-8. Equal shingle sets are one class from the start and only its smallest id goes on.
 A bucket of up to ``SMALL`` members gives all its pairs, at most 15 per member. A larger one is
-compared with three of its members: the most central (whose buckets are the fullest) and two by hash.
-Where that leaves different components in a bucket, its members are dealt anew by four and then
-eight more coordinates, in several ways, and what is still large and mixed is compared exactly: the members outside
-the main component as queries against the bucket. So a group of copies costs a few comparisons per
-member, and a passage that many texts share falls apart into small buckets. No pair is emitted for
-members already connected.
+compared with five of its members: the most central (whose buckets are the fullest) and one by hash.
+Where that leaves different components in a bucket, its members are dealt anew by one more band,
+at first in several ways, again and again until every bucket is small or of one component. So a
+group of copies costs a few comparisons per member, and a passage that many texts share falls apart
+into small buckets. No pair is emitted for members that are already connected.
 
-Links. Candidates whose signatures agree in less than 0.6 of the coordinates (five deviations below
-the threshold) are dropped; for the rest the whole shingle sets are compared.
+Links. Candidates whose signatures agree in less than 0.64 of the coordinates (over four deviations
+below the threshold) are dropped; for the rest the whole shingle sets are compared.
 
 Defined cases: a null, empty or blank text has no shingles, is linked with nothing and kept; texts
 shorter than a shingle are one shingle; repeated rows are exact copies of each other and share one
@@ -26,12 +25,13 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, IntegerType
 
 from askloom.llm.common import map_rows, shingle_set, staged, utf8
@@ -42,10 +42,11 @@ ROWS = 4
 BANDS = COORDINATES // ROWS
 PLACES_BITS = 20
 SMALL = 16
+HUBS = 4
 #: Ways in which a large mixed bucket is dealt anew, by each further band.
 FAN_OUT = (4, 2)
 #: Least share of equal coordinates of a candidate.
-ESTIMATE = 0.6
+ESTIMATE = 0.64
 SEED = 20240229
 
 
@@ -80,13 +81,13 @@ def _fingerprint(n: int):
             xxhash.xxh3_64_intdigest(sig[i: i + ROWS].tobytes(), seed=i) - (1 << 63)
             for i in range(0, COORDINATES, ROWS)
         ]
-        return doc, len(s), d1, d2, bands, sig.astype("<u2").tobytes()
+        return doc, len(s), d1, d2, bands, sig.astype(np.uint8).tobytes()
 
     return run
 
 
 def fingerprints(docs: DataFrame, *, words: int, id_col: str, text: str) -> DataFrame:
-    """``id, n, d1, d2`` (digest of the set), ``bands``, ``sig`` (two bytes per coordinate)."""
+    """``id, n, d1, d2`` (digest of the set), ``bands``, ``sig`` (a byte per coordinate)."""
     kind = dict(docs.dtypes)[id_col]
     return map_rows(
         docs.select(id_col, utf8(text).alias("_bytes")), lambda: _fingerprint(words),
@@ -96,7 +97,7 @@ def fingerprints(docs: DataFrame, *, words: int, id_col: str, text: str) -> Data
 
 @F.pandas_udf(BooleanType())
 def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    left, right = (np.frombuffer(b"".join(x), dtype="<u2").reshape(-1, COORDINATES) for x in (a, b))
+    left, right = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, COORDINATES) for x in (a, b))
     return pd.Series((left == right).mean(axis=1) >= ESTIMATE)
 
 
@@ -112,36 +113,32 @@ def _sized(small: Column, large: Column, percent: int) -> Column:
 
 
 class _Linker:
-    def __init__(self, docs, nodes, words, percent, id_col, text):
-        self.docs, self.nodes, self.words, self.percent = docs, nodes, words, percent
-        self.id_col, self.text = id_col, text
-        self.tested = None
-        self.edges = None
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Add the links among ``a, b`` (a < b) to the edges."""
+    """Edges found so far, and the tables that candidates are looked up in."""
+
+    def __init__(self, nodes: DataFrame, percent: int):
+        self.nodes, self.percent = nodes, percent
+        self.sets = self.tested = self.edges = None
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` (a < b) not seen before whose signatures agree well enough."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         sig = self.nodes.select("id", "sig")
-        likely = staged(
+        found = staged(
             pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
             .where(_alike("sig_a", "sig_b")).select("a", "b"),
             "candidates",
         )
-        self.tested = likely if self.tested is None else staged(self.tested.unionByName(likely), "tested")
-        ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-        kind = dict(self.nodes.dtypes)["id"]
-        texts = self.docs.select(
-            F.col(self.id_col).alias("id"), utf8(self.text).alias("_bytes")
-        ).join(ids, "id", "left_semi")
-        words = self.words
-        sets = staged(
-            map_rows(texts, lambda: lambda doc, data: (doc, shingle_set(data, words).tobytes()),
-                     f"id {kind}, shingles binary"),
-            "sets",
-        )
-        side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
+        self.tested = found if self.tested is None else staged(self.tested.unionByName(found), "tested")
+        return found
+
+    def verify(self, likely: DataFrame) -> None:
+        """Compare whole shingle sets; links join the edges."""
+        # Sets are as large as texts: the same merge join at every size.
+        side = lambda c: self.sets.select(
+            F.col("id").alias(c), F.col("shingles").alias(f"set_{c}")
+        ).hint("merge")
         common = F.col("common")
         union = F.octet_length("set_a") / 8 + F.octet_length("set_b") / 8 - common
         found = staged(
@@ -150,7 +147,12 @@ class _Linker:
             .where(100 * common >= self.percent * union).select("a", "b").distinct(),
             "links",
         )
-        self.edges = found if self.edges is None else staged(self.edges.unionByName(found), "links")
+        if self.edges is None:
+            self.edges = found
+        elif found.isEmpty():
+            return
+        else:
+            self.edges = staged(self.edges.unionByName(found), "links")
         self.labels = connected_components(self.edges)
 
     def labelled(self, members: DataFrame) -> DataFrame:
@@ -172,35 +174,36 @@ class _Linker:
         ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
     def pairs_with_hubs(self, members: DataFrame) -> DataFrame:
-        """Every member of a large bucket with three of the bucket."""
+        """Every member of a large bucket with the HUBS most central and one other of the bucket."""
         score = members.groupBy("id").agg(F.sum("c").alias("score"))
-        order = F.xxhash64("id")
-        who = F.struct("id", "n", "component")
-        hubs = members.join(score, "id").groupBy("key").agg(
-            F.max(F.struct("score", order, who.alias("h"))).getField("h").alias("h0"),
-            F.max(F.struct(order, who.alias("h"))).getField("h").alias("h1"),
-            F.min(F.struct(order, who.alias("h"))).getField("h").alias("h2"),
-        )
-        joined = members.join(hubs, "key").select(
-            "id", "n", "component", F.explode(F.array("h0", "h1", "h2")).alias("h")
-        )
-        return self._ordered(joined)
+        scored = members.join(score, "id")
+        near = Window.partitionBy("key").orderBy(F.desc("score"), F.xxhash64("id"))
+        far = Window.partitionBy("key").orderBy(F.xxhash64("id", "key"))
+        who = F.struct("id", "n", "component").alias("h")
+        pick = lambda w, k: scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
+        hubs = pick(near, HUBS).select("key", who).unionByName(pick(far, 1).select("key", who)).distinct()
+        return self._ordered(members.join(hubs, "key"))
 
     def _ordered(self, joined: DataFrame) -> DataFrame:
         return joined.where(
             (F.col("component") != F.col("h.component")) & _sized(F.col("n"), F.col("h.n"), self.percent)
         ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
 
-    def level(self, members: DataFrame) -> DataFrame | None:
+    def level(self, members: DataFrame, texts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
         """Verify the candidates of one set of buckets; the large ones that stay mixed, or None.
 
-        ``members`` has ``id, n, component, last, key``.
+        ``members`` has ``id, n, component, last, key``. ``texts`` makes the shingle sets of ids, for
+        all levels at once: of candidates and of everything in a large bucket.
         """
         counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         shared = staged(members.join(counts, "key"), "buckets")
         small = shared.where(F.col("c") <= SMALL)
         large = shared.where(F.col("c") > SMALL)
-        self.verify(self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large)).distinct())
+        likely = self.likely(self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large)).distinct())
+        if texts is not None:
+            ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id")))
+            self.sets = staged(texts(ids.unionByName(large.select("id")).distinct()), "sets")
+        self.verify(likely)
         large = staged(self.labelled(large), "large")
         mixed = large.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
@@ -220,15 +223,6 @@ class _Linker:
             F.xxhash64("key", "last", F.element_at("bands", F.col("last") + 1)).alias("key"),
         )
 
-    def rest(self, mixed: DataFrame) -> None:
-        """Mixed buckets that stay large at full depth: the members outside the main component
-        as a set of queries against the bucket."""
-        sizes = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("m", "component")).getField("component").alias("main"))
-        labelled = mixed.join(main, "key")
-        queries = labelled.where("component <> main").select("key", F.struct("id", "n", "component").alias("h"))
-        self.verify(self._ordered(labelled.join(queries, "key")).distinct())
-
 
 def near_duplicates(
     docs: DataFrame,
@@ -251,17 +245,25 @@ def near_duplicates(
         .select("id", "n", "bands", "sig").dropDuplicates(["id"]),
         "nodes",
     )
-    linker = _Linker(docs, nodes, words, percent, id_col, text)
+    kind = dict(nodes.dtypes)["id"]
+
+    def texts(ids: DataFrame) -> DataFrame:
+        rows = docs.select(F.col(id_col).alias("id"), utf8(text).alias("_bytes"))
+        return map_rows(
+            rows.join(ids.hint("merge"), "id", "left_semi").dropDuplicates(["id"]),
+            lambda: lambda doc, data: (doc, shingle_set(data, words).tobytes()),
+            f"id {kind}, shingles binary",
+        )
+
+    linker = _Linker(nodes, percent)
     members = nodes.select(
         "id", "n", F.col("id").alias("component"), F.posexplode("bands").alias("last", "key")
     )
-    mixed = linker.level(members)
-    for fan_out in FAN_OUT:
+    mixed = linker.level(members, texts)
+    for depth in range(BANDS - 1):
         if mixed is None:
             break
-        mixed = linker.level(linker.deeper(mixed, fan_out))
-    if mixed is not None:
-        linker.rest(mixed)
+        mixed = linker.level(linker.deeper(mixed, FAN_OUT[depth] if depth < len(FAN_OUT) else 1))
     own = (
         classes.join(linker.labels.withColumnRenamed("node", "first"), "first", "left")
         .select("n", "d1", "d2", F.coalesce("component", "first").alias("component"))
