@@ -9,8 +9,8 @@ Texts are tokenized once. The ids travel as two-byte numbers (four for larger vo
 one range sort by (key, id), so copies spread over partitions; a partition adds the tokens of those
 before it. What is shared is one count per partition.
 
-Words are tokenized by themselves and remembered. That is exact here: the pre-tokenizer never
-reaches across white space, and the tests compare it with whole texts.
+The pre-tokenizer's pieces are tokenized by themselves and remembered, which gives the ids of the
+whole text; the tests compare the two.
 
 Defined cases: a null or empty text is the end token alone; a text of any length runs over as many
 sequences as it needs; repeated rows are packed each for itself; an empty table gives no piece.
@@ -19,6 +19,7 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,67 +36,62 @@ LENGTH = 4096
 END_ID = 2
 DIMS = 3
 BITS = 10
-#: Words remembered by a task; the table is emptied when full.
-CACHE = 400_000
+#: Pieces remembered by a worker; the table is emptied when full.
+CACHE = 600_000
 
 
-class WordTokenizer:
-    """Token ids of a text as packed bytes, word by word."""
+#: What the direct way may hold: printable ASCII, line ends, and the letters of Latin-1 that
+#: neither normalisation nor lower-casing changes beyond one letter for one.
+PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+#: The pre-tokenizer's pieces within such texts, lower-cased.
+PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+)
+
+
+class TextTokenizer:
+    """Token ids of a text as packed bytes. Pieces are tokenized once and remembered.
+
+    Texts beyond ``PLAIN``, or with the strings of special tokens, go through the tokenizer whole.
+    """
 
     def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.cache = cache
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= self.cache:
-                self.pieces.clear()
-            got = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(piece))
-        return got
+    def _packed(self, ids) -> bytes:
+        return np.array(ids, dtype=self.type).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if len(self.words) >= self.cache:
-            self.words.clear()
-        t = self.tokenizer
-        if any(s in word for s in self.special):
-            ids = t.encode(word, add_special_tokens=False).ids
-        else:
-            pieces = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))
-            ids = [i for piece, _ in pieces for i in self._piece(piece)]
-        packed = self.words[word] = np.array(ids, dtype=self.type).tobytes()
-        return packed
+    def _piece(self, piece: str) -> bytes:
+        if len(self.pieces) >= self.cache:
+            self.pieces.clear()
+        model, split = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        parts = [piece] if piece.isascii() else [p for p, _ in split.pre_tokenize_str(piece)]
+        got = self.pieces[piece] = self._packed([t.id for p in parts for t in model.tokenize(p)])
+        return got
 
-    def encode(self, words: list[str]) -> bytes:
-        get, slow = self.words.get, self._word
-        # An empty result is remembered too, so only None means a new word.
-        return b"".join([p if (p := get(w)) is not None else slow(w) for w in words])
+    def encode(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        get, new = self.pieces.get, self._piece
+        return b"".join([get(p) or new(p) for p in PIECES.findall(text.lower())])
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[str, TextTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
-    """One per worker process, so that its words outlive a task."""
+def tokenizer(path: str) -> TextTokenizer:
+    """One per worker process, so that its pieces outlive a task."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = TextTokenizer(path)
     return _TOKENIZERS[path]
 
 
-def _blank_split(text: str) -> list[str]:
-    """Words between blanks, tabs and line ends; other white space stays inside for the tokenizer."""
-    return text.translate(_BLANKS).split(" ") if ("\n" in text or "\t" in text or "\r" in text) else text.split(" ")
-
-
-_BLANKS = str.maketrans("\n\t\r", "   ")
-
-
 def word_vector(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Mean of a fixed random direction per token: the projection of the hashed bag of tokens."""
     if not len(ids):
@@ -126,7 +122,7 @@ def tokenized(
                 part = batch.slice(start, 1000)
                 ids, points = [], []
                 for value in part.column(1):
-                    packed = t.encode(_blank_split(value.as_py() or "")) + end
+                    packed = t.encode(value.as_py() or "") + end
                     ids.append(packed)
                     points.append(word_vector(np.frombuffer(packed, t.type), table))
                 # Directions of unit vectors in 4096 buckets: sums lie near 0, with deviation 1.
