@@ -10,7 +10,8 @@ probability 5e-8. Equal shingle sets are one class from the start and only its s
 A bucket of up to ``SMALL`` members gives all its pairs, at most 15 per member. A larger one is
 compared with five of its members: the most central (whose buckets are the fullest) and one by hash.
 Where that leaves different components in a bucket, its members are dealt anew by one more band,
-at first in several ways, again and again until every bucket is small or of one component. So a
+at first in several ways, again and again until every bucket is small, of one component, or so but for
+a few members, which are then compared with all of it. So a
 group of copies costs a few comparisons per member, and a passage that many texts share falls apart
 into small buckets. No pair is emitted for members that are already connected.
 
@@ -43,6 +44,8 @@ BANDS = COORDINATES // ROWS
 PLACES_BITS = 20
 SMALL = 16
 HUBS = 4
+#: So many members outside a bucket's main component are compared with all of it.
+FEW = 4
 #: Ways in which a large mixed bucket is dealt anew, by each further band.
 FAN_OUT = (4, 2)
 #: Least share of equal coordinates of a candidate.
@@ -117,7 +120,7 @@ class _Linker:
 
     def __init__(self, nodes: DataFrame, percent: int):
         self.nodes, self.percent = nodes, percent
-        self.sets = self.tested = self.edges = None
+        self.sets = self.tested = self.edges = self.waiting = None
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``a, b`` (a < b) not seen before whose signatures agree well enough."""
@@ -199,17 +202,30 @@ class _Linker:
         shared = staged(members.join(counts, "key"), "buckets")
         small = shared.where(F.col("c") <= SMALL)
         large = shared.where(F.col("c") > SMALL)
-        likely = self.likely(self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large)).distinct())
+        pairs = self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large))
+        if self.waiting is not None:
+            pairs = pairs.unionByName(self.waiting)
+        likely = self.likely(pairs.distinct())
         if texts is not None:
             ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id")))
             self.sets = staged(texts(ids.unionByName(large.select("id")).distinct()), "sets")
         self.verify(likely)
-        large = staged(self.labelled(large), "large")
-        mixed = large.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low <> high").select("key")
-        left = staged(large.join(mixed, "key", "left_semi"), "mixed")
-        return None if left.isEmpty() else left
+        large = self.labelled(large)
+        parts = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+        odd = F.sum("m") - F.max("m")
+        mixed = parts.groupBy("key").agg(
+            odd.alias("odd"), F.max(F.struct("m", "component")).getField("component").alias("main")
+        ).where("odd > 0")
+        left = staged(large.join(mixed, "key"), "mixed")
+        # A few members outside the main component: each of the bucket is compared with them, at once.
+        few = left.where(F.col("odd") <= FEW)
+        queries = few.where("component <> main").select("key", F.struct("id", "n", "component").alias("h"))
+        self.waiting = self._ordered(few.join(queries, "key"))
+        many = left.where(F.col("odd") > FEW).drop("odd", "main")
+        if not many.isEmpty():
+            return many
+        self.verify(self.likely(self.waiting.distinct()))
+        return None
 
     def deeper(self, mixed: DataFrame, fan_out: int) -> DataFrame:
         """The members of mixed buckets, dealt by one more band, in ``fan_out`` ways."""
