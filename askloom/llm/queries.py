@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from askloom.llm import archives, decontamination, near_dedup, packing, quality_rules, sharding
+from askloom.llm import (
+    archives, decontamination, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, sharding,
+    url_filter,
+)
 from askloom.llm.registry import query, table
 
 #: The four counts, as contracts fix them.
@@ -88,12 +91,72 @@ def op4(spark, sf_dir):
     )
 
 
+@query("op3_quality_classifier")
+def op3(spark, sf_dir):
+    return quality_classifier.quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query("op5_url_filter")
+def op5(spark, sf_dir):
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+@query("op6_lm_scoring", r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT r, doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM texts
+), words AS (
+  SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i, len(ws) AS n FROM split
+), pairs AS (
+  SELECT b.r, b.i, a.w AS u, b.w AS w FROM words a JOIN words b ON a.r = b.r AND b.i = a.i + 1
+), corpus AS (SELECT count(*) AS n FROM words
+), word_total AS (SELECT w, count(*) AS c FROM words GROUP BY w
+), word_own AS (SELECT r, w, count(*) AS c FROM words GROUP BY r, w
+), pair_total AS (SELECT u, w, count(*) AS c FROM pairs GROUP BY u, w
+), pair_own AS (SELECT r, u, w, count(*) AS c FROM pairs GROUP BY r, u, w
+), scored AS (
+  SELECT x.r, CASE
+    WHEN x.i > 1 AND pt.c > po.c THEN ln((pt.c - po.c) / (ut.c - uo.c))
+    ELSE ln(CASE WHEN x.i > 1 THEN 0.4 ELSE 1 END * greatest(wt.c - wo.c, 1) / greatest(corpus.n - x.n, 1)) END AS s
+  FROM words x CROSS JOIN corpus JOIN word_total wt ON wt.w = x.w JOIN word_own wo ON wo.r = x.r AND wo.w = x.w
+  LEFT JOIN pairs p ON p.r = x.r AND p.i = x.i LEFT JOIN pair_total pt ON pt.u = p.u AND pt.w = p.w
+  LEFT JOIN pair_own po ON po.r = p.r AND po.u = p.u AND po.w = p.w
+  LEFT JOIN word_total ut ON ut.w = p.u LEFT JOIN word_own uo ON uo.r = p.r AND uo.w = p.u
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(sum(s), 3) AS log_score, round(sum(s) / len(ws), 6) AS score
+FROM split LEFT JOIN scored USING (r) GROUP BY r, doc_id, ws
+""")
+def op6(spark, sf_dir):
+    scored = lm_scoring.backoff_scores(table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("score", 6).alias("score")
+    )
+
+
 @query("op7_archives")
 def op7(spark, sf_dir):
     records = archives.archive_pages(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def joined_spans(spans):
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")
+
+
+@query("op8_pii")
+def op8(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined_spans("base"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"),
+    )
+
+
 @query("op9_packing")
 def op9(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
