@@ -14,8 +14,8 @@ def whitespace_tokens(text: Column) -> Column:
 
 def token_count(text: Column) -> Column:
     """Number of white-space separated words, 0 for blank text, null for null."""
-    trimmed = F.trim(text)
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"\s+")))
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.when(text.isNotNull(), F.size(words))
 
 
 def token_windows(tokens: Column, size: int, overlap: int, joiner: str = " ") -> Column:

@@ -143,9 +143,13 @@ def judged_precision(
 def response_metrics(
     df: DataFrame, *, response: str = "response", expected: str = "expected_response"
 ) -> DataFrame:
-    """``df`` plus the words of the response and whether it equals the expected one, trimmed."""
+    """``df`` plus the words of the response and whether it equals the expected one, trimmed.
+
+    The match is null where nothing is expected, and false where the response is missing.
+    """
+    same = F.trim(F.col(response)).eqNullSafe(F.trim(F.col(expected)))
     return df.select(
         "*",
         token_count(F.col(response)).alias("token_count"),
-        F.trim(F.col(response)).eqNullSafe(F.trim(F.col(expected))).alias("exact_match"),
+        F.when(F.col(expected).isNotNull(), same).alias("exact_match"),
     )

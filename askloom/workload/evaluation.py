@@ -204,8 +204,8 @@ EVALUATED = f"""
         f"AS llm_judged_precision_at_{k}" for k in METRIC_KS)}
       FROM base, range(10) AS r(i) GROUP BY doc_id),
     response AS (
-      SELECT doc_id, len(string_split_regex(trim(text), '\\s+')) AS token_count,
-        quality = 1 AS exact_match, toxic = 1 AS llm_judged_harmful,
+      SELECT doc_id, len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS token_count,
+        CASE WHEN quality = 1 THEN TRUE END AS exact_match, toxic = 1 AS llm_judged_harmful,
         quality = 1 AS llm_judged_faithful_to_context,
         quality = 1 AND toxic = 0 AS llm_judged_relevant_to_question_and_context,
         n_chars > 500 AS llm_judged_relevant_to_question, quality = 1 AS llm_judged_answer_good
@@ -278,8 +278,8 @@ def q_judge_score(spark, sf):
     answers AS (
       SELECT request_id, split_part(context[2:] || '.', '.', 1) || '.' AS response FROM contexts),
     scored AS (
-      SELECT 'q' || q AS request_id, CASE WHEN trim(response) = '' THEN 0
-          ELSE CAST(len(string_split_regex(trim(response), '\\s+')) AS INT) END AS token_count,
+      SELECT 'q' || q AS request_id, CAST(len(list_filter(
+          string_split_regex(response, '\\s+'), lambda x: x <> '')) AS INT) AS token_count,
         {metrics_sql("1")}
       FROM judged JOIN answers ON request_id = 'q' || q)
     SELECT request_id, token_count, 3 AS n_rated, {ROUNDED} FROM scored""")

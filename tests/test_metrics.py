@@ -98,11 +98,15 @@ def test_judged_precision(spark):
 
 def test_response_metrics(spark):
     df = spark.createDataFrame(
-        [(1, " a  b\nc ", "a  b\nc"), (2, "  ", "x"), (3, None, None), (4, "a", None)],
+        [(1, " a  b\nc ", "a  b\nc"), (2, "  ", "x"), (3, None, None), (4, "a", None),
+         (5, "\n", "\n"), (6, "\tfoo bar\n", "foo bar"), (7, None, "x")],
         "id int, response string, expected_response string",
     )
     got = {r.id: (r.token_count, r.exact_match) for r in response_metrics(df).collect()}
-    assert got == {1: (3, True), 2: (0, False), 3: (None, True), 4: (1, False)}
+    assert got == {
+        1: (3, True), 2: (0, False), 3: (None, None), 4: (1, None),
+        5: (0, True), 6: (2, False), 7: (None, False),
+    }
 
 
 def test_averages(spark):
