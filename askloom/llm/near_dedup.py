@@ -16,7 +16,9 @@ group of copies costs a few comparisons per member, and a passage that many text
 into small buckets. No pair is emitted for members that are already connected.
 
 Links. Candidates whose signatures agree in less than 0.64 of the coordinates (over four deviations
-below the threshold) are dropped; for the rest the whole shingle sets are compared.
+below the threshold) are dropped; for the rest the whole shingle sets are compared. At first each text
+is compared with the candidate most like it; what that leaves in different components is compared
+next, so the pairs inside a group of near copies cost no comparison.
 
 Defined cases: a null, empty or blank text has no shingles, is linked with nothing and kept; texts
 shorter than a shingle are one shingle; repeated rows are exact copies of each other and share one
@@ -33,7 +35,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import BooleanType, IntegerType
+from pyspark.sql.types import IntegerType
 
 from askloom.llm.common import map_rows, shingle_set, staged, utf8
 from askloom.llm.components import connected_components
@@ -98,10 +100,10 @@ def fingerprints(docs: DataFrame, *, words: int, id_col: str, text: str) -> Data
     )
 
 
-@F.pandas_udf(BooleanType())
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.pandas_udf(IntegerType())
+def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     left, right = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, COORDINATES) for x in (a, b))
-    return pd.Series((left == right).mean(axis=1) >= ESTIMATE)
+    return pd.Series((left == right).sum(axis=1))
 
 
 @F.pandas_udf(IntegerType())
@@ -116,47 +118,66 @@ def _sized(small: Column, large: Column, percent: int) -> Column:
 
 
 class _Linker:
-    """Edges found so far, and the tables that candidates are looked up in."""
+    """Components found so far, and the tables that candidates are looked up in."""
 
     def __init__(self, nodes: DataFrame, percent: int):
         self.nodes, self.percent = nodes, percent
-        self.sets = self.tested = self.edges = self.waiting = None
+        self.sets = self.tested = self.labels = self.waiting = None
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` (a < b) not seen before whose signatures agree well enough."""
+        """Pairs ``a, b`` (a < b) not seen before whose signatures agree well enough, with ``agree``."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         sig = self.nodes.select("id", "sig")
         found = staged(
             pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .where(_alike("sig_a", "sig_b")).select("a", "b"),
+            .select("a", "b", _agreeing("sig_a", "sig_b").alias("agree"))
+            .where(F.col("agree") >= ESTIMATE * COORDINATES),
             "candidates",
         )
-        self.tested = found if self.tested is None else staged(self.tested.unionByName(found), "tested")
+        seen = found.select("a", "b")
+        self.tested = seen if self.tested is None else staged(self.tested.unionByName(seen), "tested")
         return found
 
     def verify(self, likely: DataFrame) -> None:
-        """Compare whole shingle sets; links join the edges."""
-        # Sets are as large as texts: the same merge join at every size.
-        side = lambda c: self.sets.select(
-            F.col("id").alias(c), F.col("shingles").alias(f"set_{c}")
-        ).hint("merge")
+        """Compare the pairs; at first each text with its best candidate, which settles most others."""
+        if self.labels is not None:
+            return self.compare(likely)
+        best = likely.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
+        best = staged(best.select(F.col("best.a").alias("a"), "b"), "best")
+        self.compare(best)
+        side = lambda c: self.labels.select(
+            F.col("node").alias(c), F.col("component").alias(f"in_{c}")
+        )
+        rest = (
+            likely.select("a", "b").join(best, ["a", "b"], "left_anti")
+            .join(side("a"), "a", "left").join(side("b"), "b", "left")
+            .where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+        )
+        self.compare(staged(rest, "rest"))
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare whole shingle sets; links join the components."""
+        if self.labels is not None and pairs.isEmpty():
+            return
+        # Only the sets of these pairs are dealt out, both ends of a pair to one place.
+        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(self.sets, "id")
+        both = ends.groupBy("a", "b").agg(
+            F.min(F.struct("id", "shingles")).alias("x"), F.max(F.struct("id", "shingles")).alias("y")
+        )
         common = F.col("common")
-        union = F.octet_length("set_a") / 8 + F.octet_length("set_b") / 8 - common
+        union = F.octet_length("x.shingles") / 8 + F.octet_length("y.shingles") / 8 - common
         found = staged(
-            likely.join(side("a"), "a").join(side("b"), "b")
-            .withColumn("common", _common("set_a", "set_b"))
-            .where(100 * common >= self.percent * union).select("a", "b").distinct(),
+            both.withColumn("common", _common("x.shingles", "y.shingles"))
+            .where(100 * common >= self.percent * union).select("a", "b"),
             "links",
         )
-        if self.edges is None:
-            self.edges = found
-        elif found.isEmpty():
-            return
-        else:
-            self.edges = staged(self.edges.unionByName(found), "links")
-        self.labels = connected_components(self.edges)
+        if self.labels is None:
+            self.labels = connected_components(found)
+        elif not found.isEmpty():
+            known = self.labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            self.labels = connected_components(known.unionByName(found))
 
     def labelled(self, members: DataFrame) -> DataFrame:
         """``members`` with the present component of each."""
