@@ -197,12 +197,13 @@ class _Linker:
             & (F.col("x.component") != F.col("y.component"))
         ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
-    def pairs_with_hubs(self, members: DataFrame) -> DataFrame:
+    def pairs_with_hubs(self, members: DataFrame, depth: int) -> DataFrame:
         """Every member of a large bucket with the HUBS most central and one other of the bucket."""
         score = members.groupBy("id").agg(F.sum("c").alias("score"))
         scored = members.join(score, "id")
         near = Window.partitionBy("key").orderBy(F.desc("score"), F.xxhash64("id"))
-        far = Window.partitionBy("key").orderBy(F.xxhash64("id", "key"))
+        # One order for all buckets of a level: those of one group mostly pick the same member.
+        far = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(depth)))
         who = F.struct("id", "n", "component").alias("h")
         pick = lambda w, k: scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
         hubs = pick(near, HUBS).select("key", who).unionByName(pick(far, 1).select("key", who)).distinct()
@@ -213,7 +214,9 @@ class _Linker:
             (F.col("component") != F.col("h.component")) & _sized(F.col("n"), F.col("h.n"), self.percent)
         ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
 
-    def level(self, members: DataFrame, texts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+    def level(
+        self, members: DataFrame, depth: int, texts: Callable[[DataFrame], DataFrame] | None = None
+    ) -> DataFrame | None:
         """Verify the candidates of one set of buckets; the large ones that stay mixed, or None.
 
         ``members`` has ``id, n, component, last, key``. ``texts`` makes the shingle sets of ids, for
@@ -223,7 +226,7 @@ class _Linker:
         shared = staged(members.join(counts, "key"), "buckets")
         small = shared.where(F.col("c") <= SMALL)
         large = shared.where(F.col("c") > SMALL)
-        pairs = self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large))
+        pairs = self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large, depth))
         if self.waiting is not None:
             pairs = pairs.unionByName(self.waiting)
         likely = self.likely(pairs.distinct())
@@ -296,11 +299,11 @@ def near_duplicates(
     members = nodes.select(
         "id", "n", F.col("id").alias("component"), F.posexplode("bands").alias("last", "key")
     )
-    mixed = linker.level(members, texts)
+    mixed = linker.level(members, 0, texts)
     for depth in range(BANDS - 1):
         if mixed is None:
             break
-        mixed = linker.level(linker.deeper(mixed, FAN_OUT[depth] if depth < len(FAN_OUT) else 1))
+        mixed = linker.level(linker.deeper(mixed, FAN_OUT[depth] if depth < len(FAN_OUT) else 1), depth + 1)
     own = (
         classes.join(linker.labels.withColumnRenamed("node", "first"), "first", "left")
         .select("n", "d1", "d2", F.coalesce("component", "first").alias("component"))
