@@ -59,8 +59,8 @@ def stable_number(*parts: Column) -> Column:
 
 
 def says_yes(answer: Column) -> Column:
-    """True when a verdict holds 'yes' in any case; a missing verdict is a no."""
-    return F.coalesce(F.lower(answer).contains("yes"), F.lit(False))
+    """True when a verdict holds 'yes' in any case; null when there is no verdict."""
+    return F.lower(answer).contains("yes")
 
 
 def is_clean_question(question: Column) -> Column:

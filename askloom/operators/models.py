@@ -58,13 +58,17 @@ def _model_column(
                 again = []
                 answers = _ask_each(ask, [prompts[i] for i in todo]) if todo else []
                 for i, (answer, error) in zip(todo, answers):
-                    if error is None and parse is not None:
+                    refused = False
+                    if error is None:
                         try:
-                            answer = parse(answer)
+                            answer = answer if parse is None else parse(answer)
+                            if not isinstance(answer, str):
+                                raise TypeError(f"an answer is a string, not {type(answer).__name__}")
+                            refused = reject is not None and reject(answer)
                         except Exception as e:  # noqa: BLE001
                             answer, error = None, f"{type(e).__name__}: {e}"
                     rows[i] = (answer, turn, error)
-                    if error is None and reject is not None and reject(answer):
+                    if refused:
                         again.append(i)
                 todo = again
             yield pd.DataFrame(rows, columns=["output", "tries", "error"])
@@ -180,6 +184,7 @@ def judge(
 ) -> DataFrame:
     """``df`` plus ``verdicts`` (question name, answer, passed) and ``score``, the passes.
 
+    A question that the judge failed on has no ``passed``, and its row no ``score``.
     All questions about a row are asked in one task, so nothing is shuffled.
     """
     names = list(questions)
@@ -210,5 +215,8 @@ def judge(
         ]
     ).cast(verdict)
     return asked.withColumn("verdicts", verdicts).withColumn(
-        "score", F.size(F.filter("verdicts", lambda v: v["passed"]))
+        "score", F.when(
+            ~F.exists("verdicts", lambda v: v["passed"].isNull()),
+            F.size(F.filter("verdicts", lambda v: v["passed"])),
+        )
     ).drop("_answers")

@@ -94,6 +94,31 @@ def test_judge(spark):
     assert [v.name for v in got[2].verdicts if v.passed] == ["harmless"]
 
 
+def test_a_failed_judge_is_no_verdict(spark):
+    df = spark.createDataFrame([(1, "q", "good")], "id int, request string, response string")
+
+    def model():
+        def ask(ps):
+            raise RuntimeError("down")
+
+        return ask
+
+    row = judge(df, model).first()
+    assert row.score is None and all(v.passed is None and v.answer is None for v in row.verdicts)
+
+
+@pytest.mark.parametrize("odd", [{"question": None}, {"question": 5}, {"question": ["a"]}, {}, [1]])
+def test_odd_answers_stay_in_their_row(spark, odd):
+    chunks = spark.createDataFrame([("1", "odd"), ("2", "fine")], "chunk_id string, chunk string")
+
+    def model():
+        return lambda ps: [json.dumps(odd if "context: odd" in p else {"question": "Why?"}) for p in ps]
+
+    got = {r.chunk_id: r for r in generate_questions(chunks.coalesce(1), model=model).collect()}
+    assert got["2"].question == "Why?" and got["2"].error is None
+    assert got["1"].question is None and got["1"].error
+
+
 def test_render_is_literal(spark):
     df = spark.createDataFrame([("{question}", "a{b}\\1$", None)], "c string, q string, n string")
     text = render("{{x}} {context}|{question}|{n}", {
