@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askloom.session import cut
 
-NULL_WAYS = 256
+#: Null keys match nothing: each row goes its own way.
+NULL_WAYS = 1 << 30
 
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
@@ -75,16 +76,15 @@ def skew_join(
     *,
     spread_by: Sequence[str] = (),
     hot_rows: int = 1_000_000,
-    max_hot: int = 1000,
+    max_hot: int | None = None,
 ) -> DataFrame:
     """Equi-join whose ``left`` side may hold a very frequent key.
 
     The keys of ``left`` are counted first (only the key columns are read). Without a key of
     more than ``hot_rows`` rows this is the plain join. Otherwise the rows of such keys are
-    spread over several shuffle keys and only their ``right`` rows are repeated. At most
-    ``max_hot`` of them, the heaviest, are treated so, which bounds what the driver sees and
-    what is broadcast; all other keys join as usual. The result is always that of the plain
-    join. ``how`` is inner, left, left_semi or left_anti.
+    spread over several shuffle keys, as many as follow from their count, and only their ``right``
+    rows are repeated. The heavy keys stay a table, joined without a hint; ``max_hot`` confines it
+    to the heaviest. The result is always that of the plain join. ``how`` is inner, left, left_semi or left_anti.
 
     Rows of a hot key are spread by the hash of ``spread_by`` (by default all columns that
     can be hashed) and not at random, so a task that runs again places them as before.
@@ -94,17 +94,16 @@ def skew_join(
     on = list(on)
     heavy = (
         left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(max_hot)
-        .withColumn("_ways", F.ceil(F.col("_n") / hot_rows).cast("int")).drop("_n")
+        .where(F.col("_n") > hot_rows)
     )
-    found = heavy.collect()
-    if not found:
+    if max_hot is not None:
+        heavy = heavy.orderBy(F.desc("_n"), *on).limit(max_hot)
+    hot = cut(heavy.withColumn("_ways", F.ceil(F.col("_n") / hot_rows).cast("int")).drop("_n"))
+    if hot.isEmpty():
         return left.join(right, on, how)
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, heavy.schema))
     by = list(spread_by) or [
         f.name for f in left.schema if "map<" not in f.dataType.simpleString()
     ]
-    # Null keys match nothing: they are spread without a partner.
     missing = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
     ways = F.when(missing, F.lit(NULL_WAYS)).otherwise(F.coalesce("_ways", F.lit(1)))
     spread = F.pmod(F.xxhash64(*by), ways).cast("int")

@@ -78,6 +78,7 @@ def retrieval_metrics(
 
 def ranked_metrics(
     hits: DataFrame,
+    queries: DataFrame | None = None,
     *,
     by: str = "query_key",
     rank: str = "rank",
@@ -87,7 +88,9 @@ def ranked_metrics(
 ) -> DataFrame:
     """The same metrics from one row per hit, with the number of relevant ids alongside.
 
-    Nothing but the k hits of a query meets in a group, however many ids are relevant.
+    Nothing but the k hits of a query meets in a group, however many ids are relevant. A query
+    without hits has no row here unless it stands in ``queries`` (one row per ``by``, with
+    ``n_expected``): then its precision is 0, and its recall 0, or null where nothing is expected.
     """
     hit = F.col(relevant)
     aggregates = []
@@ -98,6 +101,11 @@ def ranked_metrics(
             F.sum(F.when(near, F.lit(1.0) / F.log2(F.col(rank) + 1)).otherwise(0.0)).alias(f"_g{k}"),
         ]
     grouped = hits.groupBy(by).agg(F.max(n_expected).alias("_n"), *aggregates)
+    if queries is not None:
+        found = [c for k in ks for c in (f"_h{k}", f"_g{k}")]
+        grouped = queries.select(by, F.col(n_expected).alias("_n")).join(
+            grouped.drop("_n"), by, "left"
+        ).na.fill(0, found)
     columns = []
     for k in ks:
         columns += [
@@ -132,9 +140,12 @@ def mark_relevant(
 def judged_precision(
     df: DataFrame, *, ratings: str = "positional_ratings", ks: Sequence[int] = METRIC_KS
 ) -> DataFrame:
-    """``df`` plus ``llm_judged_precision_at_k`` from an array of booleans in rank order."""
-    flags = F.transform(F.coalesce(F.col(ratings), F.array().cast("array<boolean>")),
-                        lambda r: F.coalesce(r, F.lit(False)).cast("double"))
+    """``df`` plus ``llm_judged_precision_at_k`` from an array of booleans in rank order.
+
+    Null where a rating among the first k is missing, or the whole array is; fewer than k hits count
+    as they are, out of k.
+    """
+    flags = F.transform(ratings, lambda r: r.cast("double"))
     return df.select(
         "*", *[(_sum(F.slice(flags, 1, k)) / k).alias(f"llm_judged_precision_at_{k}") for k in ks]
     )

@@ -17,7 +17,6 @@ from askloom.fixed_values import (
     FORBIDDEN_QUESTION_WORD,
     JUDGE_QUESTIONS,
     QUESTION_RETRIES,
-    QUESTION_SAMPLE,
     QUESTION_TEMPLATE,
 )
 from askloom.functions.prompts import render
@@ -124,15 +123,15 @@ def generate_questions(
     *,
     id_col: str = "chunk_id",
     text_col: str = "chunk",
-    n: int | None = QUESTION_SAMPLE,
+    n: int | None = None,
     model: Callable[[], Model] = sentence_question,
     max_tries: int = 1 + QUESTION_RETRIES,
     concurrency: int | None = None,
 ) -> DataFrame:
     """One question per chunk: ``id_col``, ``question``, ``tries``, ``error``.
 
-    Questions that speak of a "chunk" are asked for again; the last one is kept. ``n`` takes
-    the first n chunks by id; None asks about all of them. A chat model should be given
+    Questions that speak of a "chunk" are asked for again; the last one is kept. All
+    chunks are asked about; ``n`` takes the first n by id. A chat model should be given
     ``QUESTION_SYSTEM_PROMPT`` as its system message.
     """
     if n is not None:
@@ -152,16 +151,34 @@ def sample_first(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _verdict(answer: object, error: str | None) -> dict[str, str | None]:
+    if error is None and answer is not None and not isinstance(answer, str):
+        error = f"TypeError: an answer is a string, not {type(answer).__name__}"
+    return {"answer": answer if error is None else None, "error": error}
+
+
+def first_error(answers: str) -> Column:
+    """The first error among a row's answers; null without any."""
+    failed = F.filter(F.col(answers), lambda a: a["error"].isNotNull())
+    return F.try_element_at(failed, F.lit(1))["error"]
+
+
 def answer_each(prompts: Column, model: Callable[[], Model]) -> Column:
-    """Answers to a row's array of prompts, in order; null where the model failed."""
+    """``answer`` and ``error`` for each of a row's array of prompts, in order.
 
-    @F.pandas_udf("array<string>")
+    A null prompt is not asked and has neither. A failure, or an answer that is no string, is an error.
+    """
+
+    @F.pandas_udf("array<struct<answer:string,error:string>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ask = model()
         for batch in batches:
-            flat = [p for row in batch for p in row]
-            got = iter([answer for answer, _ in _ask_each(ask, flat)] if flat else [])
-            yield pd.Series([[next(got) for _ in row] for row in batch], index=batch.index)
+            flat = [p for row in batch for p in row if p is not None]
+            got = iter(_ask_each(ask, flat) if flat else [])
+            yield pd.Series(
+                [[_verdict(*((None, None) if p is None else next(got))) for p in row] for row in batch],
+                index=batch.index,
+            )
 
     return run.asNondeterministic()(prompts)
 
@@ -184,7 +201,7 @@ def judge(
 ) -> DataFrame:
     """``df`` plus ``verdicts`` (question name, answer, passed) and ``score``, the passes.
 
-    A question that the judge failed on has no ``passed``, and its row no ``score``.
+    A question that the judge failed on has no ``passed``, and its row no ``score`` but a ``judge_error``.
     All questions about a row are asked in one task, so nothing is shuffled.
     """
     names = list(questions)
@@ -208,8 +225,8 @@ def judge(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                F.col("_answers")[i].alias("answer"),
-                says_yes(F.col("_answers")[i]).alias("passed"),
+                F.col("_answers")[i]["answer"].alias("answer"),
+                says_yes(F.col("_answers")[i]["answer"]).alias("passed"),
             )
             for i, name in enumerate(names)
         ]
@@ -219,4 +236,4 @@ def judge(
             ~F.exists("verdicts", lambda v: v["passed"].isNull()),
             F.size(F.filter("verdicts", lambda v: v["passed"])),
         )
-    ).drop("_answers")
+    ).withColumn("judge_error", first_error("_answers")).drop("_answers")

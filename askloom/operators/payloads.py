@@ -174,5 +174,5 @@ def dedup_assessments(
 def pending_reviews(request_ids: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Request ids already in the request log, and those still waited for."""
     ids = request_ids.select("request_id").distinct()
-    logged = log.select(F.col("request.request_id").alias("request_id")).distinct()
+    logged = log.select(F.col("request.request_id").alias("request_id"))
     return ids.join(logged, "request_id", "left_semi"), ids.join(logged, "request_id", "left_anti")

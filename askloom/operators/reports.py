@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from askloom.fixed_values import METRICS
-from askloom.operators.keys import skew_join
 
 
 def avg_metrics_by_run(
@@ -57,7 +56,7 @@ def eval_report(
         F.col("retrieval_assessment")["positional_ratings"]
         .alias("judge_context_relevant_to_question"),
     )
-    return skew_join(left, right, keys, "left")
+    return left.join(right, keys, "left")
 
 
 def _text(df: DataFrame, name: str) -> Column:

@@ -10,7 +10,7 @@ from askloom.fixed_values import ASSESSMENTS, METRIC_KS
 from askloom.functions.prompts import render
 from askloom.functions.text import says_yes
 from askloom.operators.metrics import judged_precision, response_metrics, retrieval_metrics
-from askloom.operators.models import Model, answer_each
+from askloom.operators.models import Model, answer_each, first_error
 from askloom.session import cut
 
 
@@ -84,20 +84,26 @@ def judged_answers(
     run: str,
     app_version: str,
 ) -> DataFrame:
-    """Evaluation rows with ratings and all metric columns."""
+    """Evaluation rows with ratings and all metric columns.
+
+    A row without an answer stays and is not judged: its ratings and judged precisions are null,
+    as are those that the judge failed on (``judge_error``).
+    """
     if "expected_response" not in answers.columns:
         answers = answers.withColumn("expected_response", F.lit(None).cast("string"))
     rows = eval_set.join(
         answers.select("request_id", "response", "expected_response", "retrieval_context"),
-        "request_id",
+        "request_id", "left",
     ).withColumns({"run_url": F.lit(run), "app_version": F.lit(app_version)})
 
     of_response = [a for a in ASSESSMENTS if a != PER_CHUNK]
     chunks = F.coalesce(F.col("retrieval_context"), F.array().cast(
         "array<struct<chunk_id:string,doc_uri:string,content:string>>"))
 
+    answered = F.col("response").isNotNull()
+
     def prompt(name: str, context):
-        return render(
+        return F.when(answered, render(
             ASSESSMENT_TEMPLATE,
             {
                 "question": F.lit(ASSESSMENT_QUESTIONS[name]),
@@ -105,7 +111,7 @@ def judged_answers(
                 "context": context,
                 "response": F.col("response"),
             },
-        )
+        ))
 
     whole = F.array_join(F.transform(chunks, lambda c: c["content"]), "\n")
     prompts = F.concat(
@@ -116,11 +122,12 @@ def judged_answers(
     judged = (
         rows.withColumn("_answers", answer_each(prompts, model))
         .withColumn("ratings", F.struct(
-            *[says_yes(F.col("_answers")[i]).alias(name) for i, name in enumerate(of_response)]
-        ))
-        .withColumn("positional_ratings", F.transform(
-            F.slice("_answers", F.lit(n + 1), F.size("_answers")), says_yes
+            *[says_yes(F.col("_answers")[i]["answer"]).alias(name) for i, name in enumerate(of_response)]
         ))
+        .withColumn("positional_ratings", F.when(answered, F.transform(
+            F.slice("_answers", F.lit(n + 1), F.size("_answers")), lambda a: says_yes(a["answer"])
+        )))
+        .withColumn("judge_error", first_error("_answers"))
         .drop("_answers")
     )
     return judged_precision(retrieval_metrics(response_metrics(judged)))

@@ -38,7 +38,8 @@ def propose_categories(
 ) -> list[str]:
     """A short list of distinct clean category names, asked for one by one on the driver.
 
-    Each request names the categories so far, and there are about ten of them in all.
+    Each request names the categories so far, and there are about ten of them in all. Fewer than
+    ``minimum`` after ``max_calls`` requests is an error.
     """
     def clean(name: str) -> str:
         return "".join(c for c in name if c.isascii() and c.isalpha() or c.isspace())
@@ -51,6 +52,8 @@ def propose_categories(
         name = clean(ask([prompt])[0])
         if name and name not in found:
             found.append(name)
+    if len(found) < minimum:
+        raise RuntimeError(f"{len(found)} categories of {minimum} after {max_calls} requests")
     return found
 
 

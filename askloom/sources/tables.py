@@ -16,10 +16,16 @@ def read_source(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_csv_source(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with a header; quoted fields may hold line breaks and doubled quotes."""
+def read_csv_source(
+    spark: SparkSession, path: str, schema: str | T.StructType, *, multi_line: bool = True
+) -> DataFrame:
+    """CSV with a header; quoted fields may hold line breaks and doubled quotes.
+
+    With ``multi_line`` a file is read by one task. Without it files are split, and no field may
+    hold a line break.
+    """
     return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST"
+        path, schema=schema, header=True, multiLine=multi_line, quote='"', escape='"', mode="FAILFAST"
     )
 
 

@@ -141,7 +141,7 @@ def q_retrieval_metrics_label(spark, sf):
         category="label",
     )
     marked = mark_relevant(hits.join(asked, "query_key"), category="label")
-    return rounded_metrics(ranked_metrics(marked), "query_key")
+    return rounded_metrics(ranked_metrics(marked, asked), "query_key")
 
 
 def evaluation_rows(spark, sf):
@@ -287,7 +287,7 @@ def q_evaluate_run(spark, sf):
     """Retrieve, answer, judge and score; each question expects its own document."""
     index, questions = vector_index(spark, sf), vector_questions(spark, sf)
     chunk = F.struct(
-        F.substring("request_id", 2, 100).alias("chunk_id"), F.lit(None).cast("string").alias("doc_uri"),
+        F.expr("substring(request_id, 2)").alias("chunk_id"), F.lit(None).cast("string").alias("doc_uri"),
         F.lit(None).cast("string").alias("content"),
     )
     eval_set = questions.select(

@@ -12,7 +12,7 @@ from askloom.operators.metrics import (
 from askloom.operators.reports import (
     avg_metrics_by_run, compare_systems, eval_report, json_rows, mean_score, metrics_long, report_rows,
 )
-from askloom.plans.evaluation import build_eval_set
+from askloom.plans.evaluation import build_eval_set, judged_answers
 from askloom.workload.evaluation import evaluation_tables
 
 CHUNKS = "array<struct<chunk_id:string,doc_uri:string,content:string>>"
@@ -87,13 +87,53 @@ def test_category_form_equals_listing_the_category(spark):
 
 def test_judged_precision(spark):
     df = spark.createDataFrame(
-        [(1, [True, False, None, True]), (2, []), (3, None)], "id int, positional_ratings array<boolean>"
+        [(1, [True, False, None, True]), (2, []), (3, None), (4, [True, False, True])], "id int, positional_ratings array<boolean>"
     )
     got = {r.id: r for r in judged_precision(df).collect()}
     assert got[1].llm_judged_precision_at_1 == 1
-    assert got[1].llm_judged_precision_at_3 == pytest.approx(1 / 3)
-    assert got[1].llm_judged_precision_at_5 == pytest.approx(2 / 5)
-    assert got[2].llm_judged_precision_at_10 == 0 and got[3].llm_judged_precision_at_10 == 0
+    assert got[1].llm_judged_precision_at_3 is None and got[1].llm_judged_precision_at_5 is None
+    assert got[2].llm_judged_precision_at_10 == 0 and got[3].llm_judged_precision_at_10 is None
+    assert got[4].llm_judged_precision_at_3 == pytest.approx(2 / 3)
+    assert got[4].llm_judged_precision_at_5 == pytest.approx(2 / 5)
+
+
+def test_questions_without_hits(spark):
+    hits = spark.createDataFrame([(1, 1, True, 2)], "query_key int, rank int, relevant boolean, n_expected int")
+    asked = spark.createDataFrame([(1, 2), (2, 1), (3, 0)], "query_key int, n_expected int")
+    got = {
+        r.query_key: (r.ground_truth_precision_at_1, r.ground_truth_recall_at_1, r.ground_truth_ndcg_at_1)
+        for r in ranked_metrics(hits, asked).collect()
+    }
+    assert got == {1: (1.0, 0.5, 1.0), 2: (0.0, 0.0, 0.0), 3: (0.0, None, None)}
+    assert ranked_metrics(hits).count() == 1
+
+
+def test_rows_without_an_answer_are_not_judged(spark):
+    eval_set = spark.createDataFrame(
+        [(i, "q", chunks(["c1"])) for i in ("a", "b", "c", "d")],
+        f"request_id string, request string, expected_retrieval_context {CHUNKS}",
+    )
+    answers = spark.createDataFrame(
+        [("a", "fine", chunks(["c1"])), ("b", None, chunks(["c1"])), ("d", "broken", chunks(["c1"]))],
+        f"request_id string, response string, retrieval_context {CHUNKS}",
+    )
+
+    def strict():
+        def ask(prompts):
+            if any("broken" in p for p in prompts):
+                raise ValueError("no verdict")
+            return ["yes"] * len(prompts)
+
+        return ask
+
+    judged = judged_answers(eval_set, answers, strict, run="r", app_version="1")
+    got = {r.request_id: r for r in judged.collect()}
+    assert set(got) == {"a", "b", "c", "d"}
+    assert got["a"].ratings.harmful is True and got["a"].llm_judged_precision_at_1 == 1
+    for i in "bcd":
+        assert got[i].ratings.harmful is None and got[i].llm_judged_precision_at_1 is None
+    assert got["d"].judge_error == "ValueError: no verdict"
+    assert got["a"].judge_error is None and got["b"].judge_error is None
 
 
 def test_response_metrics(spark):

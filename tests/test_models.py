@@ -162,6 +162,8 @@ def test_proposed_categories():
     answers = iter(["Fuel leak!", "Fuel leak", "1. Rust"] + [f"Cat {c}" for c in "abcdefghij"])
     got = propose_categories(lambda ps: [next(answers)], "engines", ["Worn 2 belt"], minimum=4)
     assert got == ["Worn  belt", "Fuel leak", " Rust", "Cat a"]
+    with pytest.raises(RuntimeError, match="1 categories of 4 after 3 requests"):
+        propose_categories(lambda ps: ["Rust"], "engines", ["Rust"], minimum=4, max_calls=3)
 
 
 def test_tickets(spark):
