@@ -9,11 +9,13 @@ Candidates. ``BANDS`` bands of ``ROWS`` coordinates; two texts at the threshold
 probability 5e-8. Equal shingle sets are one class from the start and only its smallest id goes on.
 A bucket of up to ``SMALL`` members gives all its pairs, at most 15 per member. A larger one is
 compared with five of its members: the most central (whose buckets are the fullest) and one by hash.
-Where that leaves different components in a bucket, its members are dealt anew by one more band,
-at first in several ways, again and again until every bucket is small, of one component, or so but for
-a few members, which are then compared with all of it. So a
-group of copies costs a few comparisons per member, and a passage that many texts share falls apart
-into small buckets. No pair is emitted for members that are already connected.
+The members of the large buckets that this leaves in different components are
+compared completely, by a prefix filter on their whole shingle sets: with the shingles in one order
+for all, rarest first, two sets at the threshold share one among the first fifth of the larger and the
+first ninth of the smaller. Shingles whose owners are connected are passed over; the owners outside a
+shingle's main component are joined with all its owners, in blocks of ``BLOCK``, and a pair whose
+places rule the threshold out is dropped there. So a group of copies costs a few comparisons per
+member, and a passage that many texts share is no reason to compare them.
 
 Links. Candidates whose signatures agree in less than 0.64 of the coordinates (over four deviations
 below the threshold) are dropped; for the rest the whole shingle sets are compared. At first each text
@@ -33,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType
@@ -46,10 +49,10 @@ BANDS = COORDINATES // ROWS
 PLACES_BITS = 20
 SMALL = 16
 HUBS = 4
-#: So many members outside a bucket's main component are compared with all of it.
-FEW = 4
-#: Ways in which a large mixed bucket is dealt anew, by each further band.
-FAN_OUT = (4, 2)
+#: Counters of shingles; two that share one only disturb the order, which is the same for all sets.
+COUNTER_BITS = 18
+#: So many owners of a shingle are met with the outsiders in one place.
+BLOCK = 2048
 #: Least share of equal coordinates of a candidate.
 ESTIMATE = 0.64
 SEED = 20240229
@@ -112,6 +115,43 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(view(x), view(y), assume_unique=True)) for x, y in zip(a, b)])
 
 
+def _needed(n: int, percent: int) -> int:
+    """Common shingles that a set of ``n`` needs with any set."""
+    return -(-percent * n // 100)
+
+
+def _needed_as_smaller(n: int, percent: int) -> int:
+    """Common shingles that a set of ``n`` needs with one at least as large."""
+    return -(-2 * percent * n // (100 + percent))
+
+
+def _counts(batches):
+    """``slot, c``: how many sets of a task hold a shingle that falls on the counter."""
+    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for batch in batches:
+        for v in batch.column("shingles"):
+            slots = np.frombuffer(v.as_py(), dtype=np.uint64) >> np.uint64(64 - COUNTER_BITS)
+            total += np.bincount(slots.astype(np.int64), minlength=len(total))
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "c"])
+
+
+def _prefix(counts, percent: int):
+    def make():
+        total = counts.value
+
+        def run(doc, data):
+            s = np.frombuffer(data, dtype=np.uint64)
+            often = total[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+            first = s[np.lexsort((s, often))][: len(s) - _needed(len(s), percent) + 1]
+            core = len(s) - _needed_as_smaller(len(s), percent) + 1
+            return doc, len(s), core, first.view(np.int64).tolist()
+
+        return run
+
+    return make
+
+
 def _sized(small: Column, large: Column, percent: int) -> Column:
     """Sets so different in size cannot reach the threshold."""
     return 100 * F.least(small, large) >= percent * F.greatest(small, large)
@@ -122,7 +162,7 @@ class _Linker:
 
     def __init__(self, nodes: DataFrame, percent: int):
         self.nodes, self.percent = nodes, percent
-        self.sets = self.tested = self.labels = self.waiting = None
+        self.sets = self.tested = self.labels = None
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``a, b`` (a < b) not seen before whose signatures agree well enough, with ``agree``."""
@@ -142,8 +182,6 @@ class _Linker:
 
     def verify(self, likely: DataFrame) -> None:
         """Compare the pairs; at first each text with its best candidate, which settles most others."""
-        if self.labels is not None:
-            return self.compare(likely)
         best = likely.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
         best = staged(best.select(F.col("best.a").alias("a"), "b"), "best")
         self.compare(best)
@@ -197,71 +235,78 @@ class _Linker:
             & (F.col("x.component") != F.col("y.component"))
         ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
-    def pairs_with_hubs(self, members: DataFrame, depth: int) -> DataFrame:
+    def pairs_with_hubs(self, members: DataFrame) -> DataFrame:
         """Every member of a large bucket with the HUBS most central and one other of the bucket."""
         score = members.groupBy("id").agg(F.sum("c").alias("score"))
         scored = members.join(score, "id")
         near = Window.partitionBy("key").orderBy(F.desc("score"), F.xxhash64("id"))
-        # One order for all buckets of a level: those of one group mostly pick the same member.
-        far = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(depth)))
+        # One order for all buckets: those of one group mostly pick the same member.
+        far = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(0)))
         who = F.struct("id", "n", "component").alias("h")
         pick = lambda w, k: scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
         hubs = pick(near, HUBS).select("key", who).unionByName(pick(far, 1).select("key", who)).distinct()
-        return self._ordered(members.join(hubs, "key"))
-
-    def _ordered(self, joined: DataFrame) -> DataFrame:
-        return joined.where(
+        return members.join(hubs, "key").where(
             (F.col("component") != F.col("h.component")) & _sized(F.col("n"), F.col("h.n"), self.percent)
         ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
 
-    def level(
-        self, members: DataFrame, depth: int, texts: Callable[[DataFrame], DataFrame] | None = None
-    ) -> DataFrame | None:
-        """Verify the candidates of one set of buckets; the large ones that stay mixed, or None.
+    def link(self, members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> None:
+        """Verify the candidates of all buckets; ``members`` has ``id, n, component, key``.
 
-        ``members`` has ``id, n, component, last, key``. ``texts`` makes the shingle sets of ids, for
-        all levels at once: of candidates and of everything in a large bucket.
+        ``texts`` makes the shingle sets of ids: of candidates and of everything in a large bucket.
         """
         counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         shared = staged(members.join(counts, "key"), "buckets")
         small = shared.where(F.col("c") <= SMALL)
         large = shared.where(F.col("c") > SMALL)
-        pairs = self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large, depth))
-        if self.waiting is not None:
-            pairs = pairs.unionByName(self.waiting)
-        likely = self.likely(pairs.distinct())
-        if texts is not None:
-            ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id")))
-            self.sets = staged(texts(ids.unionByName(large.select("id")).distinct()), "sets")
+        likely = self.likely(self.pairs_of_small(small).unionByName(self.pairs_with_hubs(large)).distinct())
+        ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id")))
+        self.sets = staged(texts(ids.unionByName(large.select("id")).distinct()), "sets")
         self.verify(likely)
         large = self.labelled(large)
-        parts = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-        odd = F.sum("m") - F.max("m")
+        mixed = large.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low <> high")
+        left = staged(large.join(mixed, "key", "left_semi").select("id").distinct(), "mixed")
+        if not left.isEmpty():
+            self.verify(self.likely(self.pairs_by_prefix(left)))
+
+    def pairs_by_prefix(self, ids: DataFrame) -> DataFrame:
+        """All pairs of ``ids`` that can reach the threshold, but for those connected already."""
+        sets = staged(self.sets.join(ids, "id", "left_semi"), "mixed-sets")
+        counted = sets.select("shingles").mapInArrow(_counts, "slot long, c long")
+        got = counted.groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+        total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+        total[got["slot"].to_numpy()] = got["c"].to_numpy()
+        kind = dict(sets.dtypes)["id"]
+        prefixes = map_rows(
+            sets.select("id", "shingles"), _prefix(sets.sparkSession.sparkContext.broadcast(total), self.percent),
+            f"id {kind}, n int, core int, firsts array<long>",
+        )
+        rows = staged(
+            self.labelled(prefixes).select("id", "n", "core", "component", F.posexplode("firsts").alias("at", "key")),
+            "prefixes",
+        )
+        parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
         mixed = parts.groupBy("key").agg(
-            odd.alias("odd"), F.max(F.struct("m", "component")).getField("component").alias("main")
-        ).where("odd > 0")
-        left = staged(large.join(mixed, "key"), "mixed")
-        # A few members outside the main component: each of the bucket is compared with them, at once.
-        few = left.where(F.col("odd") <= FEW)
-        queries = few.where("component <> main").select("key", F.struct("id", "n", "component").alias("h"))
-        self.waiting = self._ordered(few.join(queries, "key"))
-        many = left.where(F.col("odd") > FEW).drop("odd", "main")
-        if not many.isEmpty():
-            return many
-        self.verify(self.likely(self.waiting.distinct()))
-        return None
-
-    def deeper(self, mixed: DataFrame, fan_out: int) -> DataFrame:
-        """The members of mixed buckets, dealt by one more band, in ``fan_out`` ways."""
-        ways = F.explode(F.sequence(F.lit(1), F.lit(fan_out)))
-        return mixed.join(self.nodes.select("id", "bands"), "id").select(
-            "id", "n", "component", "key", "bands", "last", ways.alias("way")
-        ).select(
-            "id", "n", "component", F.pmod(F.col("last") + F.col("way"), F.lit(BANDS)).alias("last"), "key", "bands"
-        ).select(
-            "id", "n", "component", "last",
-            F.xxhash64("key", "last", F.element_at("bands", F.col("last") + 1)).alias("key"),
+            F.sum("m").alias("c"), F.max(F.struct("m", "component")).alias("main")
+        ).where("c > main.m").select(
+            "key", F.col("main.component").alias("main"), F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")
+        )
+        met = staged(rows.join(mixed, "key"), "met")
+        salt = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("salt")
+        owners = met.select("key", salt, "id", "n", "core", "component", "main", "at")
+        outsiders = met.where("component <> main").select(
+            "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
+            F.struct("id", "n", "core", "component", "at").alias("h"),
         )
+        mine = F.struct("n", "id") < F.struct("h.n", "h.id")
+        most = F.least("at", "h.at") + 1 + F.least(F.col("n") - F.col("at"), F.col("h.n") - F.col("h.at")) - 1
+        return owners.join(outsiders, ["key", "salt"]).where(
+            (F.col("component") != F.col("h.component")) & ((F.col("component") == F.col("main")) | mine)
+            & _sized(F.col("n"), F.col("h.n"), self.percent)
+            & (F.when(mine, F.col("at") < F.col("core")).otherwise(F.col("h.at") < F.col("h.core")))
+            & ((100 + self.percent) * most.cast("long") >= self.percent * (F.col("n") + F.col("h.n")).cast("long"))
+        ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -297,13 +342,9 @@ def near_duplicates(
 
     linker = _Linker(nodes, percent)
     members = nodes.select(
-        "id", "n", F.col("id").alias("component"), F.posexplode("bands").alias("last", "key")
+        "id", "n", F.col("id").alias("component"), F.explode("bands").alias("key")
     )
-    mixed = linker.level(members, 0, texts)
-    for depth in range(BANDS - 1):
-        if mixed is None:
-            break
-        mixed = linker.level(linker.deeper(mixed, FAN_OUT[depth] if depth < len(FAN_OUT) else 1), depth + 1)
+    linker.link(members, texts)
     own = (
         classes.join(linker.labels.withColumnRenamed("node", "first"), "first", "left")
         .select("n", "d1", "d2", F.coalesce("component", "first").alias("component"))

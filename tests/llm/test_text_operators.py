@@ -271,3 +271,40 @@ def test_lm_scores(spark):
 
 def test_items_digest():
     assert decontamination.items_digest(["1", "12"]) == hashlib.sha256(b"1,12").hexdigest()
+
+
+def test_pairs_in_large_mixed_buckets(spark):
+    # Pairs just above 0.8 among texts that all are at 0.76, so that no band keeps them apart.
+    passage = prose(900, 250)
+    rows = []
+    for k in range(350):
+        own = prose(1000 + k, 36)
+        rows += [" ".join(passage + own), " ".join([*passage, *own[:8], *prose(5000 + k, 28)])]
+    sets = [near_dedup.shingle_set(t.encode(), 4) for t in rows]
+    values, places = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros((len(sets), len(values)), dtype=np.float32)
+    held[np.repeat(np.arange(len(sets)), list(map(len, sets))), places] = 1
+    common, sizes = held @ held.T, held.sum(axis=1)
+    linked = 180 * common >= 80 * (sizes[:, None] + sizes[None, :])
+    assert {(i, j) for i, j in np.argwhere(linked).tolist()} == {(i, j) for i in range(700) for j in (i, i ^ 1)}
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(table(spark, rows), words=4).collect()}
+    assert got == {i: i - i % 2 for i in range(700)}
+
+
+def test_prefixes_give_every_pair(spark, monkeypatch):
+    # One bucket for all: whatever the bands say, the prefix filter alone finds the links.
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    passage = prose(900, 60)
+    rows = [" ".join([*passage, *prose(s // 3, 60)[: 60 - 4 * (s % 3)]]) for s in range(30, 120)]
+    sets = [near_dedup.shingle_set(t.encode(), 4) for t in rows]
+    linker = near_dedup._Linker(None, 80)
+    data = [(i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    linker.sets = spark.createDataFrame(data, "id long, shingles binary")
+    linker.labels = spark.createDataFrame([], "node long, component long")
+    got = {tuple(r) for r in linker.pairs_by_prefix(linker.sets.select("id")).collect()}
+    common = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+    want = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 180 * common(i, j) >= 80 * (len(sets[i]) + len(sets[j]))
+    }
+    assert len(want) > 60 and want <= got
