@@ -15,16 +15,32 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality_rules.quality_rules(docs).where(F.col("kept")).select("doc_id").distinct()
-    return docs.join(judged, "doc_id", "left_semi")
+    """The rows that the quality rules keep, whatever their id."""
+    row = new_name(docs, "_row")
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    judged = quality_rules.quality_rules(numbered.select(row, "text", "lang", "source"), id_col=row)
+    kept = judged.where(F.col("kept")).select(row)
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one with the smallest id."""
-    classes = near_dedup.near_duplicates(docs)
-    gone = classes.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each near-duplicate class, one with the smallest id; rows without an id stay.
+
+    Rows are numbered in the order of their ids, so that each is judged for itself.
+    """
+    row, place = new_name(docs, "_row"), new_name(docs, "_place")
+    ordered = docs.withColumn(place, F.monotonically_increasing_id()).sort("doc_id", F.xxhash64("text"), place)
+    numbered = staged(ordered.drop(place).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    named = F.when(F.col("doc_id").isNotNull(), F.col(row)).alias(row)
+    classes = near_dedup.near_duplicates(numbered.select(named, "text"), id_col=row)
+    gone = classes.where(~F.col("kept")).select(row)
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
+
+
+def new_name(docs: DataFrame, name: str) -> str:
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

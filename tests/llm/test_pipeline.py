@@ -28,3 +28,20 @@ def test_stages(spark):
     assert not any(pii.base_spans(r["text"] or "") for r in kept[4].collect())
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in pieces} == ids[-1]
+
+
+def test_stages_judge_rows_with_null_and_repeated_ids(spark, tmp_path):
+    bad = "too short"
+    good = [" ".join(f"w{k}x{i * i % 97}y{i}" for i in range(60)) for k in range(3)]
+    rows = [(None, good[0]), (None, bad), (1, good[1]), (1, bad), (2, good[2]), (2, good[2]), (3, good[2])]
+    data = [(i, t, "en", "s", len(t)) for i, t in rows]
+    docs = spark.createDataFrame(data, table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, SF, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = lambda d: sorted(((r["doc_id"], r["text"]) for r in d.collect()), key=str)
+    clean = corpus_pipeline.quality(spark, docs, SF)
+    assert texts(clean) == sorted([r for r in rows if r[1] != bad], key=str)
+    unique = corpus_pipeline.near_duplicates(spark, clean, SF)
+    assert texts(unique) == sorted([(None, good[0]), (1, good[1]), (2, good[2])], key=str)
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == {None, 1, 2}
