@@ -10,8 +10,8 @@ host. The hosts that share a parent domain refer to it and it to them, as subdom
 home pages, so that sites without outside links are tied together too. A seed's weight is the share of
 its urls that the rules decide, so a few odd pages do not condemn a host. Only hosts and weighted
 edges between them enter the iteration, a join and a sum per step; a host with a third of all links
-is one row of a sum. Scores are rounded to whole billionths in each step, so they do not depend on
-the order of sums.
+is one row of a sum. Scores are decimals with 18 places of a billionth, so their sums do not depend
+on the order and no edge's part is lost on a large graph; only the scores given out are whole billionths.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no rule and is
 allowed; a host never linked has no score and is allowed; repeated pages are judged each for itself;
@@ -48,6 +48,7 @@ STEPS = 8
 STAY = 0.85
 MARGIN = 1.5
 UNIT = 1_000_000_000
+SCORE = "decimal(38,18)"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -92,16 +93,17 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, *, steps: int = STEPS, stay: float = STAY) -> DataFrame:
-    """Personalised PageRank ``host, score`` in whole billionths; ``seeds`` has ``host, weight`` (weights add to about UNIT)."""
+    """Personalised PageRank ``host, score`` in billionths; ``seeds`` has ``host, weight`` (weights add to about UNIT)."""
     total = edges.groupBy("src").agg(F.sum("n").alias("out"))
     shares = staged(edges.join(total, "src").select("src", "dst", "n", "out"), "shares")
-    rank = seeds.select("host", F.col("weight").alias("score"))
-    home = seeds.select("host", F.floor(F.col("weight") * (1 - stay)).alias("score"))
+    part = lambda c, by: (F.col(c).cast("double") * by).cast(SCORE).alias("score")
+    rank = seeds.select("host", F.col("weight").cast(SCORE).alias("score"))
+    home = seeds.select("host", part("weight", 1 - stay))
     for step in range(steps):
         moved = rank.join(shares, rank["host"] == shares["src"]).select(
-            F.col("dst").alias("host"), F.floor(F.col("score") * stay * F.col("n") / F.col("out")).alias("score")
+            F.col("dst").alias("host"), part("score", stay * F.col("n") / F.col("out"))
         )
-        rank = moved.unionByName(home).groupBy("host").agg(F.sum("score").alias("score"))
+        rank = moved.unionByName(home).groupBy("host").agg(F.sum("score").cast(SCORE).alias("score"))
         if step % 4 == 3:
             rank = staged(rank, "rank")
     return rank
@@ -112,12 +114,12 @@ def seeds_of(pages: DataFrame, verdict: str) -> DataFrame:
     ruled = F.count(F.when(F.col("rule.verdict") == verdict, True))
     hosts = staged(
         pages.where("host <> ''").groupBy("host").agg(
-            F.floor(ruled * UNIT / F.count(F.lit(1))).alias("share")
+            (ruled / F.count(F.lit(1))).cast(SCORE).alias("share")
         ).where("share > 0"),
         "seeds",
     )
-    total = hosts.agg(F.sum("share")).first()[0] or 1
-    return hosts.select("host", F.floor(F.col("share") / total * UNIT).alias("weight"))
+    total = float(hosts.agg(F.sum("share")).first()[0] or 1)
+    return hosts.select("host", (F.col("share").cast("double") / total * UNIT).cast(SCORE).alias("weight"))
 
 
 def judge_urls(
@@ -138,15 +140,15 @@ def judge_urls(
     scores = staged(
         trust.withColumnRenamed("score", "trust")
         .join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
-        .select("host", F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust")),
+        .select("host", *(F.coalesce(c, F.lit(0).cast(SCORE)).alias(c) for c in ("trust", "distrust"))),
         "scores",
     )
     judged = ruled.join(scores, "host", "left")
     hosts = max(ruled.where("host <> ''").select("host").distinct().count(), 1)
-    bad = F.col("distrust") > F.col("trust") + int(margin * UNIT / hosts)
+    bad = F.col("distrust") > F.col("trust") + F.lit(margin * UNIT / hosts).cast(SCORE)
     method = F.when(bad, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         id_col, "host", "path", F.col("rule.name").alias("rule"),
         F.coalesce("rule.verdict", method).alias("verdict"),
-        F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust"),
+        *(F.coalesce(F.floor(c).cast("long"), F.lit(0)).cast("long").alias(c) for c in ("trust", "distrust")),
     )
