@@ -31,21 +31,24 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: The transformed statistics and the smallest standard deviation each is credited with: shares
-#: are square roots, so that a few odd characters in a clean text stay near the middle.
+#: are square roots, so that a few odd characters in a clean text stay near the middle. The root of a
+#: share of n units has a noise of 1 / (2 sqrt(n)): 25 lines, and the 50 words of the shortest text. Each
+#: must stay well below 1 / sqrt(limit) = 0.18, or its statistic alone could never reject.
 FEATURES = {
     "log_word_chars": 0.08,
     "root_symbols": 0.04,
     "root_upper": 0.06,
     "root_punct": 0.06,
     "root_digits": 0.06,
-    "root_dup_lines": 0.15,
-    "root_repeat": 0.15,
+    "root_dup_lines": 0.1,
+    "root_repeat": 0.07,
 }
 CORE = 0.75
 STEPS = 6
 MIN_GROUP = 100
-#: Share of clean documents that a normal model would keep.
-KEEP_QUANTILE = 1 - 1e-9
+#: Share of clean documents that a normal model would keep: one in 10,000 is lost, and a text of four
+#: lines with one of them twice stays.
+KEEP_QUANTILE = 0.9999
 BINS_PER_OCTAVE = 8
 
 STATS = (

@@ -104,6 +104,23 @@ def test_quality_rules(spark):
     assert quality_rules.quality_rules(table(spark, rows).limit(0)).collect() == []
 
 
+def test_quality_rules_reject_duplicate_lines_and_repetition(spark):
+    lined = lambda w, k: "\n".join(" ".join(w[i: i + k]) for i in range(0, len(w), k))
+    clean = [lined(prose(s, 100), 10) for s in range(300)]
+    # Lines of two words: duplicates of lines without repeated windows of three words.
+    short = [["a" + str(s), "b"] for s in range(10)]
+    copied = []
+    for s, pair in enumerate(short):
+        w = prose(400 + s, 60)
+        copied.append("\n".join(x for i in range(60) for x in (" ".join(pair), w[i] + " y" + str(i))))
+    repeated = [lined([*prose(500 + s, 75), *prose(500 + s, 75)[:25]], 10) for s in range(10)]
+    rows = clean + copied + repeated
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(table(spark, rows)).collect()}
+    assert all(got[i]["kept"] for i in range(300))
+    assert not any(got[i]["base_failed"] for i in range(len(rows)))
+    assert not any(got[i]["kept"] for i in range(300, len(rows)))
+
+
 def test_chi_square():
     assert abs(quality_rules.chi2_quantile(0.95, 6) - 12.5916) < 1e-3
     assert abs(quality_rules.chi2_cdf(12.5916, 6) - 0.95) < 1e-5
