@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from askloom.llm import (
-    archives, decontamination, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, sharding,
-    url_filter,
+    archives, decontamination, divergence, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules,
+    sharding, url_filter,
 )
 from askloom.llm.registry import query, table
 
@@ -169,3 +169,40 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query("op12_divergence", r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (SELECT r, lang, source, unnest(w) AS term FROM split
+), kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), sizes AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source
+), groups AS (SELECT DISTINCT lang, source FROM split
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (coalesce(s.n, 0) + l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 1)) // (l.n + l.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def op12(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
