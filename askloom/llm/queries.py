@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from askloom.llm import (
-    archives, decontamination, divergence, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules,
-    sharding, url_filter,
+    archives, decontamination, divergence, language_id, lm_scoring, near_dedup, packing, pii, quality_classifier,
+    quality_rules, sharding, url_filter,
 )
 from askloom.llm.registry import query, table
 
@@ -206,3 +206,8 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """)
 def op12(spark, sf_dir):
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_language_id")
+def op13(spark, sf_dir):
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
