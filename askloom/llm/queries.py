@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from askloom.llm import (
-    archives, decontamination, divergence, language_id, lm_scoring, near_dedup, packing, pii, quality_classifier,
-    quality_rules, sharding, url_filter,
+    archives, conversation_repair, decontamination, divergence, language_id, lm_scoring, near_dedup, packing, pii,
+    quality_classifier, quality_rules, sharding, url_filter,
 )
 from askloom.llm.registry import query, table
 
@@ -171,6 +171,100 @@ def op10(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+# The SQL of op11 carries, for each role written last, the cheapest (cost, audit, lines) through a conversation.
+WAY = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+
+
+def _edit(state: str, edit: str, cost: str, line: str | None = None, when: str = "true") -> str:
+    lines = f"{state}.r" if line is None else f"list_append({state}.r, {line})"
+    made = f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': {lines}}}::{WAY}"
+    return f"CASE WHEN {state}.c IS NOT NULL AND {when} THEN {made} END"
+
+
+def _best(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _turn(state: str, x: str) -> str:
+    """The states after the turn ``x``; inserts before it are made already."""
+    own, user, assistant = f"{x}.role || ':' || {x}.text", f"'user:' || {x}.text", f"'assistant:' || {x}.text"
+    stay = {k: _edit(f"{state}.s{k}", "D", "3") for k in range(4)}
+    keep = lambda k, i: _edit(f"{state}.s{k}", "K", f"{x}.extra", own, f"NOT {x}.gone AND {x}.i = '{i}'")
+    rerole = lambda k, line: _edit(f"{state}.s{k}", "R", f"(2 + {x}.extra)", line, f"NOT {x}.gone")
+    return f"""{{'s0': {stay[0]}, 's1': {_best(stay[1], keep(0, "s"))},
+      's2': {_best(stay[2], *(f for k in (0, 1, 3) for f in (keep(k, "u"), rerole(k, user))))},
+      's3': {_best(stay[3], keep(2, "a"), rerole(2, assistant))}}}"""
+
+
+def _inserted(state: str) -> str:
+    user = _best(f"{state}.s2", *(_edit(f"{state}.s{k}", "I", "2", "'user:'") for k in (0, 1, 3)))
+    again = _edit(f"({user})", "I", "2", "'assistant:'")
+    return f"{{'s0': {state}.s0, 's1': {state}.s1, 's2': {user}, 's3': {_best(f'{state}.s3', again)}}}"
+
+
+START = f"{{'s0': {{'c': 0, 'a': '', 'r': []}}::{WAY}, " + ", ".join(f"'s{k}': NULL::{WAY}" for k in (1, 2, 3)) + "}"
+
+
+@query("op11_conversation_repair", rf"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS step
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+    list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+    lambda c, b: xor(step[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS i,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM damaged
+), seen AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY place) || i NOT IN ('su', 'ua', 'au') AS odd
+  FROM placed
+), gathered AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+    count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated, count(*) FILTER (odd) AS illegal,
+    list({{'i': i, 'gone': blank OR again, 'extra': CAST(cut AS BIGINT), 'role': role, 'text': text}} ORDER BY place) AS turns
+  FROM seen GROUP BY conv_id
+), folded AS (
+  SELECT * EXCLUDE (turns), list_reduce(
+    list_append(flatten(list_transform(turns, lambda t: [{{'s': {START}, 'x': NULL}}, {{'s': {START}, 'x': t}}])),
+      {{'s': {START}, 'x': NULL}}),
+    lambda was, op: {{'s': CASE WHEN op.x IS NULL THEN {_inserted("was.s")} ELSE {_turn("was.s", "op.x")} END, 'x': op.x}},
+    {{'s': {START}, 'x': turns[1]}}).s AS s FROM gathered
+), best AS (SELECT * EXCLUDE (s), {_best("s.s0", "s.s3")} AS w FROM folded)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w.c, 0) AS cost,
+  coalesce(w.a, '') AS audit, sha256(coalesce(array_to_string(w.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op11(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    repair = conversation_repair.repair_conversations(conversation_repair.damaged(turns))
+    digests = conversation_repair.text_digests(repair.turns)
+    named = lambda df: df.withColumnRenamed("conv_id", "_id")
+    same = F.col("conv_id").eqNullSafe(F.col("_id"))
+    kept = turns.select("conv_id").distinct().join(named(repair.conversations), same, "left").drop("_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return kept.join(named(digests), same, "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("op12_divergence", r"""
 WITH split AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
