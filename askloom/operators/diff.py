@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def _digest(columns: Sequence[str]):
+def row_digest(columns: Sequence[str]):
     """One short value per row, so that old rows travel as 64 bytes and not as texts."""
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
@@ -22,8 +22,8 @@ def snapshot_diff(
     """
     values = [c for c in new.columns if c != key]
     compare = list(compare) if compare is not None else values
-    before = old.select(key, _digest(compare).alias("_old"))
-    after = new.withColumn("_new", _digest(compare))
+    before = old.select(key, row_digest(compare).alias("_old"))
+    after = new.withColumn("_new", row_digest(compare))
     op = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")

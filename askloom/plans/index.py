@@ -9,13 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from askloom.operators.chunking import chunk_separator, chunk_tokens
-from askloom.operators.diff import apply_changes, snapshot_diff
+from askloom.operators.diff import apply_changes, row_digest, snapshot_diff
 from askloom.operators.embedding import TextEmbedder, embed
 from askloom.operators.keys import first_per_key
 from askloom.session import cut
+from askloom.sources.versions import (
+    Version, create_version, read_version, replace_partitions, touched_prefixes, version_of,
+)
 
 Embedder = PipelineModel | Callable[[], TextEmbedder] | None
 INDEXED = ["doc_uri", "category", "content"]
@@ -78,3 +81,57 @@ def sync_index(
     # Holds model output and is read twice: written once.
     changes = cut(embed(changes, "content", embedder=embedder))
     return apply_changes(index, changes, key="chunk_id")
+
+
+# --- the stored index ------------------------------------------------------------------
+
+STORED = ["chunk_id", *INDEXED, "digest", "embedding"]
+
+
+def _with_digest(rows: DataFrame) -> DataFrame:
+    """The rows and one short value of what is compared, so that a sync reads no stored texts."""
+    return rows.withColumn("digest", row_digest(INDEXED))
+
+
+def create_or_sync_index(
+    spark: SparkSession,
+    chunks: DataFrame,
+    path: str,
+    *,
+    embedder: Embedder,
+    id_col: str = "chunk_id",
+    uri_col: str = "doc_uri",
+    category_col: str = "category",
+    text_col: str = "chunk",
+    prefix_chars: int = 2,
+) -> Version:
+    """Bring the stored index at ``path`` to the state of the chunk table; the first time, create it.
+
+    A sync compares ids and digests, embeds new and changed chunks only, and rewrites only the
+    partitions these fall into. Readers keep the version they opened; without a change
+    there is no new version. ``prefix_chars`` hex characters of the key give the partitions.
+    """
+    rows = _with_digest(unique_chunks(
+        chunks, id_col=id_col, uri_col=uri_col, category_col=category_col, text_col=text_col
+    ))
+    now = version_of(spark, path)
+    if now is None:
+        made = embed(rows, "content", embedder=embedder).select(*STORED)
+        return create_version(made, path, key="chunk_id", prefix_chars=prefix_chars)
+    before = read_version(spark, now).select("chunk_id", "digest")
+    changes = snapshot_diff(before, rows, key="chunk_id", compare=["digest"])
+    # Holds model output and is read twice: written once.
+    changes = cut(embed(changes, "content", embedder=embedder))
+    touched = touched_prefixes(changes, now)
+    if not touched:
+        return now
+    after = apply_changes(read_version(spark, now, touched), changes, key="chunk_id")
+    return replace_partitions(after.select(*STORED), now, touched)
+
+
+def stored_index(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The index as of a version, the current one by default, in the layout of :func:`build_index`."""
+    found = version_of(spark, path, version)
+    if found is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return read_version(spark, found).drop("digest")

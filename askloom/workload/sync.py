@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from askloom.operators.diff import apply_changes, snapshot_diff
 from askloom.operators.payloads import unpack_payloads
-from askloom.plans.index import build_chunks, build_index, sync_index
+from askloom.plans.index import build_chunks, build_index, create_or_sync_index, stored_index, sync_index
 from askloom.session import cut, scratch_path
+from askloom.sources.versions import version_of
+from askloom.streaming.changes import document_states, follow_changes, followed_index
 from askloom.streaming.logs import dedup_latest_stream
 from askloom.streaming.sync import read_index, sync_index_stream
 from askloom.workload.chunks import UNIQUE, chunks_sql
@@ -85,6 +87,107 @@ def q_sync_index(spark, sf):
     return _vectors_out(sync_index(index, build_chunks(now, "text"), embedder=size_vectors))
 
 
+def _index_sql(version: int, docs: str) -> str:
+    """``SELECT`` of the index rows of a document set ``uri, category, text`` under a version number."""
+    return f"""
+    SELECT CAST({version} AS INT) AS version, chunk_id, doc_uri, category, {VECTORS} FROM (
+      {chunks_sql(docs, "uri", "text", 300, 100, ", category")}
+      SELECT chunk_id, uri AS doc_uri, category, chunk AS content FROM (
+        SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY uri, category, chunk_no) AS rn
+        FROM chunks) WHERE rn = 1)"""
+
+
+BEFORE = "(SELECT 'd' || doc_id AS uri, source AS category, text FROM documents)"
+AFTER = """(
+      SELECT 'd' || doc_id AS uri, CASE WHEN doc_id % 50 = 1 THEN 'moved' ELSE source END AS category,
+        CASE WHEN doc_id % 50 = 2 THEN 'Edited. ' || text ELSE text END AS text
+      FROM documents WHERE doc_id % 50 <> 3
+      UNION ALL SELECT 'b' || item_id, 'benchmark', text FROM benchmark)"""
+
+
+@query("index_create_sync", " UNION ALL ".join(_index_sql(v, d) for v, d in [(1, BEFORE), (2, AFTER)]))
+def q_index_create_sync(spark, sf):
+    """Create the stored index, change documents, sync, sync again; both versions as they read then."""
+    docs = load(spark, sf, "documents")
+    uri = F.concat(F.lit("d"), "doc_id").alias("doc_uri")
+    before = docs.select(uri, F.col("source").alias("category"), "text")
+    nth = F.col("doc_id") % 50
+    after = docs.where(nth != 3).select(
+        uri, F.when(nth == 1, "moved").otherwise(F.col("source")).alias("category"),
+        F.when(nth == 2, F.concat(F.lit("Edited. "), "text")).otherwise(F.col("text")).alias("text"),
+    ).union(load(spark, sf, "benchmark").select(F.concat(F.lit("b"), "item_id"), F.lit("benchmark"), "text"))
+    path = scratch_path(spark, "stored-index")
+    for state in (before, after, after):
+        create_or_sync_index(spark, build_chunks(state, "text"), path, embedder=size_vectors)
+    versions = [
+        stored_index(spark, path, n).withColumn("version", F.lit(n)) for n in range(1, version_of(spark, path).number + 1)
+    ]
+    both = versions[0]
+    for later in versions[1:]:
+        both = both.unionByName(later)
+    return both.select(
+        "version", *COLUMNS, F.col("embedding")[0].cast("bigint").alias("n_chars"),
+        F.col("embedding")[1].cast("bigint").alias("n_blanks"),
+    )
+
+
+def change_log(spark, sf):
+    """Three batches: all documents; edits, deletes and a change that comes too late; some come back."""
+    docs = load(spark, sf, "documents")
+    n = F.col("doc_id")
+
+    def batch(rows, number, version, op="upsert", text=F.col("text"), category=F.col("source")):
+        return rows.select(
+            F.lit(number).alias("batch"), F.concat(F.lit("d"), n).alias("doc_uri"), F.lit(version).cast("bigint").alias("version"),
+            F.lit(op).alias("op"), category.alias("category"), text.alias("text"),
+        )
+
+    parts = [
+        batch(docs, 0, 1),
+        batch(docs.where(n % 7 == 3), 1, 2, text=F.concat(F.lit("New: "), "text"), category=F.col("lang")),
+        batch(docs.where(n % 7 == 3), 1, 3, text=F.concat(F.lit("Newer: "), "text"), category=F.col("lang")),
+        batch(docs.where(n % 11 == 5), 1, 4, "delete", text=F.lit(None).cast("string")),
+        batch(docs.where(n % 13 == 1), 1, 0, text=F.lit("too late")),
+        batch(docs.where(n % 22 == 5), 2, 5, text=F.concat(F.lit("Back: "), "text")),
+        batch(docs.where(n % 11 == 5), 2, 2, text=F.lit("older than the delete")),
+    ]
+    log = parts[0]
+    for p in parts[1:]:
+        log = log.unionByName(p)
+    return log
+
+
+def _follow(spark, sf):
+    """Run the log through the stream, one batch after the other."""
+    arrived, path, state = (scratch_path(spark, n) for n in ("changes", "followed-index", "state"))
+    log = change_log(spark, sf)
+    for number in range(3):
+        log.where(F.col("batch") == number).drop("batch").write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(log.drop("batch").schema).parquet(arrived)
+        follow_changes(stream, path, state, text_col="text", embedder=size_vectors).awaitTermination()
+    return path
+
+
+STATES = """(
+      SELECT 'd' || doc_id AS uri, doc_id,
+        CASE WHEN doc_id % 22 = 5 THEN 5 WHEN doc_id % 11 = 5 THEN 4 WHEN doc_id % 7 = 3 THEN 3 ELSE 1 END AS version,
+        doc_id % 11 = 5 AND doc_id % 22 <> 5 AS deleted,
+        CASE WHEN doc_id % 11 <> 5 AND doc_id % 7 = 3 THEN lang ELSE source END AS category,
+        CASE WHEN doc_id % 22 = 5 THEN 'Back: ' WHEN doc_id % 7 = 3 THEN 'Newer: ' ELSE '' END || text AS text
+      FROM documents)"""
+
+
+@query("index_change_stream", f"""
+    SELECT * EXCLUDE version FROM ({_index_sql(1, f"(SELECT * FROM {STATES} WHERE NOT deleted)")})""")
+def q_index_change_stream(spark, sf):
+    return _vectors_out(followed_index(spark, _follow(spark, sf)))
+
+
+@query("index_change_states", f"SELECT uri AS doc_uri, CAST(version AS BIGINT) AS doc_version, deleted FROM {STATES}")
+def q_index_change_states(spark, sf):
+    return document_states(spark, _follow(spark, sf))
+
+
 @query("sync_index_stream", UNIQUE + f"""
     SELECT chunk_id, doc_uri, category, {VECTORS} FROM uniq""")
 def q_sync_index_stream(spark, sf):
