@@ -1,16 +1,14 @@
 """Nearest-neighbour joins between a table of query vectors and a table of index vectors.
 
-Vectors are scaled to unit length and the index is cut into cells around pivots (a small
-sample of its own vectors). A query visits cells; a visited cell is worked through in
-square blocks of bounded size, spread evenly over the cluster by hashed keys, and each
-block hands on only its k best per query. Cells that hold many rows simply have many blocks.
-
-* ``ann_join`` visits the cells nearest to the query.
-* ``knn_join`` then also visits every cell that could, by the triangle inequality on
-  angles, hold something better than the k-th best found so far. Its result is exact.
-
-The cells may be laid down once with ``write_cells``: later joins then read the files of
-the visited cells only.
+* ``knn_join`` is exact. By default it searches 8-bit codes of the vectors (:mod:`askloom.operators.codes`).
+* ``ann_join`` searches the nearest cells of a trained inverted file (:mod:`askloom.operators.ivf`).
+
+Both also take cells around pivots (a small sample of the index): a visited cell is worked through in
+square blocks of bounded size, spread evenly over the cluster by hashed keys, and each block hands
+on only its k best per query. Cells that hold many rows simply have many blocks. ``knn_join`` then
+visits every cell that could, by the triangle inequality on angles, hold something better than the k-th best
+found so far. Such cells may be laid down once with ``write_cells``: later joins then read the files
+of the visited cells only.
 """
 
 from __future__ import annotations
@@ -20,17 +18,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from askloom.functions.vectors import dot
+from askloom.operators.codes import coded_hits
+from askloom.operators.ivf import Ivf, ivf_visits, make_ivf
 from askloom.operators.keys import skew_join
+from askloom.operators.vectors import DIGITS, keyed, rank_hits, usable
 from askloom.session import cut
 
 SLACK = 1e-6  # float error allowed for when a cell is ruled out
-DIGITS = 9  # scores equal to this many digits tie and are ordered by key
-MAX_CELLS = 2048  # bounds what the driver holds and each task receives
-CELL_ROWS = 4096  # rows per cell aimed at
 BLOCK_ROWS = 2048  # rows per side of a block at most
 FILE_ROWS = 1_000_000  # rows per file of stored cells aimed at
 
@@ -46,24 +43,6 @@ class Cells(NamedTuple):
 
 # --- inside tasks ----------------------------------------------------------------------
 
-def _usable(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """The rows whose vector has a direction, and these vectors scaled to length one."""
-    lengths = pc.fill_null(pc.list_value_length(table["vec"]), 0)
-    table = table.filter(pc.greater(lengths, 0))
-    if not table.num_rows:
-        return table, np.zeros((0, 0))
-    column = table["vec"].combine_chunks()
-    if len(pc.unique(pc.list_value_length(column))) > 1:
-        raise ValueError("vectors differ in length")
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = values.reshape(table.num_rows, -1)
-    norms = np.linalg.norm(vectors, axis=1)
-    usable = (norms > 0) & np.isfinite(norms)
-    if not usable.all():
-        table, vectors, norms = table.filter(pa.array(usable)), vectors[usable], norms[usable]
-    return table, vectors / norms[:, None]
-
-
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
@@ -82,22 +61,14 @@ def _first_k(q: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
 
 # --- cells -----------------------------------------------------------------------------
 
-def _keyed(df: DataFrame, key: str, vec: str, name: str) -> DataFrame:
-    """Key and vector. Whether a vector is usable is seen where it is used: a filter here
-    would make Spark compute vectors that come from a model twice."""
-    return df.select(
-        F.col(key).alias(name), F.col(vec).cast("array<float>").alias("vec")
-    ).where(F.col(name).isNotNull())
-
-
 def _pick_pivots(index: DataFrame, cells: int) -> np.ndarray:
-    """At most MAX_CELLS vectors of the index, chosen by the hash of their key."""
+    """``cells`` vectors of the index, chosen by the hash of their key."""
     square = dot(F.col("vec"), F.col("vec"))
     place = F.md5(F.col("index_key").cast("string"))
-    usable = index.where((square > 0) & (square < float("inf")))
-    rows = usable.orderBy(place, "index_key").limit(cells).select("vec").collect()
+    known = index.where((square > 0) & (square < float("inf")))
+    rows = known.orderBy(place, "index_key").limit(cells).select("vec").collect()
     vectors = pa.table({"vec": pa.array([r["vec"] for r in rows], pa.list_(pa.float32()))})
-    return _usable(vectors)[1]
+    return usable(vectors)[1]
 
 
 def _assign(index: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -105,7 +76,7 @@ def _assign(index: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table, vectors = _usable(pa.Table.from_batches([batch]))
+            table, vectors = usable(pa.Table.from_batches([batch]))
             if not table.num_rows:
                 continue
             angles = _angles(vectors, pivots)
@@ -143,15 +114,14 @@ def _make_cells(index: DataFrame, n: int, cells: int) -> Cells:
 
 
 def write_cells(
-    index: DataFrame, path: str, *, key: str, vec: str, cells: int | None = None
+    index: DataFrame, path: str, *, key: str, vec: str, cells: int
 ) -> None:
     """Lay the vectors of ``index`` down by cell, for many joins to come."""
-    cells = min(MAX_CELLS, cells or max(1, index.select(key).count() // CELL_ROWS))
-    usable = cut(_keyed(index, key, vec, "index_key"))
-    pivots = _pick_pivots(usable, cells)
+    rows = cut(keyed(index, key, vec, "index_key"))
+    pivots = _pick_pivots(rows, cells)
     if not len(pivots):
         raise ValueError("no usable vectors")
-    placed = _assign(usable, pivots)
+    placed = _assign(rows, pivots)
     sizes, radii = _measure(placed, pivots)
     spark = index.sparkSession
     # A cell that holds many rows is written by many tasks. One row per cell is broadcast.
@@ -196,7 +166,7 @@ def _visits(queries: DataFrame, index: Cells, k: int, probes: int, rest: bool) -
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table, vectors = _usable(pa.Table.from_batches([batch]))
+            table, vectors = usable(pa.Table.from_batches([batch]))
             if not table.num_rows:
                 continue
             angles = _angles(vectors, pivots)
@@ -217,10 +187,12 @@ def _visits(queries: DataFrame, index: Cells, k: int, probes: int, rest: bool) -
     return queries.mapInArrow(choose, f"query_key {key_type}, vec array<float>, cell int")
 
 
-def _search(visits: DataFrame, index: Cells, k: int, block: int, n_queries: int) -> DataFrame:
-    """The k best of every query among the cells it visits."""
+def _search(
+    visits: DataFrame, index: Cells, k: int, block: int, n_queries: int, *, copies: int = 1
+) -> DataFrame:
+    """The k best of every query among the cells it visits; ``copies`` of a row may lie in different cells."""
     spark = visits.sparkSession
-    # One row per cell, so at most MAX_CELLS rows here and in the broadcast.
+    # One row per cell, here and in the broadcast.
     asked = [(0, n_queries)]
     if len(index.sizes) > 1:
         asked = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -253,8 +225,8 @@ def _search(visits: DataFrame, index: Cells, k: int, block: int, n_queries: int)
     right = spread(rows, "index_key", "ib", "iblock", "qb", "qblock")
 
     def best(q: pa.Table, i: pa.Table) -> pa.Table:
-        q, asked_for = _usable(q)
-        i, held = _usable(i.sort_by("index_key"))
+        q, asked_for = usable(q)
+        i, held = usable(i.sort_by("index_key"))
         if not q.num_rows or not i.num_rows:
             return pa.table(
                 [q["query_key"].slice(0, 0), i["index_key"].slice(0, 0), pa.array([], pa.float64())],
@@ -274,15 +246,11 @@ def _search(visits: DataFrame, index: Cells, k: int, block: int, n_queries: int)
     types = (visits.schema["query_key"].dataType, rows.schema["index_key"].dataType)
     schema = "query_key {}, index_key {}, score double".format(*(t.simpleString() for t in types))
     hits = left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(best, schema)
+    if copies > 1:
+        hits = hits.groupBy("query_key", "index_key").agg(F.max("score").alias("score"))
     return rank_hits(hits, k)
 
 
-def rank_hits(hits: DataFrame, k: int, by: str = "query_key", key: str = "index_key") -> DataFrame:
-    """Rank per query by score, then key; keep the first k."""
-    w = Window.partitionBy(by).orderBy(F.desc("score"), key)
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def _neighbours(
     queries: DataFrame,
     index: Cells,
@@ -318,23 +286,27 @@ def _join(
     vecs: tuple[str, str],
     query_cols: list[str],
     index_cols: list[str],
-    cells: int | Cells | None,
-    probes: int,
+    cells: int | Cells | Ivf | None,
+    probes: int | None,
     exact: bool,
     block: int | None,
 ) -> DataFrame:
     # Only the keys are counted: vectors that are yet to be computed are not touched.
     n_queries = queries.select(keys[0]).count()
-    if not isinstance(cells, Cells):
-        n_index = index.select(keys[1]).count()
-        cells = _make_cells(
-            _keyed(index, keys[1], vecs[1], "index_key"),
-            n_index,
-            min(MAX_CELLS, cells or max(1, n_index // CELL_ROWS)),
+    asked, held = keyed(queries, keys[0], vecs[0], "query_key"), keyed(index, keys[1], vecs[1], "index_key")
+    if exact and cells is None:
+        hits = rank_hits(coded_hits(asked, held, k, n_queries, index.select(keys[1]).count(), block), k)
+    elif cells is None or isinstance(cells, Ivf):
+        ivf = cells or make_ivf(held, key="index_key", vec="vec", k=k)
+        asked, filed = cut(asked), Cells(ivf.rows, ivf.centroids.fine, ivf.sizes, np.zeros(len(ivf.sizes)))
+        hits = _search(
+            ivf_visits(asked, ivf, k, probes), filed, k, block or BLOCK_ROWS, n_queries, copies=ivf.copies
         )
-    hits = _neighbours(
-        _keyed(queries, keys[0], vecs[0], "query_key"), cells, k, probes, exact, block, n_queries
-    ).select("query_key", "index_key", "score", "rank")
+    else:
+        if not isinstance(cells, Cells):
+            cells = _make_cells(held, index.select(keys[1]).count(), cells)
+        hits = _neighbours(asked, cells, k, probes or 8, exact, block, n_queries)
+    hits = hits.select("query_key", "index_key", "score", "rank")
     if index_cols:
         # A chunk may be the answer to very many questions. The hits are counted and then
         # joined: k small rows per query, written once.
@@ -366,7 +338,10 @@ def knn_join(
     Returns ``query_key``, the asked-for query columns, ``index_key``, the asked-for index
     columns, ``score`` and ``rank`` (1 is best; ties go to the smaller key). Keys have to be
     unique on each side. Rows without a vector, or with the zero vector, take no part.
-    ``cells`` is a number of cells to make, or cells read from storage.
+
+    Without ``cells`` the index is searched by 8-bit codes (:mod:`askloom.operators.codes`), which prune
+    at any distribution of the vectors. ``cells``, a number of cells to make or cells read from storage,
+    rules out whole cells instead, which pays where vectors are clustered.
     """
     return _join(
         queries, index, k, (query_key, index_key), (query_vec, index_vec),
@@ -385,11 +360,16 @@ def ann_join(
     index_vec: str,
     query_cols: list[str] = (),
     index_cols: list[str] = (),
-    probes: int = 8,
-    cells: int | Cells | None = None,
+    probes: int | None = None,
+    cells: int | Cells | Ivf | None = None,
     block: int | None = None,
 ) -> DataFrame:
-    """As :func:`knn_join`, but only the ``probes`` nearest cells are searched."""
+    """As :func:`knn_join`, but only the ``probes`` nearest cells are searched.
+
+    Without ``cells`` an inverted file is trained (:func:`askloom.operators.ivf.make_ivf`), whose probes
+    are chosen for a recall; one made or stored before may be given. A number of cells, with ``probes``,
+    stands for cells around pivots.
+    """
     return _join(
         queries, index, k, (query_key, index_key), (query_vec, index_vec),
         list(query_cols), list(index_cols), cells, probes, False, block,

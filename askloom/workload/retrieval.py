@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from askloom.fixed_values import CHAT_TEMPLATE
 from askloom.functions.vectors import cosine, norm
+from askloom.operators.codes import checked_pairs
 from askloom.operators.embedding import embed, fit_embedder
+from askloom.operators.ivf import make_ivf, read_ivf, rows_read, write_ivf
 from askloom.operators.knn import ann_join, knn_join, read_cells, recall_at_k, write_cells
+from askloom.operators.vectors import rank_hits
 from askloom.plans.answering import answer_questions, format_context, prompts_for, retrieve
 from askloom.plans.index import build_index
 from askloom.workload.chunks import UNIQUE, doc_chunks, doc_index_rows
@@ -103,6 +106,49 @@ def q_ann_recall(spark, sf):
     return recall.withColumn("recall", F.round("recall", 6))
 
 
+@query("knn_top10_codes", "WITH" + ranked_sql(10) + HITS_OUT)
+def q_knn_top10_codes(spark, sf):
+    e = load(spark, sf, "embeddings")
+    return _hits(knn_join(e, e, k=10, **VEC))
+
+
+@query("knn_codes_checked", """
+    SELECT count(*) * count(*) AS pairs, true AS all_neighbours, true AS under_a_fifth FROM embeddings""")
+def q_knn_codes_checked(spark, sf):
+    """Whether less than a fifth of all pairs is scored exactly, and enough for ten neighbours each."""
+    e = load(spark, sf, "embeddings")
+    found = checked_pairs(e, e, k=10, **VEC)
+    return found.select(
+        "pairs", (F.col("checked") >= 10 * F.sqrt("pairs")).alias("all_neighbours"),
+        (F.col("checked") < 0.2 * F.col("pairs")).alias("under_a_fifth"),
+    )
+
+
+def others(hits, k):
+    """The hits of other vectors than the query itself."""
+    return rank_hits(hits.where("query_key <> index_key").drop("rank"), k)
+
+
+@query("ivf_recall", """
+    SELECT 'queries' AS measure, count(*) AS n FROM embeddings
+    UNION ALL SELECT 'recall of 0.9 or more', 1 UNION ALL SELECT 'fewer pairs read than there are', 1""")
+def q_ivf_recall(spark, sf):
+    """Recall of a stored inverted file against the ten exact neighbours, the vector itself left out."""
+    e = load(spark, sf, "embeddings")
+    path = scratch_path(spark, "ivf")
+    write_ivf(make_ivf(e, key="vec_id", vec="embedding"), path)
+    ivf = read_ivf(spark, path)
+    found = others(ann_join(e, e, k=11, cells=ivf, **VEC), 10)
+    recall = recall_at_k(found, others(knn_join(e, e, k=11, **VEC), 10))
+    read = rows_read(e, ivf, k=11, key="vec_id", vec="embedding")
+    row = lambda df, name, n: df.select(F.lit(name).alias("measure"), n.cast("bigint").alias("n"))
+    return (
+        row(e.agg(F.count(F.lit(1)).alias("n")), "queries", F.col("n"))
+        .unionByName(row(recall, "recall of 0.9 or more", F.col("recall") >= 0.9))
+        .unionByName(row(read, "fewer pairs read than there are", F.col("read") < F.col("pairs")))
+    )
+
+
 @query("cosine_next", """
     SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6)
       AS score

@@ -42,11 +42,11 @@ def test_unpacking_needs_no_shuffle(spark):
 def test_vectors_are_made_once(spark):
     """A neighbour join must not make Spark embed a text for a filter and again for its use."""
     from askloom.operators.embedding import embed, fit_embedder
-    from askloom.operators.knn import _keyed
+    from askloom.operators.vectors import keyed
     from askloom.workload.retrieval import letter_counts
 
     docs = load(spark, SF, "documents")
-    own = plan(_keyed(embed(docs, "text", embedder=letter_counts), "doc_id", "embedding", "k"))
+    own = plan(keyed(embed(docs, "text", embedder=letter_counts), "doc_id", "embedding", "k"))
     assert own.count("ArrowEvalPython [") == 1
     fitted = embed(docs, "text", embedder=fit_embedder(docs, "text"))
-    assert plan(_keyed(fitted, "doc_id", "embedding", "k")).count("UDF(UDF(UDF(UDF(UDF(") == 1
+    assert plan(keyed(fitted, "doc_id", "embedding", "k")).count("UDF(UDF(UDF(UDF(UDF(") == 1
