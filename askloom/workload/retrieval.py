@@ -4,11 +4,12 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from askloom.fixed_values import CHAT_TEMPLATE
-from askloom.functions.vectors import cosine, norm
+from askloom.functions.vectors import cosine
 from askloom.operators.codes import checked_pairs
-from askloom.operators.embedding import embed, fit_embedder
+from askloom.operators.embedding import embed
 from askloom.operators.ivf import make_ivf, read_ivf, rows_read, write_ivf
 from askloom.operators.knn import ann_join, knn_join, read_cells, recall_at_k, write_cells
+from askloom.operators.terms import search_terms, term_index
 from askloom.operators.vectors import rank_hits
 from askloom.plans.answering import answer_questions, format_context, prompts_for, retrieve
 from askloom.plans.index import build_index
@@ -255,34 +256,94 @@ def q_answer_questions(spark, sf):
     )
 
 
-@query("embed_chunks", UNIQUE + """
-    SELECT chunk_id, 256 AS dim, true AS unit_length FROM uniq""")
+def words_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '')"
+
+
+@query("embed_chunks", UNIQUE + f""",
+    buckets AS (
+      SELECT chunk_id, CAST('0x' || md5(w)[1:8] AS BIGINT) % 256 AS b, count(*) AS tf
+      FROM (SELECT chunk_id, unnest({words_sql("content")}) AS w FROM uniq) GROUP BY ALL),
+    idf AS (
+      SELECT b, ln(((SELECT count(*) FROM uniq) + 1) / (count(*) + 1)) AS idf FROM buckets GROUP BY b),
+    weights AS (SELECT chunk_id, b, tf * idf AS w FROM buckets JOIN idf USING (b)),
+    units AS (
+      SELECT chunk_id, b, CAST(w / sqrt(sum(w * w) OVER (PARTITION BY chunk_id)) AS FLOAT) AS x FROM weights
+      WHERE w <> 0)
+    SELECT chunk_id, CAST(count(x) AS INTEGER) AS n_set, 256 AS dim,
+      CAST(coalesce(sum((b + 1) * round(CAST(x AS DOUBLE) * 100)), 0) AS BIGINT) AS checksum,
+      coalesce(max_by(b, (round(CAST(x AS DOUBLE), 5), -b)), -1) AS top_bucket
+    FROM uniq LEFT JOIN units USING (chunk_id) GROUP BY chunk_id""")
 def q_embed_chunks(spark, sf):
-    index = embed(doc_index_rows(spark, sf), "content")
-    length = norm(F.col("embedding"))
+    """Values of the hashed vectors: entries set, a weighted sum of all of them, and the largest one's place."""
+    index = embed(doc_index_rows(spark, sf), "content").select(
+        "chunk_id", F.transform("embedding", lambda x: x.cast("double")).alias("v")
+    )
+    placed = F.transform("v", lambda x, i: (i + 1) * F.round(x * 100))
+    best = F.array_max(F.transform("v", lambda x, i: F.struct(F.round(x, 5).alias("x"), (-i).alias("b"))))
+    n_set = F.size(F.filter("v", lambda x: x != 0))
     return index.select(
-        "chunk_id", F.size("embedding").alias("dim"),
-        ((F.abs(length - 1) < 1e-3) | (length == 0)).alias("unit_length"),
+        "chunk_id", n_set.alias("n_set"), F.size("v").alias("dim"),
+        F.aggregate(placed, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("checksum"),
+        F.when(n_set > 0, -best["b"]).otherwise(-1).cast("bigint").alias("top_bucket"),
     )
 
 
-@query("text_retrieval")
-def q_text_retrieval(spark, sf):
-    """Benchmark texts as questions over the chunk index of the documents."""
-    chunks = doc_chunks(spark, sf)
-    model = fit_embedder(chunks, "chunk")
-    index = cut(build_index(chunks, uri_col="doc_id", category_col="source", embedder=model))
-    questions = load(spark, sf, "benchmark").select(
-        F.col("item_id").alias("request_id"), F.col("text").alias("question")
-    )
-    hits = retrieve(
-        embed(questions, "question", embedder=model), index, columns=("doc_uri", "category")
-    )
-    return hits.select(
-        "request_id", "chunk_id", "doc_uri", "category", F.round("score", 4).alias("score"), "rank"
+def text_hits_sql(questions: str, texts: str) -> str:
+    """CTEs ending in ``hits(q, key, score, rank)``: TF-IDF search of ``questions(q, text)`` in ``texts(key, text)``."""
+    def weights(name: str, source: str, key: str) -> str:
+        return f"""
+    {name}_counts AS (
+      SELECT {key}, w AS term, count(*) AS tf FROM (SELECT {key}, unnest({words_sql("text")}) AS w FROM {source}) GROUP BY ALL),
+    {name}_raw AS (
+      SELECT {key}, term, tf * ln(((SELECT count(*) FROM {texts}) + 1) / (texts + 1)) AS w
+      FROM {name}_counts JOIN inside USING (term)),
+    {name} AS (
+      SELECT {key}, term, CAST(round(w * 1000000 / sqrt(sum(w * w) OVER (PARTITION BY {key}))) AS BIGINT) AS weight
+      FROM {name}_raw WHERE w > 0)"""
+
+    return f"""
+    inside AS (
+      SELECT term, count(*) AS texts FROM (
+        SELECT DISTINCT key, unnest({words_sql("text")}) AS term FROM {texts}) GROUP BY term),
+    {weights("held", texts, "key")}, {weights("asked_terms", questions, "q")},
+    summed AS (
+      SELECT q, key, CAST(sum(a.weight * h.weight) AS BIGINT) AS score
+      FROM asked_terms a JOIN held h USING (term) GROUP BY q, key),
+    hits AS (
+      SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, key) AS rank FROM summed)"""
+
+
+TEXT_RETRIEVAL = UNIQUE + """,
+    passages AS (SELECT chunk_id AS key, content AS text FROM uniq),
+    questions AS (SELECT item_id AS q, text FROM benchmark),""" + text_hits_sql("questions", "passages") + """
+    SELECT q AS request_id, chunk_id, doc_uri, category, score, CAST(rank AS INTEGER) AS rank
+    FROM hits JOIN uniq ON chunk_id = key WHERE rank <= 3"""
+
+
+def _text_hits(spark, sf, **options):
+    """Benchmark texts as questions over the chunk index of the documents, by TF-IDF."""
+    chunks = cut(doc_index_rows(spark, sf))
+    index = term_index(chunks, "chunk_id", "content", **options)
+    questions = load(spark, sf, "benchmark")
+    hits = search_terms(questions, index, k=3, query_key="item_id", text="text")
+    named = hits.withColumnsRenamed({"query_key": "request_id", "index_key": "chunk_id"})
+    return named.join(chunks.select("chunk_id", "doc_uri", "category"), "chunk_id").select(
+        "request_id", "chunk_id", "doc_uri", "category", F.round(F.col("score") * 1e12).cast("bigint").alias("score"), "rank"
     )
 
 
+@query("text_retrieval", TEXT_RETRIEVAL)
+def q_text_retrieval(spark, sf):
+    return _text_hits(spark, sf)
+
+
+@query("text_retrieval_common", TEXT_RETRIEVAL)
+def q_text_retrieval_common(spark, sf):
+    """The same, with nearly every term taken for a common one."""
+    return _text_hits(spark, sf, common_share=0.0, common_least=30)
+
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 

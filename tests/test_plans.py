@@ -49,4 +49,4 @@ def test_vectors_are_made_once(spark):
     own = plan(keyed(embed(docs, "text", embedder=letter_counts), "doc_id", "embedding", "k"))
     assert own.count("ArrowEvalPython [") == 1
     fitted = embed(docs, "text", embedder=fit_embedder(docs, "text"))
-    assert plan(keyed(fitted, "doc_id", "embedding", "k")).count("UDF(UDF(UDF(UDF(UDF(") == 1
+    assert plan(keyed(fitted, "doc_id", "embedding", "k")).count("ArrowEvalPython [") == 1
