@@ -17,52 +17,66 @@ class Payloads(NamedTuple):
     rejects: DataFrame
 
 
+REQUEST, ASSESSMENT, REJECT = "request", "assessment", "reject"
+
+
+def _path(*names: str) -> str:
+    return "$" + "".join(f'["{n}"]' for n in names)
+
+
 def parse_payloads(payloads: DataFrame, vendor: str = "") -> DataFrame:
-    """Successful payloads with the needed parts of both JSON texts as columns.
+    """Successful payloads with a ``kind`` and the needed parts of both JSON texts as typed columns.
+
+    Both texts are parsed to variants and every part is taken from these. A payload is a request if its response
+    has choices, an assessment if its request holds any, else a reject; a text that is no
+    JSON has no parts, nor has a part of another type than expected. ``vendor`` is the prefix that
+    the serving product puts before its own names: ``{vendor}request_id``, ``{vendor}options`` and
+    ``{vendor}output``.
 
-    Each text is parsed once. ``vendor`` is the prefix that the serving product puts before
-    its own names: ``{vendor}request_id``, ``{vendor}options`` and ``{vendor}output``.
+    A filter on ``kind`` takes Spark through the texts once more; :func:`stage_payloads` avoids that.
     """
-    response = F.from_json(
-        "response", f"choices string, `{vendor}output` struct<trace:string>"
+    part = F.try_variant_get
+    variants = payloads.where(F.col("status_code") == "200").select(
+        F.col(f"{vendor}request_id").alias("request_id"), F.timestamp_millis("timestamp_ms").alias("timestamp"),
+        "request", "response", F.try_parse_json("request").alias("_req"), F.try_parse_json("response").alias("_res"),
     )
-    request = F.from_json(
-        "request",
-        f"messages string, `{vendor}options` struct<conversation_id:string>, "
-        "dataframe_records string",
+    choices = part("_res", _path("choices"), "variant")
+    parts = variants.select(
+        "request_id", "timestamp", "request", "response",
+        (choices.isNotNull() & ~F.is_variant_null(choices)).alias("_chosen"),
+        part("_res", _path("choices"), schemas.CHOICES).alias("choices"),
+        part("_res", _path(f"{vendor}output", "trace"), schemas.TRACE).alias("trace"),
+        part("_req", _path("messages"), schemas.MESSAGES).alias("messages"),
+        part("_req", _path(f"{vendor}options", "conversation_id"), "string").alias("conversation_id"),
+        part("_req", _path("dataframe_records"), schemas.WIRE_RECORDS).alias("records"),
     )
-    return (
-        payloads.where(F.col("status_code") == "200")
-        .select(
-            F.col(f"{vendor}request_id").alias("request_id"),
-            F.timestamp_millis("timestamp_ms").alias("timestamp"),
-            request.alias("_req"),
-            response.alias("_res"),
-        )
-        .select(
-            "request_id",
-            "timestamp",
-            F.col("_req.messages").alias("messages"),
-            F.col("_req")[f"{vendor}options"]["conversation_id"].alias("conversation_id"),
-            F.col("_req.dataframe_records").alias("records"),
-            F.col("_res.choices").alias("choices"),
-            F.col("_res")[f"{vendor}output"]["trace"].alias("trace"),
-        )
+    sent = lambda r: F.coalesce(F.array_size(r["text_assessments"]), F.lit(0)) + F.coalesce(
+        F.array_size(r["retrieval_assessments"]), F.lit(0)
     )
+    kind = F.when(F.col("_chosen"), REQUEST).when(F.exists("records", lambda r: sent(r) > 0), ASSESSMENT).otherwise(REJECT)
+    return parts.withColumn("kind", kind).drop("_chosen")
+
+
+def stage_payloads(payloads: DataFrame, path: str, vendor: str = "") -> DataFrame:
+    """:func:`parse_payloads`, written by kind: each text is parsed once, whatever is then read of it.
+
+    Only rejects keep their texts.
+    """
+    parsed = parse_payloads(payloads, vendor)
+    kept = {c: F.when(F.col("kind") == REJECT, F.col(c)) for c in ("request", "response")}
+    parsed.withColumns(kept).write.partitionBy("kind").parquet(path)
+    return payloads.sparkSession.read.schema(parsed.schema).parquet(path)
 
 
 def request_log(parsed: DataFrame) -> DataFrame:
     """Payloads whose response has choices, in the layout of the request log."""
-    typed = parsed.where(F.col("choices").isNotNull()).withColumn(
-        "messages", F.from_json("messages", schemas.MESSAGES)
-    )
-    return typed.select(
+    return parsed.where(F.col("kind") == REQUEST).select(
         F.struct(
             "request_id", "conversation_id", "timestamp", "messages",
             last_message(F.col("messages")).alias("last_input"),
         ).alias("request"),
-        F.from_json("trace", schemas.TRACE).alias("trace"),
-        F.struct(F.from_json("choices", schemas.CHOICES).alias("choices")).alias("output"),
+        "trace",
+        F.struct("choices").alias("output"),
     )
 
 
@@ -114,9 +128,7 @@ def _entries(record: Column) -> Column:
 
 def assessment_log(parsed: DataFrame) -> DataFrame:
     """One row per assessment sent by the review app, in the layout of the assessment log."""
-    records = parsed.where(F.col("choices").isNull()).select(
-        "timestamp", F.explode(F.from_json("records", schemas.WIRE_RECORDS)).alias("r")
-    )
+    records = parsed.where(F.col("kind") == ASSESSMENT).select("timestamp", F.explode("records").alias("r"))
     entries = records.select(
         "r.request_id", "r.source", "timestamp", F.explode(_entries(F.col("r"))).alias("e")
     )
@@ -131,24 +143,17 @@ def assessment_log(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """Payloads that are neither a request nor hold any assessment."""
-    sizes = F.transform(
-        F.from_json("records", schemas.WIRE_RECORDS),
-        lambda r: F.coalesce(F.array_size(r["text_assessments"]), F.lit(0))
-        + F.coalesce(F.array_size(r["retrieval_assessments"]), F.lit(0)),
-    )
-    total = F.coalesce(F.aggregate(sizes, F.lit(0), lambda a, b: a + b), F.lit(0))
-    return parsed.where(F.col("choices").isNull()).where(total == 0).select(
-        "request_id", "timestamp", "messages", "records"
-    )
+    """Payloads that are neither a request nor hold any assessment, as they came."""
+    return parsed.where(F.col("kind") == REJECT).select("request_id", "timestamp", "request", "response")
 
 
-def unpack_payloads(payloads: DataFrame, vendor: str = "") -> Payloads:
+def unpack_payloads(payloads: DataFrame, vendor: str = "", *, stage: str | None = None) -> Payloads:
     """Request log, assessment log and rejects; works on batch and streaming frames alike.
 
-    Only filters, projections and explodes: no shuffle and no state.
+    Only filters, projections and explodes: no shuffle and no state. With ``stage``, a path, the parsed payloads
+    are written there first, by kind, and each of the three reads its own part.
     """
-    parsed = parse_payloads(payloads, vendor)
+    parsed = parse_payloads(payloads, vendor) if stage is None else stage_payloads(payloads, stage, vendor)
     return Payloads(request_log(parsed), assessment_log(parsed), rejects(parsed))
 
 

@@ -5,26 +5,25 @@ from pyspark.sql import DataFrame, functions as F
 from askloom.functions.messages import chat_history, last_message, trace_bounds
 from askloom.operators.keys import dedup_latest
 from askloom.operators.payloads import dedup_assessments, pending_reviews, unpack_payloads
-from askloom.workload.registry import load, query
+from askloom.plans.logs import write_logs
+from askloom.session import cut
+from askloom.workload.registry import load, query, scratch_schema
 
 EPOCH_MS = 1704067200000  # 2024-01-01 UTC
 
 
 def request_payloads(spark, sf) -> DataFrame:
-    """One payload per assistant turn, whose request holds the three turns before it."""
+    """One payload per conversation: all turns before the last answer of the assistant, and that answer.
+
+    A payload is one text, so a conversation comes together whole.
+    """
     turns = load(spark, sf, "conversations")
-    # Each turn goes to its own payload and to the next three: groups of at most four rows,
-    # whatever the length of a conversation.
-    placed = turns.select(
-        "conv_id", "role", "text", F.col("turn").alias("said"),
-        F.explode(F.sequence("turn", F.col("turn") + 3)).alias("turn"),
-    )
-    own = F.col("said") == F.col("turn")
-    message = F.struct("said", "role", F.col("text").alias("content"))
-    grouped = placed.groupBy("conv_id", "turn").agg(
-        F.max(F.when(own & (F.col("role") == "assistant"), F.col("text"))).alias("answer"),
-        F.array_sort(F.collect_list(F.when(~own, message))).alias("said"),
-    ).where("answer IS NOT NULL")
+    answered = F.when(F.col("role") == "assistant", F.col("turn"))
+    message = F.struct(F.col("turn").alias("said"), "role", F.col("text").alias("content"))
+    grouped = turns.groupBy("conv_id").agg(
+        F.max(answered).alias("turn"), F.max_by("text", answered).alias("answer"),
+        F.array_sort(F.collect_list(message)).alias("said"),
+    ).where("answer IS NOT NULL").withColumn("said", F.expr("filter(said, m -> m.said < turn)"))
     ms = F.lit(EPOCH_MS) + F.col("conv_id") * 60000 + F.col("turn") * 1001
     at = F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     later = F.date_format(F.timestamp_millis(ms + 250), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -111,13 +110,13 @@ def payload_log(spark, sf) -> DataFrame:
 
 REQUESTS = f"""
     WITH req AS (
-      SELECT 'c' || a.conv_id || '-' || a.turn AS request_id, a.conv_id, a.turn, a.text AS answer,
-        {EPOCH_MS} + a.conv_id * 60000 + a.turn * 1001 AS ms
-      FROM conversations a WHERE a.role = 'assistant' AND a.conv_id % 10 <> 0),
+      SELECT 'c' || conv_id || '-' || turn AS request_id, conv_id, turn, text AS answer,
+        {EPOCH_MS} + conv_id * 60000 + turn * 1001 AS ms
+      FROM conversations WHERE role = 'assistant' AND conv_id % 10 <> 0
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
     msg AS (
       SELECT r.request_id, r.turn, c.turn AS said, c.role, c.text
-      FROM req r JOIN conversations c
-        ON c.conv_id = r.conv_id AND c.turn BETWEEN r.turn - 3 AND r.turn - 1)"""
+      FROM req r JOIN conversations c ON c.conv_id = r.conv_id AND c.turn < r.turn)"""
 
 
 @query("request_log_flat", REQUESTS + """,
@@ -180,7 +179,7 @@ def q_trace_bounds(spark, sf):
 
 
 @query("payload_kinds", """
-    SELECT 'request' AS kind, count(*) AS n FROM conversations
+    SELECT 'request' AS kind, count(DISTINCT conv_id) AS n FROM conversations
       WHERE role = 'assistant' AND conv_id % 10 <> 0
     UNION ALL
     SELECT 'assessment', 3 * count(*) FROM labels""")
@@ -270,20 +269,58 @@ def _reviews(spark, sf):
     return pending_reviews(asked, unpack_payloads(payload_log(spark, sf)).request_log)
 
 
-@query("review_ready", """
-    SELECT 'c' || conv_id || '-' || turn AS request_id FROM conversations
-    WHERE role = 'assistant' AND conv_id % 10 <> 0""")
+@query("review_ready", REQUESTS + "SELECT request_id FROM req")
 def q_review_ready(spark, sf):
     return _reviews(spark, sf)[0]
 
 
-@query("review_waiting", """
+@query("review_waiting", REQUESTS + """
     SELECT 'c' || conv_id || '-' || turn AS request_id FROM conversations
-    WHERE NOT (role = 'assistant' AND conv_id % 10 <> 0)""")
+    EXCEPT SELECT request_id FROM req""")
 def q_review_waiting(spark, sf):
     return _reviews(spark, sf)[1]
 
 
+BEST_OF_HOUR = """,
+    best AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (
+          PARTITION BY request_id, step_id, reviewer, position, kind, ms // 3600000
+          ORDER BY ms DESC) AS rn
+        FROM log) WHERE rn = 1)"""
+
+
+@query("write_logs_tables", REQUESTS + "," + ASSESSMENTS.replace("WITH", "", 1) + BEST_OF_HOUR + f"""
+    SELECT 'request' AS kind, request_id, ms, md5(answer) AS detail FROM req
+    UNION ALL SELECT 'assessment', request_id, ms, comment FROM best
+    UNION ALL SELECT 'reject', 'a' || doc_id || '-' || n, {EPOCH_MS} + doc_id * 3600000 + n * 1700000,
+      CASE WHEN doc_id % 11 = 0 THEN 'not json' WHEN doc_id % 9 = 0 THEN '{{"dataframe_records":[]}}' END
+    FROM labels, range(3) AS r(n)
+    WHERE doc_id % 11 = 0 OR doc_id % 9 = 0 OR (doc_id % 4 = 1 AND doc_id % 3 = 1)""")
+def q_write_logs_tables(spark, sf):
+    """The three tables of the log job, written twice, read back and dropped."""
+    payloads = payload_log(spark, sf)
+    with scratch_schema(spark) as schema:
+        requests, assessments, rejects = (f"{schema}.{t}" for t in ("requests", "assessments", "rejects"))
+        for _ in range(2):
+            write_logs(payloads, requests, assessments, rejects)
+        ms = F.unix_millis("timestamp").alias("ms")
+        comment = F.coalesce("text_assessment.free_text_comment", "retrieval_assessment.free_text_comment")
+        sent = F.col("request")
+        kinds = [
+            ("request", spark.table(requests).select(
+                "request.request_id", F.unix_millis("request.timestamp").alias("ms"),
+                F.md5(F.col("output.choices")[0]["message"]["content"]).alias("detail"))),
+            ("assessment", spark.table(assessments).select("request_id", ms, comment.alias("detail"))),
+            ("reject", spark.table(rejects).select(
+                "request_id", ms, F.when((sent == "not json") | sent.endswith("[]}"), sent).alias("detail"))),
+        ]
+        first, *rest = [df.select(F.lit(kind).alias("kind"), "*") for kind, df in kinds]
+        for df in rest:
+            first = first.unionByName(df)
+        return cut(first)
+
+
 def events(spark, sf):
     return load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,14 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     # Timestamps are compared as UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+@contextmanager
+def scratch_schema(spark: SparkSession) -> Iterator[str]:
+    """A schema of its own for queries that write tables; dropped with all of them."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
