@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from askloom import schemas
 
@@ -77,19 +77,59 @@ def write_new(df: DataFrame, name: str) -> None:
     df.write.mode("errorifexists").saveAsTable(name)
 
 
+def merged_type(old: T.DataType, new: T.DataType, where: str = "") -> T.DataType:
+    """The type that holds both: old fields first, then new ones, at every depth. Types that clash are an error."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        given = {f.name.lower(): f for f in new}
+        fields = [
+            T.StructField(f.name, merged_type(f.dataType, given[f.name.lower()].dataType, f"{where}.{f.name}"))
+            if f.name.lower() in given else T.StructField(f.name, f.dataType)
+            for f in old
+        ]
+        known = {f.name.lower() for f in old}
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new if f.name.lower() not in known])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(merged_type(old.elementType, new.elementType, f"{where}[]"))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        if old.keyType != new.keyType:
+            raise ValueError(f"{where.lstrip('.')}: keys are {new.keyType.simpleString()}, were {old.keyType.simpleString()}")
+        return T.MapType(old.keyType, merged_type(old.valueType, new.valueType, f"{where}[]"))
+    if isinstance(old, T.NullType) or isinstance(new, T.NullType) or old == new:
+        return new if isinstance(old, T.NullType) else old
+    raise ValueError(f"{where.lstrip('.')}: {new.simpleString()} does not fit {old.simpleString()}")
+
+
+def _fitted(value: Column, now: T.DataType, to: T.DataType) -> Column:
+    """``value`` rebuilt in a type of :func:`merged_type`; what it lacks is null, and a null stays one."""
+    if now.simpleString() == to.simpleString():
+        return value
+    if isinstance(now, T.StructType) and isinstance(to, T.StructType):
+        given = {f.name.lower(): f for f in now}
+        fields = [
+            (_fitted(value[given[f.name.lower()].name], given[f.name.lower()].dataType, f.dataType)
+             if f.name.lower() in given else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in to
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(now, T.ArrayType) and isinstance(to, T.ArrayType):
+        return F.transform(value, lambda x: _fitted(x, now.elementType, to.elementType))
+    if isinstance(now, T.MapType) and isinstance(to, T.MapType):
+        return F.transform_values(value, lambda _, x: _fitted(x, now.valueType, to.valueType))
+    return value.cast(to)
+
+
 def merged_schema(df: DataFrame, old: T.StructType) -> DataFrame:
-    """``df`` with the old columns first; those it lacks are null."""
-    names = set(df.columns)
-    kept = [
-        F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in old
-    ]
-    added = [F.col(c) for c in df.columns if c not in old.names]
-    return df.select(*kept, *added)
+    """``df`` with the old columns first, and the old fields within them; those it lacks are null."""
+    given = {f.name.lower(): f for f in df.schema}
+    return df.select(*[
+        (_fitted(F.col(f"`{given[f.name.lower()].name}`"), given[f.name.lower()].dataType, f.dataType)
+         if f.name.lower() in given else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in merged_type(old, df.schema)
+    ])
 
 
 def write_merged(df: DataFrame, name: str) -> None:
-    """Replace the rows of a table but keep the columns it has and the new ones."""
+    """Replace the rows of a table but keep the columns and nested fields it has, and add the new ones."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         df = merged_schema(df, spark.table(name).schema)

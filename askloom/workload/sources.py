@@ -1,12 +1,16 @@
 """Reading, writing, cleaning and generating source tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from askloom.functions.text import letters_only, short_id
 from askloom.plans.generation import ORDINALS, PLAIN_DOCUMENT, generate_tickets
-from askloom.session import scratch_path
-from askloom.sources.tables import explode_items, merged_schema, read_csv_source, read_source, write_csv
-from askloom.workload.registry import load, query
+from askloom.session import cut, scratch_path
+from askloom.sources.tables import (
+    ensure_schema, explode_items, merged_schema, read_csv_source, read_source, reset_schema, write_csv, write_merged,
+    write_new, write_overwrite,
+)
+from askloom.workload.registry import load, query, scratch_schema
 
 
 @query("csv_source", """
@@ -27,6 +31,82 @@ def q_merge_schema(spark, sf):
     return merged_schema(new, load(spark, sf, "labels").schema)
 
 
+@query("merge_schema_nested", """
+    SELECT conv_id, role, CAST(NULL AS VARCHAR) AS old_md5, md5(text) AS new_md5, length(text) AS n_chars,
+      CAST(NULL AS BIGINT) AS old_turn, 's' || turn AS step_id, 'turn' AS step_kind, CAST(NULL AS VARCHAR) AS old_step,
+      'b' AS tag_new, CAST(NULL AS VARCHAR) AS tag_old, CAST(NULL AS BIGINT) AS old_only, turn % 3 = 0 AS no_request
+    FROM (SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 THEN role END AS role, CASE WHEN turn % 3 <> 0 THEN text END AS text
+      FROM conversations)""")
+def q_merge_schema_nested(spark, sf):
+    """A table whose struct, array of structs and map of structs get new fields and keep old ones."""
+    turns = load(spark, sf, "conversations")
+    tag = lambda name: F.create_map(F.lit("k"), F.struct(F.lit("b").alias(name)))
+    old = turns.select(
+        "conv_id", F.col("turn").alias("only_old"),
+        F.struct(F.md5("text").alias("text_md5"), "role", F.struct("turn").alias("meta")).alias("request"),
+        F.array(F.struct(F.lit("x").alias("note"), F.concat(F.lit("s"), "turn").alias("step_id"))).alias("steps"),
+        tag("old").alias("tags"),
+    )
+    new = turns.select(
+        "conv_id",
+        F.when(F.col("turn") % 3 != 0, F.struct(
+            "role", F.struct(F.length("text").cast("bigint").alias("n_chars")).alias("meta"), F.md5("text").alias("digest"),
+        )).alias("request"),
+        F.array(F.struct(F.concat(F.lit("s"), "turn").alias("step_id"), F.lit("turn").alias("kind"))).alias("steps"),
+        tag("new").alias("tags"), F.col("turn").alias("added"),
+    )
+    with scratch_schema(spark) as schema:
+        write_merged(old, f"{schema}.log")
+        write_merged(new, f"{schema}.log")
+        log = spark.read.table(f"{schema}.log")
+        step, tagged = F.col("steps")[0], F.col("tags")["k"]
+        return cut(log.select(
+            "conv_id", "request.role", F.col("request.text_md5").alias("old_md5"), F.col("request.digest").alias("new_md5"),
+            F.col("request.meta.n_chars").alias("n_chars"), F.col("request.meta.turn").alias("old_turn"),
+            step["step_id"].alias("step_id"), step["kind"].alias("step_kind"), step["note"].alias("old_step"),
+            tagged["new"].alias("tag_new"), tagged["old"].alias("tag_old"), F.col("only_old").alias("old_only"),
+            F.col("request").isNull().alias("no_request"),
+        ))
+
+
+@query("table_writes", """
+    SELECT step, columns, n FROM (VALUES ('create', 'doc_id,lang'), ('create again', 'doc_id,lang'), ('replace', 'lang,n'),
+      ('merge', 'lang,n,source')) AS v(step, columns),
+      (SELECT count(*) AS docs, count(DISTINCT lang) AS langs, count(DISTINCT source) AS sources FROM documents) AS c,
+      LATERAL (SELECT CASE WHEN step LIKE 'create%' THEN docs WHEN step = 'replace' THEN langs ELSE sources END AS n) AS r
+    UNION ALL SELECT 'reset', '', 0""")
+def q_table_writes(spark, sf):
+    """The write modes one after the other: what the table holds after each of them."""
+    docs = load(spark, sf, "documents")
+    seen = []
+    with scratch_schema(spark) as schema:
+        ensure_schema(spark, schema)
+        table = f"{schema}.t"
+
+        def look(step):
+            held = spark.read.table(table)
+            seen.append(cut(held.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(step).alias("step"), F.lit(",".join(held.columns)).alias("columns"), "n")))
+
+        write_new(docs.select("doc_id", "lang"), table)
+        look("create")
+        try:
+            write_new(docs.limit(0), table)
+        except AnalysisException:
+            look("create again")
+        write_overwrite(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), table)
+        look("replace")
+        write_merged(docs.select("source").distinct(), table)
+        look("merge")
+        reset_schema(spark, schema, really=True)
+        left = spark.sql(f"SHOW TABLES IN {schema}").agg(F.count(F.lit(1)).alias("n"))
+        seen.append(cut(left.select(F.lit("reset").alias("step"), F.lit("").alias("columns"), "n")))
+    out = seen[0]
+    for df in seen[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 @query("explode_items", """
     SELECT source AS category, md5(unnest(string_split(text, chr(10)))) AS item_md5 FROM documents""")
 def q_explode_items(spark, sf):

@@ -9,7 +9,7 @@ from askloom.plans.index import build_chunks, build_index, create_or_sync_index,
 from askloom.session import cut, scratch_path
 from askloom.sources.versions import version_of
 from askloom.streaming.changes import document_states, follow_changes, followed_index
-from askloom.streaming.logs import dedup_latest_stream
+from askloom.streaming.logs import dedup_latest_stream, latest_of_hour_stream, use_rocksdb_state
 from askloom.streaming.sync import read_index, sync_index_stream
 from askloom.workload.chunks import UNIQUE, chunks_sql
 from askloom.workload.logs import ASSESSMENTS, LOG_OUT, _flat, payload_log
@@ -240,3 +240,31 @@ def q_dedup_latest_stream(spark, sf):
     )
     out = _run_to_files(spark, latest, "latest")
     return out.select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("us"), "value")
+
+
+@query("latest_of_hour_stream", """
+    WITH placed AS (
+      SELECT event_id, user_id, event_type, ts, date_trunc('hour', ts) AS h, event_id % 10 = 7 AS late FROM events),
+    marks AS (
+      SELECT epoch_ms(max(ts)) - 3600000 AS all_rows, epoch_ms(max(ts) FILTER (NOT late)) - 3600000 AS first_rows FROM placed),
+    taken AS (
+      -- Late rows count as far as their hour was open when they came.
+      SELECT * FROM placed, marks WHERE NOT late OR epoch_ms(h) + 3600000 > first_rows),
+    best AS (
+      SELECT *, row_number() OVER (PARTITION BY user_id, event_type, h ORDER BY ts DESC, event_id DESC) AS rn
+      FROM taken WHERE epoch_ms(h) + 3600000 <= all_rows)
+    SELECT user_id, event_type, event_id, epoch_us(ts) AS us FROM best WHERE rn = 1""")
+def q_latest_of_hour_stream(spark, sf):
+    """A tenth of the events comes a batch later than the rest, most of it too late."""
+    use_rocksdb_state(spark)
+    events = load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.col("event_id") % 10 == 7
+    arrived, target, state = (scratch_path(spark, n) for n in ("events", "latest", "state"))
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(events.schema).parquet(arrived)
+        latest = latest_of_hour_stream(stream, ["user_id", "event_type"], ts="ts", carry=["event_id"])
+        latest.writeStream.format("parquet").option("checkpointLocation", state).trigger(
+            availableNow=True
+        ).start(target).awaitTermination()
+    return spark.read.schema(latest.schema).parquet(target)

@@ -2,10 +2,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from askloom import schemas
-from askloom.operators.payloads import dedup_assessments, pending_reviews, unpack_payloads
+from askloom.operators.payloads import dedup_assessments, parse_payloads, pending_reviews, unpack_payloads
 from askloom.plans.logs import write_logs
+from askloom.session import scratch_path
 
 PAYLOAD = "acme_request_id string, status_code string, timestamp_ms long, request string, response string"
 HOUR = 3_600_000
@@ -205,3 +207,48 @@ def test_write_logs(spark):
         write_logs(df, "logs_db.requests", "logs_db.assessments", vendor="acme_")
     assert spark.table("logs_db.requests").count() == 1
     assert spark.table("logs_db.assessments").count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_staged_payloads_are_parsed_once(spark):
+    rows = [request("r1", [USER], [CHOICE]), review([record(text=[text()])]), review("oops", rid="bad")]
+    df = spark.createDataFrame(rows, PAYLOAD)
+    parsed = parse_payloads(df, "acme_")
+    assert plan(parsed).count("parseJson(") == 2
+    path = scratch_path(spark, "stage")
+    staged = unpack_payloads(df, "acme_", stage=path)
+    lazy = unpack_payloads(df, "acme_")
+    for one, two, kind in zip(staged, lazy, ("request", "assessment", "reject")):
+        assert "parseJson" not in plan(one) and "from_json" not in plan(one)
+        files = one.select(F.input_file_name().alias("f")).distinct().collect()
+        assert files and all(f"kind={kind}" in r.f for r in files)
+        assert [r.asDict(recursive=True) for r in one.collect()] == [r.asDict(recursive=True) for r in two.collect()]
+    kept = spark.read.parquet(path).where("request IS NOT NULL").select("kind").distinct().collect()
+    assert [r.kind for r in kept] == ["reject"]
+
+
+def test_parts_of_other_types_and_odd_texts(spark):
+    body = json.dumps({"messages": "hello", "acme_options": {"conversation_id": 7}})
+    out = logs(
+        spark,
+        ("odd", "200", 1, body, json.dumps({"choices": "text"})),
+        ("list", "200", 1, "[1, 2]", "[]"), ("number", "200", 1, "3", "null"), ("cut", "200", 1, '{"a":', '{"choices": ['),
+        ("twice", "200", 1, '{"messages": [], "messages": []}', json.dumps({"choices": []})),
+    )
+    got = {r.request.request_id: r for r in out.request_log.collect()}
+    assert set(got) == {"odd", "twice"}
+    assert got["odd"].request.messages is None and got["odd"].request.conversation_id == "7" and got["odd"].output.choices is None
+    rejected = {r.request_id: (r.request, r.response) for r in out.rejects.collect()}
+    assert set(rejected) == {"list", "number", "cut"} and rejected["cut"] == ('{"a":', '{"choices": [')
+
+
+def test_write_logs_with_rejects(spark):
+    rows = [request("r1", [USER], [CHOICE]), review([record(text=[text()])]), review("oops", rid="bad"), review([], rid="empty")]
+    spark.sql("CREATE SCHEMA IF NOT EXISTS logs_db")
+    for _ in range(2):
+        write_logs(spark.createDataFrame(rows, PAYLOAD), "logs_db.q", "logs_db.a", "logs_db.r", vendor="acme_")
+    assert sorted(r.request_id for r in spark.read.table("logs_db.r").collect()) == ["bad", "empty"]
+    assert spark.read.table("logs_db.q").count() == spark.read.table("logs_db.a").count() == 1

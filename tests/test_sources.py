@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from askloom.sources.tables import (
-    append_metrics, ensure_schema, explode_items, preview, questions_to_df, read_csv_source,
+    append_metrics, ensure_schema, explode_items, merged_schema, preview, questions_to_df, read_csv_source,
     read_demos, read_source, reset_schema, rows_to_df, to_driver, write_csv, write_merged, write_new,
     write_overwrite, write_report,
 )
@@ -92,3 +92,37 @@ def test_sinks(spark, db, tmp_path):
 
 def test_samples(spark):
     assert len(to_driver(spark.range(10), 3)) == 3 and preview(spark.range(10), 4).count() == 4
+
+
+def test_nested_fields_are_merged(spark, db):
+    old = spark.createDataFrame(
+        [((1, ("x", 2)), [{"a": 1}], {"k": (1,)}, "gone")],
+        "r struct<id:int,deep:struct<p:string,q:int>>, xs array<struct<a:int>>, m map<string,struct<u:int>>, o string",
+    )
+    new = spark.createDataFrame(
+        [(((7,), "t"), [None, ("b1",)], {"k": None, "l": (2.5,)}, 5), (None, None, None, 6)],
+        "R struct<deep:struct<n:int>,extra:string>, xs array<struct<b:string>>, m map<string,struct<v:double>>, added int",
+    )
+    write_merged(old, f"{db}.nested")
+    write_merged(new, f"{db}.nested")
+    got = spark.read.table(f"{db}.nested")
+    assert got.dtypes == [
+        ("r", "struct<id:int,deep:struct<p:string,q:int,n:int>,extra:string>"), ("xs", "array<struct<a:int,b:string>>"),
+        ("m", "map<string,struct<u:int,v:double>>"), ("o", "string"), ("added", "int"),
+    ]
+    full, empty = (r.asDict(recursive=True) for r in got.orderBy("added").collect())
+    assert full["r"] == {"id": None, "deep": {"p": None, "q": None, "n": 7}, "extra": "t"}
+    assert full["xs"] == [None, {"a": None, "b": "b1"}] and full["m"] == {"k": None, "l": {"u": None, "v": 2.5}}
+    assert empty == {"r": None, "xs": None, "m": None, "o": None, "added": 6}
+    # Once more: nothing is left to add.
+    write_merged(new, f"{db}.nested")
+    assert spark.read.table(f"{db}.nested").dtypes == got.dtypes
+
+
+@pytest.mark.parametrize("old, new, where", [
+    ("v int", "v string", "v"), ("s struct<a:array<int>>", "s struct<a:int>", "s.a"),
+    ("m map<string,int>", "m map<int,int>", "m"), ("xs array<struct<a:int>>", "xs array<struct<a:double>>", "xs[].a"),
+])
+def test_clashing_types_are_named(spark, old, new, where):
+    with pytest.raises(ValueError, match=where.replace("[", r"\[").replace("]", r"\]")):
+        merged_schema(spark.createDataFrame([], new), spark.createDataFrame([], old).schema)
