@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from askloom.fixed_values import METRICS
+from askloom.session import cut
 
 
 def avg_metrics_by_run(
@@ -82,17 +83,38 @@ def mean_score(scores: DataFrame, *, system: str = "system", score: str = "score
 
 def compare_systems(means: DataFrame, best: str, *, system: str = "system") -> DataFrame:
     """Improvement of ``best`` over every other system, in percent of the other's mean."""
-    # A handful of systems: one row each is left of all the scores.
-    mean = F.struct(F.col(system).alias("system"), "mean_score")
-    row = means.agg(
-        F.max(F.when(F.col(system) == best, F.col("mean_score"))).alias("_target"),
-        F.collect_list(mean).alias("_all"),
+    # A mean per system is written once; the target is a single number.
+    means = cut(means.select(F.col(system).alias("against"), "mean_score"))
+    row = means.where(F.col("against") == best).select("mean_score").first()
+    target = F.lit(None if row is None else row["mean_score"]).cast("double")
+    gain = F.try_divide(100 * (target - F.col("mean_score")), F.col("mean_score"))
+    return means.where(F.col("against") != best).select("against", gain.alias("improvement_pct"))
+
+
+def compare_pairs(
+    scores: DataFrame, best: str, *, id_col: str = "request_id", system: str = "system", score: str = "score"
+) -> DataFrame:
+    """``best`` against every other system, request by request.
+
+    Counts only requests that both systems have a score for (``pairs``); ``unpaired`` are the other system's rest.
+    ``improvement_pct`` compares the means over the pairs, ``mean_gain`` and ``gain_error`` (its standard error)
+    their differences. One join by request: ``best`` has one row of a request at most, and so has each system.
+    """
+    target = scores.where(F.col(system) == best).select(id_col, F.col(score).alias("_best"))
+    both = scores.where(F.col(system) != best).join(target, id_col, "left")
+    gain, mine, own = F.col("_best") - F.col(score), F.col("_best"), F.col(score)
+    paired = gain.isNotNull()
+    sums = both.groupBy(F.col(system).alias("against")).agg(
+        F.count_if(paired).alias("pairs"), F.count_if(~paired).alias("unpaired"),
+        F.count_if(gain > 0).alias("wins"), F.count_if(gain < 0).alias("losses"), F.count_if(gain == 0).alias("ties"),
+        F.avg(F.when(paired, mine)).alias("_mine"), F.avg(F.when(paired, own)).alias("_own"),
+        F.avg(gain).alias("mean_gain"), F.stddev_samp(gain).alias("_spread"),
     )
-    other = row.select("_target", F.explode("_all").alias("o")).where(F.col("o.system") != best)
-    gain = F.try_divide(
-        100 * (F.col("_target") - F.col("o.mean_score")), F.col("o.mean_score")
+    return sums.select(
+        "against", "pairs", "unpaired", "wins", "losses", "ties",
+        F.try_divide(100 * (F.col("_mine") - F.col("_own")), F.col("_own")).alias("improvement_pct"), "mean_gain",
+        F.try_divide("_spread", F.sqrt("pairs")).alias("gain_error"),
     )
-    return other.select(F.col("o.system").alias("against"), gain.alias("improvement_pct"))
 
 
 def best_candidate(scores: DataFrame, *, candidate: str = "candidate") -> DataFrame:

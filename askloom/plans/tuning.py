@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -18,6 +19,18 @@ from askloom.operators.models import Model, batch_generate, judge
 from askloom.operators.reports import best_candidate
 from askloom.session import cut
 
+
+class Program(NamedTuple):
+    """A prompt program: examples as dicts of the saved layout, and whether the model reasons first."""
+
+    demos: list[dict]
+    instructions: str = RESPOND_INSTRUCTIONS
+    reasons: bool = True
+
+    def prefix(self) -> str:
+        return demo_prefix(self.demos, reasons=self.reasons)
+
+
 GOLDEN_FLAG = "response_metrics.llm_judged_relevant_to_question_and_context"
 
 
@@ -42,22 +55,43 @@ def golden_split(
 
 DEMO_TEMPLATE = "Request: {request}\nContext: {context}\nResponse: {response}\n\n---\n\n"
 TASK_TEMPLATE = "Request: {request}\nContext: {context}\nResponse:"
+# With a reasoning step the model writes how it gets to the response before the response itself.
+REASONED_DEMO_TEMPLATE = (
+    "Request: {request}\nContext: {context}\nReasoning: {rationale}\nResponse: {response}\n\n---\n\n"
+)
+REASONED_TASK_TEMPLATE = "Request: {request}\nContext: {context}\nReasoning:"
+RESPONSE_MARK = "\nResponse:"
 
 
-def demo_prefix(demos: list[dict]) -> str:
+def demo_prefix(demos: list[dict], *, reasons: bool = False) -> str:
     """Instructions and examples that go before the task of a prompt."""
+    template = REASONED_DEMO_TEMPLATE if reasons else DEMO_TEMPLATE
     shown = "".join(
-        DEMO_TEMPLATE.format(**{k: d.get(k) or "" for k in ("request", "context", "response")})
+        template.format(**{k: d.get(k) or "" for k in ("request", "context", "rationale", "response")})
         for d in demos
     )
     return f"{RESPOND_INSTRUCTIONS}\n\n---\n\n{shown}"
 
 
-def answer_with(df: DataFrame, prefix_col: str, model: Callable[[], Model], out: str) -> DataFrame:
-    """Ask for a response to (request, context) after the prefix of the row."""
-    task = render(TASK_TEMPLATE, {"request": F.col("request"), "context": F.col("context")})
+def answer_with(
+    df: DataFrame, prefix_col: str, model: Callable[[], Model], out: str, *, reasons: bool = False
+) -> DataFrame:
+    """Ask for a response to (request, context) after the prefix of the row.
+
+    With ``reasons`` the answer is cut at the last line that starts with ``Response:``; what stands before
+    it goes to ``<out>_rationale``, and an answer without such a line is all response.
+    """
+    template = REASONED_TASK_TEMPLATE if reasons else TASK_TEMPLATE
+    task = render(template, {"request": F.col("request"), "context": F.col("context")})
     prompts = df.withColumn("_prompt", F.concat(F.col(prefix_col), task))
-    return batch_generate(prompts, "_prompt", model, out=out).drop("_prompt", "tries", "error")
+    answered = batch_generate(prompts, "_prompt", model, out=out).drop("_prompt", "tries", "error")
+    if not reasons:
+        return answered
+    marked = F.instr(F.col(out), RESPONSE_MARK) > 0
+    return answered.withColumns({
+        f"{out}_rationale": F.when(marked, F.trim(F.regexp_extract(out, "(?s)^(.*)\nResponse:", 1))),
+        out: F.when(marked, F.trim(F.substring_index(out, RESPONSE_MARK, -1))).otherwise(F.col(out)),
+    })
 
 
 def _sample_demos(
@@ -71,7 +105,7 @@ def _sample_demos(
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") <= most)
         .orderBy("candidate", "_rn")
-        .select("candidate", "request", "context", "response")
+        .select("candidate", "augmented", "request", "context", "rationale", "response")
         .collect()
     )
     chosen: dict[int, list[dict]] = {c: [] for c in candidates}
@@ -91,6 +125,7 @@ def fewshot_search(
     max_labelled: int = MAX_LABELLED_DEMOS,
     accept: int = 3,
     id_col: str = "request_id",
+    reasons: bool = False,
 ) -> tuple[DataFrame, dict[int, str]]:
     """(scores, prefixes): the judge score of every training row under every candidate prompt.
 
@@ -98,37 +133,63 @@ def fewshot_search(
     labelled rows only, the others also rows whose answer by the teacher reached the score
     ``accept``; each candidate draws its examples by its own seeded hash. Every training row is
     repeated once per candidate (a handful), which is all the growth there is. The best one is
-    ``best_candidate(scores)``; its prompt prefix is in ``prefixes``.
+    ``best_candidate(scores)``; its prompt prefix is in ``prefixes``. With ``reasons`` the models
+    reason before they respond, and generated examples show the teacher's reasoning.
     """
+    scores, demos = search_demos(
+        train, model, judge_model, teacher=teacher, candidates=candidates, max_generated=max_generated,
+        max_labelled=max_labelled, accept=accept, id_col=id_col, reasons=reasons,
+    )
+    return scores, {c: demo_prefix(d, reasons=reasons) for c, d in demos.items()}
+
+
+def search_demos(
+    train: DataFrame,
+    model: Callable[[], Model],
+    judge_model: Callable[[], Model],
+    *,
+    teacher: Callable[[], Model] | None,
+    candidates: int,
+    max_generated: int,
+    max_labelled: int,
+    accept: int,
+    id_col: str,
+    reasons: bool,
+) -> tuple[DataFrame, dict[int, list[dict]]]:
+    """:func:`fewshot_search` with the examples themselves instead of the prompt prefixes."""
     bare = demo_prefix([])
     taught = answer_with(
-        train.withColumn("_prefix", F.lit(bare)), "_prefix", teacher or model, "_taught"
+        train.withColumn("_prefix", F.lit(bare)), "_prefix", teacher or model, "_taught", reasons=reasons
     )
+    if not reasons:
+        taught = taught.withColumn("_taught_rationale", F.lit(None).cast("string"))
     good = (
         judge(taught, judge_model, response_col="_taught")
         .where(F.col("score") >= accept)
-        .select(id_col, "request", "context", F.col("_taught").alias("response"))
+        .select(
+            id_col, "request", "context", F.col("_taught").alias("response"),
+            F.col("_taught_rationale").alias("rationale"), F.lit(True).alias("augmented"),
+        )
     )
     good = cut(good)  # model output: asked for once
-    labelled = _sample_demos(train, list(range(1, candidates)), max_labelled, id_col, "labelled")
+    pool = train.withColumns({"rationale": F.lit(None).cast("string"), "augmented": F.lit(False)})
+    labelled = _sample_demos(pool, list(range(1, candidates)), max_labelled, id_col, "labelled")
     generated = _sample_demos(good, list(range(2, candidates)), max_generated, id_col, "generated")
-    prefixes = {
-        c: demo_prefix(generated.get(c, []) + labelled.get(c, [])) for c in range(candidates)
-    }
+    demos = {c: generated.get(c, []) + labelled.get(c, []) for c in range(candidates)}
     # A few prompts: the number of candidates and examples is fixed by the arguments.
     table = F.array(
-        *[F.struct(F.lit(c).alias("candidate"), F.lit(p).alias("prefix"))
-          for c, p in prefixes.items()]
+        *[F.struct(F.lit(c).alias("candidate"), F.lit(demo_prefix(d, reasons=reasons)).alias("prefix"))
+          for c, d in demos.items()]
     )
     trials = train.withColumn("_c", F.explode(table)).select(
         id_col, "request", "context", F.col("_c.candidate").alias("candidate"),
         F.col("_c.prefix").alias("_prefix"),
     )
-    answered = answer_with(trials, "_prefix", model, "answer").drop("_prefix")
+    answered = answer_with(trials, "_prefix", model, "answer", reasons=reasons).drop("_prefix")
     scores = judge(answered, judge_model, response_col="answer").select(
         id_col, "candidate", "answer", "score"
     )
-    return cut(scores), prefixes
+    return cut(scores), demos
 
 
 def tune(train: DataFrame, model, judge_model, **options) -> tuple[int, str]:
@@ -136,3 +197,18 @@ def tune(train: DataFrame, model, judge_model, **options) -> tuple[int, str]:
     scores, prefixes = fewshot_search(train, model, judge_model, **options)
     best = best_candidate(scores).first()["candidate"]
     return best, prefixes[best]
+
+
+def tune_program(
+    train: DataFrame, model, judge_model, *, reasons: bool = True, teacher=None, candidates: int = 8,
+    max_generated: int = MAX_GENERATED_DEMOS, max_labelled: int = MAX_LABELLED_DEMOS, accept: int = 3,
+    id_col: str = "request_id",
+) -> Program:
+    """The best candidate as a program to save and to use again."""
+    scores, demos = search_demos(
+        train, model, judge_model, teacher=teacher, candidates=candidates, max_generated=max_generated,
+        max_labelled=max_labelled, accept=accept, id_col=id_col, reasons=reasons,
+    )
+    best = best_candidate(scores).first()["candidate"]
+    kept = [{k: d[k] for k in ("augmented", "request", "context", "rationale", "response")} for d in demos[best]]
+    return Program(kept, RESPOND_INSTRUCTIONS, reasons)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from askloom.operators.chunking import chunk_separator, chunk_tokens
+from askloom.operators.subwords import chunk_subwords
 from askloom.plans.index import build_chunks, unique_chunks
 from askloom.workload.registry import load, query
 
@@ -149,3 +150,29 @@ def q_index_rows(spark, sf):
     return doc_index_rows(spark, sf).select(
         "chunk_id", "doc_uri", "category", F.md5("content").alias("content_md5")
     )
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("chunk_subwords", """
+    SELECT doc_id, md5(text) AS joined_md5, CAST(length(text) AS INT) AS covered, true AS full_chunks
+    FROM documents WHERE length(text) > 0""")
+def q_chunk_subwords(spark, sf):
+    """Chunks of 200 sub-word tokens put together again: every character is there, and all but the last are full."""
+    chunks = chunk_subwords(load(spark, sf, "documents"), "text", tokenizer_file(), size=200, overlap=0)
+    per_doc = chunks.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("chunk_no", "chunk", "start", "end", "n_tokens"))).alias("cs")
+    )
+    # A character whose bytes fall into two chunks is in both of them.
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get("cs", i - 1)["end"])
+    own = F.transform("cs", lambda c, i: F.substr(c["chunk"], before(i) - c["start"] + 1))
+    full = F.forall(F.slice("cs", F.lit(1), F.size("cs") - 1), lambda c: c["n_tokens"] == 200)
+    last = F.element_at("cs", -1)
+    return per_doc.select(
+        "doc_id", F.md5(F.array_join(own, "")).alias("joined_md5"), last["end"].alias("covered"),
+        (full & last["n_tokens"].between(1, 200)).alias("full_chunks"),
+    )

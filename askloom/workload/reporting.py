@@ -1,19 +1,29 @@
 """Run summaries, reports, golden set, comparisons and the few-shot search."""
 
-from pyspark.sql import functions as F
+from hashlib import md5
+
+from pyspark.sql import Window, functions as F
 
 from askloom.fixed_values import METRICS
-from askloom.operators.models import judge
+from askloom.operators.models import judge, sample_first
 from askloom.operators.reports import (
     JUDGED, avg_metrics_by_run, best_candidate, compare_systems, eval_report, json_rows,
     mean_score, report_rows,
 )
+from askloom.operators.terms import search_terms, term_index
+from askloom.plans.comparison import (
+    System, compare_held_out, read_program, read_programs, write_program, write_programs,
+)
 from askloom.plans.runs import summarise_run
 from askloom.plans.tuning import (
-    DEMO_TEMPLATE, TASK_TEMPLATE, demo_prefix, fewshot_search, golden_set, golden_split,
+    DEMO_TEMPLATE, REASONED_DEMO_TEMPLATE, REASONED_TASK_TEMPLATE, TASK_TEMPLATE, Program, demo_prefix, fewshot_search,
+    golden_set, golden_split,
 )
+from askloom.session import cut, scratch_path
+from askloom.workload.chunks import UNIQUE, doc_index_rows
 from askloom.workload.evaluation import EVALUATED, evaluation_tables, parity_judge, quoted
 from askloom.workload.registry import load, query
+from askloom.workload.retrieval import text_hits_sql
 
 SHORT = [m.split(".")[1] for m in METRICS]
 AVERAGES = EVALUATED + """,
@@ -272,3 +282,124 @@ def q_fewshot_search(spark, sf):
     return scores.groupBy("candidate").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score")
     )
+
+
+# --- held-out comparison and saved programs --------------------------------------------
+
+def digest_author(shift: int, span: int):
+    """Offline stand-in for a model that reasons: its response depends on every character of the prompt."""
+    def factory():
+        def ask(prompts):
+            return [
+                f" It has {len(p)} characters.\nResponse: {md5(p.encode()).hexdigest()[:1 + (len(p) + shift) % span]}"
+                for p in prompts
+            ]
+
+        return ask
+
+    return factory
+
+
+def _reasoned_sql(parts: str, template: str) -> str:
+    """A prompt template as an SQL expression over columns named as its fields."""
+    out = template
+    for name in ("request", "context", "rationale", "response"):
+        out = out.replace("{" + name + "}", f"' || {parts}{name} || '")
+    return f"'{out}'"
+
+
+def _answer_sql(prompt: str, shift: int, span: int) -> str:
+    return f"left(md5({prompt}), CAST(1 + (length({prompt}) + {shift}) % {span} AS BIGINT))"
+
+
+SYSTEMS = {"raw": (0, 29), "second": (7, 23), "tuned": (0, 29)}
+TRAINED = """
+    shown AS (
+      SELECT row_number() OVER (ORDER BY request_id) - 1 AS position, request, context, response,
+        'Seen in ' || request_id || '.' AS rationale
+      FROM split JOIN texts USING (request_id) WHERE split = 'train' QUALIFY position < 3)"""
+HELD_OUT = GOLDEN + "," + TRAINED + "," + UNIQUE.replace("WITH", "", 1).replace("texts AS", "pieces AS").replace(
+    "FROM texts)", "FROM pieces)") + """,
+    passages AS (SELECT chunk_id AS key, content AS text FROM uniq),
+    questions AS (SELECT request_id AS q, request AS text FROM split WHERE split = 'test'),""" + text_hits_sql(
+    "questions", "passages") + f""",
+    found AS (
+      SELECT q AS request_id, string_agg('`' || text || '`', '' ORDER BY rank) AS context
+      FROM hits JOIN passages USING (key) WHERE rank <= 3 GROUP BY q),
+    asked AS (
+      SELECT request_id, request, coalesce(found.context, '') AS context
+      FROM split LEFT JOIN found USING (request_id) WHERE split = 'test'),
+    program AS (SELECT string_agg({_reasoned_sql("", REASONED_DEMO_TEMPLATE)}, '' ORDER BY position) AS demos FROM shown),
+    prompts AS (
+      SELECT request_id, request, {quoted(demo_prefix([]))} || {_reasoned_sql("", REASONED_TASK_TEMPLATE)} AS bare,
+        {quoted(demo_prefix([]))} || demos || {_reasoned_sql("", REASONED_TASK_TEMPLATE)} AS shown
+      FROM asked, program),
+    answers AS ({" UNION ALL ".join(
+        f"SELECT request_id, request, '{name}' AS system, {_answer_sql('shown' if name == 'tuned' else 'bare', *how)} AS response,"
+        f" length({'shown' if name == 'tuned' else 'bare'}) AS seen FROM prompts"
+        for name, how in SYSTEMS.items())}),
+    scored AS (SELECT *, {_score_sql()} AS score FROM answers)"""
+
+
+def _held_out(spark, sf):
+    """Three systems on the test rows, the tuned one with a program that was saved and read again."""
+    split = golden_split(evaluation_tables(spark, sf)[0])
+    train = split.where("split = 'train'").withColumn("rationale", F.concat(F.lit("Seen in "), "request_id", F.lit(".")))
+    shown = [r.asDict() for r in sample_first(train, 3, ["request_id"]).collect()]
+    path = scratch_path(spark, "programs")
+    write_program(spark, Program([{**d, "augmented": True} for d in shown]), path)
+    test = split.where("split = 'test'").select("request_id", "request", "response")
+    chunks = cut(doc_index_rows(spark, sf))
+    hits = search_terms(test, term_index(chunks, "chunk_id", "content"), k=3, query_key="request_id", text="request")
+    named = hits.withColumnsRenamed({"query_key": "request_id", "index_key": "chunk_id"})
+    systems = {
+        name: System(digest_author(*how), read_program(spark, path) if name == "tuned" else None)
+        for name, how in SYSTEMS.items()
+    }
+    return compare_held_out(
+        test, named.join(chunks.select("chunk_id", "content"), "chunk_id"), systems, parity_judge, best="tuned"
+    )
+
+
+@query("held_out_scores", HELD_OUT + """
+    SELECT request_id, system, response, 'It has ' || seen || ' characters.' AS rationale, CAST(score AS INT) AS score
+    FROM scored""")
+def q_held_out_scores(spark, sf):
+    return _held_out(spark, sf)[0].drop("judge_error")
+
+
+@query("compare_held_out", HELD_OUT + """
+    SELECT o.system AS against, count(*) AS pairs, 0::BIGINT AS unpaired, count(*) FILTER (t.score > o.score) AS wins,
+      count(*) FILTER (t.score < o.score) AS losses, count(*) FILTER (t.score = o.score) AS ties,
+      round(100 * (avg(t.score) - avg(o.score)) / nullif(avg(o.score), 0), 6) AS improvement_pct,
+      round(avg(t.score - o.score), 6) AS mean_gain,
+      round(stddev_samp(t.score - o.score) / sqrt(count(*)), 6) AS gain_error
+    FROM scored o JOIN scored t ON t.request_id = o.request_id AND t.system = 'tuned' WHERE o.system <> 'tuned'
+    GROUP BY o.system""")
+def q_compare_held_out(spark, sf):
+    found = _held_out(spark, sf)[1]
+    return found.withColumns({c: F.round(c, 6) for c in ("improvement_pct", "mean_gain", "gain_error")})
+
+
+@query("saved_program", """
+    SELECT source AS program, CAST(row_number() OVER w - 1 AS INT) AS position, doc_id % 2 = 0 AS augmented,
+      lang AS request, md5(text) AS context_md5, CASE WHEN doc_id % 3 <> 0 THEN 'Since ' || doc_id END AS rationale,
+      CAST(n_chars AS VARCHAR) AS response
+    FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id) QUALIFY row_number() OVER w <= 4""")
+def q_saved_program(spark, sf):
+    """A program of four examples per source, with whole texts as contexts, written and read again."""
+    doc = F.col("doc_id")
+    placed = first_rows(load(spark, sf, "documents"), 4).select(
+        F.col("source").alias("program"), "position", (doc % 2 == 0).alias("augmented"), F.col("lang").alias("request"),
+        F.col("text").alias("context"), F.when(doc % 3 != 0, F.concat(F.lit("Since "), doc)).alias("rationale"),
+        F.col("n_chars").cast("string").alias("response"),
+    )
+    path = scratch_path(spark, "programs")
+    write_programs(placed, path)
+    read = read_programs(spark, path)
+    return read.select("program", "position", "augmented", "request", F.md5("context").alias("context_md5"), "rationale", "response")
+
+
+def first_rows(docs, n):
+    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    return docs.withColumn("position", place - 1).where(F.col("position") < n)
