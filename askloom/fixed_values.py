@@ -42,14 +42,6 @@ QUESTION_TEMPLATE = """\\
     Please return your output as a JSON as follows:
 
     {{"question": "question for the chunk"}}"""
-QUESTION_SYSTEM_PROMPT = (
-    "You are an expert at understanding academic research papers.  You are also an expert at "
-    "generating questions that a human would likely ask about specific content from academic "
-    "research papers. You pride yourself on your ability to be realistic, yet a bit creative, and "
-    "you know that a human will evaluate your output, so you put extra effort into following "
-    "instructions exactly, including only outputing in JSON format as instructed.  You will lose "
-    "your job if you don't output valid JSON."
-)
 FORBIDDEN_QUESTION_WORD = "chunk"
 CATEGORY_TEMPLATE = (
     "Given the domain '{text_domain}', generate a classification or category for a piece of text "

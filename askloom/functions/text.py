@@ -37,12 +37,6 @@ def letters_only(text: Column) -> Column:
     return F.regexp_replace(text, r"[^a-zA-Z\s]", "")
 
 
-def first_sentence(text: Column) -> Column:
-    """Text up to and including the first full stop, or all of it."""
-    return F.when(F.instr(text, ".") > 0, F.concat(F.substring_index(text, ".", 1), F.lit(".")))\
-        .otherwise(text)
-
-
 def short_id(*parts: Column) -> Column:
     """Seven hex characters that depend on ``parts`` only."""
     return F.substring(F.md5(F.concat_ws("#", *parts)), 1, 7)

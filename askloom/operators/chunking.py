@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -30,14 +30,16 @@ def chunk_tokens(
     tokenizer: Callable[[], Tokenizer] | None = None,
     joiner: str = " ",
     out: str = "chunk",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` plus ``chunk_no``, the chunk text and ``chunk_id`` (its md5).
+    """All columns of ``docs`` (or those of ``keep``) plus ``chunk_no``, the chunk text and ``chunk_id`` (its md5).
 
     Without a tokenizer everything stays in JVM expressions and no row moves.
     ``tokenizer`` is a factory, called once per task; the function it returns
-    gives the pieces of one text. Null or empty text yields no chunk.
+    gives the pieces of one text. Null or empty text yields no chunk. A table of chunks that keeps
+    the text itself repeats it for each of its chunks; ``keep`` leaves it out.
     """
-    kept = [c for c in docs.columns]
+    kept = list(docs.columns if keep is None else keep)
     text = F.col(text_col)
     if tokenizer is None:
         tokens = whitespace_tokens(text)
@@ -91,6 +93,7 @@ def chunk_separator(
     overlap: int = CHUNK_OVERLAP,
     tokenizer: Callable[[], Tokenizer] | None = None,
     out: str = "chunk",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Like :func:`chunk_tokens`, but cuts only at ``sep``.
 
@@ -114,7 +117,7 @@ def chunk_separator(
         for batch in batches:
             yield batch.map(chunks)
 
-    kept = [c for c in docs.columns]
+    kept = list(docs.columns if keep is None else keep)
     # Marked so that the filter Spark derives from the explode does not pack a second time.
     once = packed.asNondeterministic()(F.col(text_col))
     packs = docs.where(F.length(text_col) > 0).withColumn("_chunks", once)

@@ -154,7 +154,7 @@ def judged_precision(
 def response_metrics(
     df: DataFrame, *, response: str = "response", expected: str = "expected_response"
 ) -> DataFrame:
-    """``df`` plus the words of the response and whether it equals the expected one, trimmed.
+    """``df`` plus the words of the response and whether it equals the expected one, blanks at either end aside.
 
     The match is null where nothing is expected, and false where the response is missing.
     """

@@ -131,8 +131,7 @@ def generate_questions(
     """One question per chunk: ``id_col``, ``question``, ``tries``, ``error``.
 
     Questions that speak of a "chunk" are asked for again; the last one is kept. All
-    chunks are asked about; ``n`` takes the first n by id. A chat model should be given
-    ``QUESTION_SYSTEM_PROMPT`` as its system message.
+    chunks are asked about; ``n`` takes the first n by id.
     """
     if n is not None:
         chunks = sample_first(chunks, n, [id_col])

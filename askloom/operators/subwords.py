@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -49,8 +49,9 @@ def chunk_subwords(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     out: str = "chunk",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` plus ``chunk_no``, the chunk, ``chunk_id`` (its md5), ``start``, ``end`` and ``n_tokens``.
+    """All columns of ``docs`` (or those of ``keep``) plus ``chunk_no``, the chunk, ``chunk_id`` (its md5), ``start``, ``end`` and ``n_tokens``.
 
     A chunk is a piece of the text as it stands, from the first character of its first token to the
     last of its last: nothing is lower-cased or normalised, as joining token strings would do. Texts without
@@ -73,7 +74,8 @@ def chunk_subwords(
 
     # Marked so that the filter Spark derives from the explode does not tokenize a second time.
     cut = docs.where(F.length(text_col) > 0).withColumn("_chunks", pieces.asNondeterministic()(F.col(text_col)))
-    return cut.select(*docs.columns, F.posexplode("_chunks").alias("chunk_no", "_c")).select(
-        *docs.columns, "chunk_no", F.col("_c.text").alias(out), F.md5("_c.text").alias("chunk_id"),
+    kept = list(docs.columns if keep is None else keep)
+    return cut.select(*kept, F.posexplode("_chunks").alias("chunk_no", "_c")).select(
+        *kept, "chunk_no", F.col("_c.text").alias(out), F.md5("_c.text").alias("chunk_id"),
         "_c.start", "_c.end", "_c.n_tokens",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from askloom.fixed_values import (
     CATEGORY_TEMPLATE,
@@ -16,6 +16,7 @@ from askloom.fixed_values import (
 from askloom.functions.prompts import render
 from askloom.functions.text import letters_only, random_id, short_id, stable_number
 from askloom.operators.models import Model, batch_generate
+from askloom.sources.tables import ensure_schema, write_new
 
 # Offline wording, used when no model is given.
 ORDINALS = [
@@ -120,3 +121,28 @@ def generate_tickets(
         F.col("category"), F.col("symptom"), F.lit(seed).cast("string")
     )
     return texts.select("category", text_col, ticket.alias(id_col))
+
+
+def generate_source(
+    spark: SparkSession,
+    table: str,
+    categories: DataFrame | list[str],
+    *,
+    domain: str = "",
+    model: Callable[[], Model] | None = None,
+    minimum: int = MIN_CATEGORIES,
+    **options,
+) -> DataFrame:
+    """Make the source table ``table``, which must not exist yet, and read it back.
+
+    ``categories`` are a table with a column ``category``, or a few names, which the model completes to
+    ``minimum`` of them. The schema of the table is created where it is missing.
+    """
+    if not isinstance(categories, DataFrame):
+        if model is not None:
+            categories = propose_categories(model(), domain, categories, minimum=minimum)
+        categories = spark.createDataFrame([(c,) for c in categories], "category string")
+    if "." in table:
+        ensure_schema(spark, table.rsplit(".", 1)[0])
+    write_new(generate_tickets(categories, domain=domain, model=model, **options), table)
+    return spark.read.table(table)

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows carry whole texts and vectors: keep Arrow batches to a few MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

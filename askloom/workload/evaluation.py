@@ -1,5 +1,8 @@
 """Questions, evaluation sets, metrics and judges."""
 
+import json
+from hashlib import md5
+
 from pyspark.sql import functions as F
 
 from askloom.fixed_values import JUDGE_QUESTIONS, METRIC_KS, QUESTION_TEMPLATE
@@ -12,11 +15,13 @@ from askloom.operators.metrics import (
 )
 from askloom.operators.models import JUDGE_TEMPLATE, generate_questions, judge, sample_first
 from askloom.plans.answering import answer_questions
-from askloom.plans.evaluation import build_eval_set, judged_answers, split_judged
-from askloom.workload.chunks import UNIQUE, doc_index_rows
+from askloom.plans.evaluation import (
+    ASSESSMENT_QUESTIONS, ASSESSMENT_TEMPLATE, ASSESSMENTS, PER_CHUNK, build_eval_set, judged_answers, split_judged,
+)
+from askloom.workload.chunks import UNIQUE, doc_chunks, doc_index_rows
 from askloom.workload.registry import load, query
 from askloom.workload.retrieval import (
-    RETRIEVED, VEC, echo_context, ranked_sql, vector_index, vector_questions,
+    RETRIEVED, VEC, digest_of_prompt, digest_sql, ranked_sql, vector_index, vector_questions,
 )
 
 
@@ -38,20 +43,37 @@ def q_question_prompts(spark, sf):
     return doc_index_rows(spark, sf).select("chunk_id", F.md5(prompt).alias("prompt_md5"))
 
 
+def digest_question():
+    """Offline stand-in for a question model: its question depends on every character of the chunk."""
+    start, end = QUESTION_TEMPLATE.replace("{{", "{").replace("}}", "}").split("{context}")
+
+    def ask(prompts):
+        answers = []
+        for p in prompts:
+            context = p[len(start): len(p) - len(end)]
+            part = " of this chunk" if "chunk" in context else ""
+            answers.append(json.dumps(
+                {"question": f"What do the {len(context)} characters{part} under {md5(context.encode()).hexdigest()} say?"}
+            ))
+        return answers
+
+    return ask
+
+
 QUESTIONS = UNIQUE + """,
     asked AS (
-      SELECT chunk_id, doc_uri, content, 'What follows from: ' || CASE WHEN contains(content, '.')
-        THEN split_part(content, '.', 1) || '.' ELSE content END || '?' AS question FROM uniq)"""
+      SELECT chunk_id, doc_uri, content, 'What do the ' || length(content) || ' characters'
+        || CASE WHEN contains(content, 'chunk') THEN ' of this chunk' ELSE '' END
+        || ' under ' || md5(content) || ' say?' AS question FROM uniq)"""
 
 
 @query("generated_questions", QUESTIONS + """
-    SELECT chunk_id, md5(question) AS question_md5,
-      CASE WHEN contains(question, 'chunk') THEN 5 ELSE 1 END AS tries,
+    SELECT chunk_id, question, CASE WHEN contains(question, 'chunk') THEN 5 ELSE 1 END AS tries,
       CAST(NULL AS VARCHAR) AS error
     FROM asked""")
 def q_generated_questions(spark, sf):
-    asked = generate_questions(doc_index_rows(spark, sf), text_col="content", n=None)
-    return asked.select("chunk_id", F.md5("question").alias("question_md5"), "tries", "error")
+    asked = generate_questions(doc_index_rows(spark, sf), text_col="content", model=digest_question)
+    return asked.select("chunk_id", "question", "tries", "error")
 
 
 @query("sample_first", UNIQUE + """
@@ -63,9 +85,9 @@ def q_sample_first(spark, sf):
 @query("sampled_questions", QUESTIONS + """
     SELECT chunk_id, question FROM asked ORDER BY chunk_id LIMIT 20""")
 def q_sampled_questions(spark, sf):
-    return generate_questions(doc_index_rows(spark, sf), text_col="content", n=20).select(
-        "chunk_id", "question"
-    )
+    return generate_questions(
+        doc_index_rows(spark, sf), text_col="content", n=20, model=digest_question
+    ).select("chunk_id", "question")
 
 
 @query("eval_set", QUESTIONS + """
@@ -74,7 +96,7 @@ def q_sampled_questions(spark, sf):
     FROM asked""")
 def q_eval_set(spark, sf):
     chunks = doc_index_rows(spark, sf)
-    built = build_eval_set(generate_questions(chunks, text_col="content", n=None), chunks)
+    built = build_eval_set(generate_questions(chunks, text_col="content", model=digest_question), chunks)
     first = F.col("expected_retrieval_context")[0]
     return built.select(
         "request_id", F.md5("request").alias("request_md5"), first["chunk_id"].alias("chunk_id"),
@@ -144,6 +166,10 @@ def q_retrieval_metrics_label(spark, sf):
     return rounded_metrics(ranked_metrics(marked, asked), "query_key")
 
 
+ABOUT = "What does this say: "
+REQUEST = f"'{ABOUT}' || text"
+
+
 def evaluation_rows(spark, sf):
     """One evaluated request per label, with contexts made from the document number."""
     rows = load(spark, sf, "labels").join(load(spark, sf, "documents"), "doc_id")
@@ -172,7 +198,7 @@ def evaluation_rows(spark, sf):
         F.concat(F.lit("r"), doc).alias("request_id"),
         F.concat(F.lit("run-"), "source").alias("run_url"),
         F.col("lang").alias("app_version"),
-        F.substring_index("text", ".", 1).alias("request"),
+        F.concat(F.lit(ABOUT), "text").alias("request"),
         F.when(good, F.col("text")).alias("expected_response"),
         F.concat("text", F.lit(" ")).alias("response"),
         expected.alias("expected_retrieval_context"),
@@ -251,9 +277,9 @@ def _judge_prompt_length(question: str) -> str:
     return f"({fixed} + length(request) + length(response))"
 
 
-JUDGED = """
+JUDGED = f"""
     WITH rows AS (
-      SELECT doc_id, split_part(text, '.', 1) AS request, text || ' ' AS response
+      SELECT doc_id, {REQUEST} AS request, text || ' ' AS response
       FROM labels JOIN documents USING (doc_id))""" + ",\n    verdicts AS (SELECT doc_id, " + ", ".join(
         f"{_judge_prompt_length(q)} % 2 = 0 AS {name}" for name, q in JUDGE_QUESTIONS.items()
     ) + " FROM rows)"
@@ -272,32 +298,48 @@ def q_judge_score(spark, sf):
     )
 
 
+def _assessment_sql(question: str, context: str) -> str:
+    """Whether the judge says yes: the parity of the length of its prompt."""
+    fixed = len(ASSESSMENT_TEMPLATE.format(question=question, request="", context="", response=""))
+    return f"({fixed} + length(question) + length({context}) + length(response)) % 2 = 0"
+
+
+OF_RESPONSE = [a for a in ASSESSMENTS if a != PER_CHUNK]
+
+
 @query("evaluate_run", RETRIEVED + f""",
+    answered AS (SELECT request_id, question, {digest_sql()} AS response FROM asked),
+    own AS (SELECT 'q' || doc_id AS request_id, chunk_id AS expected FROM chunks WHERE chunk_no = 0),
     judged AS (
-      SELECT h.q, {sums_sql("h.q = h.i")} FROM hits h GROUP BY h.q),
-    answers AS (
-      SELECT request_id, split_part(context[2:] || '.', '.', 1) || '.' AS response FROM contexts),
+      SELECT a.request_id, count(o.expected) > 0 AS known, {sums_sql("f.chunk_id = o.expected")}
+      FROM answered a LEFT JOIN own o USING (request_id) LEFT JOIN found f USING (request_id) GROUP BY a.request_id),
     scored AS (
-      SELECT 'q' || q AS request_id, CAST(len(list_filter(
-          string_split_regex(response, '\\s+'), lambda x: x <> '')) AS INT) AS token_count,
-        {metrics_sql("1")}
-      FROM judged JOIN answers ON request_id = 'q' || q)
-    SELECT request_id, token_count, 3 AS n_rated, {ROUNDED} FROM scored""")
+      SELECT request_id, known, {metrics_sql("(CASE WHEN known THEN 1 ELSE 0 END)")} FROM judged),
+    wholes AS (
+      SELECT a.request_id, question, response, coalesce(string_agg(content, chr(10) ORDER BY rank), '') AS whole,
+        string_agg(CASE WHEN {_assessment_sql(ASSESSMENT_QUESTIONS[PER_CHUNK], "content")} THEN 'y' ELSE 'n' END, ''
+          ORDER BY rank) AS chunk_verdicts
+      FROM answered a LEFT JOIN found f USING (request_id) GROUP BY ALL)
+    SELECT request_id, CAST(len(list_filter(string_split_regex(response, '\\s+'), lambda x: x <> '')) AS INT) AS token_count,
+      {", ".join(f"{_assessment_sql(ASSESSMENT_QUESTIONS[a], 'whole')} AS {a}" for a in OF_RESPONSE)},
+      CASE WHEN whole = '' AND chunk_verdicts = 'n' THEN '' ELSE chunk_verdicts END AS chunk_verdicts, {ROUNDED}
+    FROM wholes JOIN scored USING (request_id)""")
 def q_evaluate_run(spark, sf):
-    """Retrieve, answer, judge and score; each question expects its own document."""
+    """Retrieve, answer, judge and score; each question expects the first chunk of its document."""
     index, questions = vector_index(spark, sf), vector_questions(spark, sf)
-    chunk = F.struct(
-        F.expr("substring(request_id, 2)").alias("chunk_id"), F.lit(None).cast("string").alias("doc_uri"),
-        F.lit(None).cast("string").alias("content"),
-    )
-    eval_set = questions.select(
-        "request_id", F.col("question").alias("request"),
-        F.array(chunk).alias("expected_retrieval_context"),
+    first = doc_chunks(spark, sf).where("chunk_no = 0").select(
+        F.concat(F.lit("q"), "doc_id").alias("request_id"),
+        F.array(F.struct(
+            "chunk_id", F.lit(None).cast("string").alias("doc_uri"), F.lit(None).cast("string").alias("content"),
+        )).alias("expected_retrieval_context"),
     )
+    eval_set = questions.select("request_id", F.col("question").alias("request")).join(first, "request_id", "left")
     judged = judged_answers(
-        eval_set, answer_questions(questions, index, echo_context), parity_judge,
+        eval_set, answer_questions(questions, index, digest_of_prompt), parity_judge,
         run="run-1", app_version="1",
     )
+    letters = F.transform("positional_ratings", lambda r: F.when(r, "y").otherwise("n"))
     return rounded_metrics(
-        judged, "request_id", "token_count", F.size("positional_ratings").alias("n_rated")
+        judged, "request_id", "token_count", *[F.col(f"ratings.{a}").alias(a) for a in OF_RESPONSE],
+        F.array_join(letters, "").alias("chunk_verdicts"),
     )

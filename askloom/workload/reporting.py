@@ -21,7 +21,7 @@ from askloom.plans.tuning import (
 )
 from askloom.session import cut, scratch_path
 from askloom.workload.chunks import UNIQUE, doc_index_rows
-from askloom.workload.evaluation import EVALUATED, evaluation_tables, parity_judge, quoted
+from askloom.workload.evaluation import EVALUATED, REQUEST, evaluation_tables, parity_judge, quoted
 from askloom.workload.registry import load, query
 from askloom.workload.retrieval import text_hits_sql
 
@@ -64,9 +64,9 @@ def _reviewed(spark, sf):
     return metrics, assessments.withColumn("app_version", version)
 
 
-REPORT = EVALUATED + """,
+REPORT = EVALUATED + f""",
     report AS (
-      SELECT 'r' || doc_id AS request_id, lang AS app_version, split_part(text, '.', 1) AS request,
+      SELECT 'r' || doc_id AS request_id, lang AS app_version, {REQUEST} AS request,
         CASE WHEN quality = 1 THEN text END AS expected_response, text || ' ' AS response,
         doc_id, source, toxic = 0 AS matched, """ + ", ".join(
     f"CASE WHEN toxic = 0 THEN llm_judged_{n} END AS judge_{n}" for n in JUDGED
@@ -129,9 +129,9 @@ def q_json_rows_nulls(spark, sf):
     return json_rows(rows.select("doc_id", "quality", "toxic"), keep_nulls=True)
 
 
-GOLDEN = """
+GOLDEN = f"""
     WITH golden AS (
-      SELECT doc_id, 'r' || doc_id AS request_id, split_part(text, '.', 1) AS request,
+      SELECT doc_id, 'r' || doc_id AS request_id, {REQUEST} AS request,
         text || ' ' AS response
       FROM labels JOIN documents USING (doc_id) WHERE quality = 1 AND toxic = 0),
     texts AS (
@@ -162,8 +162,7 @@ def _systems(spark, sf):
     """Three systems answer every golden request; the judge scores each answer."""
     golden = golden_set(evaluation_tables(spark, sf)[0])
     answers = F.array(
-        F.struct(F.lit("raw").alias("system"),
-                 F.substring_index("response", " ", 5).alias("response")),
+        F.struct(F.lit("raw").alias("system"), F.concat("response", F.lit(".")).alias("response")),
         F.struct(F.lit("second").alias("system"), F.col("context").alias("response")),
         F.struct(F.lit("tuned").alias("system"), F.col("response")),
     )
@@ -183,8 +182,7 @@ def _score_sql() -> str:
 
 SCORES = GOLDEN + f""",
     answers AS (
-      SELECT request_id, request, 'raw' AS system,
-        array_to_string(string_split(response, ' ')[1:5], ' ') AS response FROM golden
+      SELECT request_id, request, 'raw' AS system, response || '.' AS response FROM golden
       UNION ALL SELECT request_id, request, 'second', context FROM golden JOIN texts USING (request_id)
       UNION ALL SELECT request_id, request, 'tuned', response FROM golden),
     means AS (
@@ -221,9 +219,9 @@ def q_best_candidate(spark, sf):
     return best_candidate(scores).withColumn("mean_score", F.round("mean_score", 6))
 
 
-def last_sentence():
-    """Offline stand-in for the tuned model: a piece of the prompt that depends on its examples."""
-    return lambda prompts: [p[: len(p) // 2].rsplit(".", 1)[-1] for p in prompts]
+def digest_response():
+    """Offline stand-in for the tuned model: depends on every character of the prompt, its examples included."""
+    return lambda prompts: [md5(p.encode()).hexdigest()[: 1 + len(p) % 29] for p in prompts]
 
 
 def _demo_sql() -> str:
@@ -243,8 +241,8 @@ def _task_sql() -> str:
     return f"{quoted(before)} || request || {quoted(middle)} || context || {quoted(end)}"
 
 
-def _last_sentence_sql(prompt: str) -> str:
-    return f"regexp_extract(left({prompt}, length({prompt}) // 2), '[^.]*$')"
+def _response_sql(prompt: str) -> str:
+    return f"left(md5({prompt}), CAST(1 + length({prompt}) % 29 AS BIGINT))"
 
 
 def _drawn_sql(kind: str, pool: str, first: int) -> str:
@@ -260,7 +258,7 @@ def _drawn_sql(kind: str, pool: str, first: int) -> str:
       SELECT request_id, request, response, context
       FROM split JOIN texts USING (request_id) WHERE split = 'train'),
     taught AS (
-      SELECT request_id, request, context, {_last_sentence_sql("p")} AS response
+      SELECT request_id, request, context, {_response_sql("p")} AS response
       FROM (SELECT *, {quoted(demo_prefix([]))} || {_task_sql()} AS p FROM train)),
     good AS (SELECT * FROM taught WHERE {_score_sql()} >= 2),
     drawn AS ({_drawn_sql("labelled", "train", 1)}
@@ -270,7 +268,7 @@ def _drawn_sql(kind: str, pool: str, first: int) -> str:
         || coalesce(string_agg(demo, '' ORDER BY kind, rn), '') AS prefix
       FROM range(8) AS r(c) LEFT JOIN drawn ON drawn.candidate = r.c GROUP BY r.c),
     answers AS (
-      SELECT candidate, request, {_last_sentence_sql("p")} AS response
+      SELECT candidate, request, {_response_sql("p")} AS response
       FROM (SELECT candidate, request, prefix || {_task_sql()} AS p FROM train, prefixes))
     SELECT CAST(candidate AS INT) AS candidate, count(*) AS n,
       round(avg({_score_sql()}), 6) AS mean_score
@@ -278,7 +276,7 @@ def _drawn_sql(kind: str, pool: str, first: int) -> str:
 def q_fewshot_search(spark, sf):
     split = golden_split(evaluation_tables(spark, sf)[0])
     train = split.where("split = 'train'").drop("split")
-    scores, _ = fewshot_search(train, last_sentence, parity_judge, accept=2)
+    scores, _ = fewshot_search(train, digest_response, parity_judge, accept=2)
     return scores.groupBy("candidate").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score")
     )

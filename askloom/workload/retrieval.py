@@ -1,5 +1,7 @@
 """Nearest neighbours, contexts, prompts and answers."""
 
+from hashlib import md5
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from askloom.operators.knn import ann_join, knn_join, read_cells, recall_at_k, w
 from askloom.operators.terms import search_terms, term_index
 from askloom.operators.vectors import rank_hits
 from askloom.plans.answering import answer_questions, format_context, prompts_for, retrieve
-from askloom.plans.index import build_index
+from askloom.plans.index import build_chunks, build_index, create_or_sync_index, stored_index
 from askloom.workload.chunks import UNIQUE, doc_chunks, doc_index_rows
 from askloom.session import cut, scratch_path
 from askloom.workload.registry import load, query
@@ -162,39 +164,54 @@ def q_cosine_next(spark, sf):
     )
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts():
+    """Offline stand-in for an embedding model: how often each letter occurs."""
+    return lambda texts: np.array([[t.count(c) for c in LETTERS] for t in texts])
+
+
+def _letters_sql(text: str) -> str:
+    counts = ", ".join(f"length({text}) - length(replace({text}, '{c}', ''))" for c in LETTERS)
+    return f"[{counts}]::DOUBLE[]"
+
+
 def vector_index(spark, sf):
-    """Vectors with the document of the same number as their text."""
-    docs = load(spark, sf, "documents").select(
-        F.col("doc_id").alias("vec_id"), F.col("source").alias("category"),
-        F.col("text").alias("content"),
-    )
-    return load(spark, sf, "embeddings").join(docs, "vec_id").select(
-        F.col("vec_id").alias("chunk_id"), F.concat(F.lit("doc-"), "vec_id").alias("doc_uri"),
-        "category", "content", "embedding",
-    )
+    """The chunks of all documents with vectors of their letter counts."""
+    rows = doc_index_rows(spark, sf).withColumn("doc_uri", F.concat(F.lit("doc-"), "doc_uri"))
+    return embed(rows, "content", embedder=letter_counts)
 
 
 def vector_questions(spark, sf):
-    return vector_index(spark, sf).select(
-        F.concat(F.lit("q"), "chunk_id").alias("request_id"), "category", "embedding",
-        F.concat(F.lit("What about {"), F.substring_index("content", ".", 1), F.lit("}?"))
-        .alias("question"),
+    """A question about every hundredth document, holding its whole text, with the vector of that text."""
+    asked = load(spark, sf, "documents").where("doc_id % 100 = 0").select(
+        F.concat(F.lit("q"), "doc_id").alias("request_id"), F.col("source").alias("category"), "text",
+        F.concat(F.lit("What about {"), "text", F.lit("}?")).alias("question"),
     )
+    return embed(asked, "text", embedder=letter_counts).drop("text")
 
 
-RETRIEVED = """WITH
-    vecs AS (SELECT * FROM embeddings JOIN documents ON doc_id = vec_id),""" + ranked_sql(3, "vecs") + """,
+RETRIEVED = UNIQUE + f""",
+    index_rows AS (
+      SELECT chunk_id, 'doc-' || doc_uri AS doc_uri, category, content, {_letters_sql("content")} AS v FROM uniq),
+    questions AS (
+      SELECT 'q' || doc_id AS request_id, 'What about {{' || text || '}}?' AS question, {_letters_sql("text")} AS v
+      FROM documents WHERE doc_id % 100 = 0),
+    pairs AS (
+      SELECT request_id, chunk_id, round(list_cosine_similarity(q.v, c.v), 9) AS score
+      FROM questions q CROSS JOIN index_rows c WHERE list_sum(q.v) > 0 AND list_sum(c.v) > 0),
+    hits AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, chunk_id) AS rank FROM pairs)
+      WHERE rank <= 3),
     found AS (
-      SELECT 'q' || h.q AS request_id, h.i AS chunk_id, 'doc-' || h.i AS doc_uri,
-        d.source AS category, d.text AS content, h.score, h.rank
-      FROM hits h JOIN documents d ON d.doc_id = h.i),
+      SELECT request_id, chunk_id, doc_uri, category, content, score, rank FROM hits JOIN index_rows USING (chunk_id)),
     contexts AS (
       SELECT request_id, string_agg('`' || content || '`', '' ORDER BY rank) AS context
       FROM found GROUP BY request_id),
     asked AS (
-      SELECT 'q' || doc_id AS request_id, 'What about {' || split_part(text, '.', 1) || '}?'
-        AS question
-      FROM documents JOIN embeddings ON vec_id = doc_id)"""
+      SELECT request_id, question, coalesce(context, '') AS context FROM questions LEFT JOIN contexts USING (request_id))"""
 
 
 def _prompt_sql() -> str:
@@ -224,35 +241,33 @@ def q_context_format(spark, sf):
 
 
 @query("prompt_render", RETRIEVED + f"""
-    SELECT request_id, md5({_prompt_sql()}) AS prompt_md5 FROM contexts JOIN asked USING (request_id)
-    """)
+    SELECT request_id, md5({_prompt_sql()}) AS prompt_md5 FROM asked""")
 def q_prompt_render(spark, sf):
     return prompts_for(vector_questions(spark, sf), vector_index(spark, sf)).select(
         "request_id", F.md5("prompt").alias("prompt_md5")
     )
 
 
-def echo_context():
-    """Offline stand-in for a chat model: the first sentence of the context."""
-    start = CHAT_TEMPLATE.split("{context}")[0]
+def digest_of_prompt():
+    """Offline stand-in for a chat model: an answer that depends on every character of the prompt."""
+    return lambda prompts: [f"{md5(p.encode()).hexdigest()} of {len(p)} characters." for p in prompts]
 
-    def ask(prompts):
-        return [p[len(start) + 1:].split(".", 1)[0] + "." for p in prompts]
 
-    return ask
+def digest_sql() -> str:
+    """The stand-in's answer as an SQL expression over ``context`` and ``question``."""
+    return f"md5({_prompt_sql()}) || ' of ' || length({_prompt_sql()}) || ' characters.'"
 
 
-@query("answer_questions", RETRIEVED + """
-    SELECT c.request_id, md5(split_part(context[2:] || '.', '.', 1) || '.') AS response_md5,
-      1 AS tries, 3 AS n_chunks
-    FROM contexts c JOIN asked USING (request_id)""")
+@query("answer_questions", RETRIEVED + f""",
+    sizes AS (SELECT request_id, CAST(count(*) AS INTEGER) AS n_chunks FROM found GROUP BY request_id)
+    SELECT request_id, {digest_sql()} AS response, 1 AS tries, n_chunks
+    FROM asked LEFT JOIN sizes USING (request_id)""")
 def q_answer_questions(spark, sf):
     answered = answer_questions(
-        vector_questions(spark, sf), vector_index(spark, sf), echo_context
+        vector_questions(spark, sf), vector_index(spark, sf), digest_of_prompt
     )
     return answered.where(F.col("error").isNull()).select(
-        "request_id", F.md5("response").alias("response_md5"), "tries",
-        F.size("retrieval_context").alias("n_chunks"),
+        "request_id", "response", "tries", F.array_size("retrieval_context").alias("n_chunks"),
     )
 
 
@@ -344,19 +359,6 @@ def q_text_retrieval_common(spark, sf):
     return _text_hits(spark, sf, common_share=0.0, common_least=30)
 
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-
-
-def letter_counts():
-    """Offline stand-in for an embedding model: how often each letter occurs."""
-    return lambda texts: np.array([[t.count(c) for c in LETTERS] for t in texts])
-
-
-def _letters_sql(text: str) -> str:
-    counts = ", ".join(f"length({text}) - length(replace({text}, '{c}', ''))" for c in LETTERS)
-    return f"[{counts}]::DOUBLE[]"
-
-
 @query("retrieve_texts", UNIQUE + f""",
     vecs AS (SELECT chunk_id, doc_uri, category, {_letters_sql("content")} AS v FROM uniq),
     asked AS (SELECT item_id, {_letters_sql("text")} AS v FROM benchmark),
@@ -384,3 +386,20 @@ def q_retrieve_texts(spark, sf):
         "request_id", "chunk_id", "doc_uri", "category", F.round("score", 4).alias("score"),
         F.col("rank").cast("bigint").alias("rank"),
     )
+
+
+@query("retrieve_stored", RETRIEVED + """
+    SELECT request_id, chunk_id, doc_uri, category, md5(content) AS content_md5, rank FROM found""")
+def q_retrieve_stored(spark, sf):
+    """The same questions to the stored index: created from some documents, then synced with all of them."""
+    docs = load(spark, sf, "documents").withColumn("uri", F.col("doc_id"))
+    path = scratch_path(spark, "stored-index")
+    for state in (docs.where("doc_id % 3 <> 0"), docs):
+        create_or_sync_index(
+            spark, build_chunks(state, "text"), path, embedder=letter_counts, uri_col="uri", category_col="source"
+        )
+    index = stored_index(spark, path).withColumn("doc_uri", F.concat(F.lit("doc-"), "doc_uri"))
+    return retrieve(vector_questions(spark, sf), index).select(
+        "request_id", "chunk_id", "doc_uri", "category", F.md5("content").alias("content_md5"),
+        F.col("rank").cast("bigint").alias("rank"),
+    )

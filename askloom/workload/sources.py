@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from askloom.functions.text import letters_only, short_id
-from askloom.plans.generation import ORDINALS, PLAIN_DOCUMENT, generate_tickets
+from askloom.plans.generation import ORDINALS, PLAIN_DOCUMENT, generate_source, generate_tickets
 from askloom.session import cut, scratch_path
 from askloom.sources.tables import (
     ensure_schema, explode_items, merged_schema, read_csv_source, read_source, reset_schema, write_csv, write_merged,
@@ -137,32 +137,46 @@ def q_ticket_ids(spark, sf):
 
 
 def _categories(spark, sf):
-    """The first three words of every benchmark text."""
-    return load(spark, sf, "benchmark").select(F.substring_index("text", " ", 3).alias("category"))
+    """A name for every benchmark text that depends on all of it."""
+    return load(spark, sf, "benchmark").select(F.concat(F.lit("topic "), F.md5("text")).alias("category"))
 
 
 CATEGORIES = """
     WITH cats AS (
-      SELECT DISTINCT regexp_replace(array_to_string(string_split(text, ' ')[1:3], ' '),
-        '[^a-zA-Z\\s]', '', 'g') AS category FROM benchmark),
+      SELECT DISTINCT regexp_replace('topic ' || md5(text), '[^a-zA-Z\\s]', '', 'g') AS category FROM benchmark),
     counted AS (
       SELECT category,
         3 + CAST('0x' || substring(md5(category || '#0'), 1, 8) AS BIGINT) % 8 AS wanted FROM cats)"""
 _BEFORE, _MIDDLE, _AFTER = PLAIN_DOCUMENT.replace("{category}", "{symptoms}").split("{symptoms}")
 
 
-@query("generate_tickets", CATEGORIES + f""",
+TICKETS = CATEGORIES + f""",
     named AS (
       SELECT category, category || ' with the ' || {ORDINALS}[i] || ' sign of wear' AS symptom
       FROM counted, range(1, 11) AS r(i) WHERE i <= wanted)
     SELECT category, '{_BEFORE}' || symptom || '{_MIDDLE}' || category || '{_AFTER}'
         AS issue_description,
       substring(md5(category || '#' || symptom || '#0'), 1, 7) AS ticket_number
-    FROM named""")
+    FROM named"""
+
+
+@query("generate_tickets", TICKETS)
 def q_generate_tickets(spark, sf):
     return generate_tickets(_categories(spark, sf))
 
 
+@query("generate_source_table", TICKETS)
+def q_generate_source_table(spark, sf):
+    """The job as a whole: the table is written, refused a second time, read and dropped."""
+    with scratch_schema(spark) as schema:
+        made = generate_source(spark, f"{schema}.tickets", _categories(spark, sf))
+        try:
+            generate_source(spark, f"{schema}.tickets", ["again"])
+        except AnalysisException:
+            return cut(made)
+    raise AssertionError("an existing table was overwritten")
+
+
 def counting_author():
     """Offline stand-in: names as many x as there are earlier symptoms; a document is its symptom."""
     def ask(prompts):
