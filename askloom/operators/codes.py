@@ -6,6 +6,8 @@ the score q.x lies within |e| of s * q.c (Cauchy and Schwarz), plus a bound on t
 queries and codes give, for each query, the rows that may still be among its k best; the k-th best lower
 bound over all blocks then leaves few of them, and only these are looked up and scored exactly.
 
+Of equal vectors a block keeps only the k rows with the smallest keys, as no more of them can be among the k best.
+
 Compared with sending vectors through the shuffle this is an eighth (double) or a quarter (float) of the
 bytes, at any distribution of the vectors; no pivots are needed.
 """
@@ -16,15 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from askloom.operators.keys import skew_join
 from askloom.operators.vectors import DIGITS, key_type, keyed, usable
-from askloom.session import cut
+from askloom.session import stage
 
-#: Rows per side of a block at most.
-BLOCK_ROWS = 4096
-CODED = "code binary, step float, rest float"
+#: Queries of a block at most, and scores that a block may hold at once.
+BLOCK_QUERIES = 2048
+BLOCK_SCORES = 1 << 24
+CODED = "code binary, step float, rest float, same bigint"
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,7 +49,7 @@ def bounds(queries: np.ndarray, codes: np.ndarray, step: np.ndarray, rest: np.nd
 
 
 def coded(index: DataFrame) -> DataFrame:
-    """``index_key, code, step, rest`` of the rows whose vector has a direction."""
+    """``index_key, code, step, rest, same`` of the rows whose vector has a direction; ``same`` is a hash of the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,20 +57,31 @@ def coded(index: DataFrame) -> DataFrame:
             codes, step, rest = encode(vectors)
             out = pa.table({
                 "index_key": table["index_key"], "code": pa.array([c.tobytes() for c in codes], pa.binary()),
-                "step": pa.array(step, pa.float32()), "rest": pa.array(rest, pa.float32()),
+                "step": pa.array(step, pa.float32()), "rest": pa.array(rest, pa.float32()), "same": table["same"],
             })
             yield from out.to_batches()
 
-    return index.mapInArrow(run, f"index_key {key_type(index, 'index_key')}, {CODED}")
+    hashed = index.withColumn("same", F.xxhash64("vec"))
+    return hashed.mapInArrow(run, f"index_key {key_type(index, 'index_key')}, {CODED}")
+
+
+def first_copies(rows: pa.Table, k: int) -> pa.Table:
+    """The ``k`` rows with the smallest keys of all rows with the same vector."""
+    rows = rows.sort_by([("same", "ascending"), ("code", "ascending"), ("index_key", "ascending")])
+    same, code = rows["same"].to_numpy(), rows["code"].combine_chunks()
+    new = np.ones(len(same), dtype=bool)
+    new[1:] = (same[1:] != same[:-1]) | pc.not_equal(code[1:], code[:-1]).to_numpy(zero_copy_only=False)
+    place = np.arange(len(same)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    return rows.filter(pa.array(place < k))
 
 
 def candidates(queries: DataFrame, codes: DataFrame, k: int, n_queries: int, n_index: int, block: int | None) -> DataFrame:
     """``query_key, index_key, low, high``: all rows that may be among the k best of their query, and few others."""
-    if block is None:
-        # Enough blocks to keep all cores busy, but never more than BLOCK_ROWS rows a side.
-        slots = 4 * queries.sparkSession.sparkContext.defaultParallelism
-        block = int(min(BLOCK_ROWS, max(128, np.sqrt(n_queries * n_index / slots))))
-    parts = {"query_key": max(1, -(-n_queries // block)), "index_key": max(1, -(-n_index // block))}
+    # The fewer blocks of index rows, the fewer rows does each query get from them; but all cores have work.
+    slots = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    asked = block or min(BLOCK_QUERIES, n_queries)
+    held = block or min(BLOCK_SCORES // max(1, asked), max(256, -(-n_index * max(1, n_queries // BLOCK_QUERIES) // slots)))
+    parts = {"query_key": max(1, -(-n_queries // max(1, asked))), "index_key": max(1, -(-n_index // held))}
 
     def spread(df: DataFrame, key: str, other: str, *columns: str) -> DataFrame:
         """Own block by hashed key, one copy for every block of the other side."""
@@ -77,13 +92,14 @@ def candidates(queries: DataFrame, codes: DataFrame, k: int, n_queries: int, n_i
 
     grid = ["of_query_key", "of_index_key"]
     left = spread(queries, "query_key", "index_key", "vec").groupBy(*grid)
-    right = spread(codes, "index_key", "query_key", "code", "step", "rest").groupBy(*grid)
+    right = spread(codes, "index_key", "query_key", "code", "step", "rest", "same").groupBy(*grid)
 
     def best(q: pa.Table, i: pa.Table) -> pa.Table:
         q, vectors = usable(q)
         names = ["query_key", "index_key", "low", "high"]
         if not q.num_rows or not i.num_rows:
             return pa.table([q["query_key"].slice(0, 0), i["index_key"].slice(0, 0), *[pa.array([], pa.float32())] * 2], names=names)
+        i = first_copies(i, k)
         data = b"".join(c.as_py() for c in i["code"])
         rows = np.frombuffer(data, dtype=np.int8).reshape(i.num_rows, -1)
         low, high = bounds(vectors, rows, i["step"].to_numpy(), i["rest"].to_numpy())
@@ -127,9 +143,9 @@ def exact_scores(pairs: DataFrame, queries: DataFrame, index: DataFrame) -> Data
 def coded_hits(queries: DataFrame, index: DataFrame, k: int, n_queries: int, n_index: int, block: int | None = None) -> DataFrame:
     """Exact hits ``query_key, index_key, score`` of ``query_key, vec`` among ``index_key, vec``: the k best and ties."""
     # The vectors are read for the codes and for the looked-up pairs; made once where a model makes them.
-    queries, index = cut(queries), cut(index)
+    queries, index = stage(queries, "queries"), stage(index, "vectors")
     pairs = candidates(queries, coded(index), k, n_queries, n_index, block).select("query_key", "index_key")
-    return exact_scores(cut(pairs), queries, index)
+    return exact_scores(stage(pairs, "pairs"), queries, index)
 
 
 def checked_pairs(

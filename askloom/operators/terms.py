@@ -1,8 +1,9 @@
 """Text search over sparse TF-IDF vectors: rows of (key, term, weight) and an inverted index of postings.
 
-The weight of a term in a text is its count times ``ln((texts + 1) / (texts with the term + 1))``, scaled so that
-the text's vector has length one, as a whole number of millionths. Scores are sums of products of such
-numbers, so they are exact and do not depend on the order of summing.
+The weight of a term is ``1 + ln(count)``, in a question times ``ln((texts + 1) / (texts with the term + 1))``, scaled so
+that the vector of the text or question has length one, as a whole number of millionths (lnc.ltc in the SMART notation).
+The texts' side needs nothing but the text, so postings are made in one pass without a shuffle. Scores are sums of
+products of whole numbers: exact, in whatever order they are summed.
 
 A search joins the terms of the questions with the postings and sums the products per question and text.
 A term that is in very many texts would give a row for each of them, for every question that holds it.
@@ -14,12 +15,17 @@ hardly any rare terms) go through all their postings. The result is always that
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askloom.operators.vectors import rank_hits
-from askloom.session import cut
+from askloom.session import cut, stage
 
 UNIT = 1_000_000
 #: Share of all texts above which a term counts as common.
@@ -27,6 +33,7 @@ COMMON_SHARE = 0.05
 #: ... but never below so many texts, for which a join is no burden.
 COMMON_LEAST = 1000
 BUCKETS = 64
+SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
 class TermIndex(NamedTuple):
@@ -39,24 +46,45 @@ class TermIndex(NamedTuple):
     common_least: int = COMMON_LEAST
 
 
-def words(text: Column) -> Column:
+def counted(text: str | None) -> Counter:
     """Lower-case words between ASCII white space; none for null."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\n\x0b\f\r]+"), lambda w: w != "")
+    return Counter(w for w in SPACE.split((text or "").lower()) if w)
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf`` of every text; ``key`` is unique. Counted before the shuffle as far as a task can."""
-    exploded = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.explode(words(F.col(text))).alias("term"))
-    return exploded.groupBy("key", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def weighted(counts: DataFrame, terms: DataFrame, n_texts: int) -> DataFrame:
-    """``key, term, weight`` from counts; terms that ``terms`` lacks, or that are in every text, weigh nothing."""
-    idf = F.log((F.lit(n_texts) + 1) / (F.col("texts") + 1))
-    raw = counts.join(terms.select("term", "texts"), "term").select("key", "term", (F.col("tf") * idf).alias("w")).where("w > 0")
-    lengths = raw.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    return raw.join(lengths, "key").select(
-        "key", "term", F.round(F.col("w") * UNIT / F.col("length")).cast("bigint").alias("weight")
+    """``key, term, tf, weight`` of every text, with the weight of the texts' side; ``key`` is unique.
+
+    Counted where the text lies; a text's rows follow one another.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Some texts at a time, since a text may hold very many words.
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                counts = [counted(t.as_py()) for t in part.column(1)]
+                sizes = np.array([len(c) for c in counts], dtype=np.int64)
+                tf = np.array([n for c in counts for n in c.values()], dtype=np.int64)
+                raw = 1 + np.log(np.maximum(tf, 1))
+                lengths = np.sqrt(np.bincount(np.repeat(np.arange(len(counts)), sizes), raw * raw, len(counts)))
+                weight = np.floor(raw * UNIT / np.repeat(lengths, sizes) + 0.5).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(np.repeat(np.arange(len(counts)), sizes))),
+                    pa.array([w for c in counts for w in c], pa.string()), pa.array(tf), pa.array(weight),
+                ], names=["key", "term", "tf", "weight"])
+
+    known = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), text)
+    return known.mapInArrow(run, f"key {kind}, term string, tf bigint, weight bigint")
+
+
+def question_weights(questions: DataFrame, key: str, text: str, index: TermIndex) -> DataFrame:
+    """``query_key, term, q, texts, top`` of the terms that the index has; one that is in every text weighs nothing."""
+    idf = F.log((F.lit(index.n_texts) + 1) / (F.col("texts") + 1))
+    raw = term_counts(questions, key, text).join(index.terms, "term").withColumn("w", (1 + F.log("tf")) * idf).where("w > 0")
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))
+    return raw.select(
+        F.col("key").alias("query_key"), "term", F.round(F.col("w") * UNIT / length).cast("bigint").alias("q"), "texts", "top"
     )
 
 
@@ -64,12 +92,10 @@ def term_index(
     df: DataFrame, key: str, text: str, *, common_share: float = COMMON_SHARE, common_least: int = COMMON_LEAST,
 ) -> TermIndex:
     """The postings of the texts of ``df``; held in the shared folder."""
-    n_texts = df.where(F.col(key).isNotNull()).count()
-    counts = cut(term_counts(df, key, text))
-    inside = counts.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    postings = cut(weighted(counts, inside, n_texts).select("term", "key", "weight"))
-    top = postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.max("weight").alias("top"))
-    return TermIndex(postings, cut(top), n_texts, common_share, common_least)
+    postings = stage(term_counts(df, key, text).select("term", "key", "weight"), "postings")
+    n_texts = df.where(F.col(key).isNotNull()).select(key).count()
+    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.max("weight").alias("top"))
+    return TermIndex(postings, stage(terms, "terms"), n_texts, common_share, common_least)
 
 
 def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) -> None:
@@ -103,13 +129,11 @@ def search_terms(
 
     ``score`` is the cosine of the sparse vectors; ties go to the smaller key.
     """
-    asked = weighted(term_counts(questions, query_key, text), index.terms, index.n_texts).select(
-        F.col("key").alias("query_key"), "term", F.col("weight").alias("q")
-    )
+    asked = question_weights(questions, query_key, text, index)
     limit = max(index.common_least, int(index.common_share * index.n_texts))
-    asked = cut(asked.join(index.terms, "term").withColumn("common", F.col("texts") > limit))
+    asked = stage(asked.withColumn("common", F.col("texts") > limit), "asked")
     rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q", "top")
-    partial = cut(_summed(rare.select("query_key", "term", "q"), index.postings))
+    partial = stage(_summed(rare.select("query_key", "term", "q"), index.postings), "sums")
     more = common.groupBy("query_key").agg(F.sum(F.col("q") * F.col("top")).alias("more"))
     place = Window.partitionBy("query_key").orderBy(F.desc("score"))
     kth = partial.withColumn("_n", F.row_number().over(place)).where(F.col("_n") == k).select(

@@ -55,3 +55,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and continue from there.
+
+    As :func:`cut`, for rows that are many: columns are compressed, and a later read takes only those it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

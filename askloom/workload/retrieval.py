@@ -109,20 +109,27 @@ def q_ann_recall(spark, sf):
     return recall.withColumn("recall", F.round("recall", 6))
 
 
-@query("knn_top10_codes", "WITH" + ranked_sql(10) + HITS_OUT)
+def every_hundredth(e):
+    """The stated set of queries of a search."""
+    return e.where("vec_id % 100 = 0")
+
+
+@query("knn_top10_codes", "WITH" + ranked_sql(10) + HITS_OUT + " WHERE q % 100 = 0")
 def q_knn_top10_codes(spark, sf):
     e = load(spark, sf, "embeddings")
-    return _hits(knn_join(e, e, k=10, **VEC))
+    return _hits(knn_join(every_hundredth(e), e, k=10, **VEC))
 
 
 @query("knn_codes_checked", """
-    SELECT count(*) * count(*) AS pairs, true AS all_neighbours, true AS under_a_fifth FROM embeddings""")
+    SELECT count(*) * count(*) FILTER (vec_id % 100 = 0) AS pairs, true AS all_neighbours, true AS under_a_fifth
+    FROM embeddings""")
 def q_knn_codes_checked(spark, sf):
     """Whether less than a fifth of all pairs is scored exactly, and enough for ten neighbours each."""
     e = load(spark, sf, "embeddings")
-    found = checked_pairs(e, e, k=10, **VEC)
+    asked = every_hundredth(e)
+    found = checked_pairs(asked, e, k=10, **VEC)
     return found.select(
-        "pairs", (F.col("checked") >= 10 * F.sqrt("pairs")).alias("all_neighbours"),
+        "pairs", (F.col("checked") >= 10 * asked.count()).alias("all_neighbours"),
         (F.col("checked") < 0.2 * F.col("pairs")).alias("under_a_fifth"),
     )
 
@@ -133,20 +140,21 @@ def others(hits, k):
 
 
 @query("ivf_recall", """
-    SELECT 'queries' AS measure, count(*) AS n FROM embeddings
+    SELECT 'queries' AS measure, count(*) AS n FROM embeddings WHERE vec_id % 100 = 0
     UNION ALL SELECT 'recall of 0.9 or more', 1 UNION ALL SELECT 'fewer pairs read than there are', 1""")
 def q_ivf_recall(spark, sf):
     """Recall of a stored inverted file against the ten exact neighbours, the vector itself left out."""
     e = load(spark, sf, "embeddings")
+    asked = every_hundredth(e)
     path = scratch_path(spark, "ivf")
     write_ivf(make_ivf(e, key="vec_id", vec="embedding"), path)
     ivf = read_ivf(spark, path)
-    found = others(ann_join(e, e, k=11, cells=ivf, **VEC), 10)
-    recall = recall_at_k(found, others(knn_join(e, e, k=11, **VEC), 10))
-    read = rows_read(e, ivf, k=11, key="vec_id", vec="embedding")
+    found = others(ann_join(asked, e, k=11, cells=ivf, **VEC), 10)
+    recall = recall_at_k(found, others(knn_join(asked, e, k=11, **VEC), 10))
+    read = rows_read(asked, ivf, k=11, key="vec_id", vec="embedding")
     row = lambda df, name, n: df.select(F.lit(name).alias("measure"), n.cast("bigint").alias("n"))
     return (
-        row(e.agg(F.count(F.lit(1)).alias("n")), "queries", F.col("n"))
+        row(asked.agg(F.count(F.lit(1)).alias("n")), "queries", F.col("n"))
         .unionByName(row(recall, "recall of 0.9 or more", F.col("recall") >= 0.9))
         .unionByName(row(read, "fewer pairs read than there are", F.col("read") < F.col("pairs")))
     )
@@ -306,13 +314,11 @@ def q_embed_chunks(spark, sf):
 
 def text_hits_sql(questions: str, texts: str) -> str:
     """CTEs ending in ``hits(q, key, score, rank)``: TF-IDF search of ``questions(q, text)`` in ``texts(key, text)``."""
-    def weights(name: str, source: str, key: str) -> str:
+    def weights(name: str, source: str, key: str, idf: str) -> str:
         return f"""
     {name}_counts AS (
       SELECT {key}, w AS term, count(*) AS tf FROM (SELECT {key}, unnest({words_sql("text")}) AS w FROM {source}) GROUP BY ALL),
-    {name}_raw AS (
-      SELECT {key}, term, tf * ln(((SELECT count(*) FROM {texts}) + 1) / (texts + 1)) AS w
-      FROM {name}_counts JOIN inside USING (term)),
+    {name}_raw AS (SELECT {key}, term, (1 + ln(tf)) * {idf} AS w FROM {name}_counts JOIN inside USING (term)),
     {name} AS (
       SELECT {key}, term, CAST(round(w * 1000000 / sqrt(sum(w * w) OVER (PARTITION BY {key}))) AS BIGINT) AS weight
       FROM {name}_raw WHERE w > 0)"""
@@ -321,7 +327,8 @@ def text_hits_sql(questions: str, texts: str) -> str:
     inside AS (
       SELECT term, count(*) AS texts FROM (
         SELECT DISTINCT key, unnest({words_sql("text")}) AS term FROM {texts}) GROUP BY term),
-    {weights("held", texts, "key")}, {weights("asked_terms", questions, "q")},
+    {weights("held", texts, "key", "1")},
+    {weights("asked_terms", questions, "q", f"ln(((SELECT count(*) FROM {texts}) + 1) / (texts + 1))")},
     summed AS (
       SELECT q, key, CAST(sum(a.weight * h.weight) AS BIGINT) AS score
       FROM asked_terms a JOIN held h USING (term) GROUP BY q, key),
@@ -338,7 +345,7 @@ TEXT_RETRIEVAL = UNIQUE + """,
 
 def _text_hits(spark, sf, **options):
     """Benchmark texts as questions over the chunk index of the documents, by TF-IDF."""
-    chunks = cut(doc_index_rows(spark, sf))
+    chunks = doc_index_rows(spark, sf)
     index = term_index(chunks, "chunk_id", "content", **options)
     questions = load(spark, sf, "benchmark")
     hits = search_terms(questions, index, k=3, query_key="item_id", text="text")

@@ -20,16 +20,16 @@ def brute(texts, questions, k):
     texts = [(key, Counter(words(t))) for key, t in texts if key is not None]
     inside = Counter(w for _, c in texts for w in c)
 
-    def vector(counts):
-        raw = {w: n * math.log((len(texts) + 1) / (inside[w] + 1)) for w, n in counts.items() if w in inside}
+    def vector(counts, idf):
+        raw = {w: (1 + math.log(n)) * idf(w) for w, n in counts.items() if w in inside}
         raw = {w: x for w, x in raw.items() if x > 0}
         length = math.sqrt(sum(x * x for x in raw.values()))
         return {w: math.floor(x * UNIT / length + 0.5) for w, x in raw.items()}
 
-    held = [(key, vector(c)) for key, c in texts]
+    held = [(key, vector(c, lambda w: 1)) for key, c in texts]
     out = {}
     for q, t in questions:
-        asked = vector(Counter(words(t)))
+        asked = vector(Counter(words(t)), lambda w: math.log((len(texts) + 1) / (inside[w] + 1)))
         scores = [(-sum(x * v[w] for w, x in asked.items() if w in v), key) for key, v in held if asked.keys() & v.keys()]
         out[q] = [(key, r) for r, (_, key) in enumerate(sorted(scores)[:k], 1)]
     return {(q, key, r) for q, hits in out.items() for key, r in hits}
