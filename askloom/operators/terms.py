@@ -33,6 +33,8 @@ COMMON_SHARE = 0.05
 #: ... but never below so many texts, for which a join is no burden.
 COMMON_LEAST = 1000
 BUCKETS = 64
+#: Rows of the questions' side (a term and two or three numbers each) up to which they go to every task.
+SMALL_ROWS = 200_000
 SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
@@ -116,9 +118,15 @@ def read_term_index(spark: SparkSession, name: str) -> TermIndex:
     return TermIndex(spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), *settings)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """The written table ``df``, broadcast if it is small; else Spark shuffles both sides of a join."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """``query_key, index_key, score`` of all texts that share a term."""
-    found = asked.join(postings, "term").groupBy("query_key", F.col("key").alias("index_key"))
+    """``query_key, index_key, score`` of all texts that share a term; ``asked`` is written."""
+    asked = _small(asked.select("query_key", "term", "q"))
+    found = postings.join(asked, "term").groupBy("query_key", F.col("key").alias("index_key"))
     return found.agg(F.sum(F.col("q") * F.col("weight")).alias("score"))
 
 
@@ -133,7 +141,7 @@ def search_terms(
     limit = max(index.common_least, int(index.common_share * index.n_texts))
     asked = stage(asked.withColumn("common", F.col("texts") > limit), "asked")
     rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q", "top")
-    partial = stage(_summed(rare.select("query_key", "term", "q"), index.postings), "sums")
+    partial = stage(_summed(rare, index.postings), "sums")
     more = common.groupBy("query_key").agg(F.sum(F.col("q") * F.col("top")).alias("more"))
     place = Window.partitionBy("query_key").orderBy(F.desc("score"))
     kth = partial.withColumn("_n", F.row_number().over(place)).where(F.col("_n") == k).select(
@@ -146,13 +154,16 @@ def search_terms(
         .withColumn("settled", (F.col("more") == 0) | (F.col("kth") > F.col("more")))
     )
     near = partial.join(bounds.where("settled"), "query_key").where(F.col("score") >= F.col("kth") - F.col("more"))
-    near = near.select("query_key", "index_key", "score")
-    added = near.select("query_key", "index_key").join(common, "query_key").join(
-        index.postings.withColumnRenamed("key", "index_key"), ["term", "index_key"]
-    ).select("query_key", "index_key", (F.col("q") * F.col("weight")).alias("score"))
+    near = stage(near.select("query_key", "index_key", "score"), "near")
+    wanted = stage(near.select("query_key", "index_key").join(common, "query_key").select(
+        "query_key", "term", F.col("index_key").alias("key"), "q"
+    ), "wanted")
+    added = index.postings.join(_small(wanted), ["term", "key"]).select(
+        "query_key", F.col("key").alias("index_key"), (F.col("q") * F.col("weight")).alias("score")
+    )
     looked_up = near.unionByName(added).groupBy("query_key", "index_key").agg(F.sum("score").alias("score"))
-    still_open = asked.join(bounds.where("NOT settled").select("query_key"), "query_key", "left_semi")
-    plain = _summed(still_open.select("query_key", "term", "q"), index.postings)
+    still_open = stage(asked.join(bounds.where("NOT settled").select("query_key"), "query_key", "left_semi"), "open")
+    plain = _summed(still_open, index.postings)
     hits = rank_hits(looked_up.unionByName(plain), k)
     hits = hits.select("query_key", "index_key", (F.col("score") / (UNIT * UNIT)).alias("score"), "rank")
     if query_cols:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from askloom.operators import terms
 from askloom.operators.embedding import Buckets, embed, fit_embedder
 from askloom.operators.terms import UNIT, read_term_index, search_terms, term_index, write_term_index
 
@@ -75,7 +76,16 @@ def test_scores_are_cosines_and_columns_are_kept(spark):
     index = term_index(texts, "id", "t")
     asked = questions.sparkSession.createDataFrame([(9, "b a", "x")], "q long, ask string, extra string")
     hits = search_terms(asked, index, k=2, query_key="q", text="ask", query_cols=["extra"]).orderBy("rank").collect()
-    assert [(r["index_key"], r["extra"]) for r in hits] == [(1, "x"), (4, "x")] and abs(hits[0]["score"] - 1) < 1e-5
+    assert [(r["index_key"], r["extra"]) for r in hits] == [(1, "x"), (4, "x")]
+    a, b = math.log(5 / 4), math.log(5 / 3)
+    assert abs(hits[0]["score"] - (a + b) / math.sqrt(2) / math.hypot(a, b)) < 1e-5
+
+
+def test_a_large_questions_side_is_not_broadcast(spark, monkeypatch):
+    texts, questions = frames(spark, corpus())
+    index = term_index(texts, "id", "t", common_share=0.0, common_least=60)
+    monkeypatch.setattr(terms, "SMALL_ROWS", 3)
+    assert found(search_terms(questions, index, query_key="q", text="ask")) == brute(corpus(), QUESTIONS, 3)
 
 
 def test_no_texts_and_no_questions(spark):
