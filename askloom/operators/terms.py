@@ -5,12 +5,18 @@ that the vector of the text or question has length one, as a whole number of mil
 The texts' side needs nothing but the text, so postings are made in one pass without a shuffle. Scores are sums of
 products of whole numbers: exact, in whatever order they are summed.
 
-A search joins the terms of the questions with the postings and sums the products per question and text.
+A few questions (their terms are counted first) go to every task, as an inverted index of their own. Texts stream by, a
+text scatters its terms into one score per question, and a task hands on the k best texts of each question: postings
+are read once and not shuffled.
+
+Many questions are joined with the postings by term, and products summed per question and text.
 A term that is in very many texts would give a row for each of them, for every question that holds it.
 Such common terms are left out at first. The k-th best sum over the other terms bounds the k-th best score
 from below, and what common terms can add to any score is known from their largest weight. Only texts that can still be
 among the k best are then looked up, by text and term. Questions for which that proves nothing (they have
-hardly any rare terms) go through all their postings. The result is always that of the plain join.
+hardly any rare terms) go through all their postings.
+
+Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askloom.operators.vectors import rank_hits
@@ -35,6 +42,10 @@ COMMON_LEAST = 1000
 BUCKETS = 64
 #: Rows of the questions' side (a term and two or three numbers each) up to which they go to every task.
 SMALL_ROWS = 200_000
+#: Questions that are scanned for at most: a task holds a score for each of them and each text of a batch.
+SCAN_QUESTIONS = 5_000
+#: Rows that a task collects before it goes back to the k best of each question.
+HELD_HITS = 500_000
 SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
@@ -44,6 +55,7 @@ class TermIndex(NamedTuple):
     postings: DataFrame
     terms: DataFrame
     n_texts: int
+    by_text: bool = True  # whether the postings of a text follow one another
     common_share: float = COMMON_SHARE
     common_least: int = COMMON_LEAST
 
@@ -97,7 +109,7 @@ def term_index(
     postings = stage(term_counts(df, key, text).select("term", "key", "weight"), "postings")
     n_texts = df.where(F.col(key).isNotNull()).select(key).count()
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.max("weight").alias("top"))
-    return TermIndex(postings, stage(terms, "terms"), n_texts, common_share, common_least)
+    return TermIndex(postings, stage(terms, "terms"), n_texts, True, common_share, common_least)
 
 
 def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) -> None:
@@ -115,7 +127,10 @@ def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) ->
 
 def read_term_index(spark: SparkSession, name: str) -> TermIndex:
     settings = spark.table(f"{name}_settings").first()
-    return TermIndex(spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), *settings)
+    n_texts, common_share, common_least = settings
+    return TermIndex(
+        spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), n_texts, False, common_share, common_least
+    )
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -130,16 +145,8 @@ def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
     return found.agg(F.sum(F.col("q") * F.col("weight")).alias("score"))
 
 
-def search_terms(
-    questions: DataFrame, index: TermIndex, *, k: int = 3, query_key: str, text: str, query_cols: list[str] = (),
-) -> DataFrame:
-    """``query_key, index_key, score, rank``: the k best of the texts that share a weighted term with the question.
-
-    ``score`` is the cosine of the sparse vectors; ties go to the smaller key.
-    """
-    asked = question_weights(questions, query_key, text, index)
-    limit = max(index.common_least, int(index.common_share * index.n_texts))
-    asked = stage(asked.withColumn("common", F.col("texts") > limit), "asked")
+def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
+    """``query_key, index_key, score`` of all texts that may be among the k best of their question."""
     rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q", "top")
     partial = stage(_summed(rare, index.postings), "sums")
     more = common.groupBy("query_key").agg(F.sum(F.col("q") * F.col("top")).alias("more"))
@@ -164,7 +171,116 @@ def search_terms(
     looked_up = near.unionByName(added).groupBy("query_key", "index_key").agg(F.sum("score").alias("score"))
     still_open = stage(asked.join(bounds.where("NOT settled").select("query_key"), "query_key", "left_semi"), "open")
     plain = _summed(still_open, index.postings)
-    hits = rank_hits(looked_up.unionByName(plain), k)
+    return looked_up.unionByName(plain)
+
+
+def best_hits(hits: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each ``q``, by score, then key."""
+    hits = hits.sort_by([("q", "ascending"), ("score", "descending"), ("key", "ascending")])
+    q = hits["q"].to_numpy()
+    new = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, dtype=np.int64)
+    starts = np.repeat(new, np.diff(np.append(new, len(q))))
+    return hits.filter(pa.array(np.arange(len(q)) - starts < k))
+
+
+class Scan:
+    """The inverted index of a few questions, and the k best texts of each that went by so far."""
+
+    def __init__(self, term: list[str], question: np.ndarray, weight: np.ndarray, n_questions: int, k: int):
+        order = np.argsort(np.array(term, dtype=object), kind="stable")
+        self.terms, first = np.unique(np.array(term, dtype=object)[order], return_index=True)
+        self.question, self.weight = question[order], weight[order]
+        self.starts, self.lengths = first, np.diff(np.append(first, len(order)))
+        self.vocabulary, self.n, self.k = pa.array(self.terms, pa.string()), n_questions, k
+        self.kth, self.hits, self.held = np.ones(n_questions), [], 0
+
+    def scores(self, postings: pa.Table) -> tuple[pa.Array, np.ndarray]:
+        """Keys of the texts and their score per question (texts by questions); whole numbers below 2 ** 53."""
+        keys = postings["key"].combine_chunks()
+        new = np.concatenate([[True], pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)])
+        at = pc.index_in(postings["term"], self.vocabulary).combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(at >= 0)
+        term, sizes = at[known], self.lengths[at[known]]
+        place = np.arange(sizes.sum()) + np.repeat(self.starts[term] - np.cumsum(sizes) + sizes, sizes)
+        text = np.repeat((np.cumsum(new) - 1)[known], sizes)
+        products = np.repeat(postings["weight"].to_numpy()[known], sizes) * self.weight[place]
+        n_texts = int(new.sum())
+        total = np.bincount(text * self.n + self.question[place], products, n_texts * self.n)
+        return keys.filter(pa.array(new)), total.reshape(n_texts, self.n)
+
+    def add(self, postings: pa.Table) -> None:
+        keys, scores = self.scores(postings)
+        least = self.kth
+        if len(keys) > self.k:
+            least = np.maximum(least, np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k])
+        text, question = np.nonzero(scores >= least)
+        self.hits.append(pa.table({
+            "q": pa.array(question.astype(np.int64)), "key": keys.take(pa.array(text)),
+            "score": pa.array(scores[text, question].astype(np.int64)),
+        }))
+        self.held += len(text)
+        if self.held >= HELD_HITS:
+            self.settle()
+
+    def settle(self) -> pa.Table:
+        best = best_hits(pa.concat_tables(self.hits), self.k)
+        n = np.bincount(best["q"].to_numpy(), minlength=self.n)
+        lowest = np.full(self.n, np.inf)
+        np.minimum.at(lowest, best["q"].to_numpy(), best["score"].to_numpy())
+        self.kth = np.where(n >= self.k, lowest, 1)
+        self.hits, self.held = [best], len(best)
+        return best
+
+
+def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
+    """``query_key, index_key, score`` of the k best texts per question and task; None if the questions are many."""
+    rows = asked.select("query_key", "term", "q").limit(SMALL_ROWS + 1).toPandas()
+    keys = rows["query_key"].tolist()
+    names = {q: i for i, q in enumerate(sorted(set(keys)))}
+    if len(rows) > SMALL_ROWS or len(names) > SCAN_QUESTIONS or not index.by_text:
+        return None
+    number = np.array([names[q] for q in keys], dtype=np.int64)
+    terms, weights = rows["term"].tolist(), rows["q"].to_numpy(dtype=np.int64)
+    kind = index.postings.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan, rest = Scan(terms, number, weights, len(names), k), None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            # The last text may go on in the next batch.
+            keys = table["key"].combine_chunks()
+            change = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False))
+            whole = int(change[-1]) + 1 if len(change) else 0
+            if whole:
+                scan.add(table[:whole])
+            rest = table[whole:]
+        if rest is not None and rest.num_rows:
+            scan.add(rest)
+        if scan.hits:
+            yield from scan.settle().to_batches()
+
+    found = index.postings.select("key", "term", "weight").mapInArrow(run, f"q bigint, key {kind}, score bigint")
+    listed = asked.sparkSession.createDataFrame(
+        [(i, q) for q, i in names.items()], f"q bigint, query_key {asked.schema['query_key'].dataType.simpleString()}"
+    )
+    return found.join(F.broadcast(listed), "q").select("query_key", F.col("key").alias("index_key"), "score")
+
+
+def search_terms(
+    questions: DataFrame, index: TermIndex, *, k: int = 3, query_key: str, text: str, query_cols: list[str] = (),
+) -> DataFrame:
+    """``query_key, index_key, score, rank``: the k best of the texts that share a weighted term with the question.
+
+    ``score`` is the cosine of the sparse vectors; ties go to the smaller key.
+    """
+    asked = question_weights(questions, query_key, text, index)
+    limit = max(index.common_least, int(index.common_share * index.n_texts))
+    asked = stage(asked.withColumn("common", F.col("texts") > limit), "asked")
+    found = _scanned(asked, index, k)
+    if found is None:
+        found = _joined(asked, index, k)
+    hits = rank_hits(found, k)
     hits = hits.select("query_key", "index_key", (F.col("score") / (UNIT * UNIT)).alias("score"), "rank")
     if query_cols:
         hits = hits.join(questions.select(F.col(query_key).alias("query_key"), *query_cols), "query_key")

@@ -11,13 +11,13 @@ from askloom.operators.codes import checked_pairs
 from askloom.operators.embedding import embed
 from askloom.operators.ivf import make_ivf, read_ivf, rows_read, write_ivf
 from askloom.operators.knn import ann_join, knn_join, read_cells, recall_at_k, write_cells
-from askloom.operators.terms import search_terms, term_index
+from askloom.operators.terms import read_term_index, search_terms, term_index, write_term_index
 from askloom.operators.vectors import rank_hits
 from askloom.plans.answering import answer_questions, format_context, prompts_for, retrieve
 from askloom.plans.index import build_chunks, build_index, create_or_sync_index, stored_index
 from askloom.workload.chunks import UNIQUE, doc_chunks, doc_index_rows
 from askloom.session import cut, scratch_path
-from askloom.workload.registry import load, query
+from askloom.workload.registry import load, query, scratch_schema
 
 VEC = dict(query_key="vec_id", query_vec="embedding", index_key="vec_id", index_vec="embedding")
 
@@ -343,10 +343,9 @@ TEXT_RETRIEVAL = UNIQUE + """,
     FROM hits JOIN uniq ON chunk_id = key WHERE rank <= 3"""
 
 
-def _text_hits(spark, sf, **options):
+def _text_hits_of(spark, sf, index):
     """Benchmark texts as questions over the chunk index of the documents, by TF-IDF."""
     chunks = doc_index_rows(spark, sf)
-    index = term_index(chunks, "chunk_id", "content", **options)
     questions = load(spark, sf, "benchmark")
     hits = search_terms(questions, index, k=3, query_key="item_id", text="text")
     named = hits.withColumnsRenamed({"query_key": "request_id", "index_key": "chunk_id"})
@@ -357,13 +356,16 @@ def _text_hits(spark, sf, **options):
 
 @query("text_retrieval", TEXT_RETRIEVAL)
 def q_text_retrieval(spark, sf):
-    return _text_hits(spark, sf)
+    return _text_hits_of(spark, sf, term_index(doc_index_rows(spark, sf), "chunk_id", "content"))
 
 
-@query("text_retrieval_common", TEXT_RETRIEVAL)
-def q_text_retrieval_common(spark, sf):
-    """The same, with nearly every term taken for a common one."""
-    return _text_hits(spark, sf, common_share=0.0, common_least=30)
+@query("text_retrieval_joined", TEXT_RETRIEVAL)
+def q_text_retrieval_joined(spark, sf):
+    """The same over the stored, bucketed form of the index, with common terms looked up."""
+    chunks = doc_index_rows(spark, sf)
+    with scratch_schema(spark) as schema:
+        write_term_index(term_index(chunks, "chunk_id", "content"), f"{schema}.texts", buckets=8)
+        return cut(_text_hits_of(spark, sf, read_term_index(spark, f"{schema}.texts")))
 
 
 @query("retrieve_texts", UNIQUE + f""",

@@ -62,9 +62,23 @@ def found(hits):
     return {(r["query_key"], r["index_key"], r["rank"]) for r in hits.collect()}
 
 
+@pytest.mark.parametrize("held", [500_000, 5])
+@pytest.mark.parametrize("k", [1, 4, 300])
+def test_scan_finds_the_best(spark, monkeypatch, held, k):
+    monkeypatch.setattr(terms, "HELD_HITS", held)
+    texts, questions = frames(spark, corpus())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        hits = search_terms(questions, term_index(texts, "id", "t"), k=k, query_key="q", text="ask")
+        assert found(hits) == brute(corpus(), QUESTIONS, k)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 @pytest.mark.parametrize("limit", [1000, 60, 10, 0])
 @pytest.mark.parametrize("k", [1, 4, 300])
-def test_search_is_the_plain_join(spark, limit, k):
+def test_join_finds_the_best(spark, monkeypatch, limit, k):
+    monkeypatch.setattr(terms, "SCAN_QUESTIONS", 0)
     texts, questions = frames(spark, corpus())
     index = term_index(texts, "id", "t", common_share=0.0, common_least=limit)
     hits = search_terms(questions, index, k=k, query_key="q", text="ask")
