@@ -2,11 +2,11 @@
 
 The weight of a term is ``1 + ln(count)``, in a question times ``ln((texts + 1) / (texts with the term + 1))``, scaled so
 that the vector of the text or question has length one, as a whole number of millionths (lnc.ltc in the SMART notation).
-The texts' side needs nothing but the text, so postings are made in one pass without a shuffle. Scores are sums of
+The texts' side needs nothing but the text, so the vectors are made in one pass without a shuffle. Scores are sums of
 products of whole numbers: exact, in whatever order they are summed.
 
 A few questions (their terms are counted first) go to every task, as an inverted index of their own. Texts stream by, a
-text scatters its terms into one score per question, and a task hands on the k best texts of each question: postings
+text scatters its terms into one score per question, and a task hands on the k best texts of each question: vectors
 are read once and not shuffled.
 
 Many questions are joined with the postings by term, and products summed per question and text.
@@ -50,12 +50,12 @@ SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
 class TermIndex(NamedTuple):
-    """``postings`` (term, key, weight) and ``terms`` (term, texts, top), the largest weight of each term."""
+    """``postings`` (term, key, weight) and ``terms`` (term, texts); ``vectors`` (key, terms, weights) while it is not stored."""
 
+    vectors: DataFrame | None
     postings: DataFrame
     terms: DataFrame
     n_texts: int
-    by_text: bool = True  # whether the postings of a text follow one another
     common_share: float = COMMON_SHARE
     common_least: int = COMMON_LEAST
 
@@ -65,10 +65,10 @@ def counted(text: str | None) -> Counter:
     return Counter(w for w in SPACE.split((text or "").lower()) if w)
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf, weight`` of every text, with the weight of the texts' side; ``key`` is unique.
+def term_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, terms, tfs, weights`` of every text, with the weights of the texts' side; ``key`` is unique.
 
-    Counted where the text lies; a text's rows follow one another.
+    Counted where the text lies.
     """
     kind = df.schema[key].dataType.simpleString()
 
@@ -83,33 +83,40 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
                 raw = 1 + np.log(np.maximum(tf, 1))
                 lengths = np.sqrt(np.bincount(np.repeat(np.arange(len(counts)), sizes), raw * raw, len(counts)))
                 weight = np.floor(raw * UNIT / np.repeat(lengths, sizes) + 0.5).astype(np.int64)
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                listed = lambda values: pa.ListArray.from_arrays(ends, values)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(np.repeat(np.arange(len(counts)), sizes))),
-                    pa.array([w for c in counts for w in c], pa.string()), pa.array(tf), pa.array(weight),
-                ], names=["key", "term", "tf", "weight"])
+                    part.column(0), listed(pa.array([w for c in counts for w in c], pa.string())),
+                    listed(pa.array(tf)), listed(pa.array(weight)),
+                ], names=["key", "terms", "tfs", "weights"])
 
     known = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), text)
-    return known.mapInArrow(run, f"key {kind}, term string, tf bigint, weight bigint")
+    return known.mapInArrow(run, f"key {kind}, terms array<string>, tfs array<bigint>, weights array<bigint>")
 
 
 def question_weights(questions: DataFrame, key: str, text: str, index: TermIndex) -> DataFrame:
-    """``query_key, term, q, texts, top`` of the terms that the index has; one that is in every text weighs nothing."""
+    """``query_key, term, q, texts`` of the terms that the index has; one that is in every text weighs nothing."""
+    counts = term_vectors(questions, key, text).select("key", F.explode(F.arrays_zip("terms", "tfs")).alias("c")).select(
+        "key", F.col("c.terms").alias("term"), F.col("c.tfs").alias("tf")
+    )
     idf = F.log((F.lit(index.n_texts) + 1) / (F.col("texts") + 1))
-    raw = term_counts(questions, key, text).join(index.terms, "term").withColumn("w", (1 + F.log("tf")) * idf).where("w > 0")
+    raw = counts.join(index.terms, "term").withColumn("w", (1 + F.log("tf")) * idf).where("w > 0")
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))
     return raw.select(
-        F.col("key").alias("query_key"), "term", F.round(F.col("w") * UNIT / length).cast("bigint").alias("q"), "texts", "top"
+        F.col("key").alias("query_key"), "term", F.round(F.col("w") * UNIT / length).cast("bigint").alias("q"), "texts"
     )
 
 
 def term_index(
     df: DataFrame, key: str, text: str, *, common_share: float = COMMON_SHARE, common_least: int = COMMON_LEAST,
 ) -> TermIndex:
-    """The postings of the texts of ``df``; held in the shared folder."""
-    postings = stage(term_counts(df, key, text).select("term", "key", "weight"), "postings")
-    n_texts = df.where(F.col(key).isNotNull()).select(key).count()
-    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.max("weight").alias("top"))
-    return TermIndex(postings, stage(terms, "terms"), n_texts, True, common_share, common_least)
+    """The sparse vectors of the texts of ``df``, made in one pass and held in the shared folder, and what follows from them."""
+    vectors = stage(term_vectors(df, key, text).drop("tfs"), "vectors")
+    inside = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    postings = vectors.select("key", F.explode(F.arrays_zip("terms", "weights")).alias("p")).select(
+        F.col("p.terms").alias("term"), "key", F.col("p.weights").alias("weight")
+    )
+    return TermIndex(vectors, postings, stage(inside, "terms"), vectors.count(), common_share, common_least)
 
 
 def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) -> None:
@@ -127,10 +134,7 @@ def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) ->
 
 def read_term_index(spark: SparkSession, name: str) -> TermIndex:
     settings = spark.table(f"{name}_settings").first()
-    n_texts, common_share, common_least = settings
-    return TermIndex(
-        spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), n_texts, False, common_share, common_least
-    )
+    return TermIndex(None, spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), *settings)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -147,7 +151,12 @@ def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
 
 def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
     """``query_key, index_key, score`` of all texts that may be among the k best of their question."""
-    rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q", "top")
+    rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q")
+    # One row per common term that is asked for.
+    top = index.postings.join(_small(stage(common.select("term").distinct(), "common")), "term").groupBy("term").agg(
+        F.max("weight").alias("top")
+    )
+    common = stage(common.join(top, "term"), "common-terms")
     partial = stage(_summed(rare, index.postings), "sums")
     more = common.groupBy("query_key").agg(F.sum(F.col("q") * F.col("top")).alias("more"))
     place = Window.partitionBy("query_key").orderBy(F.desc("score"))
@@ -194,22 +203,19 @@ class Scan:
         self.vocabulary, self.n, self.k = pa.array(self.terms, pa.string()), n_questions, k
         self.kth, self.hits, self.held = np.ones(n_questions), [], 0
 
-    def scores(self, postings: pa.Table) -> tuple[pa.Array, np.ndarray]:
-        """Keys of the texts and their score per question (texts by questions); whole numbers below 2 ** 53."""
-        keys = postings["key"].combine_chunks()
-        new = np.concatenate([[True], pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)])
-        at = pc.index_in(postings["term"], self.vocabulary).combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False)
+    def scores(self, terms: pa.ListArray, weights: pa.ListArray) -> np.ndarray:
+        """Scores of texts (rows) for the questions (columns); whole numbers below 2 ** 53."""
+        at = pc.index_in(terms.flatten(), self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
         known = np.flatnonzero(at >= 0)
         term, sizes = at[known], self.lengths[at[known]]
         place = np.arange(sizes.sum()) + np.repeat(self.starts[term] - np.cumsum(sizes) + sizes, sizes)
-        text = np.repeat((np.cumsum(new) - 1)[known], sizes)
-        products = np.repeat(postings["weight"].to_numpy()[known], sizes) * self.weight[place]
-        n_texts = int(new.sum())
-        total = np.bincount(text * self.n + self.question[place], products, n_texts * self.n)
-        return keys.filter(pa.array(new)), total.reshape(n_texts, self.n)
-
-    def add(self, postings: pa.Table) -> None:
-        keys, scores = self.scores(postings)
+        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+        products = np.repeat(weights.flatten().to_numpy()[known], sizes) * self.weight[place]
+        total = np.bincount(np.repeat(owner[known], sizes) * self.n + self.question[place], products, len(terms) * self.n)
+        return total.reshape(len(terms), self.n)
+
+    def add(self, keys: pa.Array, terms: pa.ListArray, weights: pa.ListArray) -> None:
+        scores = self.scores(terms, weights)
         least = self.kth
         if len(keys) > self.k:
             least = np.maximum(least, np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k])
@@ -237,30 +243,21 @@ def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
     rows = asked.select("query_key", "term", "q").limit(SMALL_ROWS + 1).toPandas()
     keys = rows["query_key"].tolist()
     names = {q: i for i, q in enumerate(sorted(set(keys)))}
-    if len(rows) > SMALL_ROWS or len(names) > SCAN_QUESTIONS or not index.by_text:
+    if len(rows) > SMALL_ROWS or len(names) > SCAN_QUESTIONS or index.vectors is None:
         return None
     number = np.array([names[q] for q in keys], dtype=np.int64)
     terms, weights = rows["term"].tolist(), rows["q"].to_numpy(dtype=np.int64)
-    kind = index.postings.schema["key"].dataType.simpleString()
+    kind = index.vectors.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan, rest = Scan(terms, number, weights, len(names), k), None
+        scan = Scan(terms, number, weights, len(names), k)
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            # The last text may go on in the next batch.
-            keys = table["key"].combine_chunks()
-            change = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False))
-            whole = int(change[-1]) + 1 if len(change) else 0
-            if whole:
-                scan.add(table[:whole])
-            rest = table[whole:]
-        if rest is not None and rest.num_rows:
-            scan.add(rest)
+            for at in range(0, batch.num_rows, 256):
+                scan.add(*batch.slice(at, 256).columns)
         if scan.hits:
             yield from scan.settle().to_batches()
 
-    found = index.postings.select("key", "term", "weight").mapInArrow(run, f"q bigint, key {kind}, score bigint")
+    found = index.vectors.select("key", "terms", "weights").mapInArrow(run, f"q bigint, key {kind}, score bigint")
     listed = asked.sparkSession.createDataFrame(
         [(i, q) for q, i in names.items()], f"q bigint, query_key {asked.schema['query_key'].dataType.simpleString()}"
     )
