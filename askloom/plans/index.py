@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from askloom.operators.chunking import chunk_separator, chunk_tokens
-from askloom.operators.diff import apply_changes, row_digest, snapshot_diff
+from askloom.operators.diff import apply_changes, snapshot_diff
 from askloom.operators.embedding import TextEmbedder, embed
 from askloom.operators.keys import first_per_key
-from askloom.session import cut
+from askloom.session import cut, stage
 from askloom.sources.versions import (
     Version, create_version, read_version, replace_partitions, touched_prefixes, version_of,
 )
@@ -88,9 +88,9 @@ def sync_index(
 STORED = ["chunk_id", *INDEXED, "digest", "embedding"]
 
 
-def _with_digest(rows: DataFrame) -> DataFrame:
-    """The rows and one short value of what is compared, so that a sync reads no stored texts."""
-    return rows.withColumn("digest", row_digest(INDEXED))
+def _digest() -> Column:
+    """One short value of what is compared of a row ``doc_uri, category, _text``, the text by its md5."""
+    return F.sha2(F.to_json(F.struct("doc_uri", "category", "_text"), {"ignoreNullFields": "false"}), 256)
 
 
 def create_or_sync_index(
@@ -107,21 +107,36 @@ def create_or_sync_index(
 ) -> Version:
     """Bring the stored index at ``path`` to the state of the chunk table; the first time, create it.
 
-    A sync compares ids and digests, embeds new and changed chunks only, and rewrites only the
-    partitions these fall into. Readers keep the version they opened; without a change
+    A sync compares ids and digests, takes and embeds the texts of new and changed chunks only, and rewrites only
+    the partitions these fall into. Readers keep the version they opened; without a change
     there is no new version. ``prefix_chars`` hex characters of the key give the partitions.
     """
-    rows = _with_digest(unique_chunks(
-        chunks, id_col=id_col, uri_col=uri_col, category_col=category_col, text_col=text_col
-    ))
+    rows = chunks.select(
+        F.col(id_col).alias("chunk_id"), F.col(uri_col).alias("doc_uri"), F.col(category_col).alias("category"),
+        F.col(text_col).alias("content"),
+    )
+    order = [F.col("doc_uri"), F.col("category")]
     now = version_of(spark, path)
     if now is None:
-        made = embed(rows, "content", embedder=embedder).select(*STORED)
+        made = first_per_key(rows, ["chunk_id"], order).withColumn("_text", F.md5("content")).withColumn("digest", _digest())
+        made = embed(made, "content", embedder=embedder).select(*STORED)
         return create_version(made, path, key="chunk_id", prefix_chars=prefix_chars)
+    # Ids and digests settle what has changed; texts are then taken from the chunk table for these rows only.
+    narrow = first_per_key(rows.select("chunk_id", "doc_uri", "category", F.md5("content").alias("_text")), ["chunk_id"], order)
+    narrow = narrow.withColumn("digest", _digest()).drop("_text")
     before = read_version(spark, now).select("chunk_id", "digest")
-    changes = snapshot_diff(before, rows, key="chunk_id", compare=["digest"])
+    changed = stage(snapshot_diff(before, narrow, key="chunk_id", compare=["digest"]), "changed")
+    new = changed.where("op <> 'delete'").select(
+        "chunk_id", "op", "digest", F.col("doc_uri").alias("_uri"), F.col("category").alias("_category")
+    )
+    same = F.col("doc_uri").eqNullSafe(F.col("_uri")) & F.col("category").eqNullSafe(F.col("_category"))
+    texts = rows.join(new, "chunk_id").where(same).dropDuplicates(["chunk_id"])
+    made = embed(texts.select("chunk_id", "op", *INDEXED, "digest"), "content", embedder=embedder)
+    gone = changed.where("op = 'delete'").select(
+        "chunk_id", "op", *[F.lit(None).cast(made.schema[c].dataType).alias(c) for c in made.columns[2:]]
+    )
     # Holds model output and is read twice: written once.
-    changes = cut(embed(changes, "content", embedder=embedder))
+    changes = stage(made.unionByName(gone), "changes")
     touched = touched_prefixes(changes, now)
     if not touched:
         return now
