@@ -12,6 +12,15 @@ from askloom.session import cut
 NULL_WAYS = 1 << 30
 
 
+#: Rows of a few short columns that may be broadcast.
+SMALL_ROWS = 200_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The written table ``df`` with a broadcast hint if it has at most ``rows`` rows; else Spark shuffles both sides."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order``.
 

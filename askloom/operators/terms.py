@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from askloom.operators.keys import small_side
 from askloom.operators.vectors import rank_hits
 from askloom.session import cut, stage
 
@@ -137,14 +138,9 @@ def read_term_index(spark: SparkSession, name: str) -> TermIndex:
     return TermIndex(None, spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), *settings)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """The written table ``df``, broadcast if it is small; else Spark shuffles both sides of a join."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
-
-
 def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
     """``query_key, index_key, score`` of all texts that share a term; ``asked`` is written."""
-    asked = _small(asked.select("query_key", "term", "q"))
+    asked = small_side(asked.select("query_key", "term", "q"), SMALL_ROWS)
     found = postings.join(asked, "term").groupBy("query_key", F.col("key").alias("index_key"))
     return found.agg(F.sum(F.col("q") * F.col("weight")).alias("score"))
 
@@ -153,7 +149,7 @@ def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
     """``query_key, index_key, score`` of all texts that may be among the k best of their question."""
     rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q")
     # One row per common term that is asked for.
-    top = index.postings.join(_small(stage(common.select("term").distinct(), "common")), "term").groupBy("term").agg(
+    top = index.postings.join(small_side(stage(common.select("term").distinct(), "common"), SMALL_ROWS), "term").groupBy("term").agg(
         F.max("weight").alias("top")
     )
     common = stage(common.join(top, "term"), "common-terms")
@@ -174,7 +170,7 @@ def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
     wanted = stage(near.select("query_key", "index_key").join(common, "query_key").select(
         "query_key", "term", F.col("index_key").alias("key"), "q"
     ), "wanted")
-    added = index.postings.join(_small(wanted), ["term", "key"]).select(
+    added = index.postings.join(small_side(wanted, SMALL_ROWS), ["term", "key"]).select(
         "query_key", F.col("key").alias("index_key"), (F.col("q") * F.col("weight")).alias("score")
     )
     looked_up = near.unionByName(added).groupBy("query_key", "index_key").agg(F.sum("score").alias("score"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from askloom.operators.chunking import chunk_separator, chunk_tokens
 from askloom.operators.diff import apply_changes, snapshot_diff
 from askloom.operators.embedding import TextEmbedder, embed
-from askloom.operators.keys import first_per_key
+from askloom.operators.keys import first_per_key, small_side
 from askloom.session import cut, stage
 from askloom.sources.versions import (
     Version, create_version, read_version, replace_partitions, touched_prefixes, version_of,
@@ -126,9 +126,10 @@ def create_or_sync_index(
     narrow = narrow.withColumn("digest", _digest()).drop("_text")
     before = read_version(spark, now).select("chunk_id", "digest")
     changed = stage(snapshot_diff(before, narrow, key="chunk_id", compare=["digest"]), "changed")
-    new = changed.where("op <> 'delete'").select(
+    # Few changes go to the chunks; many are joined by id.
+    new = small_side(changed.where("op <> 'delete'").select(
         "chunk_id", "op", "digest", F.col("doc_uri").alias("_uri"), F.col("category").alias("_category")
-    )
+    ))
     same = F.col("doc_uri").eqNullSafe(F.col("_uri")) & F.col("category").eqNullSafe(F.col("_category"))
     texts = rows.join(new, "chunk_id").where(same).dropDuplicates(["chunk_id"])
     made = embed(texts.select("chunk_id", "op", *INDEXED, "digest"), "content", embedder=embedder)
