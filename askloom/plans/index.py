@@ -141,8 +141,9 @@ def create_or_sync_index(
     touched = touched_prefixes(changes, now)
     if not touched:
         return now
-    after = apply_changes(read_version(spark, now, touched), changes, key="chunk_id")
-    return replace_partitions(after.select(*STORED), now, touched)
+    kept = read_version(spark, now, touched).join(small_side(changes.select("chunk_id")), "chunk_id", "left_anti")
+    after = changes.where("op <> 'delete'").select(*STORED)
+    return replace_partitions(after, now, touched, kept=kept)
 
 
 def stored_index(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

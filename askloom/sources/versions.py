@@ -98,13 +98,17 @@ def read_version(spark: SparkSession, version: Version, prefixes: Iterable[str]
     return spark.read.schema(version.schema).parquet(*files)
 
 
-def _write(rows: DataFrame, base: Version, touched: Iterable[str] | None) -> Version:
-    """Publish the version after ``base`` in which the ``touched`` partitions hold ``rows``."""
+def _write(rows: DataFrame, base: Version, touched: Iterable[str] | None, kept_rows: DataFrame | None = None) -> Version:
+    """Publish the version after ``base`` in which the ``touched`` partitions hold ``rows`` (and ``kept_rows``)."""
     spark, folder = rows.sparkSession, f"{base.number + 1}-{uuid.uuid4().hex[:8]}"
     target = f"{base.path}/data/{folder}"
-    placed = rows.withColumn(PREFIX, key_prefix(F.col(base.key), base.prefix_chars))
+    placed = lambda df: df.withColumn(PREFIX, key_prefix(F.col(base.key), base.prefix_chars))
     # Rows of a partition come together; adaptive execution gives a large one to several tasks.
-    placed.hint("rebalance", PREFIX).write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(PREFIX).parquet(target)
+    out = placed(rows).hint("rebalance", PREFIX)
+    if kept_rows is not None:
+        # These lie together already: a task reads files of few partitions and writes as many.
+        out = placed(kept_rows.select(rows.columns)).unionByName(out)
+    out.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(PREFIX).parquet(target)
     written = {n.removeprefix(f"{PREFIX}="): folder for n in _names(spark, target) if n.startswith(PREFIX)}
     kept = {} if touched is None else {p: f for p, f in base.folders.items() if p not in set(touched)}
     if clash := written.keys() & kept.keys():
@@ -121,11 +125,16 @@ def create_version(rows: DataFrame, path: str, *, key: str, prefix_chars: int =
     return _write(rows, Version(path.rstrip("/"), 0, key, prefix_chars, rows.schema, {}), None)
 
 
-def replace_partitions(rows: DataFrame, base: Version, touched: Iterable[str]) -> Version:
-    """A version with the ``touched`` partitions of ``base`` replaced by ``rows``; all others stay where they are."""
+def replace_partitions(
+    rows: DataFrame, base: Version, touched: Iterable[str], *, kept: DataFrame | None = None
+) -> Version:
+    """A version with the ``touched`` partitions of ``base`` replaced by ``rows``; all others stay where they are.
+
+    ``kept`` are rows that were read from these partitions and go back to them without a shuffle.
+    """
     if rows.schema.simpleString() != base.schema.simpleString():
         raise ValueError(f"columns {rows.schema.simpleString()} are not those of {base.path}")
-    return _write(rows, base, list(touched))
+    return _write(rows, base, list(touched), kept)
 
 
 def touched_prefixes(rows: DataFrame, base: Version) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from askloom.operators.embedding import embed
-from askloom.operators.keys import first_per_key
+from askloom.operators.keys import first_per_key, small_side
 from askloom.plans.index import Embedder, build_chunks
 from askloom.session import cut
 from askloom.sources.versions import (
@@ -87,8 +87,8 @@ def apply_changes_batch(
     if now is None:
         return create_version(rows, path, key="doc_uri", prefix_chars=prefix_chars)
     touched = touched_prefixes(fresh, now)
-    others = read_version(spark, now, touched).join(fresh.select("doc_uri"), "doc_uri", "left_anti")
-    return replace_partitions(others.select(*KEPT).unionByName(rows), now, touched)
+    others = read_version(spark, now, touched).join(small_side(fresh.select("doc_uri")), "doc_uri", "left_anti")
+    return replace_partitions(rows, now, touched, kept=others)
 
 
 def followed_index(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
