@@ -188,13 +188,15 @@ def q_index_change_states(spark, sf):
     return document_states(spark, _follow(spark, sf))
 
 
+def table_stream(spark, sf, table):
+    """A table as a stream of its files, be it one file or a folder of them; a plain path has to be a folder, a pattern may match either."""
+    return spark.readStream.schema(load(spark, sf, table).schema).parquet(f"{sf}/{table}.parque[t]")
+
+
 @query("sync_index_stream", UNIQUE + f"""
     SELECT chunk_id, doc_uri, category, {VECTORS} FROM uniq""")
 def q_sync_index_stream(spark, sf):
-    docs = (
-        spark.readStream.schema(load(spark, sf, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet").parquet(sf)
-    )
+    docs = table_stream(spark, sf, "documents")
     target, state = scratch_path(spark, "index"), scratch_path(spark, "state")
     sync_index_stream(
         docs, target, state, text_col="text", uri_col="doc_id", category_col="source",
@@ -230,11 +232,7 @@ def q_unpack_stream(spark, sf):
         <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events))
     SELECT event_id, user_id, event_type, epoch_us(ts) AS us, value FROM closed WHERE rn = 1""")
 def q_dedup_latest_stream(spark, sf):
-    stream = (
-        spark.readStream.schema(load(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet").parquet(sf)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    )
+    stream = table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     latest = dedup_latest_stream(
         stream, ["user_id", "event_type"], ts="ts", lateness="1 hour", tie=[F.col("event_id")]
     )
