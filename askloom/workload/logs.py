@@ -13,17 +13,18 @@ EPOCH_MS = 1704067200000  # 2024-01-01 UTC
 
 
 def request_payloads(spark, sf) -> DataFrame:
-    """One payload per conversation: all turns before the last answer of the assistant, and that answer.
+    """One payload per answer of the assistant, whose request holds all turns before it.
 
     A payload is one text, so a conversation comes together whole.
     """
     turns = load(spark, sf, "conversations")
-    answered = F.when(F.col("role") == "assistant", F.col("turn"))
     message = F.struct(F.col("turn").alias("said"), "role", F.col("text").alias("content"))
-    grouped = turns.groupBy("conv_id").agg(
-        F.max(answered).alias("turn"), F.max_by("text", answered).alias("answer"),
-        F.array_sort(F.collect_list(message)).alias("said"),
-    ).where("answer IS NOT NULL").withColumn("said", F.expr("filter(said, m -> m.said < turn)"))
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("said"))
+    answers = F.expr("filter(said, m -> m.role = 'assistant')")
+    grouped = whole.withColumn("own", F.explode(answers)).select(
+        "conv_id", F.col("own.said").alias("turn"), F.col("own.content").alias("answer"),
+        F.expr("filter(said, m -> m.said < own.said)").alias("said"),
+    )
     ms = F.lit(EPOCH_MS) + F.col("conv_id") * 60000 + F.col("turn") * 1001
     at = F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     later = F.date_format(F.timestamp_millis(ms + 250), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -112,8 +113,7 @@ REQUESTS = f"""
     WITH req AS (
       SELECT 'c' || conv_id || '-' || turn AS request_id, conv_id, turn, text AS answer,
         {EPOCH_MS} + conv_id * 60000 + turn * 1001 AS ms
-      FROM conversations WHERE role = 'assistant' AND conv_id % 10 <> 0
-      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
+      FROM conversations WHERE role = 'assistant' AND conv_id % 10 <> 0),
     msg AS (
       SELECT r.request_id, r.turn, c.turn AS said, c.role, c.text
       FROM req r JOIN conversations c ON c.conv_id = r.conv_id AND c.turn < r.turn)"""
@@ -179,7 +179,7 @@ def q_trace_bounds(spark, sf):
 
 
 @query("payload_kinds", """
-    SELECT 'request' AS kind, count(DISTINCT conv_id) AS n FROM conversations
+    SELECT 'request' AS kind, count(*) AS n FROM conversations
       WHERE role = 'assistant' AND conv_id % 10 <> 0
     UNION ALL
     SELECT 'assessment', 3 * count(*) FROM labels""")
