@@ -137,3 +137,18 @@ def test_lloyd_separates_clusters():
     found_ = lloyd(v, 4)
     assert np.allclose(np.linalg.norm(found_, axis=1), 1) and (v @ found_.T).max(axis=1).min() > 0.9
     assert len(lloyd(v[:2], 5)) == 2
+
+
+def test_large_blocks_are_scored_in_slices(spark, monkeypatch):
+    from askloom.operators.codes import block_rows, slices, square_side
+
+    assert [s.start for s in slices(10, 1 << 19)] == [0, 4, 8] and len(list(slices(3, 1 << 30))) == 3
+    assert block_rows(frame(spark, "i", [None, [1.0] * 64])) == 1 << 16
+    # Six times the rows: copies of a row do not become more.
+    copies = [n / square_side(n, n, 48) for n in (50_000, 300_000)]
+    assert abs(copies[0] - copies[1]) < 0.01
+    draw = np.random.RandomState(3)
+    index, queries = list(draw.normal(size=(300, 8))), list(draw.normal(size=(60, 8)))
+    for cells in (None, 4):
+        hits = knn_join(frame(spark, "q", queries), frame(spark, "i", index), k=3, cells=cells, block=128, **KEYS)
+        assert found(hits) == brute(queries, index, 3)
