@@ -21,7 +21,7 @@ from askloom.plans.evaluation import (
 from askloom.workload.chunks import UNIQUE, doc_chunks, doc_index_rows
 from askloom.workload.registry import load, query
 from askloom.workload.retrieval import (
-    RETRIEVED, VEC, digest_of_prompt, digest_sql, ranked_sql, vector_index, vector_questions,
+    RETRIEVED, VEC, chunk_texts, digest_of_prompt, digest_sql, ranked_sql, vector_index, vector_questions,
 )
 
 
@@ -335,7 +335,7 @@ def q_evaluate_run(spark, sf):
     )
     eval_set = questions.select("request_id", F.col("question").alias("request")).join(first, "request_id", "left")
     judged = judged_answers(
-        eval_set, answer_questions(questions, index, digest_of_prompt), parity_judge,
+        eval_set, answer_questions(questions, index, digest_of_prompt, texts=chunk_texts(spark, sf)), parity_judge,
         run="run-1", app_version="1",
     )
     letters = F.transform("positional_ratings", lambda r: F.when(r, "y").otherwise("n"))

@@ -143,7 +143,7 @@ def test_large_blocks_are_scored_in_slices(spark, monkeypatch):
     from askloom.operators.codes import block_rows, slices, square_side
 
     assert [s.start for s in slices(10, 1 << 19)] == [0, 4, 8] and len(list(slices(3, 1 << 30))) == 3
-    assert block_rows(frame(spark, "i", [None, [1.0] * 64])) == 1 << 16
+    assert block_rows(frame(spark, "i", [None, [1.0] * 64]).withColumnRenamed("v", "vec")) == 1 << 16
     # Six times the rows: copies of a row do not become more.
     copies = [n / square_side(n, n, 48) for n in (50_000, 300_000)]
     assert abs(copies[0] - copies[1]) < 0.01
@@ -152,3 +152,12 @@ def test_large_blocks_are_scored_in_slices(spark, monkeypatch):
     for cells in (None, 4):
         hits = knn_join(frame(spark, "q", queries), frame(spark, "i", index), k=3, cells=cells, block=128, **KEYS)
         assert found(hits) == brute(queries, index, 3)
+
+
+def test_close_vectors_are_told_apart(spark):
+    """Counts of letters: all vectors point into nearly the same direction."""
+    draw = np.random.RandomState(4)
+    index = frame(spark, "i", 1 + 0.02 * draw.normal(size=(2000, 26)))
+    queries = frame(spark, "q", 1 + 0.02 * draw.normal(size=(20, 26)))
+    pairs = codes.checked_pairs(queries, index, k=3, **KEYS).first()
+    assert 60 <= pairs["checked"] < 400

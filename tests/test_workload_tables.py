@@ -36,3 +36,41 @@ def test_every_answer_is_a_request_with_all_turns_before_it(spark):
     waiting = {r.request_id for r in QUERIES["review_waiting"](spark, sf).collect()}
     assert ready == set(got) and waiting == {*(f"c1-{t}" for t in (0, 2, 4, 6, 8)), "c2-0", "c10-1"}
     assert {r.kind: r.n for r in QUERIES["payload_kinds"](spark, sf).collect()} == {"request": 6, "assessment": 3}
+
+
+def test_texts_are_not_shuffled_for_a_search(spark):
+    from askloom.operators.embedding import fit_embedder
+    from askloom.operators.knn import knn_join
+    from askloom.plans.answering import retrieve
+    from askloom.plans.index import build_index, vector_rows
+
+    rows = [(f"c{i % 30}", i, "web", f"word{i % 30} word{i % 30 % 7}") for i in range(40)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, doc_uri long, category string, chunk string").repartition(4)
+    embedder = fit_embedder(chunks, "chunk")
+    asked = build_index(chunks, embedder=embedder).select(F.col("chunk_id").alias("request_id"), "embedding")
+    names = ["request_id", "chunk_id", "category", "doc_uri", "content", "score", "rank"]
+    plain = retrieve(asked, build_index(chunks, embedder=embedder)).select(names)
+    index = vector_rows(chunks, embedder=embedder)
+    found = retrieve(asked, index, texts=chunks.select("chunk_id", F.col("chunk").alias("content"))).select(names)
+    assert sorted(found.collect()) == sorted(plain.collect()) and found.count() > 30
+    assert "content" not in index.columns
+    # A few hits go to the index: its texts stay where they are.
+    table = build_index(chunks, embedder=embedder).repartition("category")
+    plan = knn_join(
+        asked, table, query_key="request_id", query_vec="embedding", index_key="chunk_id", index_vec="embedding", index_cols=["content"],
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_batches_for_python_are_bounded(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "100m")
+    QUERIES["chunk_subwords"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"
+
+
+def test_the_hourly_stream_stays_in_the_jvm(spark):
+    from askloom.streaming.logs import latest_of_hour_stream
+
+    stream = spark.readStream.format("rate").load().selectExpr("value AS id", "timestamp", "'a' AS k")
+    plan = latest_of_hour_stream(stream, ["k"], carry=["id"])._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan
