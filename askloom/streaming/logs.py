@@ -5,13 +5,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-HOUR_MS = 3_600_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,42 +44,6 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-class _LatestOfHour(StatefulProcessor):
-    """One value per key and hour: the newest time and what is carried with it. A timer gives it out."""
-
-    def __init__(self, keys: int, state: StructType, columns: list[str]):
-        self.keys, self.state, self.columns = keys, state, columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.newest = handle.getValueState("newest", self.state)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        closes = (key[-1] + 1) * HOUR_MS
-        if closes <= timerValues.getCurrentWatermarkInMs():
-            return  # the hour was given out before
-        held = self.newest.get() if self.newest.exists() else None
-        found = [tuple(held)] if held is not None else []
-        found += [max((tuple(row[c] for c in self.state.fieldNames()) for row in rows), key=_place)]
-        if held is None:
-            self.handle.registerTimer(closes)
-        self.newest.update(max(found, key=_place))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        row = Row(*self.columns)(*key[: self.keys], *self.newest.get())
-        self.newest.clear()
-        yield row
-
-    def close(self) -> None:
-        pass
-
-
-def _place(row: tuple) -> list:
-    """Rows in order of time, then of what is carried; nulls come first."""
-    return [(v is not None, v) for v in row]
-
-
 def latest_of_hour_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -93,22 +55,14 @@ def latest_of_hour_stream(
     """The time of the newest row of each key and hour, with its ``carry`` columns, once the hour is closed.
 
     The same rows as :func:`dedup_latest_stream` names, but the state of a key and hour is its newest time and
-    the carried values (an id, say) and no whole row, kept in RocksDB until a timer at the end of the hour
-    gives it out and clears it. Ties go to the larger carried values. Returns ``keys``, ``<ts>`` in
-    microseconds as ``us``, and ``carry``, which hold numbers, texts or booleans. Needs :func:`use_rocksdb_state`.
+    the carried values (an id, say) and no whole row, kept in RocksDB until the watermark passes the end of the hour.
+    A batch hands on one row per key, hour and map task. Ties go to the larger carried values, nulls
+    are the smallest. Returns ``keys``, ``<ts>`` in microseconds as ``us``, and ``carry``, which hold numbers, texts or
+    booleans. Needs :func:`use_rocksdb_state`.
     """
-    keyed = df.withWatermark(ts, lateness).select(
-        *keys, F.unix_micros(ts).alias("us"), *carry,
-        F.floor(F.unix_millis(ts) / HOUR_MS).cast("bigint").alias("_hour"),
-    )
-    state = StructType().add("us", LongType())
-    for c in carry:
-        state = state.add(keyed.schema[c])
-    out = StructType([keyed.schema[k] for k in keys])
-    for f in state:
-        out = out.add(f)
-    processor = _LatestOfHour(len(keys), state, out.fieldNames())
-    return keyed.groupBy(*keys, "_hour").transformWithState(processor, out, "Append", "EventTime")
+    newest = F.max(F.struct(F.unix_micros(ts).alias("us"), *carry)).alias("_newest")
+    hours = df.withWatermark(ts, lateness).groupBy(F.window(ts, "1 hour").alias("_hour"), *keys).agg(newest)
+    return hours.select(*keys, "_newest.*")
 
 
 def state_report(query: StreamingQuery) -> list[dict]:
