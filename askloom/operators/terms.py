@@ -5,11 +5,11 @@ that the vector of the text or question has length one, as a whole number of mil
 The texts' side needs nothing but the text, so the vectors are made in one pass without a shuffle. Scores are sums of
 products of whole numbers: exact, in whatever order they are summed.
 
-A few questions (their terms are counted first) go to every task, as an inverted index of their own. Texts stream by, a
-text scatters its terms into one score per question, and a task hands on the k best texts of each question: vectors
-are read once and not shuffled.
+Questions (their terms are counted first) go to every task, as an inverted index of their own, in blocks of bounded size.
+Texts stream by, a text scatters its terms into one score per question, and a task hands on the k best texts of each
+question: vectors are read once per block and not shuffled.
 
-Many questions are joined with the postings by term, and products summed per question and text.
+On a stored index, which has postings only, questions are joined with the postings by term, and products summed per question and text.
 A term that is in very many texts would give a row for each of them, for every question that holds it.
 Such common terms are left out at first. The k-th best sum over the other terms bounds the k-th best score
 from below, and what common terms can add to any score is known from their largest weight. Only texts that can still be
@@ -43,8 +43,13 @@ COMMON_LEAST = 1000
 BUCKETS = 64
 #: Rows of the questions' side (a term and two or three numbers each) up to which they go to every task.
 SMALL_ROWS = 200_000
-#: Questions that are scanned for at most: a task holds a score for each of them and each text of a batch.
+#: Questions that are scanned for at once at most: a task holds a score for each of them and each text of a batch.
 SCAN_QUESTIONS = 5_000
+#: Terms of the questions that are scanned for at once, about.
+BLOCK_TERMS = 500_000
+#: Share of the questions above which a term's weights are multiplied as a matrix, and numbers in it at most.
+DENSE_SHARE = 0.03
+DENSE_NUMBERS = 1 << 22
 #: Rows that a task collects before it goes back to the k best of each question.
 HELD_HITS = 500_000
 SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
@@ -198,17 +203,29 @@ class Scan:
         self.starts, self.lengths = first, np.diff(np.append(first, len(order)))
         self.vocabulary, self.n, self.k = pa.array(self.terms, pa.string()), n_questions, k
         self.kth, self.hits, self.held = np.ones(n_questions), [], 0
+        # Terms of many questions are multiplied as a dense matrix.
+        often = np.argsort(-self.lengths, kind="stable")[: DENSE_NUMBERS // max(1, n_questions)]
+        often = often[self.lengths[often] > DENSE_SHARE * n_questions]
+        self.dense_row = np.full(len(self.terms) + 1, -1)
+        self.dense_row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n_questions))
+        row = np.repeat(self.dense_row[:-1], self.lengths)
+        self.dense[row[row >= 0], self.question[row >= 0]] = self.weight[row >= 0]
 
     def scores(self, terms: pa.ListArray, weights: pa.ListArray) -> np.ndarray:
         """Scores of texts (rows) for the questions (columns); whole numbers below 2 ** 53."""
         at = pc.index_in(terms.flatten(), self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
-        known = np.flatnonzero(at >= 0)
+        row = self.dense_row[at]
+        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+        held = weights.flatten().to_numpy()
+        often, known = np.flatnonzero(row >= 0), np.flatnonzero((at >= 0) & (row < 0))
+        texts = np.zeros((len(terms), len(self.dense)))
+        texts[owner[often], row[often]] = held[often]
         term, sizes = at[known], self.lengths[at[known]]
         place = np.arange(sizes.sum()) + np.repeat(self.starts[term] - np.cumsum(sizes) + sizes, sizes)
-        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-        products = np.repeat(weights.flatten().to_numpy()[known], sizes) * self.weight[place]
+        products = np.repeat(held[known], sizes) * self.weight[place]
         total = np.bincount(np.repeat(owner[known], sizes) * self.n + self.question[place], products, len(terms) * self.n)
-        return total.reshape(len(terms), self.n)
+        return total.reshape(len(terms), self.n) + texts @ self.dense
 
     def add(self, keys: pa.Array, terms: pa.ListArray, weights: pa.ListArray) -> None:
         scores = self.scores(terms, weights)
@@ -235,12 +252,29 @@ class Scan:
 
 
 def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
-    """``query_key, index_key, score`` of the k best texts per question and task; None if the questions are many."""
-    rows = asked.select("query_key", "term", "q").limit(SMALL_ROWS + 1).toPandas()
+    """``query_key, index_key, score`` of the k best texts per question and task; None without vectors.
+
+    Many questions are scanned for in blocks of bounded size, one after the other: the vectors are read once per
+    block, and what is written are k rows per question.
+    """
+    rows, questions = asked.agg(F.count(F.lit(1)), F.count_distinct("query_key")).first()
+    if index.vectors is None or not SCAN_QUESTIONS:
+        return None
+    blocks = max(1, -(-rows // BLOCK_TERMS), -(-questions // SCAN_QUESTIONS))
+    if blocks == 1:
+        return _scanned_block(asked, index, k)
+    found = None
+    for n in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("query_key", F.lit(29)), F.lit(blocks)) == n)
+        best = stage(rank_hits(_scanned_block(block, index, k), k).drop("rank"), "scanned")
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
+def _scanned_block(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
+    rows = asked.select("query_key", "term", "q").toPandas()
     keys = rows["query_key"].tolist()
     names = {q: i for i, q in enumerate(sorted(set(keys)))}
-    if len(rows) > SMALL_ROWS or len(names) > SCAN_QUESTIONS or index.vectors is None:
-        return None
     number = np.array([names[q] for q in keys], dtype=np.int64)
     terms, weights = rows["term"].tolist(), rows["q"].to_numpy(dtype=np.int64)
     kind = index.vectors.schema["key"].dataType.simpleString()
@@ -248,8 +282,8 @@ def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scan(terms, number, weights, len(names), k)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                scan.add(*batch.slice(at, 256).columns)
+            for at in range(0, batch.num_rows, 64):
+                scan.add(*batch.slice(at, 64).columns)
         if scan.hits:
             yield from scan.settle().to_batches()
 

@@ -11,6 +11,7 @@ from askloom.operators.reports import (
     mean_score, report_rows,
 )
 from askloom.operators.terms import search_terms, term_index
+from askloom.plans.answering import with_texts
 from askloom.plans.comparison import (
     System, compare_held_out, read_program, read_programs, write_program, write_programs,
 )
@@ -23,7 +24,7 @@ from askloom.session import scratch_path
 from askloom.workload.chunks import UNIQUE, doc_index_rows
 from askloom.workload.evaluation import EVALUATED, REQUEST, evaluation_tables, parity_judge, quoted
 from askloom.workload.registry import load, query
-from askloom.workload.retrieval import text_hits_sql
+from askloom.workload.retrieval import chunk_texts, text_hits_sql
 
 SHORT = [m.split(".")[1] for m in METRICS]
 AVERAGES = EVALUATED + """,
@@ -355,7 +356,7 @@ def _held_out(spark, sf):
         for name, how in SYSTEMS.items()
     }
     return compare_held_out(
-        test, named.join(chunks.select("chunk_id", "content"), "chunk_id"), systems, parity_judge, best="tuned"
+        test, with_texts(named, chunk_texts(spark, sf), ["content"]), systems, parity_judge, best="tuned"
     )
 
 

@@ -142,3 +142,12 @@ def test_hashed_vectors_by_hand(spark):
         for w in words(t):
             v[buckets.of(w)] += math.log(5 / (len(inside[buckets.of(w)]) + 1))
         assert np.allclose(got[i], v / (np.linalg.norm(v) or 1), atol=1e-6)
+
+
+def test_many_questions_are_scanned_for_in_blocks(spark, monkeypatch):
+    texts, questions = frames(spark, corpus())
+    monkeypatch.setattr(terms, "BLOCK_TERMS", 4)
+    monkeypatch.setattr(terms, "SCAN_QUESTIONS", 3)
+    monkeypatch.setattr(terms, "DENSE_SHARE", 0.4)
+    monkeypatch.setattr(terms, "_joined", None)
+    assert found(search_terms(questions, term_index(texts, "id", "t"), k=4, query_key="q", text="ask")) == brute(corpus(), QUESTIONS, 4)
