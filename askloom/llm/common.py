@@ -20,11 +20,12 @@ UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmn
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and continue from there.
 
-    Cuts lineage: a lost executor costs only a read, and what stands above is computed once.
+    Cuts lineage: a lost executor costs only a read, and what stands above is computed once. Zstandard
+    takes a fifth to a third less disk than the default.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,12 +5,13 @@ the Hilbert key of that cell orders the documents, so neighbours in a sequence a
 cut into sequences of ``length`` tokens: a document that does not fit goes on in the next one, and
 only the very last sequence needs padding.
 
-Texts are tokenized once. The ids travel as two-byte numbers (four for larger vocabularies) with
-one range sort by (key, id), so copies spread over partitions; a partition adds the tokens of those
-before it. What is shared is one count per partition.
+Texts are tokenized once; the ids are written as two-byte numbers (four for larger vocabularies). Only
+keys and lengths go through the range sort by (key, id), so copies spread over partitions; a partition adds
+the tokens of those before it. What is shared is one count per partition. The ids are then shuffled once, to
+the places of their documents, by row number and without a sort.
 
-The pre-tokenizer's pieces are tokenized by themselves and remembered, which gives the ids of the
-whole text; the tests compare the two.
+Texts are cut into the pre-tokenizer's pieces in Arrow; each distinct piece of some texts is tokenized by
+itself and remembered, which gives the ids of the whole text; the tests compare the two.
 
 Defined cases: a null or empty text is the end token alone; a text of any length runs over as many
 sequences as it needs; repeated rows are packed each for itself; an empty table gives no piece.
@@ -20,11 +21,13 @@ Extra columns are not read.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -36,21 +39,22 @@ LENGTH = 4096
 END_ID = 2
 DIMS = 3
 BITS = 10
-#: Pieces remembered by a worker; the table is emptied when full.
+#: Pieces remembered by a worker at most, and characters of such a piece.
 CACHE = 600_000
-
+CACHE_CHARS = 40
+#: Bytes and number of texts that are cut into pieces at once, unless one alone is longer.
+AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 1000
 
 #: What the direct way may hold: printable ASCII, line ends, and the letters of Latin-1 that
 #: neither normalisation nor lower-casing changes beyond one letter for one.
 PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-#: The pre-tokenizer's pieces within such texts, lower-cased.
-PIECES = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
-)
+#: The pre-tokenizer's pieces within such texts, lower-cased, that are no runs of letters.
+NO_WORDS = "('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+)"
 
 
 class TextTokenizer:
-    """Token ids of a text as packed bytes. Pieces are tokenized once and remembered.
+    """Token ids of texts as packed bytes. Pieces are tokenized once and remembered.
 
     Texts beyond ``PLAIN``, or with the strings of special tokens, go through the tokenizer whole.
     """
@@ -59,27 +63,80 @@ class TextTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = {2: "H", 4: "I"}[self.type.itemsize]
+        # How the tokenizer writes the bytes of letters beyond ASCII.
+        self.letters: dict[int, str] = {}
+        # When half full, only what is asked for again is kept.
         self.pieces: dict[str, bytes] = {}
-        self.cache = cache
+        self.older: dict[str, bytes] = {}
+        self.half = max(1, cache // 2)
 
     def _packed(self, ids) -> bytes:
         return np.array(ids, dtype=self.type).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= self.cache:
-            self.pieces.clear()
-        model, split = self.tokenizer.model, self.tokenizer.pre_tokenizer
-        parts = [piece] if piece.isascii() else [p for p, _ in split.pre_tokenize_str(piece)]
-        got = self.pieces[piece] = self._packed([t.id for p in parts for t in model.tokenize(p)])
-        return got
+        for c in piece if not piece.isascii() else ():
+            if ord(c) not in self.letters:
+                self.letters[ord(c)] = self.split.pre_tokenize_str(c)[0][0]
+        ids = [t.id for t in self.model.tokenize(piece.translate(self.letters))] if piece else []
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _looked_up(self, pieces: list[str]) -> list[bytes]:
+        new, old, found = self.pieces, self.older, []
+        for piece in pieces:
+            got = new.get(piece)
+            if got is None:
+                got = old.get(piece)
+                if got is None:
+                    got = self._piece(piece)
+                if len(piece) <= CACHE_CHARS:
+                    new[piece] = got
+            found.append(got)
+        if len(new) >= self.half:
+            self.older, self.pieces = new, {}
+        return found
+
+    def _is_plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _direct(self, texts: list[str]) -> list[bytes]:
+        """The ids of plain texts: each distinct piece is looked up once, then numbers are gathered."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(pa.array(texts, pa.large_string())), NO_WORDS, r" \1 ")
+        pieces = pc.ascii_split_whitespace(spaced)
+        coded = pieces.values.dictionary_encode()
+        found = self._looked_up(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(found), self.type)
+        sizes = np.array([len(f) for f in found], dtype=np.int64) // self.type.itemsize
+        starts = np.cumsum(sizes) - sizes
+        place = coded.indices.to_numpy()
+        lengths = sizes[place]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.repeat(starts[place] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        at = (ends[pieces.offsets.to_numpy()] * self.type.itemsize).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, some texts at a time."""
+        held, size = [], 0
+        for text in texts:
+            if held and (size + len(text) > AT_ONCE or len(held) >= ROWS_AT_ONCE):
+                yield from self._some(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._some(held)
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        plain = [self._is_plain(t) for t in texts]
+        direct = iter(self._direct([t for t, p in zip(texts, plain) if p]))
+        for text, p in zip(texts, plain):
+            yield next(direct) if p else self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
-            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        get, new = self.pieces.get, self._piece
-        return b"".join([get(p) or new(p) for p in PIECES.findall(text.lower())])
+        return next(self.encode_all([text]))
 
 
 _TOKENIZERS: dict[str, TextTokenizer] = {}
@@ -121,8 +178,8 @@ def tokenized(
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 ids, points = [], []
-                for value in part.column(1):
-                    packed = t.encode(value.as_py() or "") + end
+                for packed in t.encode_all(v.as_py() or "" for v in part.column(1)):
+                    packed += end
                     ids.append(packed)
                     points.append(word_vector(np.frombuffer(packed, t.type), table))
                 # Directions of unit vectors in 4096 buckets: sums lie near 0, with deviation 1.
@@ -140,12 +197,10 @@ def tokenized(
 
 
 def along_curve(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows in the order of (key, id), with their partition and the tokens before them in it.
+    """``_row, _part, _inside`` of the rows in the order of (key, id): their partition and the tokens before them in it.
 
     Written once: partitions and running sums have to agree. One pass over a sorted partition adds up.
     """
-    kinds = dict(rows.dtypes)
-
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -157,12 +212,10 @@ def along_curve(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 names=[*batch.schema.names, "_part", "_inside"],
             )
 
-    ordered = rows.repartitionByRange("key", id_col).sortWithinPartitions("key", id_col)
+    order = ["key", id_col, "_row"]
+    ordered = rows.select(*order, "doc_tokens").repartitionByRange(*order).sortWithinPartitions(*order)
     return staged(
-        ordered.select(id_col, "doc_tokens", "key", "ids").mapInArrow(
-            add_up,
-            f"`{id_col}` {kinds[id_col]}, doc_tokens long, key long, ids binary, _part long, _inside long",
-        ),
+        ordered.select("_row", "doc_tokens").mapInArrow(add_up, "_row long, doc_tokens long, _part long, _inside long"),
         "packing",
     )
 
@@ -184,10 +237,11 @@ def pack(
     """
     kind = dict(docs.dtypes)[id_col]
     wide = tokenized(docs, tokenizer_path, end_id=end_id, id_col=id_col, text=text)
-    # Range bounds need a look at the rows before they are dealt: tokens are made once, here.
-    placed = along_curve(staged(wide, "tokens"), id_col)
+    # Tokens are made once, here; a row number finds them again, as ids may repeat.
+    tokens = staged(wide.withColumn("_row", F.monotonically_increasing_id()), "tokens")
+    places = along_curve(tokens, id_col)
     # One number per partition of the sort.
-    sizes = placed.groupBy("_part").agg(F.sum("doc_tokens").alias("n")).collect()
+    sizes = places.groupBy("_part").agg(F.sum("doc_tokens").alias("n")).collect()
     before, total = {}, 0
     for part, n in sorted(map(tuple, sizes)):
         before[part], total = total, total + n
@@ -217,6 +271,8 @@ def pack(
                 )
 
     fields = [f"`{id_col}` {kind}", *(f"`{c}` long" for c in names[1:]), *["ids binary"] * with_ids]
+    # The narrow places are hashed, so that ids need no sort.
+    placed = tokens.join(places.drop("doc_tokens").hint("shuffle_hash"), "_row")
     return placed.select(id_col, "doc_tokens", "key", "ids", "_part", "_inside").mapInArrow(
         cut, ", ".join(fields)
     )

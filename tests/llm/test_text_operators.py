@@ -325,3 +325,17 @@ def test_prefixes_give_every_pair(spark, monkeypatch):
         if 180 * common(i, j) >= 80 * (len(sets[i]) + len(sets[j]))
     }
     assert len(want) > 60 and want <= got
+
+
+def test_token_ids_of_plain_texts_are_those_of_the_tokenizer():
+    t = packing.TextTokenizer(tokenizer_file(), cache=8)
+    odd = ["", "  ", " a  b\n\tc ", "it's 'sad ''s DON'T we'll 12a3 --x-- ...end", "Ünï ÿß ÀÞ À'S", "x" * 99 + " 's", "<|endoftext|> x", "日本",
+           "x\x0by", "\xa0a", "'", "''", "'ll'll're", "x-'s'- 5''s"]
+    want = [t._packed(t.tokenizer.encode(x, add_special_tokens=False).ids) for x in odd * 2]
+    assert list(t.encode_all(odd * 2)) == want and len(t.pieces) + len(t.older) < 200
+
+
+def test_packing_shuffles_ids_once_and_sorts_none(spark):
+    """The sort and what is written in its order hold keys and lengths only; ids meet their places by a hash join."""
+    plan = packing.pack(table(spark, texts()), tokenizer_file())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "shuffle_hash" in plan and "Sort" not in plan
