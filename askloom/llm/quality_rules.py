@@ -20,9 +20,10 @@ an empty result. Extra columns of the input are not touched.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askloom.llm.common import SPACE, map_rows, staged, utf8
@@ -154,21 +155,31 @@ def _model_row(group: str, mean: np.ndarray, cov: np.ndarray) -> list:
     return [group, *mean, *(white[i, j] for i, j in PAIRS)]
 
 
+def _fitted(groups: DataFrame, fit: Callable[[dict], list]) -> DataFrame:
+    """One row of ``MODEL`` per row of ``groups``, in Arrow: workers need not load pandas."""
+    names = [c.split()[0] for c in MODEL.split(", ")]
+    types = [pa.string(), *[pa.float64()] * (len(names) - 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [fit(r) for r in batch.to_pylist()]
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types)], names=names)
+
+    return groups.mapInArrow(run, MODEL)
+
+
 def _models(moments: DataFrame, scale: float) -> DataFrame:
     """One small matrix inversion per row of ``moments`` (one row per group)."""
 
-    def run(frames):
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                mean = np.array([r[f"s{i}"] for i in range(P)]) / r["n"]
-                cov = np.zeros((P, P))
-                for i, j in PAIRS:
-                    cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / r["n"] - mean[i] * mean[j]
-                rows.append(_model_row(r["_g"], mean, cov * scale))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MODEL.split(", ")])
+    def fit(r: dict) -> list:
+        mean = np.array([r[f"s{i}"] for i in range(P)]) / r["n"]
+        cov = np.zeros((P, P))
+        for i, j in PAIRS:
+            cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / r["n"] - mean[i] * mean[j]
+        return _model_row(r["_g"], mean, cov * scale)
 
-    return moments.mapInPandas(run, MODEL)
+    return _fitted(moments, fit)
 
 
 def distance() -> Column:
@@ -206,15 +217,11 @@ def fit_mcd(
         *(F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(c) for c in names),
     ).where(F.col("_g").isNull() | (F.col("n") >= min_group))
 
-    def start(frames):
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                low, mid, high = np.array([r[c] for c in names]).T
-                rows.append(_model_row(r["_g"], mid, np.diag(np.square((high - low) / 1.349))))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MODEL.split(", ")])
+    def start(r: dict) -> list:
+        low, mid, high = np.array([r[c] for c in names]).T
+        return _model_row(r["_g"], mid, np.diag(np.square((high - low) / 1.349)))
 
-    model = staged(quarters.mapInPandas(start, MODEL), "mcd")
+    model = staged(_fitted(quarters, start), "mcd")
     # A normal core of this share has a smaller scatter than the whole: undo that.
     scale = core / chi2_cdf(chi2_quantile(core, P), P + 2)
     sums = _sums()

@@ -339,3 +339,7 @@ def test_packing_shuffles_ids_once_and_sorts_none(spark):
     """The sort and what is written in its order hold keys and lengths only; ids meet their places by a hash join."""
     plan = packing.pack(table(spark, texts()), tokenizer_file())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 1 and "shuffle_hash" in plan and "Sort" not in plan
+
+
+def test_quality_rules_load_no_pandas_in_workers():
+    assert not hasattr(quality_rules, "pd") and "mapInPandas" not in open(quality_rules.__file__).read()
