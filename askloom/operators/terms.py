@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from askloom.operators.keys import small_side
+from askloom.operators.keys import look_up, small_side
 from askloom.operators.vectors import rank_hits
 from askloom.session import cut, stage
 
@@ -56,10 +56,14 @@ SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
 class TermIndex(NamedTuple):
-    """``postings`` (term, key, weight) and ``terms`` (term, texts); ``vectors`` (key, terms, weights) while it is not stored."""
+    """``postings`` (term, number, weight), ``keys`` (number, key) and ``terms`` (term, texts).
+
+    ``vectors`` (key, terms, weights) while it is not stored. There are very many postings: a text is a number in them.
+    """
 
     vectors: DataFrame | None
     postings: DataFrame
+    keys: DataFrame
     terms: DataFrame
     n_texts: int
     common_share: float = COMMON_SHARE
@@ -117,21 +121,24 @@ def term_index(
     df: DataFrame, key: str, text: str, *, common_share: float = COMMON_SHARE, common_least: int = COMMON_LEAST,
 ) -> TermIndex:
     """The sparse vectors of the texts of ``df``, made in one pass and held in the shared folder, and what follows from them."""
-    vectors = stage(term_vectors(df, key, text).drop("tfs"), "vectors")
+    numbered = term_vectors(df, key, text).drop("tfs").withColumn("number", F.monotonically_increasing_id())
+    vectors = stage(numbered, "vectors")
     inside = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    postings = vectors.select("key", F.explode(F.arrays_zip("terms", "weights")).alias("p")).select(
-        F.col("p.terms").alias("term"), "key", F.col("p.weights").alias("weight")
+    postings = vectors.select("number", F.explode(F.arrays_zip("terms", "weights")).alias("p")).select(
+        F.col("p.terms").alias("term"), "number", F.col("p.weights").alias("weight")
     )
-    return TermIndex(vectors, postings, stage(inside, "terms"), vectors.count(), common_share, common_least)
+    keys = vectors.select("number", "key")
+    return TermIndex(vectors, postings, keys, stage(inside, "terms"), vectors.count(), common_share, common_least)
 
 
 def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) -> None:
-    """Keep the index as the tables ``<name>_postings`` and ``<name>_terms``, both bucketed and sorted by term.
+    """Keep the index as the tables ``<name>_postings`` and ``<name>_terms``, both bucketed and sorted by term, and ``<name>_keys``.
 
     Searches on them shuffle the terms of the questions only.
     """
     for df, part in ((index.postings, "postings"), (index.terms, "terms")):
-        df.write.mode("overwrite").bucketBy(buckets, "term").sortBy("term").saveAsTable(f"{name}_{part}")
+        df.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, "term").sortBy("term").saveAsTable(f"{name}_{part}")
+    index.keys.write.mode("overwrite").saveAsTable(f"{name}_keys")
     spark = index.postings.sparkSession
     spark.createDataFrame(
         [(index.n_texts, index.common_share, index.common_least)], "n_texts bigint, common_share double, common_least bigint"
@@ -140,18 +147,19 @@ def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) ->
 
 def read_term_index(spark: SparkSession, name: str) -> TermIndex:
     settings = spark.table(f"{name}_settings").first()
-    return TermIndex(None, spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), *settings)
+    postings, keys, terms = (spark.table(f"{name}_{part}") for part in ("postings", "keys", "terms"))
+    return TermIndex(None, postings, keys, terms, *settings)
 
 
 def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """``query_key, index_key, score`` of all texts that share a term; ``asked`` is written."""
+    """``query_key, number, score`` of all texts that share a term; ``asked`` is written."""
     asked = small_side(asked.select("query_key", "term", "q"), SMALL_ROWS)
-    found = postings.join(asked, "term").groupBy("query_key", F.col("key").alias("index_key"))
+    found = postings.join(asked, "term").groupBy("query_key", "number")
     return found.agg(F.sum(F.col("q") * F.col("weight")).alias("score"))
 
 
 def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
-    """``query_key, index_key, score`` of all texts that may be among the k best of their question."""
+    """``query_key, index_key, score`` of the k best texts of each question, and of those that tie with the last."""
     rare, common = asked.where("NOT common"), asked.where("common").select("query_key", "term", "q")
     # One row per common term that is asked for.
     top = index.postings.join(small_side(stage(common.select("term").distinct(), "common"), SMALL_ROWS), "term").groupBy("term").agg(
@@ -171,17 +179,18 @@ def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
         .withColumn("settled", (F.col("more") == 0) | (F.col("kth") > F.col("more")))
     )
     near = partial.join(bounds.where("settled"), "query_key").where(F.col("score") >= F.col("kth") - F.col("more"))
-    near = stage(near.select("query_key", "index_key", "score"), "near")
-    wanted = stage(near.select("query_key", "index_key").join(common, "query_key").select(
-        "query_key", "term", F.col("index_key").alias("key"), "q"
-    ), "wanted")
-    added = index.postings.join(small_side(wanted, SMALL_ROWS), ["term", "key"]).select(
-        "query_key", F.col("key").alias("index_key"), (F.col("q") * F.col("weight")).alias("score")
+    near = stage(near.select("query_key", "number", "score"), "near")
+    wanted = stage(near.select("query_key", "number").join(common, "query_key").select("query_key", "term", "number", "q"), "wanted")
+    added = index.postings.join(small_side(wanted, SMALL_ROWS), ["term", "number"]).select(
+        "query_key", "number", (F.col("q") * F.col("weight")).alias("score")
     )
-    looked_up = near.unionByName(added).groupBy("query_key", "index_key").agg(F.sum("score").alias("score"))
+    looked_up = near.unionByName(added).groupBy("query_key", "number").agg(F.sum("score").alias("score"))
     still_open = stage(asked.join(bounds.where("NOT settled").select("query_key"), "query_key", "left_semi"), "open")
     plain = _summed(still_open, index.postings)
-    return looked_up.unionByName(plain)
+    # Ties are settled by the key, so all of them are looked up.
+    best = looked_up.unionByName(plain).withColumn("_n", F.rank().over(place)).where(F.col("_n") <= k).drop("_n")
+    named = look_up(stage(best, "best"), index.keys, "number")
+    return named.select("query_key", F.col("key").alias("index_key"), "score")
 
 
 def best_hits(hits: pa.Table, k: int) -> pa.Table:

@@ -151,3 +151,14 @@ def test_many_questions_are_scanned_for_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(terms, "DENSE_SHARE", 0.4)
     monkeypatch.setattr(terms, "_joined", None)
     assert found(search_terms(questions, term_index(texts, "id", "t"), k=4, query_key="q", text="ask")) == brute(corpus(), QUESTIONS, 4)
+
+
+def test_postings_hold_no_keys_and_ties_go_to_the_smaller_key(spark, monkeypatch):
+    """A posting names its text by a number, whatever the length of the keys; ties beyond k are settled by the key."""
+    texts = spark.createDataFrame([(f"{'k' * 32}{i}", "same words" if i else "other") for i in range(9, -1, -1)], "id string, t string")
+    index = term_index(texts.repartition(4), "id", "t")
+    assert dict(index.postings.dtypes) == {"term": "string", "number": "bigint", "weight": "bigint"}
+    asked = spark.createDataFrame([(1, "same")], "q long, ask string")
+    monkeypatch.setattr(terms, "SCAN_QUESTIONS", 0)
+    hits = search_terms(asked, index, k=2, query_key="q", text="ask").orderBy("rank").collect()
+    assert [h["index_key"][-1] for h in hits] == ["1", "2"]
