@@ -13,9 +13,11 @@ The members of the large buckets that this leaves in different components are
 compared completely, by a prefix filter on their whole shingle sets: with the shingles in one order
 for all, rarest first, two sets at the threshold share one among the first fifth of the larger and the
 first ninth of the smaller. Shingles whose owners are connected are passed over; the owners outside a
-shingle's main component are joined with all its owners, in blocks of ``BLOCK``, and a pair whose
-places rule the threshold out is dropped there. So a group of copies costs a few comparisons per
-member, and a passage that many texts share is no reason to compare them.
+shingle's main component are joined with all its owners, in blocks of ``BLOCK``; a pair is looked at
+with its first common shingle only. One whose places rule the threshold out is dropped there, and one whose
+``SKETCH_BITS`` one-bit coordinates differ too often: five deviations above what two texts at the threshold do. So a group of copies costs a few
+comparisons per member, a passage that many texts share is no reason to compare them, and of texts that are
+almost near enough to a group no pairs are written.
 
 Links. Candidates whose signatures agree in less than 0.64 of the coordinates (over four deviations
 below the threshold) are dropped; for the rest the whole shingle sets are compared. At first each text
@@ -55,28 +57,49 @@ COUNTER_BITS = 18
 BLOCK = 2048
 #: Least share of equal coordinates of a candidate.
 ESTIMATE = 0.64
+#: One bit of each of so many coordinates stands for a text in the complete comparison; a multiple of 64.
+SKETCH_BITS = 2048
+#: So many deviations more than two texts at the threshold may sketches differ.
+DEVIATIONS = 5
 SEED = 20240229
 
 
 @lru_cache
-def permutations() -> tuple[np.ndarray, np.ndarray]:
+def permutations(coordinates: int = COORDINATES) -> tuple[np.ndarray, np.ndarray]:
     """sigma, and every circular shift of pi as the rows of a sliding window."""
     draw = np.random.RandomState(SEED)
     sigma = draw.permutation(1 << PLACES_BITS).astype(np.int32)
     pi = draw.permutation(1 << PLACES_BITS).astype(np.int32)
-    circle = np.concatenate([pi, pi[: COORDINATES - 1]])
-    return sigma, np.lib.stride_tricks.sliding_window_view(circle, COORDINATES)
+    circle = np.concatenate([pi, pi[: coordinates - 1]])
+    return sigma, np.lib.stride_tricks.sliding_window_view(circle, coordinates)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    sigma, shifted = permutations()
+def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
+    sigma, shifted = permutations(coordinates)
     places = sigma[(shingles >> np.uint64(64 - PLACES_BITS)).astype(np.int64)]
-    best = np.full(COORDINATES, 1 << PLACES_BITS, dtype=np.int32)
-    for at in range(0, len(places), 2048):
-        np.minimum(best, shifted[places[at: at + 2048]].min(axis=0), out=best)
+    best = np.full(coordinates, 1 << PLACES_BITS, dtype=np.int32)
+    step = 2048 * COORDINATES // coordinates
+    for at in range(0, len(places), step):
+        np.minimum(best, shifted[places[at: at + step]].min(axis=0), out=best)
     return best
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The lowest bit of ``SKETCH_BITS`` coordinates, 64 to a number; two differ in half of ``1 - Jaccard`` of the bits."""
+    return np.packbits((signature(shingles, SKETCH_BITS) & 1).astype(bool)).view(np.int64)
+
+
+def _most_differing(percent: int) -> int:
+    """Bits in which the sketches of two texts at the threshold may differ."""
+    share = (1 - percent / 100) / 2
+    return int(SKETCH_BITS * share + DEVIATIONS * (SKETCH_BITS * share * (1 - share)) ** 0.5)
+
+
+def _differing(a: str, b: str) -> Column:
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
 def _fingerprint(n: int):
     def run(doc, data):
         s = shingle_set(data, n)
@@ -145,7 +168,7 @@ def _prefix(counts, percent: int):
             often = total[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
             first = s[np.lexsort((s, often))][: len(s) - _needed(len(s), percent) + 1]
             core = len(s) - _needed_as_smaller(len(s), percent) + 1
-            return doc, len(s), core, first.view(np.int64).tolist()
+            return doc, len(s), core, first.view(np.int64).tolist(), sketch(s).tolist()
 
         return run
 
@@ -245,9 +268,17 @@ class _Linker:
         who = F.struct("id", "n", "component").alias("h")
         pick = lambda w, k: scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
         hubs = pick(near, HUBS).select("key", who).unionByName(pick(far, 1).select("key", who)).distinct()
-        return members.join(hubs, "key").where(
-            (F.col("component") != F.col("h.component")) & _sized(F.col("n"), F.col("h.n"), self.percent)
-        ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
+        # The buckets of one group mostly name the same hubs: a member meets each of them once, not in every bucket.
+        named = hubs.groupBy("key").agg(F.sort_array(F.collect_list("h")).alias("hubs"))
+        met = members.join(named, "key").groupBy("id", "n", "component").agg(
+            F.array_distinct(F.flatten(F.collect_set("hubs"))).alias("hubs")
+        )
+        wanted = F.filter(
+            "hubs", lambda h: (F.col("component") != h["component"]) & _sized(F.col("n"), h["n"], self.percent)
+        )
+        return met.select("id", F.explode(wanted).alias("h")).select(
+            F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")
+        )
 
     def link(self, members: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> None:
         """Verify the candidates of all buckets; ``members`` has ``id, n, component, key``.
@@ -278,13 +309,13 @@ class _Linker:
         total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
         total[got["slot"].to_numpy()] = got["c"].to_numpy()
         kind = dict(sets.dtypes)["id"]
-        prefixes = map_rows(
+        firsts = staged(map_rows(
             sets.select("id", "shingles"), _prefix(sets.sparkSession.sparkContext.broadcast(total), self.percent),
-            f"id {kind}, n int, core int, firsts array<long>",
-        )
+            f"id {kind}, n int, core int, firsts array<long>, sketch array<long>",
+        ), "firsts")
+        prefixes = self.labelled(firsts.drop("sketch"))
         rows = staged(
-            self.labelled(prefixes).select("id", "n", "core", "component", F.posexplode("firsts").alias("at", "key")),
-            "prefixes",
+            prefixes.select("id", "n", "core", "component", F.posexplode("firsts").alias("at", "key")), "prefixes"
         )
         parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
         mixed = parts.groupBy("key").agg(
@@ -292,12 +323,17 @@ class _Linker:
         ).where("c > main.m").select(
             "key", F.col("main.component").alias("main"), F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")
         )
-        met = staged(rows.join(mixed, "key"), "met")
+        # A pair is looked at with its first common shingle only, so a row has those before its own.
+        met = staged(
+            rows.join(mixed, "key").join(firsts.select("id", "sketch", "firsts"), "id")
+            .withColumn("before", F.slice("firsts", F.lit(1), F.col("at"))).drop("firsts"),
+            "met",
+        )
         salt = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("salt")
-        owners = met.select("key", salt, "id", "n", "core", "component", "main", "at")
+        owners = met.select("key", salt, "id", "n", "core", "component", "main", "at", "before", "sketch")
         outsiders = met.where("component <> main").select(
             "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
-            F.struct("id", "n", "core", "component", "at").alias("h"),
+            F.struct("id", "n", "core", "component", "at", "before", "sketch").alias("h"),
         )
         mine = F.struct("n", "id") < F.struct("h.n", "h.id")
         most = F.least("at", "h.at") + 1 + F.least(F.col("n") - F.col("at"), F.col("h.n") - F.col("h.at")) - 1
@@ -306,7 +342,9 @@ class _Linker:
             & _sized(F.col("n"), F.col("h.n"), self.percent)
             & (F.when(mine, F.col("at") < F.col("core")).otherwise(F.col("h.at") < F.col("h.core")))
             & ((100 + self.percent) * most.cast("long") >= self.percent * (F.col("n") + F.col("h.n")).cast("long"))
-        ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
+            & ~F.arrays_overlap("before", "h.before")
+            & (_differing("sketch", "h.sketch") <= _most_differing(self.percent))
+        ).select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
 
 
 def near_duplicates(

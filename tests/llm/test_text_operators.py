@@ -327,6 +327,36 @@ def test_prefixes_give_every_pair(spark, monkeypatch):
     assert len(want) > 60 and want <= got
 
 
+def test_texts_that_only_share_a_rare_passage_are_no_pairs(spark):
+    # Their rarest shingles are the same, and half of the text is not.
+    rows = [" ".join(prose(2000 + g, 60) + prose(3000 + (5 * g + k) % 12, 60)) for g in range(20) for k in range(5)]
+    linker = near_dedup._Linker(None, 80)
+    data = [(i, bytearray(near_dedup.shingle_set(t.encode(), 4).tobytes())) for i, t in enumerate(rows)]
+    linker.sets = spark.createDataFrame(data, "id long, shingles binary")
+    linker.labels = spark.createDataFrame([], "node long, component long")
+    assert linker.pairs_by_prefix(linker.sets.select("id")).collect() == []
+
+
+def test_members_meet_each_hub_once(spark):
+    # Thirty buckets of the same hundred members, as a group of near copies has.
+    rows = [(i, 50, i, key, 100) for i in range(100) for key in range(30)]
+    members = spark.createDataFrame(rows, "id long, n int, component long, key long, c long")
+    got = [tuple(r) for r in near_dedup._Linker(None, 80).pairs_with_hubs(members).collect()]
+    hubs = near_dedup.HUBS + 1
+    assert all(a < b for a, b in got) and len(got) <= 100 * hubs
+    # Every member with every hub.
+    assert {i for pair in got for i in pair} == set(range(100)) and len(set(got)) >= 99
+
+
+def test_sketches_differ_in_half_of_what_the_sets_do():
+    words = [str(i).encode() for i in range(1200)]
+    one, two = (near_dedup.shingle_set(b" ".join(w), 4) for w in (words[:1000], words[100:1100]))
+    jaccard = len(np.intersect1d(one, two)) / len(np.union1d(one, two))
+    bits = sum(int(x ^ y).bit_count() for x, y in zip(*(near_dedup.sketch(s).view(np.uint64).tolist() for s in (one, two))))
+    assert abs(bits / near_dedup.SKETCH_BITS - (1 - jaccard) / 2) < 0.04
+    assert bits <= near_dedup._most_differing(80)
+
+
 def test_token_ids_of_plain_texts_are_those_of_the_tokenizer():
     t = packing.TextTokenizer(tokenizer_file(), cache=8)
     odd = ["", "  ", " a  b\n\tc ", "it's 'sad ''s DON'T we'll 12a3 --x-- ...end", "Ünï ÿß ÀÞ À'S", "x" * 99 + " 's", "<|endoftext|> x", "日本",
