@@ -36,11 +36,9 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType
 
 from askloom.llm.common import map_rows, shingle_set, staged, utf8
 from askloom.llm.components import connected_components
@@ -126,16 +124,32 @@ def fingerprints(docs: DataFrame, *, words: int, id_col: str, text: str) -> Data
     )
 
 
-@F.pandas_udf(IntegerType())
-def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
-    left, right = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, COORDINATES) for x in (a, b))
-    return pd.Series((left == right).sum(axis=1))
+def _alike(batches):
+    """``a, b, agree`` of the pairs whose signatures (columns 2 and 3) agree well enough."""
+    for batch in batches:
+        left, right = (
+            np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES) for c in batch.columns[2:]
+        )
+        agree = (left == right).sum(axis=1)
+        at = pa.array(np.flatnonzero(agree >= ESTIMATE * COORDINATES))
+        pairs = [c.take(at) for c in batch.columns[:2]]
+        yield pa.RecordBatch.from_arrays([*pairs, pa.array(agree, pa.int32()).take(at)], names=["a", "b", "agree"])
+
 
+def _linked(percent: int):
+    """``a, b`` of the pairs whose shingle sets (columns 2 and 3) reach the threshold."""
 
-@F.pandas_udf(IntegerType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    view = lambda x: np.frombuffer(x, dtype=np.uint64)
-    return pd.Series([len(np.intersect1d(view(x), view(y), assume_unique=True)) for x, y in zip(a, b)])
+    def reaches(x, y) -> bool:
+        x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= percent * (len(x) + len(y) - common)
+
+    def run(batches):
+        for batch in batches:
+            at = pa.array([i for i, (x, y) in enumerate(zip(*batch.columns[2:])) if reaches(x, y)], pa.int64())
+            yield pa.RecordBatch.from_arrays([c.take(at) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
 
 
 def _needed(n: int, percent: int) -> int:
@@ -192,11 +206,11 @@ class _Linker:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         sig = self.nodes.select("id", "sig")
+        kind = dict(sig.dtypes)["id"]
         found = staged(
             pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .select("a", "b", _agreeing("sig_a", "sig_b").alias("agree"))
-            .where(F.col("agree") >= ESTIMATE * COORDINATES),
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike, f"a {kind}, b {kind}, agree int"),
             "candidates",
         )
         seen = found.select("a", "b")
@@ -227,11 +241,10 @@ class _Linker:
         both = ends.groupBy("a", "b").agg(
             F.min(F.struct("id", "shingles")).alias("x"), F.max(F.struct("id", "shingles")).alias("y")
         )
-        common = F.col("common")
-        union = F.octet_length("x.shingles") / 8 + F.octet_length("y.shingles") / 8 - common
+        kind = dict(self.nodes.dtypes)["id"]
         found = staged(
-            both.withColumn("common", _common("x.shingles", "y.shingles"))
-            .where(100 * common >= self.percent * union).select("a", "b"),
+            both.select("a", "b", "x.shingles", F.col("y.shingles").alias("others"))
+            .mapInArrow(_linked(self.percent), f"a {kind}, b {kind}"),
             "links",
         )
         if self.labels is None:

@@ -373,3 +373,8 @@ def test_packing_shuffles_ids_once_and_sorts_none(spark):
 
 def test_quality_rules_load_no_pandas_in_workers():
     assert not hasattr(quality_rules, "pd") and "mapInPandas" not in open(quality_rules.__file__).read()
+
+
+def test_near_duplicates_load_no_pandas_in_workers():
+    source = open(near_dedup.__file__).read()
+    assert not hasattr(near_dedup, "pd") and "pandas_udf" not in source and "arrow_udf" not in source
