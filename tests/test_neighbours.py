@@ -161,3 +161,22 @@ def test_close_vectors_are_told_apart(spark):
     queries = frame(spark, "q", 1 + 0.02 * draw.normal(size=(20, 26)))
     pairs = codes.checked_pairs(queries, index, k=3, **KEYS).first()
     assert 60 <= pairs["checked"] < 400
+
+
+def test_rows_that_no_code_tells_apart_leave_a_block_by_the_k_best(spark):
+    """Near copies: every pair of the group lies within the bounds, and none but k per query and block is handed on."""
+    draw = np.random.RandomState(5)
+    rows = 1000 + draw.randint(0, 2, size=(600, 26))
+    index, queries = frame(spark, "i", rows), frame(spark, "q", rows[:60])
+    q, i = (f.withColumnsRenamed({n: f"{side}_key", "v": "vec"}) for f, n, side in ((queries, "q", "query"), (index, "i", "index")))
+    handed = codes.block_hits(q, i, 3, 60, 600, 200).cache()
+    assert handed.count() <= 60 * 3 * handed.select("query_key", "checked").where("checked > 0").count() / 60
+    assert handed.agg({"checked": "sum"}).first()[0] > 10_000
+    assert found(knn_join(queries, index, k=3, block=200, **KEYS)) == brute(list(rows[:60]), list(rows), 3)
+
+
+def test_hits_of_rows_that_share_a_key(spark):
+    index = frame(spark, "i", [[1, 0], [0, 1], [1, 1]])
+    queries = frame(spark, "q", [[1, 0]])
+    got = [tuple(r)[:2] + (r["rank"],) for r in knn_join(queries, index.union(index.where("i = 0")), k=3, **KEYS).collect()]
+    assert sorted(got) == [(0, 0, 1), (0, 0, 2), (0, 0, 3)]
