@@ -43,14 +43,23 @@ COMMON_LEAST = 1000
 BUCKETS = 64
 #: Rows of the questions' side (a term and two or three numbers each) up to which they go to every task.
 SMALL_ROWS = 200_000
-#: Questions that are scanned for at once at most: a task holds a score for each of them and each text of a batch.
-SCAN_QUESTIONS = 5_000
-#: Terms of the questions that are scanned for at once, about.
-BLOCK_TERMS = 500_000
-#: Share of the questions above which a term's weights are multiplied as a matrix, and numbers in it at most.
-DENSE_SHARE = 0.03
-DENSE_NUMBERS = 1 << 22
-#: Rows that a task collects before it goes back to the k best of each question.
+#: Questions that are scanned for at once at most.
+SCAN_QUESTIONS = 50_000
+#: Terms of the questions that are scanned for at once, about: some 20 bytes each in every task.
+BLOCK_TERMS = 2_000_000
+#: Clusters of the questions of a block, the frequent terms that tell them apart, and questions that are multiplied together at most.
+CLUSTERS = 8
+FREQUENT = 256
+GROUP_QUESTIONS = 2_000
+#: Weights of texts that a task gathers before it multiplies, and scores that it holds at once, about.
+SCAN_NUMBERS = 1 << 20
+SCORES = 1 << 18
+#: Tasks per slot of a scan at most.
+SCAN_TASKS = 3
+#: Share of the pairs above which a term's weights are multiplied as a matrix, and numbers in it at most.
+DENSE_SHARE = 0.004
+DENSE_NUMBERS = 1 << 21
+#: Rows that a task collects for a group of questions before it goes back to the k best of each.
 HELD_HITS = 500_000
 SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
@@ -202,63 +211,199 @@ def best_hits(hits: pa.Table, k: int) -> pa.Table:
     return hits.filter(pa.array(np.arange(len(q)) - starts < k))
 
 
+class Group(NamedTuple):
+    """Questions ``first``, ``first + 1``, ... that are alike, as an inverted index: the questions of each term and its weights.
+
+    Weights are whole numbers of at most a million, which 32 bits hold exactly.
+    """
+
+    cluster: int
+    first: int
+    n: int
+    terms: np.ndarray
+    starts: np.ndarray
+    question: np.ndarray
+    weight: np.ndarray
+
+
+class Block(NamedTuple):
+    """The questions of a block in groups. Of texts and questions, ``frequent`` terms and ``centres`` tell the cluster."""
+
+    names: list
+    vocabulary: pa.Array
+    frequent: np.ndarray
+    centres: np.ndarray
+    groups: list[Group]
+
+
+def nearest(row: np.ndarray, column: np.ndarray, value: np.ndarray, n: int, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of ``n`` rows, of length one, and the number of the nearest centre of each."""
+    vectors = np.zeros((n, centres.shape[1]), dtype=np.float32)
+    vectors[row, column] = value
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
+    return vectors, np.argmax(vectors @ centres.T, axis=1)
+
+
+def question_block(rows: pa.Table) -> Block:
+    """The rows ``query_key, term, q`` of a few questions as a block.
+
+    Questions are put in clusters by their frequent terms. These only decide which questions and texts are multiplied together, not the result.
+    """
+    rows = rows.combine_chunks()
+    named, worded = (pc.dictionary_encode(rows[c]).combine_chunks() for c in ("query_key", "term"))
+    vocabulary, names = worded.dictionary, named.dictionary.to_pylist()
+    question, term = (d.indices.to_numpy(zero_copy_only=False).astype(np.int64) for d in (named, worded))
+    weight, n = rows["q"].to_numpy().astype(np.float64), len(names)
+    frequent = np.argsort(-np.bincount(term, minlength=len(vocabulary)), kind="stable")[:FREQUENT]
+    column = np.full(len(vocabulary), -1)
+    column[frequent] = np.arange(len(frequent))
+    often = column[term] >= 0
+    known = question[often], column[term[often]], weight[often], n
+    vectors, cluster = nearest(*known, np.zeros((1, len(frequent)), dtype=np.float32))
+    centres = vectors[np.linspace(0, n - 1, min(n, CLUSTERS)).astype(np.int64)] if n else vectors
+    for _ in range(6):
+        vectors, cluster = nearest(*known, centres) if n else (vectors, cluster)
+        sums = np.stack([vectors[cluster == c].sum(axis=0) for c in range(len(centres))]) if n else centres
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
+    order = np.argsort(cluster, kind="stable")
+    place = np.empty(n, dtype=np.int64)
+    place[order] = np.arange(n)
+    question = place[question]
+    by = np.lexsort((question, term))
+    question, term, weight = question[by], term[by], weight[by]
+    groups = []
+    for c in np.unique(cluster):
+        first, last = np.searchsorted(cluster[order], [c, c + 1])
+        for at in range(first, last, GROUP_QUESTIONS):
+            size = min(GROUP_QUESTIONS, last - at)
+            own = np.flatnonzero((question >= at) & (question < at + size))
+            terms, starts = np.unique(term[own], return_index=True)
+            groups.append(Group(
+                int(c), int(at), int(size), terms, np.append(starts, len(own)), (question[own] - at).astype(np.int32), weight[own].astype(np.float32)
+            ))
+    return Block([names[i] for i in order], vocabulary, frequent, centres, groups)
+
+
 class Scan:
-    """The inverted index of a few questions, and the k best texts of each that went by so far."""
-
-    def __init__(self, term: list[str], question: np.ndarray, weight: np.ndarray, n_questions: int, k: int):
-        order = np.argsort(np.array(term, dtype=object), kind="stable")
-        self.terms, first = np.unique(np.array(term, dtype=object)[order], return_index=True)
-        self.question, self.weight = question[order], weight[order]
-        self.starts, self.lengths = first, np.diff(np.append(first, len(order)))
-        self.vocabulary, self.n, self.k = pa.array(self.terms, pa.string()), n_questions, k
-        self.kth, self.hits, self.held = np.ones(n_questions), [], 0
-        # Terms of many questions are multiplied as a dense matrix.
-        often = np.argsort(-self.lengths, kind="stable")[: DENSE_NUMBERS // max(1, n_questions)]
-        often = often[self.lengths[often] > DENSE_SHARE * n_questions]
-        self.dense_row = np.full(len(self.terms) + 1, -1)
-        self.dense_row[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), n_questions))
-        row = np.repeat(self.dense_row[:-1], self.lengths)
-        self.dense[row[row >= 0], self.question[row >= 0]] = self.weight[row >= 0]
-
-    def scores(self, terms: pa.ListArray, weights: pa.ListArray) -> np.ndarray:
-        """Scores of texts (rows) for the questions (columns); whole numbers below 2 ** 53."""
-        at = pc.index_in(terms.flatten(), self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
-        row = self.dense_row[at]
-        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-        held = weights.flatten().to_numpy()
-        often, known = np.flatnonzero(row >= 0), np.flatnonzero((at >= 0) & (row < 0))
-        texts = np.zeros((len(terms), len(self.dense)))
-        texts[owner[often], row[often]] = held[often]
-        term, sizes = at[known], self.lengths[at[known]]
-        place = np.arange(sizes.sum()) + np.repeat(self.starts[term] - np.cumsum(sizes) + sizes, sizes)
-        products = np.repeat(held[known], sizes) * self.weight[place]
-        total = np.bincount(np.repeat(owner[known], sizes) * self.n + self.question[place], products, len(terms) * self.n)
-        return total.reshape(len(terms), self.n) + texts @ self.dense
+    """The k best texts so far of each question of a block, while texts go by."""
+
+    def __init__(self, block: Block, k: int):
+        self.block, self.k, n_terms = block, k, len(block.vocabulary)
+        self.column = np.full(n_terms, -1, dtype=np.int32)
+        self.column[block.frequent] = np.arange(len(block.frequent))
+        # The place of a term of the vocabulary among those of a group.
+        self.local = np.full((len(block.groups), n_terms), -1, dtype=np.int32)
+        for i, g in enumerate(block.groups):
+            self.local[i, g.terms] = np.arange(len(g.terms))
+        self.kth = [np.ones(g.n) for g in block.groups]
+        self.hits: list[list[pa.Table]] = [[] for _ in block.groups]
+        self.held = [0] * len(block.groups)
+        self.waiting, self.numbers = [], 0
 
     def add(self, keys: pa.Array, terms: pa.ListArray, weights: pa.ListArray) -> None:
-        scores = self.scores(terms, weights)
-        least = self.kth
-        if len(keys) > self.k:
-            least = np.maximum(least, np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k])
-        text, question = np.nonzero(scores >= least)
-        self.hits.append(pa.table({
-            "q": pa.array(question.astype(np.int64)), "key": keys.take(pa.array(text)),
-            "score": pa.array(scores[text, question].astype(np.int64)),
+        at = pc.index_in(terms.flatten(), self.block.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+        known = at >= 0
+        held = weights.flatten().to_numpy()[known].astype(np.float64)
+        self.waiting.append((keys, at[known], np.bincount(owner[known], minlength=len(terms)), held))
+        self.numbers += len(held) + len(terms)
+        if self.numbers >= SCAN_NUMBERS:
+            self.flush()
+
+    def flush(self) -> None:
+        """Score the texts that wait, those of a cluster together."""
+        if not self.waiting:
+            return
+        keys, at, sizes, held = zip(*self.waiting)
+        self.waiting, self.numbers = [], 0
+        keys, at, sizes, held = pa.concat_arrays(keys), np.concatenate(at), np.concatenate(sizes), np.concatenate(held)
+        owner, column = np.repeat(np.arange(len(sizes)), sizes), self.column[at]
+        often = column >= 0
+        _, cluster = nearest(owner[often], column[often], held[often], len(sizes), self.block.centres)
+        order = np.argsort(cluster, kind="stable")
+        starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        ends = np.cumsum(sizes)
+        place = np.arange(len(at)) + np.repeat(starts - ends + sizes, sizes)
+        keys, at, held, cluster = keys.take(pa.array(order)), at[place], held[place], cluster[order]
+        ends = np.append(0, ends)
+        for i, group in enumerate(self.block.groups):
+            # Texts of the questions' own cluster first: they raise what the others have to reach.
+            for c in sorted(set(cluster.tolist()), key=lambda c: (c != group.cluster, c)):
+                lo, hi = np.searchsorted(cluster, [c, c + 1])
+                some = slice(ends[lo], ends[hi])
+                self.score(i, keys.slice(lo, hi - lo), at[some], np.diff(ends[lo:hi + 1]), held[some])
+
+    def score(self, i: int, keys: pa.Array, at: np.ndarray, sizes: np.ndarray, held: np.ndarray) -> None:
+        """Scores of texts (rows) for the questions of a group (columns): whole numbers below 2 ** 53, so exact."""
+        group, local = self.block.groups[i], self.local[i][at]
+        n, known = len(sizes), local >= 0
+        owner, local, held = np.repeat(np.arange(n), sizes)[known], local[known], held[known]
+        lengths = np.diff(group.starts)
+        # Terms of many of the pairs are multiplied as a matrix.
+        pairs = np.bincount(local, minlength=len(lengths)) * lengths
+        dense = np.flatnonzero(pairs > DENSE_SHARE * n * group.n)
+        dense = dense[np.argsort(-pairs[dense], kind="stable")][: DENSE_NUMBERS // group.n]
+        row = np.full(len(lengths), -1)
+        row[dense] = np.arange(len(dense))
+        matrix, in_dense = np.zeros((len(dense), group.n)), row[local] >= 0
+        place = self.places(group.starts[dense], lengths[dense])
+        matrix[np.repeat(np.arange(len(dense)), lengths[dense]), group.question[place]] = group.weight[place]
+        texts = np.zeros((n, len(dense)))
+        texts[owner[in_dense], row[local[in_dense]]] = held[in_dense]
+        owner, local, held = owner[~in_dense], local[~in_dense], held[~in_dense]
+        step = max(1, min(256, SCORES // group.n))
+        ends = np.searchsorted(owner, np.arange(0, n + step, step))
+        for t, lo in enumerate(range(0, n, step)):
+            hi, part = min(n, lo + step), slice(ends[t], ends[t + 1])
+            scores = texts[lo:hi] @ matrix
+            sizes = lengths[local[part]]
+            place = self.places(group.starts[local[part]], sizes)
+            cell = np.repeat((owner[part] - lo) * group.n, sizes)
+            cell += group.question[place]
+            product = np.repeat(held[part], sizes)
+            product *= group.weight[place]
+            scores += np.bincount(cell, product, scores.size).reshape(scores.shape)
+            self.keep(i, keys, lo, scores)
+
+    @staticmethod
+    def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """``starts[0], starts[0] + 1, ...`` up to ``sizes[0]`` numbers, then the same of the others."""
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+    def keep(self, i: int, keys: pa.Array, first: int, scores: np.ndarray) -> None:
+        n, least = self.block.groups[i].n, self.kth[i]
+        found = np.flatnonzero(scores >= least)
+        if len(found) > 2 * self.k * n and len(scores) > self.k:
+            least = np.maximum(least, np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k])
+            found = np.flatnonzero(scores >= least)
+        if not len(found):
+            return
+        self.hits[i].append(pa.table({
+            "q": pa.array(found % n), "key": keys.take(pa.array(first + found // n)),
+            "score": pa.array(scores.ravel()[found].astype(np.int64)),
         }))
-        self.held += len(text)
-        if self.held >= HELD_HITS:
-            self.settle()
-
-    def settle(self) -> pa.Table:
-        best = best_hits(pa.concat_tables(self.hits), self.k)
-        n = np.bincount(best["q"].to_numpy(), minlength=self.n)
-        lowest = np.full(self.n, np.inf)
+        self.held[i] += len(found)
+        if self.held[i] >= min(HELD_HITS, 4 * self.k * n + 1):
+            self.settle(i)
+
+    def settle(self, i: int) -> pa.Table:
+        n, best = self.block.groups[i].n, best_hits(pa.concat_tables(self.hits[i]), self.k)
+        found = np.bincount(best["q"].to_numpy(), minlength=n)
+        lowest = np.full(n, np.inf)
         np.minimum.at(lowest, best["q"].to_numpy(), best["score"].to_numpy())
-        self.kth = np.where(n >= self.k, lowest, 1)
-        self.hits, self.held = [best], len(best)
+        self.kth[i] = np.where(found >= self.k, lowest, 1)
+        self.hits[i], self.held[i] = [best], 0
         return best
 
+    def best(self) -> Iterator[pa.Table]:
+        """The hits of each group, with the numbers that its questions have in the block."""
+        self.flush()
+        for i, group in enumerate(self.block.groups):
+            if self.hits[i]:
+                best = self.settle(i)
+                yield best.set_column(0, "q", pc.add(best["q"], group.first))
+
 
 def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
     """``query_key, index_key, score`` of the k best texts per question and task; None without vectors.
@@ -281,24 +426,21 @@ def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
 
 
 def _scanned_block(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
-    rows = asked.select("query_key", "term", "q").toPandas()
-    keys = rows["query_key"].tolist()
-    names = {q: i for i, q in enumerate(sorted(set(keys)))}
-    number = np.array([names[q] for q in keys], dtype=np.int64)
-    terms, weights = rows["term"].tolist(), rows["q"].to_numpy(dtype=np.int64)
+    block = question_block(asked.select("query_key", "term", "q").toArrow())
     kind = index.vectors.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = Scan(terms, number, weights, len(names), k)
+        scan = Scan(block, k)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                scan.add(*batch.slice(at, 64).columns)
-        if scan.hits:
-            yield from scan.settle().to_batches()
+            scan.add(*batch.columns)
+        for best in scan.best():
+            yield from best.to_batches()
 
-    found = index.vectors.select("key", "terms", "weights").mapInArrow(run, f"q bigint, key {kind}, score bigint")
+    # A task finds out anew what a text has to reach: a few for each slot, of many texts each.
+    few = index.vectors.select("key", "terms", "weights").coalesce(SCAN_TASKS * asked.sparkSession.sparkContext.defaultParallelism)
+    found = few.mapInArrow(run, f"q bigint, key {kind}, score bigint")
     listed = asked.sparkSession.createDataFrame(
-        [(i, q) for q, i in names.items()], f"q bigint, query_key {asked.schema['query_key'].dataType.simpleString()}"
+        list(enumerate(block.names)), f"q bigint, query_key {asked.schema['query_key'].dataType.simpleString()}"
     )
     return found.join(F.broadcast(listed), "q").select("query_key", F.col("key").alias("index_key"), "score")
 

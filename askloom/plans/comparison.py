@@ -13,7 +13,7 @@ from askloom.operators.models import Model, judge
 from askloom.operators.reports import compare_pairs
 from askloom.plans.answering import format_context
 from askloom.plans.tuning import Program, answer_with, demo_prefix
-from askloom.session import cut
+from askloom.session import cut, stage
 
 RESPONSE_PREFIX = "Response:"
 DEMO_FIELDS = ["augmented", "request", "context", "rationale", "response"]
@@ -73,7 +73,7 @@ def with_contexts(test: DataFrame, hits: DataFrame, *, id_col: str = "request_id
     """The test rows with the texts of their hits as ``context``, retrieved once and written."""
     contexts = format_context(hits, by=id_col, text_col=text_col)
     joined = test.drop("context").join(contexts, id_col, "left")
-    return cut(joined.withColumn("context", F.coalesce("context", F.lit(""))))
+    return stage(joined.withColumn("context", F.coalesce("context", F.lit(""))), "contexts")
 
 
 def score_systems(

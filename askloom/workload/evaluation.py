@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from askloom.fixed_values import JUDGE_QUESTIONS, METRIC_KS, QUESTION_TEMPLATE
 from askloom.functions.prompts import render
 from askloom.functions.text import is_clean_question
+from askloom.operators.keys import small_side
 from askloom.operators.knn import knn_join
 from askloom.operators.metrics import (
     expected_by_category, judged_precision, mark_relevant, ranked_metrics, response_metrics,
@@ -167,12 +168,15 @@ def q_retrieval_metrics_label(spark, sf):
 
 
 ABOUT = "What does this say: "
+#: Labels (three numbers each) up to which they go to the documents, whose texts are then not shuffled.
+LABELS = 1_000_000
 REQUEST = f"'{ABOUT}' || text"
 
 
 def evaluation_rows(spark, sf):
     """One evaluated request per label, with contexts made from the document number."""
-    rows = load(spark, sf, "labels").join(load(spark, sf, "documents"), "doc_id")
+    labels = small_side(load(spark, sf, "labels"), LABELS)
+    rows = labels.join(load(spark, sf, "documents"), "doc_id")
     doc, good = F.col("doc_id"), F.col("quality") == 1
 
     def chunk(number):

@@ -348,7 +348,7 @@ def _held_out(spark, sf):
     path = scratch_path(spark, "programs")
     write_program(spark, Program([{**d, "augmented": True} for d in shown]), path)
     test = split.where("split = 'test'").select("request_id", "request", "response")
-    chunks = doc_index_rows(spark, sf)
+    chunks = doc_index_rows(spark, sf, in_place=True)
     hits = search_terms(test, term_index(chunks, "chunk_id", "content"), k=3, query_key="request_id", text="request")
     named = hits.withColumnsRenamed({"query_key": "request_id", "index_key": "chunk_id"})
     systems = {

@@ -50,3 +50,32 @@ def test_vectors_are_made_once(spark):
     assert own.count("ArrowEvalPython [") == 1
     fitted = embed(docs, "text", embedder=fit_embedder(docs, "text"))
     assert plan(keyed(fitted, "doc_id", "embedding", "k")).count("ArrowEvalPython [") == 1
+
+
+def test_texts_of_single_chunks_are_not_shuffled(spark):
+    """The rows are those of the plain way, with ids that come twice or are null; only these are brought together."""
+    from askloom.plans.index import unique_chunks
+
+    rows = [(f"c{i % 9}" if i % 5 else None, i, f"s{i % 2}", f"text {i % 9}") for i in range(12)] + [("c1", 0, "s0", "text 1")]
+    chunks = spark.createDataFrame(rows, "id string, doc long, source string, chunk string")
+    names = dict(id_col="id", uri_col="doc", category_col="source", text_col="chunk")
+    plain, kept = unique_chunks(chunks, **names), unique_chunks(chunks, in_place=True, **names)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, plain.collect())) and kept.columns == plain.columns
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
+
+
+def test_documents_are_not_shuffled_for_few_labels(spark):
+    from askloom.session import scratch_path
+    from askloom.workload.evaluation import evaluation_rows
+
+    sf = scratch_path(spark, "tables")
+    docs = [(i, f"text {i}", "en", "web", 6) for i in range(9)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality long, toxic long").write.parquet(f"{sf}/labels.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = evaluation_rows(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

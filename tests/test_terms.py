@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from askloom.operators import terms
@@ -162,3 +163,26 @@ def test_postings_hold_no_keys_and_ties_go_to_the_smaller_key(spark, monkeypatch
     monkeypatch.setattr(terms, "SCAN_QUESTIONS", 0)
     hits = search_terms(asked, index, k=2, query_key="q", text="ask").orderBy("rank").collect()
     assert [h["index_key"][-1] for h in hits] == ["1", "2"]
+
+
+@pytest.mark.parametrize("share", [0, 0.1, 2])
+def test_a_scan_is_the_same_whatever_is_multiplied_together(monkeypatch, share):
+    """Questions in small groups and several clusters, texts in small lots, terms as a matrix or scattered."""
+    for name, value in {"GROUP_QUESTIONS": 2, "CLUSTERS": 3, "SCAN_NUMBERS": 60, "SCORES": 8, "DENSE_SHARE": share}.items():
+        monkeypatch.setattr(terms, name, value)
+    asked = [(q, w, 1 + (q * 7 + i) % 5) for q in range(9) for i, w in enumerate("abcdefgh"[q % 4: q % 4 + 4])]
+    texts = [(f"k{t:03}", {w: 1 + (t * i) % 11 for i, w in enumerate("zabcdefg"[t % 5: t % 5 + 3])}) for t in range(90)]
+    columns = [pa.array(c) for c in zip(*asked)]
+    block = terms.question_block(pa.table(dict(zip(("query_key", "term", "q"), columns))))
+    assert sum(g.n for g in block.groups) == 9 and max(g.n for g in block.groups) == 2
+    scan = terms.Scan(block, 4)
+    for at in range(0, 90, 13):
+        part = texts[at: at + 13]
+        scan.add(pa.array([k for k, _ in part]), pa.array([list(v) for _, v in part]), pa.array([list(v.values()) for _, v in part]))
+    got = {(block.names[q], key, s) for best in scan.best() for q, key, s in zip(*(best[c].to_pylist() for c in ("q", "key", "score")))}
+    want = set()
+    for q in range(9):
+        vector = {w: x for n, w, x in asked if n == q}
+        scores = [(-sum(x * vector.get(w, 0) for w, x in v.items()), k) for k, v in texts]
+        want |= {(q, k, -s) for s, k in sorted(scores)[:4] if s}
+    assert got == want
