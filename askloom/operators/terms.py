@@ -6,7 +6,8 @@ The texts' side needs nothing but the text, so the vectors are made in one pass
 products of whole numbers: exact, in whatever order they are summed.
 
 Questions (their terms are counted first) go to every task, as an inverted index of their own, in blocks of bounded size.
-Texts stream by, a text scatters its terms into one score per question, and a task hands on the k best texts of each
+Texts stream by, those that are alike together with questions that are alike: the terms that many of them share are multiplied as a matrix,
+other terms are scattered into one score per question. A task hands on the k best texts of each
 question: vectors are read once per block and not shuffled.
 
 On a stored index, which has postings only, questions are joined with the postings by term, and products summed per question and text.
@@ -14,7 +15,8 @@ A term that is in very many texts would give a row for each of them, for every q
 Such common terms are left out at first. The k-th best sum over the other terms bounds the k-th best score
 from below, and what common terms can add to any score is known from their largest weight. Only texts that can still be
 among the k best are then looked up, by text and term. Questions for which that proves nothing (they have
-hardly any rare terms) go through all their postings.
+hardly any rare terms) go through all their postings: those of the terms they hold are put together to texts again, a
+posting once for all questions, and the texts are scanned as above.
 
 Both ways give the same result.
 """
@@ -24,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -64,19 +67,48 @@ HELD_HITS = 500_000
 SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
-class TermIndex(NamedTuple):
-    """``postings`` (term, number, weight), ``keys`` (number, key) and ``terms`` (term, texts).
+class TermIndex:
+    """``postings`` (term, number, weight), ``keys`` (number, key), ``terms`` (term, texts) and ``n_texts``.
 
-    ``vectors`` (key, terms, weights) while it is not stored. There are very many postings: a text is a number in them.
+    ``vectors`` (key, terms, weights, number) while it is not stored, written when a part is first asked for.
+    There are very many postings: a text is a number in them.
     """
 
-    vectors: DataFrame | None
-    postings: DataFrame
-    keys: DataFrame
-    terms: DataFrame
-    n_texts: int
-    common_share: float = COMMON_SHARE
-    common_least: int = COMMON_LEAST
+    def __init__(self, numbered: DataFrame | None, common_share: float, common_least: int):
+        self.numbered, self.common_share, self.common_least = numbered, common_share, common_least
+
+    @cached_property
+    def vectors(self) -> DataFrame | None:
+        return None if self.numbered is None else stage(self.numbered, "vectors")
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return posting_rows(self.vectors).where("term IS NOT NULL").drop("key")
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        return self.vectors.select("number", "key")
+
+    @cached_property
+    def terms(self) -> DataFrame:
+        return stage(text_counts(self.vectors.select(F.explode("terms").alias("term"))), "terms")
+
+    @cached_property
+    def n_texts(self) -> int:
+        return self.vectors.count()
+
+
+def text_counts(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+
+
+def posting_rows(vectors: DataFrame) -> DataFrame:
+    """``term, number, weight, key``: the key in one row of each text, which has no term if the text has none."""
+    listed = F.posexplode_outer(F.arrays_zip("terms", "weights")).alias("place", "p")
+    return vectors.select("number", "key", listed).select(
+        F.col("p.terms").alias("term"), "number", F.col("p.weights").alias("weight"),
+        F.when(F.coalesce("place", F.lit(0)) == 0, F.col("key")).alias("key"),
+    )
 
 
 def counted(text: str | None) -> Counter:
@@ -129,35 +161,37 @@ def question_weights(questions: DataFrame, key: str, text: str, index: TermIndex
 def term_index(
     df: DataFrame, key: str, text: str, *, common_share: float = COMMON_SHARE, common_least: int = COMMON_LEAST,
 ) -> TermIndex:
-    """The sparse vectors of the texts of ``df``, made in one pass and held in the shared folder, and what follows from them."""
+    """The sparse vectors of the texts of ``df``, made in one pass, and what follows from them."""
     numbered = term_vectors(df, key, text).drop("tfs").withColumn("number", F.monotonically_increasing_id())
-    vectors = stage(numbered, "vectors")
-    inside = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    postings = vectors.select("number", F.explode(F.arrays_zip("terms", "weights")).alias("p")).select(
-        F.col("p.terms").alias("term"), "number", F.col("p.weights").alias("weight")
-    )
-    keys = vectors.select("number", "key")
-    return TermIndex(vectors, postings, keys, stage(inside, "terms"), vectors.count(), common_share, common_least)
+    return TermIndex(numbered, common_share, common_least)
 
 
 def write_term_index(index: TermIndex, name: str, *, buckets: int = BUCKETS) -> None:
     """Keep the index as the tables ``<name>_postings`` and ``<name>_terms``, both bucketed and sorted by term, and ``<name>_keys``.
 
-    Searches on them shuffle the terms of the questions only.
+    Searches on them shuffle the terms of the questions only. The postings are written in one pass over the texts,
+    and the others from them: vectors that are not there yet are not written besides.
     """
-    for df, part in ((index.postings, "postings"), (index.terms, "terms")):
+    def keep(df: DataFrame, part: str) -> DataFrame:
         df.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, "term").sortBy("term").saveAsTable(f"{name}_{part}")
-    index.keys.write.mode("overwrite").saveAsTable(f"{name}_keys")
-    spark = index.postings.sparkSession
+        return df.sparkSession.table(f"{name}_{part}")
+
+    postings = keep(posting_rows(index.vectors if "vectors" in vars(index) else index.numbered), "postings")
+    keep(text_counts(postings.where("term IS NOT NULL")), "terms")
+    postings.where("key IS NOT NULL").select("number", "key").write.mode("overwrite").saveAsTable(f"{name}_keys")
+    spark = postings.sparkSession
     spark.createDataFrame(
-        [(index.n_texts, index.common_share, index.common_least)], "n_texts bigint, common_share double, common_least bigint"
+        [(spark.table(f"{name}_keys").count(), index.common_share, index.common_least)],
+        "n_texts bigint, common_share double, common_least bigint",
     ).write.mode("overwrite").saveAsTable(f"{name}_settings")
 
 
 def read_term_index(spark: SparkSession, name: str) -> TermIndex:
-    settings = spark.table(f"{name}_settings").first()
-    postings, keys, terms = (spark.table(f"{name}_{part}") for part in ("postings", "keys", "terms"))
-    return TermIndex(None, postings, keys, terms, *settings)
+    n_texts, *settings = spark.table(f"{name}_settings").first()
+    index = TermIndex(None, *settings)
+    index.postings = spark.table(f"{name}_postings").where("term IS NOT NULL").select("term", "number", "weight")
+    index.keys, index.terms, index.n_texts = spark.table(f"{name}_keys"), spark.table(f"{name}_terms"), n_texts
+    return index
 
 
 def _summed(asked: DataFrame, postings: DataFrame) -> DataFrame:
@@ -189,17 +223,37 @@ def _joined(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
     )
     near = partial.join(bounds.where("settled"), "query_key").where(F.col("score") >= F.col("kth") - F.col("more"))
     near = stage(near.select("query_key", "number", "score"), "near")
+    # A question whose texts and common terms are many goes through its postings too: what is looked up stays small.
+    pairs = near.groupBy("query_key").agg(F.count(F.lit(1)).alias("texts")).join(
+        common.groupBy("query_key").agg(F.count(F.lit(1)).alias("terms")), "query_key", "left"
+    )
+    share = SMALL_ROWS // max(1, bounds.count())
+    looked = cut(pairs.where(F.col("texts") * F.coalesce("terms", F.lit(0)) <= share).select("query_key"))
+    near = near.join(looked, "query_key", "left_semi")
     wanted = stage(near.select("query_key", "number").join(common, "query_key").select("query_key", "term", "number", "q"), "wanted")
     added = index.postings.join(small_side(wanted, SMALL_ROWS), ["term", "number"]).select(
         "query_key", "number", (F.col("q") * F.col("weight")).alias("score")
     )
     looked_up = near.unionByName(added).groupBy("query_key", "number").agg(F.sum("score").alias("score"))
-    still_open = stage(asked.join(bounds.where("NOT settled").select("query_key"), "query_key", "left_semi"), "open")
-    plain = _summed(still_open, index.postings)
     # Ties are settled by the key, so all of them are looked up.
-    best = looked_up.unionByName(plain).withColumn("_n", F.rank().over(place)).where(F.col("_n") <= k).drop("_n")
-    named = look_up(stage(best, "best"), index.keys, "number")
-    return named.select("query_key", F.col("key").alias("index_key"), "score")
+    best = looked_up.withColumn("_n", F.rank().over(place)).where(F.col("_n") <= k).drop("_n")
+    named = look_up(stage(best, "best"), index.keys, "number").select("query_key", F.col("key").alias("index_key"), "score")
+    still_open = stage(asked.join(looked, "query_key", "left_anti"), "open")
+    if still_open.isEmpty():
+        return named
+    return named.unionByName(_scan(*_restored(still_open, index), k, written=False))
+
+
+def _restored(asked: DataFrame, index: TermIndex) -> tuple[DataFrame, DataFrame]:
+    """``asked``, and ``key, terms, weights`` of the texts that share a term with a question, with numbers for terms.
+
+    Only postings of the terms asked for are shuffled, once however many questions hold the term.
+    """
+    terms = stage(asked.select("term").distinct().withColumn("id", F.monotonically_increasing_id()), "open-terms")
+    found = index.postings.join(small_side(terms, SMALL_ROWS), "term").select("number", "id", "weight")
+    texts = found.repartition("number").groupBy("number").agg(F.collect_list(F.struct("id", "weight")).alias("p"))
+    restored = texts.join(index.keys, "number").select("key", F.col("p.id").alias("terms"), F.col("p.weight").alias("weights"))
+    return asked.join(terms, "term").select("query_key", F.col("id").alias("term"), "q"), restored
 
 
 def best_hits(hits: pa.Table, k: int) -> pa.Table:
@@ -405,29 +459,27 @@ class Scan:
                 yield best.set_column(0, "q", pc.add(best["q"], group.first))
 
 
-def _scanned(asked: DataFrame, index: TermIndex, k: int) -> DataFrame | None:
-    """``query_key, index_key, score`` of the k best texts per question and task; None without vectors.
+def _scan(asked: DataFrame, vectors: DataFrame, k: int, *, written: bool = True) -> DataFrame:
+    """``query_key, index_key, score`` of the k best texts per question and task.
 
     Many questions are scanned for in blocks of bounded size, one after the other: the vectors are read once per
     block, and what is written are k rows per question.
     """
     rows, questions = asked.agg(F.count(F.lit(1)), F.count_distinct("query_key")).first()
-    if index.vectors is None or not SCAN_QUESTIONS:
-        return None
-    blocks = max(1, -(-rows // BLOCK_TERMS), -(-questions // SCAN_QUESTIONS))
+    blocks = max(1, -(-rows // BLOCK_TERMS), -(-questions // (SCAN_QUESTIONS or questions or 1)))
     if blocks == 1:
-        return _scanned_block(asked, index, k)
-    found = None
+        return _scanned_block(asked, vectors, k)
+    found, vectors = None, vectors if written else stage(vectors, "restored")
     for n in range(blocks):
         block = asked.where(F.pmod(F.xxhash64("query_key", F.lit(29)), F.lit(blocks)) == n)
-        best = stage(rank_hits(_scanned_block(block, index, k), k).drop("rank"), "scanned")
+        best = stage(rank_hits(_scanned_block(block, vectors, k), k).drop("rank"), "scanned")
         found = best if found is None else found.unionByName(best)
     return found
 
 
-def _scanned_block(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
+def _scanned_block(asked: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     block = question_block(asked.select("query_key", "term", "q").toArrow())
-    kind = index.vectors.schema["key"].dataType.simpleString()
+    kind = vectors.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scan(block, k)
@@ -437,7 +489,7 @@ def _scanned_block(asked: DataFrame, index: TermIndex, k: int) -> DataFrame:
             yield from best.to_batches()
 
     # A task finds out anew what a text has to reach: a few for each slot, of many texts each.
-    few = index.vectors.select("key", "terms", "weights").coalesce(SCAN_TASKS * asked.sparkSession.sparkContext.defaultParallelism)
+    few = vectors.select("key", "terms", "weights").coalesce(SCAN_TASKS * asked.sparkSession.sparkContext.defaultParallelism)
     found = few.mapInArrow(run, f"q bigint, key {kind}, score bigint")
     listed = asked.sparkSession.createDataFrame(
         list(enumerate(block.names)), f"q bigint, query_key {asked.schema['query_key'].dataType.simpleString()}"
@@ -455,9 +507,8 @@ def search_terms(
     asked = question_weights(questions, query_key, text, index)
     limit = max(index.common_least, int(index.common_share * index.n_texts))
     asked = stage(asked.withColumn("common", F.col("texts") > limit), "asked")
-    found = _scanned(asked, index, k)
-    if found is None:
-        found = _joined(asked, index, k)
+    scanned = index.numbered is not None and SCAN_QUESTIONS
+    found = _scan(asked, index.vectors, k) if scanned else _joined(asked, index, k)
     hits = rank_hits(found, k)
     hits = hits.select("query_key", "index_key", (F.col("score") / (UNIT * UNIT)).alias("score"), "rank")
     if query_cols:

@@ -186,3 +186,37 @@ def test_a_scan_is_the_same_whatever_is_multiplied_together(monkeypatch, share):
         scores = [(-sum(x * vector.get(w, 0) for w, x in v.items()), k) for k, v in texts]
         want |= {(q, k, -s) for s, k in sorted(scores)[:4] if s}
     assert got == want
+
+
+def test_thousands_of_questions_are_one_block(spark):
+    """The texts are read once for them, not once for every 5,000."""
+    asked = spark.range(6_000).selectExpr("id AS query_key", "concat('w', id % 120) AS term", "1000000L AS q")
+    texts, _ = frames(spark, corpus())
+    found = terms._scan(asked, term_index(texts, "id", "t").vectors, 1)
+    assert "scanned-" not in "".join(found.inputFiles()) and found.select("query_key").distinct().count() > 5_000
+
+
+def test_a_written_index_needs_no_vectors(spark):
+    """Postings come from the texts in one pass; blank texts count, and every text has its key once."""
+    texts, questions = frames(spark, corpus())
+    index = term_index(texts, "id", "t", common_share=0.0, common_least=10)
+    write_term_index(index, "plain_texts", buckets=2)
+    assert "vectors" not in vars(index)
+    stored = read_term_index(spark, "plain_texts")
+    assert stored.n_texts == len(corpus()) == stored.keys.select("key").distinct().count() == stored.keys.count()
+    assert found(search_terms(questions, stored, k=4, query_key="q", text="ask")) == brute(corpus(), QUESTIONS, 4)
+    for part in ("postings", "terms", "keys", "settings"):
+        spark.sql(f"DROP TABLE plain_texts_{part}")
+
+
+def test_pairs_of_open_questions_are_not_shuffled(spark):
+    """Questions that their rare terms do not settle: what is shuffled are postings, once for all questions."""
+    texts = spark.createDataFrame([(i, f"the of a {i % 7}") for i in range(50)], "id long, t string")
+    questions = spark.createDataFrame([(q, "the a 3") for q in range(40)], "q long, ask string")
+    index = term_index(texts, "id", "t", common_share=0.0, common_least=5)
+    asked = terms.question_weights(questions, "q", "ask", index)
+    _, restored = terms._restored(asked, index)
+    plan = restored._jdf.queryExecution().optimizedPlan().toString()
+    assert "query_key" not in plan
+    assert restored.selectExpr("sum(size(terms))").first()[0] <= 50
+    assert found(search_terms(questions, index, k=2, query_key="q", text="ask")) == {(q, i, r) for q in range(40) for i, r in ((3, 1), (10, 2))}
