@@ -55,7 +55,7 @@ CLUSTERS = 8
 FREQUENT = 256
 GROUP_QUESTIONS = 2_000
 #: Weights of texts that a task gathers before it multiplies, and scores that it holds at once, about.
-SCAN_NUMBERS = 1 << 20
+SCAN_NUMBERS = 1 << 19
 SCORES = 1 << 18
 #: Tasks per slot of a scan at most.
 SCAN_TASKS = 3
@@ -355,12 +355,8 @@ class Scan:
         self.waiting, self.numbers = [], 0
 
     def add(self, keys: pa.Array, terms: pa.ListArray, weights: pa.ListArray) -> None:
-        at = pc.index_in(terms.flatten(), self.block.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-        known = at >= 0
-        held = weights.flatten().to_numpy()[known].astype(np.float64)
-        self.waiting.append((keys, at[known], np.bincount(owner[known], minlength=len(terms)), held))
-        self.numbers += len(held) + len(terms)
+        self.waiting.append((keys, terms.flatten(), pc.list_value_length(terms).to_numpy(zero_copy_only=False), weights.flatten().to_numpy()))
+        self.numbers += len(self.waiting[-1][-1]) + len(terms)
         if self.numbers >= SCAN_NUMBERS:
             self.flush()
 
@@ -368,10 +364,14 @@ class Scan:
         """Score the texts that wait, those of a cluster together."""
         if not self.waiting:
             return
-        keys, at, sizes, held = zip(*self.waiting)
+        keys, words, sizes, held = zip(*self.waiting)
         self.waiting, self.numbers = [], 0
-        keys, at, sizes, held = pa.concat_arrays(keys), np.concatenate(at), np.concatenate(sizes), np.concatenate(held)
-        owner, column = np.repeat(np.arange(len(sizes)), sizes), self.column[at]
+        keys, sizes, held = pa.concat_arrays(keys), np.concatenate(sizes), np.concatenate(held)
+        # Looked up in one go: each time, a table of the whole vocabulary is made.
+        at = pc.index_in(pa.concat_arrays(words), self.block.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
+        known, owner = at >= 0, np.repeat(np.arange(len(sizes)), sizes)
+        at, owner, held = at[known], owner[known], held[known].astype(np.float64)
+        sizes, column = np.bincount(owner, minlength=len(sizes)), self.column[at]
         often = column >= 0
         _, cluster = nearest(owner[often], column[often], held[often], len(sizes), self.block.centres)
         order = np.argsort(cluster, kind="stable")
